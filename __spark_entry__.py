@@ -17,8 +17,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.plans import gold
+from stratum.operators import refine, ranking
+from stratum.operators.upsert import upsert
+from stratum.plans import gold, questions, refresh
+from stratum.session import Lake
 from stratum.sources import retail
+from stratum.sources.files import as_text, write_landing
+from stratum.sources.tables import read_table
+from stratum.specs import is_metadata, load_spec
+from stratum.streaming import bronze, silver
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -73,6 +80,106 @@ def q_dim_sellers(spark: SparkSession, sf: str) -> DataFrame:
     return gold.dimension(retail.sellers(spark, sf), gold.gold_columns("dim_sellers"))
 
 
+def q_typed_refine(spark: SparkSession, sf: str) -> DataFrame:
+    """Text rows (as landed) cast to the declared Silver types."""
+    text = as_text(retail.order_items_raw(spark, sf))
+    return refine.typed_projection(text, load_spec("order_items", "silver"))
+
+
+def q_required_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders that have every required column, here incl. the delivery date."""
+    return refine.require_columns(
+        retail.orders(spark, sf), ["order_id", "customer_id", "order_delivered_customer_date"])
+
+
+def q_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest item row per key, ship date as the version column."""
+    raw = retail.order_items_raw(spark, sf)
+    keys = ["order_id", "order_item_id"]
+    return refine.latest_per_key(raw, keys, refine.version_order(raw, keys, "shipping_limit_date"))
+
+
+def q_primary_payment_window(spark: SparkSession, sf: str) -> DataFrame:
+    """W2 in window form (cross-check of the aggregate form used by G5)."""
+    return ranking.primary_value_by_window(
+        retail.order_payments(spark, sf), ["order_id"], "payment_type", "payment_value",
+        "payment_sequential", "primary_payment_type")
+
+
+def q_upsert_scd1(spark: SparkSession, sf: str) -> DataFrame:
+    """Load orders up to 1998, then upsert the orders from 1998 on with
+    a changed status (twice: the replay must change nothing)."""
+    lake = Lake.fresh(spark, "q-upsert")
+    ref = lake.table("silver", "orders")
+    o = retail.orders(spark, sf).select("order_id", "customer_id", "order_status",
+                                        "order_purchase_timestamp")
+    year = F.year("order_purchase_timestamp")
+    upsert(o.filter(year <= 1998), ref, ["order_id"], buckets=8)
+    later = o.filter(year >= 1998).withColumn("order_status", F.concat("order_status", F.lit("-2")))
+    upsert(later, ref, ["order_id"], buckets=8)
+    upsert(later, ref, ["order_id"], buckets=8)
+    return silver_columns(read_table(spark, ref))
+
+
+def silver_columns(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in df.columns if not is_metadata(c)])
+
+
+def q_bronze_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """L1 (S1-S4, P1, S8): land the item rows as CSV, ingest them incrementally."""
+    lake = Lake.fresh(spark, "q-bronze")
+    write_landing(retail.order_items_raw(spark, sf), lake.landing("order_items"))
+    table = bronze.ingest(spark, "order_items", lake)
+    bronze.ingest(spark, "order_items", lake)  # no new file: adds nothing
+    return read_table(spark, table).drop("_ingest_ts", "_source_file_path")
+
+
+def q_silver_refine_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """L2 (S5, S9, P2-P5, W1, S11, T1-T8): two landing drops (finished lines,
+    then open lines), each ingested and refined; the later drop wins a key."""
+    lake = Lake.fresh(spark, "q-silver")
+    li = retail.table(spark, sf, "lineitem")
+    for drop in (li.filter(F.col("l_linestatus") != "O"), li.filter(F.col("l_linestatus") == "O")):
+        write_landing(retail.order_items_from(drop), lake.landing("order_items"))
+        bronze.ingest(spark, "order_items", lake)
+        silver.refine_stream(spark, "order_items", lake)
+    return silver_columns(silver.read_silver(spark, "order_items", lake))
+
+
+def q_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """L4: every dataset landed as CSV -> Bronze -> Silver -> Gold; returns the
+    sales fact as stored in Gold."""
+    lake = Lake.fresh(spark, "q-refresh")
+    refresh.stage_landing(retail.landing_frames(spark, sf), lake)
+    refresh.full_refresh(spark, lake)
+    return _round(refresh.read_gold(spark, lake, "fact_sales"), {"total_order_value": 4})
+
+
+def _facts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    v = retail
+    return {
+        "sales": gold.fact_sales(v.orders(spark, sf), v.order_items(spark, sf), v.customers(spark, sf)),
+        "seller": gold.fact_seller_performance(v.sellers(spark, sf), v.order_items(spark, sf),
+                                               v.orders(spark, sf), v.order_reviews(spark, sf),
+                                               ordered=False),
+        "product": gold.fact_product_performance(v.order_items(spark, sf), v.products(spark, sf),
+                                                 v.order_reviews(spark, sf)),
+        "payment": gold.fact_payment_summary(v.order_payments(spark, sf), v.orders(spark, sf),
+                                             v.customers(spark, sf), ordered=False),
+    }
+
+
+def _q(fact: str, fn, scales: dict[str, int] | None = None):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = fn(_facts(spark, sf)[fact])
+        return _round(df, scales) if scales else df
+    return run
+
+
+def q_categories_by_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    return questions.categories_by_revenue(retail.order_items(spark, sf), retail.products(spark, sf))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_sales": q_fact_sales,
     "fact_seller_performance": q_fact_seller_performance,
@@ -82,6 +189,27 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_customers": q_dim_customers,
     "dim_products": q_dim_products,
     "dim_sellers": q_dim_sellers,
+    "typed_refine": q_typed_refine,
+    "required_filter": q_required_filter,
+    "latest_per_key": q_latest_per_key,
+    "primary_payment_window": q_primary_payment_window,
+    "upsert_scd1": q_upsert_scd1,
+    "bronze_ingest_stream": q_bronze_ingest_stream,
+    "silver_refine_stream": q_silver_refine_stream,
+    "full_refresh": q_full_refresh,
+    "c01_avg_order_value_by_state": _q("sales", questions.avg_order_value_by_state),
+    "c02_sales_by_status": _q("sales", questions.sales_by_status),
+    "c03_delivery_time": _q("sales", questions.delivery_time_summary),
+    "c04_top_sellers_by_revenue": _q("seller", questions.top_sellers_by_revenue, {"sum_revenue": 2}),
+    "c05_seller_scores": _q("seller", questions.seller_scores, {"avg_review_score": 6}),
+    "c06_most_late_sellers": _q("seller", questions.most_late_sellers),
+    "c07_categories_by_volume": _q("product", questions.categories_by_volume),
+    "c08_freight_by_weight": _q("product", questions.freight_by_weight),
+    "c08_weight_freight_correlation": _q("product", questions.weight_freight_correlation),
+    "c09_categories_by_revenue": q_categories_by_revenue,
+    "c10_worst_rated_products": _q("product", questions.worst_rated_products),
+    "c11_payment_method_mix": _q("payment", questions.payment_method_mix),
+    "c12_payments_by_state": _q("payment", questions.payments_by_state),
 }
 
 
@@ -167,53 +295,52 @@ def _with(*views: str) -> str:
     return "WITH " + ",".join(views)
 
 
-_ORACLE: dict[str, str] = {}
-
-_ORACLE["fact_sales"] = _with(_V_ORDER_ITEMS, _V_ORDERS, _V_CUSTOMERS, """
+# Facts as CTEs (unrounded), built on the views above.
+_C_TOV = """
 tov AS (SELECT order_id, sum(price + freight_value) AS total_order_value
-        FROM order_items_v GROUP BY order_id)""") + """
-SELECT o.order_id, o.customer_id, o.order_status, round(tov.total_order_value, 4) AS total_order_value,
-       c.customer_state,
-       CAST(date_diff('day', CAST(o.order_purchase_timestamp AS DATE),
-                      CAST(o.order_delivered_customer_date AS DATE)) AS INTEGER) AS delivery_time_days
-FROM orders_v o
-LEFT JOIN tov ON o.order_id = tov.order_id
-LEFT JOIN customers_v c ON o.customer_id = c.customer_id"""
-
-_ORACLE["fact_seller_performance"] = _with(_V_ORDER_ITEMS, _V_ORDERS, _V_REVIEWS, _V_SELLERS, """
+        FROM order_items_v GROUP BY order_id)"""
+_C_FACT_SALES = """
+fact_sales AS (
+  SELECT o.order_id, o.customer_id, o.order_status, tov.total_order_value, c.customer_state,
+         CAST(date_diff('day', CAST(o.order_purchase_timestamp AS DATE),
+                        CAST(o.order_delivered_customer_date AS DATE)) AS INTEGER) AS delivery_time_days
+  FROM orders_v o
+  LEFT JOIN tov ON o.order_id = tov.order_id
+  LEFT JOIN customers_v c ON o.customer_id = c.customer_id)"""
+_SALES = (_V_ORDER_ITEMS, _V_ORDERS, _V_CUSTOMERS, _C_TOV, _C_FACT_SALES)
+
+_C_FACT_SELLER = """
 review_score AS (SELECT order_id, avg(review_score) AS avg_review_score
-                 FROM order_reviews_v GROUP BY order_id)""", """
+                 FROM order_reviews_v GROUP BY order_id),
 overdue_delivery AS (
   SELECT order_id,
          count(CASE WHEN order_delivered_customer_date > order_estimated_delivery_date THEN 1 END)
            AS count_overdue_delivery
-  FROM orders_v GROUP BY order_id)""") + """
-SELECT s.seller_id, round(sum(oi.price), 2) AS sum_revenue,
-       CAST(sum(o.count_overdue_delivery) AS BIGINT) AS count_overdue_delivery,
-       round(avg(orv.avg_review_score), 6) AS avg_review_score
-FROM sellers_v s
-LEFT JOIN order_items_v oi ON oi.seller_id = s.seller_id
-LEFT JOIN overdue_delivery o ON o.order_id = oi.order_id
-LEFT JOIN review_score orv ON orv.order_id = o.order_id
-GROUP BY s.seller_id
-ORDER BY count_overdue_delivery DESC"""
-
-_ORACLE["fact_product_performance"] = _with(_V_ORDER_ITEMS, _V_PRODUCTS, _V_REVIEWS, """
+  FROM orders_v GROUP BY order_id),
+fact_seller AS (
+  SELECT s.seller_id, sum(oi.price) AS sum_revenue,
+         CAST(sum(o.count_overdue_delivery) AS BIGINT) AS count_overdue_delivery,
+         avg(orv.avg_review_score) AS avg_review_score
+  FROM sellers_v s
+  LEFT JOIN order_items_v oi ON oi.seller_id = s.seller_id
+  LEFT JOIN overdue_delivery o ON o.order_id = oi.order_id
+  LEFT JOIN review_score orv ON orv.order_id = o.order_id
+  GROUP BY s.seller_id)"""
+_SELLER = (_V_ORDER_ITEMS, _V_ORDERS, _V_REVIEWS, _V_SELLERS, _C_FACT_SELLER)
+
+_C_FACT_PRODUCT = """
 reviews AS (SELECT order_id, avg(review_score) AS avg_review_score
-            FROM order_reviews_v GROUP BY order_id)""") + """
-SELECT p.product_id, p.product_category_name, p.product_weight_g, p.product_length_cm,
-       p.product_height_cm, p.product_width_cm, oi.order_id, oi.freight_value,
-       round(r.avg_review_score, 6) AS avg_review_score
-FROM order_items_v oi
-LEFT JOIN products_v p ON p.product_id = oi.product_id
-LEFT JOIN reviews r ON r.order_id = oi.order_id"""
-
-_ORACLE["fact_payment_summary"] = _with(_V_ORDER_PAYMENTS, _V_ORDERS, _V_CUSTOMERS, """
-payments AS (
-  SELECT order_id, sum(payment_value) AS total_payment_value,
-         count(DISTINCT payment_type) AS total_methods_distincts_payments,
-         max(payment_installments) AS max_installments
-  FROM order_payments_v GROUP BY order_id)""", """
+            FROM order_reviews_v GROUP BY order_id),
+fact_product AS (
+  SELECT p.product_id, p.product_category_name, p.product_weight_g, p.product_length_cm,
+         p.product_height_cm, p.product_width_cm, oi.order_id, oi.freight_value,
+         r.avg_review_score
+  FROM order_items_v oi
+  LEFT JOIN products_v p ON p.product_id = oi.product_id
+  LEFT JOIN reviews r ON r.order_id = oi.order_id)"""
+_PRODUCT = (_V_ORDER_ITEMS, _V_PRODUCTS, _V_REVIEWS, _C_FACT_PRODUCT)
+
+_C_PRIMARY = """
 primary_method AS (
   SELECT order_id, payment_type FROM (
     SELECT order_id, payment_type,
@@ -222,15 +349,67 @@ primary_method AS (
                                        payment_sequential ASC NULLS LAST,
                                        payment_type DESC NULLS LAST) AS rn
     FROM order_payments_v) t
-  WHERE rn = 1)""") + """
-SELECT p.order_id, round(p.total_payment_value, 2) AS total_payment_value,
-       p.total_methods_distincts_payments, p.max_installments,
-       m.payment_type AS primary_payment_type, c.customer_state
-FROM payments p
-LEFT JOIN primary_method m ON m.order_id = p.order_id
-LEFT JOIN orders_v o ON o.order_id = p.order_id
-LEFT JOIN customers_v c ON c.customer_id = o.customer_id
-ORDER BY p.total_payment_value DESC, p.total_methods_distincts_payments DESC, c.customer_state"""
+  WHERE rn = 1)"""
+_C_FACT_PAYMENT = """
+payments AS (
+  SELECT order_id, sum(payment_value) AS total_payment_value,
+         count(DISTINCT payment_type) AS total_methods_distincts_payments,
+         max(payment_installments) AS max_installments
+  FROM order_payments_v GROUP BY order_id),
+fact_payment AS (
+  SELECT p.order_id, p.total_payment_value, p.total_methods_distincts_payments,
+         p.max_installments, m.payment_type AS primary_payment_type, c.customer_state
+  FROM payments p
+  LEFT JOIN primary_method m ON m.order_id = p.order_id
+  LEFT JOIN orders_v o ON o.order_id = p.order_id
+  LEFT JOIN customers_v c ON c.customer_id = o.customer_id)"""
+_PAYMENT = (_V_ORDER_PAYMENTS, _V_ORDERS, _V_CUSTOMERS, _C_PRIMARY, _C_FACT_PAYMENT)
+
+# Text of the item rows as they land (ids, numbers and timestamps as text).
+_ITEM_TEXT = """
+CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS order_item_id,
+CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipping_limit_date,
+CAST(l_extendedprice AS VARCHAR) AS price, CAST(l_extendedprice * l_tax AS VARCHAR) AS freight_value"""
+
+# Silver item rows after the pipeline: typed, newest per key where the later
+# drop wins, then larger business values (ids compare as text).
+_SILVER_ITEMS = """
+SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
+FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+         l_shipdate AS shipping_limit_date, l_extendedprice AS price,
+         l_extendedprice * l_tax AS freight_value,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                            ORDER BY {drop} DESC, CAST(l_partkey AS VARCHAR) DESC,
+                                     CAST(l_suppkey AS VARCHAR) DESC, l_shipdate DESC,
+                                     l_extendedprice DESC, l_extendedprice * l_tax DESC) AS rn
+  FROM lineitem) t
+WHERE rn = 1"""
+
+_ORACLE: dict[str, str] = {}
+
+_ORACLE["fact_sales"] = _with(*_SALES) + """
+SELECT order_id, customer_id, order_status, round(total_order_value, 4) AS total_order_value,
+       customer_state, delivery_time_days
+FROM fact_sales"""
+
+_ORACLE["fact_seller_performance"] = _with(*_SELLER) + """
+SELECT seller_id, round(sum_revenue, 2) AS sum_revenue, count_overdue_delivery,
+       round(avg_review_score, 6) AS avg_review_score
+FROM fact_seller ORDER BY count_overdue_delivery DESC"""
+
+_ORACLE["fact_product_performance"] = _with(*_PRODUCT) + """
+SELECT product_id, product_category_name, product_weight_g, product_length_cm, product_height_cm,
+       product_width_cm, order_id, freight_value, round(avg_review_score, 6) AS avg_review_score
+FROM fact_product"""
+
+_ORACLE["fact_payment_summary"] = _with(*_PAYMENT) + """
+SELECT order_id, round(total_payment_value, 2) AS total_payment_value,
+       total_methods_distincts_payments, max_installments, primary_payment_type, customer_state
+FROM fact_payment
+ORDER BY total_payment_value DESC, total_methods_distincts_payments DESC, customer_state"""
 
 _ORACLE["dim_dates"] = """
 SELECT CAST(d AS DATE) AS date_id, CAST(year(d) AS INTEGER) AS year,
@@ -252,6 +431,132 @@ SELECT product_id, product_category_name FROM products_v"""
 _ORACLE["dim_sellers"] = _with(_V_SELLERS) + """
 SELECT seller_id, seller_city, seller_state FROM sellers_v"""
 
+_ORACLE["typed_refine"] = """
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+       CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+       l_shipdate AS shipping_limit_date, l_extendedprice AS price,
+       l_extendedprice * l_tax AS freight_value
+FROM lineitem"""
+
+_ORACLE["required_filter"] = _with(_V_ORDERS) + """
+SELECT * FROM orders_v
+WHERE order_id IS NOT NULL AND customer_id IS NOT NULL
+  AND order_delivered_customer_date IS NOT NULL"""
+
+_ORACLE["latest_per_key"] = """
+SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
+FROM (
+  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
+         l_suppkey AS seller_id, l_shipdate AS shipping_limit_date, l_extendedprice AS price,
+         l_extendedprice * l_tax AS freight_value,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                            ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST,
+                                     l_suppkey DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+                                     l_extendedprice * l_tax DESC NULLS LAST) AS rn
+  FROM lineitem) t
+WHERE rn = 1"""
+
+_ORACLE["primary_payment_window"] = _with(_V_ORDER_PAYMENTS, _C_PRIMARY) + """
+SELECT order_id, payment_type AS primary_payment_type FROM primary_method"""
+
+_ORACLE["upsert_scd1"] = _with(_V_ORDERS) + """
+SELECT order_id, customer_id,
+       CASE WHEN year(order_purchase_timestamp) >= 1998 THEN order_status || '-2'
+            ELSE order_status END AS order_status,
+       order_purchase_timestamp
+FROM orders_v"""
+
+_ORACLE["bronze_ingest_stream"] = "SELECT " + _ITEM_TEXT + """,
+       CAST(NULL AS VARCHAR) AS _rescued_data
+FROM lineitem"""
+
+_ORACLE["silver_refine_stream"] = _SILVER_ITEMS.format(
+    drop="CASE WHEN l_linestatus = 'O' THEN 2 ELSE 1 END")
+
+_ORACLE["full_refresh"] = _with(_V_ORDERS, _V_CUSTOMERS, """
+oi AS (""" + _SILVER_ITEMS.format(drop="1") + """),
+tov AS (SELECT order_id, sum(price + freight_value) AS total_order_value
+        FROM oi GROUP BY order_id)""") + """
+SELECT CAST(o.order_id AS VARCHAR) AS order_id, CAST(o.customer_id AS VARCHAR) AS customer_id,
+       o.order_status, round(tov.total_order_value, 4) AS total_order_value, c.customer_state,
+       CAST(date_diff('day', CAST(o.order_purchase_timestamp AS DATE),
+                      CAST(o.order_delivered_customer_date AS DATE)) AS INTEGER) AS delivery_time_days
+FROM orders_v o
+LEFT JOIN tov ON CAST(o.order_id AS VARCHAR) = tov.order_id
+LEFT JOIN customers_v c ON o.customer_id = c.customer_id"""
+
+_MONEY_SUM = "CAST(sum(CAST({c} AS DECIMAL(38,4))) AS DOUBLE)"
+
+_ORACLE["c01_avg_order_value_by_state"] = _with(*_SALES) + """
+SELECT customer_state, count(total_order_value) AS valued_orders,
+       round(CAST(sum(CAST(total_order_value AS DECIMAL(38,4))) AS DOUBLE)
+             / count(total_order_value), 4) AS avg_order_value
+FROM fact_sales GROUP BY customer_state"""
+
+_ORACLE["c02_sales_by_status"] = _with(*_SALES) + f"""
+SELECT order_status, count(*) AS orders, {_MONEY_SUM.format(c="total_order_value")} AS sales_value
+FROM fact_sales GROUP BY order_status"""
+
+_ORACLE["c03_delivery_time"] = _with(*_SALES) + """
+SELECT count(delivery_time_days) AS delivered_orders,
+       round(avg(delivery_time_days), 6) AS avg_delivery_days,
+       min(delivery_time_days) AS min_delivery_days, max(delivery_time_days) AS max_delivery_days
+FROM fact_sales"""
+
+_ORACLE["c04_top_sellers_by_revenue"] = _with(*_SELLER) + """
+SELECT seller_id, round(sum_revenue, 2) AS sum_revenue FROM (
+  SELECT seller_id, sum_revenue FROM fact_seller
+  ORDER BY sum_revenue DESC NULLS LAST, seller_id LIMIT 10) t"""
+
+_ORACLE["c05_seller_scores"] = _with(*_SELLER) + """
+SELECT seller_id, round(avg_review_score, 6) AS avg_review_score FROM fact_seller"""
+
+_ORACLE["c06_most_late_sellers"] = _with(*_SELLER) + """
+SELECT seller_id, count_overdue_delivery FROM fact_seller
+ORDER BY count_overdue_delivery DESC NULLS LAST, seller_id LIMIT 10"""
+
+_ORACLE["c07_categories_by_volume"] = _with(*_PRODUCT) + """
+SELECT product_category_name, count(*) AS items_sold, count(DISTINCT order_id) AS orders
+FROM fact_product GROUP BY product_category_name"""
+
+_ORACLE["c08_freight_by_weight"] = _with(*_PRODUCT) + """
+SELECT product_weight_g, count(*) AS items, round(avg(freight_value), 4) AS avg_freight_value
+FROM fact_product GROUP BY product_weight_g"""
+
+_ORACLE["c08_weight_freight_correlation"] = _with(*_PRODUCT) + """
+SELECT round(corr(product_weight_g, freight_value), 6) AS corr_weight_g,
+       round(corr(product_length_cm, freight_value), 6) AS corr_length_cm,
+       round(corr(product_height_cm, freight_value), 6) AS corr_height_cm,
+       round(corr(product_width_cm, freight_value), 6) AS corr_width_cm
+FROM fact_product"""
+
+_ORACLE["c09_categories_by_revenue"] = _with(_V_ORDER_ITEMS, _V_PRODUCTS) + f"""
+SELECT p.product_category_name, {_MONEY_SUM.format(c="oi.price")} AS revenue,
+       count(*) AS items_sold
+FROM order_items_v oi LEFT JOIN products_v p ON p.product_id = oi.product_id
+GROUP BY p.product_category_name"""
+
+_ORACLE["c10_worst_rated_products"] = _with(*_PRODUCT) + """
+SELECT product_id, avg_score, reviewed_items FROM (
+  SELECT product_id, round(avg(avg_review_score), 6) AS avg_score,
+         count(avg_review_score) AS reviewed_items
+  FROM fact_product WHERE product_id IS NOT NULL GROUP BY product_id) t
+WHERE avg_score IS NOT NULL
+ORDER BY avg_score, product_id LIMIT 10"""
+
+_ORACLE["c11_payment_method_mix"] = _with(*_PAYMENT) + f"""
+SELECT primary_payment_type, count(*) AS orders,
+       {_MONEY_SUM.format(c="total_payment_value")} AS total_paid,
+       CAST(sum(CASE WHEN total_methods_distincts_payments > 1 THEN 1 ELSE 0 END) AS BIGINT)
+         AS multi_method_orders
+FROM fact_payment GROUP BY primary_payment_type"""
+
+_ORACLE["c12_payments_by_state"] = _with(*_PAYMENT) + f"""
+SELECT customer_state, count(*) AS orders,
+       {_MONEY_SUM.format(c="total_payment_value")} AS total_paid,
+       round(avg(max_installments), 6) AS avg_max_installments
+FROM fact_payment GROUP BY customer_state"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in _ORACLE.items() if k in _QUERIES}

@@ -39,7 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every lineitem as an order item; (order_id, order_item_id) repeats."""
-    li = table(spark, sf_dir, "lineitem")
+    return order_items_from(table(spark, sf_dir, "lineitem"))
+
+
+def order_items_from(li: DataFrame) -> DataFrame:
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
@@ -173,3 +176,19 @@ VIEWS = {
 
 def silver_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: fn(spark, sf_dir) for name, fn in VIEWS.items()}
+
+
+def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What lands as CSV for each dataset: the raw rows (order items keep
+    their repeated keys; Silver deduplicates them), in Silver column order."""
+    from stratum.specs import load_spec
+    frames = {
+        "order_items": order_items_raw(spark, sf_dir),
+        "order_payments": order_payments(spark, sf_dir),
+        "orders": orders(spark, sf_dir),
+        "customers": customers(spark, sf_dir),
+        "sellers": sellers(spark, sf_dir),
+        "products": products(spark, sf_dir),
+        "order_reviews": order_reviews(spark, sf_dir),
+    }
+    return {n: df.select(*load_spec(n, "silver").column_names) for n, df in frames.items()}
