@@ -10,15 +10,17 @@ the batch replaces (left anti join), adds the batch rows, and rewrites just
 those bucket directories with dynamic partition overwrite. Work is
 proportional to the touched buckets, not to the table.
 
-Choose ``buckets`` so one bucket stays around a few hundred MB at the
-expected table size (for example table bytes / 512 MB): each bucket is
-written by one task. Keys are unique in the table and in the batch, so
-buckets are even and no key can skew them.
+Sizing: ``buckets`` bounds how much one upsert rewrites (a batch touching k
+buckets rewrites k/buckets of the table) and ``files_per_bucket`` spreads one
+bucket over that many write tasks. Pick buckets x files_per_bucket near
+table bytes / 256 MB (a 100 TB table: e.g. 4096 x 100), so no task writes
+more than a few hundred MB. Keys are unique in the table and in the batch, so
+hashing spreads rows evenly and no key can skew a bucket.
 
 Limitation (no transaction log): the overwrite of a bucket is a delete then a
 move. A driver crash between the two loses that bucket's untouched rows;
-recover with ``stratum.streaming.silver.refine_stream(..., rebuild=True)``,
-which rebuilds the table from the append-only Bronze table.
+recover with ``stratum.streaming.silver.rebuild``, which recomputes the table
+from the append-only Bronze table.
 """
 
 from __future__ import annotations
@@ -36,13 +38,25 @@ def bucket_of(keys: Sequence[str], buckets: int):
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets))
 
 
-def _write_buckets(df: DataFrame, ref: str, first: bool) -> None:
-    writer = (df.repartition(BUCKET)
-                .sortWithinPartitions(BUCKET)
+def _write_buckets(df: DataFrame, ref: str, first: bool, keys: Sequence[str],
+                   files_per_bucket: int = 1, mode: str | None = None,
+                   n_buckets: int | None = None) -> None:
+    """Write rows partitioned by ``_bucket``: a new table (``first``), or a
+    dynamic overwrite of just the buckets present in ``df``.
+
+    With ``files_per_bucket > 1`` a second, independent hash of the keys splits
+    each bucket over that many write tasks (``n_buckets`` x files_per_bucket
+    shuffle partitions, a fixed count that adaptive coalescing keeps)."""
+    if files_per_bucket > 1:
+        spread = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(files_per_bucket))
+        df = df.repartition(max(1, (n_buckets or 1) * files_per_bucket), F.col(BUCKET), spread)
+    else:
+        df = df.repartition(BUCKET)
+    writer = (df.sortWithinPartitions(BUCKET)
                 .write.format("parquet")
                 .partitionBy(BUCKET))
     if first:
-        writer = writer.mode("errorifexists")
+        writer = writer.mode(mode or "errorifexists")
     else:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if is_path(ref):
@@ -54,7 +68,7 @@ def _write_buckets(df: DataFrame, ref: str, first: bool) -> None:
 
 
 def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
-           version_column: str | None = None) -> None:
+           version_column: str | None = None, files_per_bucket: int = 1) -> None:
     """Insert new keys and replace existing ones with the batch's rows.
 
     ``batch`` must hold at most one row per key. With ``version_column`` set,
@@ -65,7 +79,7 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
     staged = batch.withColumn(BUCKET, bucket_of(keys, buckets)).persist()
     try:
         if not table_exists(spark, ref):
-            _write_buckets(staged, ref, first=True)
+            _write_buckets(staged, ref, True, keys, files_per_bucket, n_buckets=buckets)
             return
         # At most `buckets` distinct values: a bounded collect.
         touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
@@ -81,7 +95,8 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
             incoming = staged.join(newer, list(keys), "left_anti")
         kept = current.join(incoming.select(*keys), list(keys), "left_anti")
         merged = kept.unionByName(incoming, allowMissingColumns=True)
-        _write_buckets(merged.select(*current.columns), ref, first=False)
+        _write_buckets(merged.select(*current.columns), ref, False, keys, files_per_bucket,
+                       n_buckets=len(touched))
         if not is_path(ref):
             spark.catalog.recoverPartitions(ref)
             spark.catalog.refreshTable(ref)

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.operators.refine import dedup_batch, refine
-from stratum.operators.upsert import bucket_of, upsert
+from stratum.operators.upsert import _write_buckets, bucket_of, upsert
 from stratum.session import Lake
 from stratum.sources.tables import read_table, read_table_stream
 from stratum.specs import BUCKET, SilverSpec, load_spec
@@ -33,7 +33,7 @@ def upsert_batch(spec: SilverSpec, target: str) -> callable:
         if batch_df.isEmpty():
             return
         upsert(dedup_batch(batch_df, spec), target, spec.primary_keys, spec.buckets,
-               spec.version_column if spec.version_guard else None)
+               spec.version_column if spec.version_guard else None, spec.files_per_bucket)
 
     return process
 
@@ -66,8 +66,8 @@ def rebuild(spark: SparkSession, dataset: str | SilverSpec, lake: Lake,
     target = lake.table("silver", spec.target_table or spec.dataset_name)
     rows = dedup_batch(refine(read_table(spark, source), spec, run_id), spec)
     staged = rows.withColumn(BUCKET, bucket_of(spec.primary_keys, spec.buckets))
-    (staged.repartition(BUCKET).write.format("parquet").partitionBy(BUCKET)
-     .mode("overwrite").save(target))
+    _write_buckets(staged, target, True, spec.primary_keys, spec.files_per_bucket,
+                   mode="overwrite", n_buckets=spec.buckets)
     return target
 
 

@@ -68,3 +68,15 @@ def test_composite_key(spark, lake):
     upsert(spark.createDataFrame([("x", 2, 9), ("y", 1, 1)], cols), ref, ["o", "i"], buckets=4)
     got = sorted(tuple(r) for r in read_table(spark, ref).select("o", "i", "v").collect())
     assert got == [("x", 1, 1), ("x", 2, 9), ("y", 1, 1)]
+
+
+def test_files_per_bucket_spreads_a_bucket(spark, lake):
+    ref = lake.table("silver", "t5")
+    rows = [(f"k{i}", i, 1) for i in range(400)]
+    upsert(spark.createDataFrame(rows, COLS), ref, ["k"], buckets=2, files_per_bucket=4)
+    files = _bucket_files(ref)
+    assert set(files) == {"_bucket=0", "_bucket=1"}
+    assert all(len(f) > 1 for f in files.values())
+    upsert(spark.createDataFrame([("k1", 100, 2)], COLS), ref, ["k"], buckets=2, files_per_bucket=4)
+    got = dict((k, v) for k, v, _ in _rows(spark, ref))
+    assert len(got) == 400 and got["k1"] == 100 and got["k2"] == 2
