@@ -14,8 +14,6 @@ scans). Shape rules followed throughout, for scale:
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,15 +30,19 @@ def dimension(silver: DataFrame, columns: list[str] | None) -> DataFrame:
     return select_columns(silver, columns)
 
 
-def dim_dates(spark: SparkSession, start, end) -> DataFrame:
+def dim_dates(spark: SparkSession, start, end=None, ahead_days: int = 90) -> DataFrame:
     """One row per calendar day from ``start`` to ``end``, both inclusive.
 
-    ``start``/``end`` are dates, ISO strings, or Columns of a one-row
-    DataFrame given as ``bounds`` (see ``dim_dates_from``). A calendar has
-    one row per day, so its size is bounded by the date range, not by the data.
+    ``start``/``end`` are dates, ISO strings or Columns; ``end`` defaults to
+    ``current_date() + ahead_days``. A calendar has one row per day, so its
+    size is bounded by the date range, not by the data.
     """
     lo = F.lit(start).cast("date") if not isinstance(start, Column) else start
-    hi = F.lit(end).cast("date") if not isinstance(end, Column) else end
+    if end is None:
+        hi = F.current_date() + F.make_interval(days=F.lit(ahead_days))
+    else:
+        hi = F.lit(end).cast("date") if not isinstance(end, Column) else end
+    hi = hi.cast("date")
     days = spark.range(1).select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("d"))
     return days.select(*calendar_columns("d")).orderBy("date_id")
 
@@ -53,11 +55,6 @@ def dim_dates_from(bounds: DataFrame, start_col: str = "start", end_col: str = "
     return days.select(*calendar_columns("d")).orderBy("date_id")
 
 
-def default_calendar_end(today: dt.date | None = None, ahead_days: int = 90) -> dt.date:
-    """The reference calendar runs to today + 90 days."""
-    return (today or dt.date.today()) + dt.timedelta(days=ahead_days)
-
-
 # --------------------------------------------------------------------- facts
 
 

@@ -60,8 +60,7 @@ def build_gold(spark: SparkSession, lake: Lake, calendar_start=None, calendar_en
     if calendar_start is None:
         calendar = gold.dim_dates_from(gold.calendar_bounds(s["orders"]))
     else:
-        calendar = gold.dim_dates(spark, calendar_start,
-                                  calendar_end or gold.default_calendar_end())
+        calendar = gold.dim_dates(spark, calendar_start, calendar_end)
     out["dim_dates"] = lake.table("gold", "dim_dates")
     write_table(calendar, out["dim_dates"])
     return out

@@ -129,3 +129,9 @@ def test_latest_per_key_total_order(spark):
     ], "key string, _v int, val string, _src string")
     out = {r.key: (r._v, r.val) for r in latest_per_key(df, ["key"], version_order(df, ["key"], "_v")).collect()}
     assert out == {"k": (2, "z"), "j": (0, "q")}       # NULL version ranks last
+
+
+def test_dim_dates_default_end_is_today_plus_90(spark):
+    rows = gold.dim_dates(spark, dt.date.today()).collect()
+    assert len(rows) == 91
+    assert rows[-1].date_id == dt.date.today() + dt.timedelta(days=90)

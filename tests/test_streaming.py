@@ -118,3 +118,32 @@ def test_cast_modes(spark, lake):
     got = {r.customer_id: r.customer_zip_code_prefix
            for r in silver.read_silver(spark, "customers", lake2).collect()}
     assert got == {"c1": None, "c2": 12}
+
+
+def test_failed_batch_is_replayed_idempotently(spark, lake):
+    from stratum.operators.refine import refine
+    from stratum.sources.tables import read_table_stream
+    from stratum.streaming.sinks import foreach_batch_stream
+
+    _drop(lake, "customers", "a.csv", HEADER + "c1,u1,1,x,SP\nc2,u2,2,y,RJ\nc1,u1,3,z,SP\n")
+    bronze.ingest(spark, "customers", lake, ingest_ts=dt.datetime(2024, 1, 1))
+    spec = load_spec("customers", "silver")
+    target = lake.table("silver", "customers")
+    ckpt = lake.checkpoint("silver", "customers")
+    process = silver.upsert_batch(spec, target)
+    calls = []
+
+    def crash_after_write(df, batch_id):
+        process(df, batch_id)
+        calls.append(batch_id)
+        raise RuntimeError("driver lost after the write")
+
+    stream = lambda: refine(read_table_stream(spark, lake.table("bronze", "customers")), spec, "r")
+    with pytest.raises(StreamingQueryException):
+        foreach_batch_stream(stream(), ckpt, crash_after_write)
+    assert calls == [0]
+    foreach_batch_stream(stream(), ckpt, process)      # replays batch 0
+    got = sorted((r.customer_id, r.customer_zip_code_prefix)
+                 for r in silver.read_silver(spark, "customers", lake).collect())
+    assert got == [("c1", 3), ("c2", 2)]
+    assert _bronze_rows(spark, lake, "customers").count() == 3
