@@ -5,9 +5,9 @@ batch's row, every other key keeps its row, and running it again with the
 same batch changes nothing (so a replayed micro-batch is harmless).
 
 Layout: the table is partitioned by ``_bucket = pmod(hash(keys), buckets)``.
-An upsert reads only the buckets the batch touches, drops the rows whose key
-the batch replaces (left anti join), adds the batch rows, and rewrites just
-those bucket directories with dynamic partition overwrite. Work is
+An upsert reads only the buckets the batch touches, keeps the batch's row
+for every key it carries and the stored row for the others, and rewrites
+just those bucket directories with dynamic partition overwrite. Work is
 proportional to the touched buckets, not to the table.
 
 Sizing: ``buckets`` bounds how much one upsert rewrites (a batch touching k
@@ -30,6 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.operators.refine import latest_per_key
 from stratum.sources.tables import is_path, read_table, table_exists
 from stratum.specs import BUCKET
 
@@ -38,23 +39,25 @@ def bucket_of(keys: Sequence[str], buckets: int):
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets))
 
 
-def _write_buckets(df: DataFrame, ref: str, first: bool, keys: Sequence[str],
-                   files_per_bucket: int = 1, mode: str | None = None,
-                   n_buckets: int | None = None) -> None:
-    """Write rows partitioned by ``_bucket``: a new table (``first``), or a
-    dynamic overwrite of just the buckets present in ``df``.
+SPREAD = "_spread"
+SOURCE_TAG = "_src"
+
 
-    With ``files_per_bucket > 1`` a second, independent hash of the keys splits
-    each bucket over that many write tasks (``n_buckets`` x files_per_bucket
-    shuffle partitions, a fixed count that adaptive coalescing keeps)."""
+def _distribute(df: DataFrame, keys: Sequence[str], n_buckets: int,
+                files_per_bucket: int) -> tuple[DataFrame, list[str]]:
+    """Hash rows to write tasks by bucket; returns the frame and the columns it
+    is partitioned by. With ``files_per_bucket > 1`` a second, independent hash
+    of the keys splits each bucket over that many tasks (a fixed partition
+    count, which adaptive coalescing keeps)."""
     if files_per_bucket > 1:
-        spread = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(files_per_bucket))
-        df = df.repartition(max(1, (n_buckets or 1) * files_per_bucket), F.col(BUCKET), spread)
-    else:
-        df = df.repartition(BUCKET)
-    writer = (df.sortWithinPartitions(BUCKET)
-                .write.format("parquet")
-                .partitionBy(BUCKET))
+        df = df.withColumn(SPREAD, F.pmod(F.xxhash64(*[F.col(k) for k in keys]),
+                                          F.lit(files_per_bucket)))
+        return df.repartition(max(1, n_buckets * files_per_bucket), BUCKET, SPREAD), [BUCKET, SPREAD]
+    return df.repartition(BUCKET), [BUCKET]
+
+
+def _write(df: DataFrame, ref: str, first: bool, mode: str | None = None) -> None:
+    writer = df.write.format("parquet").partitionBy(BUCKET)
     if first:
         writer = writer.mode(mode or "errorifexists")
     else:
@@ -67,6 +70,14 @@ def _write_buckets(df: DataFrame, ref: str, first: bool, keys: Sequence[str],
         writer.insertInto(ref, overwrite=True)
 
 
+def _write_buckets(df: DataFrame, ref: str, first: bool, keys: Sequence[str],
+                   files_per_bucket: int = 1, mode: str | None = None,
+                   n_buckets: int | None = None) -> None:
+    """Write rows partitioned by ``_bucket`` as a new table."""
+    dist, by = _distribute(df, keys, n_buckets or 1, files_per_bucket)
+    _write(dist.sortWithinPartitions(*by).drop(SPREAD), ref, first, mode)
+
+
 def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
            version_column: str | None = None, files_per_bucket: int = 1) -> None:
     """Insert new keys and replace existing ones with the batch's rows.
@@ -74,29 +85,34 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
     ``batch`` must hold at most one row per key. With ``version_column`` set,
     a batch row older than the stored row of its key is ignored (otherwise
     the later batch wins, whatever its version).
+
+    Plan: stored rows of the touched buckets (tag 0) and batch rows (tag 1) are
+    hashed once by bucket; per key the row with the highest tag survives
+    (``row_number`` over a partitioning the shuffle already provides), and the
+    result is written back over those buckets. One shuffle of the touched data.
     """
     spark = batch.sparkSession
+    keys = list(keys)
     staged = batch.withColumn(BUCKET, bucket_of(keys, buckets)).persist()
     try:
         if not table_exists(spark, ref):
-            _write_buckets(staged, ref, True, keys, files_per_bucket, n_buckets=buckets)
+            _write_buckets(staged, ref, True, keys, files_per_bucket, mode="overwrite",
+                           n_buckets=buckets)
             return
         # At most `buckets` distinct values: a bounded collect.
         touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
         if not touched:
             return
         current = read_table(spark, ref).filter(F.col(BUCKET).isin(touched))
-        incoming = staged
-        if version_column:
-            newer = (current.select(*keys, F.col(version_column).alias("_stored_version"))
-                     .join(staged.select(*keys, version_column), list(keys), "inner")
-                     .filter(F.col(version_column) < F.col("_stored_version"))
-                     .select(*keys))
-            incoming = staged.join(newer, list(keys), "left_anti")
-        kept = current.join(incoming.select(*keys), list(keys), "left_anti")
-        merged = kept.unionByName(incoming, allowMissingColumns=True)
-        _write_buckets(merged.select(*current.columns), ref, False, keys, files_per_bucket,
-                       n_buckets=len(touched))
+        cols = current.columns
+        both = (current.withColumn(SOURCE_TAG, F.lit(0))
+                .unionByName(staged.withColumn(SOURCE_TAG, F.lit(1)), allowMissingColumns=True)
+                .select(*cols, SOURCE_TAG))
+        dist, by = _distribute(both, keys, len(touched), files_per_bucket)
+        order = [F.col(version_column).desc_nulls_last()] if version_column else []
+        order.append(F.col(SOURCE_TAG).desc())
+        merged = latest_per_key(dist, by + keys, order).drop(SOURCE_TAG, SPREAD)
+        _write(merged, ref, first=False)
         if not is_path(ref):
             spark.catalog.recoverPartitions(ref)
             spark.catalog.refreshTable(ref)
