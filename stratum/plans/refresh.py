@@ -80,3 +80,25 @@ def full_refresh(spark: SparkSession, lake: Lake, run_id: str | None = None,
 
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return read_table(spark, lake.table("gold", name))
+
+
+def register_views(spark: SparkSession, lake: Lake, layers=("bronze", "silver", "gold")) -> list[str]:
+    """Expose every existing lake table as a temp view ``<layer>_<table>`` so
+    the tables can be queried with ``spark.sql`` (Silver views hide
+    ``_bucket``)."""
+    from stratum.sources.tables import table_exists
+    names = {"bronze": datasets("bronze"), "silver": datasets("silver"),
+             "gold": datasets("gold") + list(FACT_INPUTS) + ["dim_dates"]}
+    out = []
+    for layer in layers:
+        for name in names[layer]:
+            ref = lake.table(layer, name)
+            if not table_exists(spark, ref):
+                continue
+            df = read_table(spark, ref)
+            if layer == "silver":
+                df = df.drop("_bucket")
+            view = f"{layer}_{name}"
+            df.createOrReplaceTempView(view)
+            out.append(view)
+    return out
