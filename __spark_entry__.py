@@ -155,23 +155,24 @@ def q_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _round(refresh.read_gold(spark, lake, "fact_sales"), {"total_order_value": 4})
 
 
-def _facts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _fact(spark: SparkSession, sf: str, which: str) -> DataFrame:
     v = retail
-    return {
-        "sales": gold.fact_sales(v.orders(spark, sf), v.order_items(spark, sf), v.customers(spark, sf)),
-        "seller": gold.fact_seller_performance(v.sellers(spark, sf), v.order_items(spark, sf),
-                                               v.orders(spark, sf), v.order_reviews(spark, sf),
-                                               ordered=False),
-        "product": gold.fact_product_performance(v.order_items(spark, sf), v.products(spark, sf),
-                                                 v.order_reviews(spark, sf)),
-        "payment": gold.fact_payment_summary(v.order_payments(spark, sf), v.orders(spark, sf),
-                                             v.customers(spark, sf), ordered=False),
-    }
+    if which == "sales":
+        return gold.fact_sales(v.orders(spark, sf), v.order_items(spark, sf), v.customers(spark, sf))
+    if which == "seller":
+        return gold.fact_seller_performance(v.sellers(spark, sf), v.order_items(spark, sf),
+                                            v.orders(spark, sf), v.order_reviews(spark, sf),
+                                            ordered=False)
+    if which == "product":
+        return gold.fact_product_performance(v.order_items(spark, sf), v.products(spark, sf),
+                                             v.order_reviews(spark, sf))
+    return gold.fact_payment_summary(v.order_payments(spark, sf), v.orders(spark, sf),
+                                     v.customers(spark, sf), ordered=False)
 
 
 def _q(fact: str, fn, scales: dict[str, int] | None = None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        df = fn(_facts(spark, sf)[fact])
+        df = fn(_fact(spark, sf, fact))
         return _round(df, scales) if scales else df
     return run
 

@@ -33,8 +33,18 @@ ESTIMATED_DELIVERY_DAYS = 60
 REVIEW_SCORES = {"purchase": 5, "click": 4, "view": 3, "signup": 2}
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of a driver table. The driver tables are read-only, so the relation
+    (file listing and footer schema) is resolved once per session and path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
 
 
 def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
