@@ -51,13 +51,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        # SparkContext appends its own uuid folder; use its parent.
-        return os.path.dirname(current.rstrip("/"))
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            # SparkContext appends its own uuid folder; use its parent.
+            return os.path.dirname(current.rstrip("/"))
     root = tempfile.mkdtemp(prefix="stratum-ckpt-")
-    sc.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 
