@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if id(spark) in _SCRATCH:
+        return _SCRATCH[id(spark)]
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session has no local SparkContext
@@ -60,13 +62,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if current:
             # SparkContext appends its own uuid folder; use its parent.
             return os.path.dirname(current.rstrip("/"))
-    root = tempfile.mkdtemp(prefix="stratum-ckpt-")
+    # spark.checkpoint.dir cannot be changed on a running session; register a
+    # scratch folder with the SparkContext (local runs) and remember it.
+    root = _SCRATCH[id(spark)] = tempfile.mkdtemp(prefix="stratum-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+_SCRATCH: dict[int, str] = {}
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where a lakehouse keeps its tables, landing files and stream progress.
