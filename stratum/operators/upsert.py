@@ -56,26 +56,26 @@ def _distribute(df: DataFrame, keys: Sequence[str], n_buckets: int,
     return df.repartition(BUCKET), [BUCKET]
 
 
-def _write(df: DataFrame, ref: str, first: bool, mode: str | None = None) -> None:
-    writer = df.write.format("parquet").partitionBy(BUCKET)
-    if first:
-        writer = writer.mode(mode or "errorifexists")
-    else:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _save(df: DataFrame, ref: str, only_present_buckets: bool) -> None:
+    """Write partitioned by ``_bucket``: replace the whole table, or (dynamic
+    partition overwrite) only the buckets present in ``df``."""
+    writer = df.write.format("parquet").partitionBy(BUCKET).mode("overwrite")
+    if only_present_buckets:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if is_path(ref):
         writer.save(ref)
-    elif first:
-        writer.saveAsTable(ref)
-    else:
+    elif only_present_buckets:
         writer.insertInto(ref, overwrite=True)
+    else:
+        writer.saveAsTable(ref)
 
 
-def _write_buckets(df: DataFrame, ref: str, first: bool, keys: Sequence[str],
-                   files_per_bucket: int = 1, mode: str | None = None,
-                   n_buckets: int | None = None) -> None:
-    """Write rows partitioned by ``_bucket`` as a new table."""
-    dist, by = _distribute(df, keys, n_buckets or 1, files_per_bucket)
-    _write(dist.sortWithinPartitions(*by).drop(SPREAD), ref, first, mode)
+def write_buckets(df: DataFrame, ref: str, keys: Sequence[str], buckets: int,
+                  files_per_bucket: int = 1) -> None:
+    """Create (or replace) a bucketed table from rows with unique keys."""
+    staged = df.withColumn(BUCKET, bucket_of(keys, buckets))
+    dist, by = _distribute(staged, keys, buckets, files_per_bucket)
+    _save(dist.sortWithinPartitions(*by).drop(SPREAD), ref, only_present_buckets=False)
 
 
 def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
@@ -96,8 +96,7 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
     staged = batch.withColumn(BUCKET, bucket_of(keys, buckets)).persist()
     try:
         if not table_exists(spark, ref):
-            _write_buckets(staged, ref, True, keys, files_per_bucket, mode="overwrite",
-                           n_buckets=buckets)
+            write_buckets(staged, ref, keys, buckets, files_per_bucket)
             return
         # At most `buckets` distinct values: a bounded collect.
         touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
@@ -112,7 +111,7 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
         order = [F.col(version_column).desc_nulls_last()] if version_column else []
         order.append(F.col(SOURCE_TAG).desc())
         merged = latest_per_key(dist, by + keys, order).drop(SOURCE_TAG, SPREAD)
-        _write(merged, ref, first=False)
+        _save(merged, ref, only_present_buckets=True)
         if not is_path(ref):
             spark.catalog.recoverPartitions(ref)
             spark.catalog.refreshTable(ref)

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.operators.refine import dedup_batch, refine
-from stratum.operators.upsert import _write_buckets, bucket_of, upsert
+from stratum.operators.upsert import upsert, write_buckets
 from stratum.session import Lake
 from stratum.sources.tables import read_table, read_table_stream
 from stratum.specs import BUCKET, SilverSpec, load_spec
@@ -65,9 +65,7 @@ def rebuild(spark: SparkSession, dataset: str | SilverSpec, lake: Lake,
     source = lake.table("bronze", spec.source_table or spec.dataset_name)
     target = lake.table("silver", spec.target_table or spec.dataset_name)
     rows = dedup_batch(refine(read_table(spark, source), spec, run_id), spec)
-    staged = rows.withColumn(BUCKET, bucket_of(spec.primary_keys, spec.buckets))
-    _write_buckets(staged, target, True, spec.primary_keys, spec.files_per_bucket,
-                   mode="overwrite", n_buckets=spec.buckets)
+    write_buckets(rows, target, spec.primary_keys, spec.buckets, spec.files_per_bucket)
     return target
 
 
