@@ -1,0 +1,58 @@
+"""Row-level refinement operators on literal frames."""
+
+import datetime as dt
+
+import pytest
+
+from stratum.operators.refine import (add_audit, dedup_batch, refine, require_columns,
+                                      select_columns, typed_projection)
+from stratum.specs import load_spec
+
+
+def test_select_columns_none_means_all_business_columns(spark):
+    df = spark.createDataFrame([(1, "a", "x")], "id int, name string, _meta string")
+    assert select_columns(df, None).columns == ["id", "name"]
+    assert select_columns(df, ["name"]).columns == ["name"]
+
+
+def test_typed_projection_orders_columns_and_keeps_metadata(spark):
+    spec = load_spec("order_payments", "silver")
+    text = spark.createDataFrame(
+        [("2.5", "o1", "card", "3", "1", "f.csv", "x")],
+        "payment_value string, order_id string, payment_type string, payment_installments string,"
+        " payment_sequential string, _source_file_path string, extra string")
+    out = typed_projection(text, spec)
+    assert out.columns == ["order_id", "payment_sequential", "payment_type",
+                           "payment_installments", "payment_value", "_source_file_path"]
+    r = out.first()
+    assert (r.payment_sequential, r.payment_installments, r.payment_value) == (1, 3, 2.5)
+
+
+def test_malformed_value_fails_or_nulls(spark):
+    spec = load_spec("order_payments", "silver")
+    text = spark.createDataFrame([("o1", "x", "card", "1", "2.0")],
+                                 "order_id string, payment_sequential string, payment_type string,"
+                                 " payment_installments string, payment_value string")
+    with pytest.raises(Exception):
+        typed_projection(text, spec).collect()
+    spec.raw["on_cast_error"] = "null"
+    out = require_columns(typed_projection(text, spec), spec.required_columns)
+    assert out.count() == 0          # the key became NULL, so the row is dropped
+
+
+def test_review_id_is_the_only_key(spark):
+    spec = load_spec("order_reviews", "silver")
+    text = spark.createDataFrame(
+        [("r1", "o1", "5", None, None, None, None, dt.datetime(2024, 1, 1)),
+         ("r1", "o2", "3", None, None, None, None, dt.datetime(2024, 1, 1))],
+        "review_id string, order_id string, review_score string, review_comment_title string,"
+        " review_comment_message string, review_creation_date string,"
+        " review_answer_timestamp string, _ingest_ts timestamp")
+    out = dedup_batch(refine(text, spec, "run"), spec).collect()
+    assert len(out) == 1 and out[0].order_id == "o2"     # larger business value wins the tie
+
+
+def test_audit_columns(spark):
+    df = add_audit(spark.createDataFrame([(1,)], "a int"), "run-9")
+    r = df.first()
+    assert r._run_id == "run-9" and r._processed_ts is not None
