@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.operators.refine import latest_per_key
-from stratum.sources.tables import is_path, read_table, table_exists
+from stratum.sources.tables import is_path, read_partitions, read_table, table_exists
 from stratum.specs import BUCKET
 
 
@@ -56,12 +56,14 @@ def _distribute(df: DataFrame, keys: Sequence[str], n_buckets: int,
     return df.repartition(BUCKET), [BUCKET]
 
 
-def _save(df: DataFrame, ref: str, only_present_buckets: bool) -> None:
-    """Write partitioned by ``_bucket``: replace the whole table, or (dynamic
+def _save(df: DataFrame, ref: str, only_present_buckets: bool, mode: str = "overwrite") -> None:
+    """Write partitioned by ``_bucket``: a new table (``mode``), or (dynamic
     partition overwrite) only the buckets present in ``df``."""
-    writer = df.write.format("parquet").partitionBy(BUCKET).mode("overwrite")
+    writer = df.write.format("parquet").partitionBy(BUCKET)
     if only_present_buckets:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
     if is_path(ref):
         writer.save(ref)
     elif only_present_buckets:
@@ -71,11 +73,12 @@ def _save(df: DataFrame, ref: str, only_present_buckets: bool) -> None:
 
 
 def write_buckets(df: DataFrame, ref: str, keys: Sequence[str], buckets: int,
-                  files_per_bucket: int = 1) -> None:
-    """Create (or replace) a bucketed table from rows with unique keys."""
+                  files_per_bucket: int = 1, mode: str = "overwrite") -> None:
+    """Create (``mode='errorifexists'``) or replace (``'overwrite'``) a
+    bucketed table from rows with unique keys."""
     staged = df.withColumn(BUCKET, bucket_of(keys, buckets))
     dist, by = _distribute(staged, keys, buckets, files_per_bucket)
-    _save(dist.sortWithinPartitions(*by).drop(SPREAD), ref, only_present_buckets=False)
+    _save(dist.sortWithinPartitions(*by).drop(SPREAD), ref, False, mode)
 
 
 def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
@@ -96,17 +99,24 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
     staged = batch.withColumn(BUCKET, bucket_of(keys, buckets)).persist()
     try:
         if not table_exists(spark, ref):
-            write_buckets(staged, ref, keys, buckets, files_per_bucket)
+            # a path that exists without a commit marker is refused, not replaced
+            write_buckets(staged, ref, keys, buckets, files_per_bucket, mode="errorifexists")
             return
         # At most `buckets` distinct values: a bounded collect.
         touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
         if not touched:
             return
-        current = read_table(spark, ref).filter(F.col(BUCKET).isin(touched))
-        cols = current.columns
-        both = (current.withColumn(SOURCE_TAG, F.lit(0))
-                .unionByName(staged.withColumn(SOURCE_TAG, F.lit(1)), allowMissingColumns=True)
-                .select(*cols, SOURCE_TAG))
+        if is_path(ref):
+            current = read_partitions(spark, ref, BUCKET, touched)
+        else:
+            current = read_table(spark, ref).filter(F.col(BUCKET).isin(touched))
+        incoming = staged.withColumn(SOURCE_TAG, F.lit(1))
+        if current is None:       # every touched bucket is new
+            both = incoming
+        else:
+            both = (current.withColumn(SOURCE_TAG, F.lit(0))
+                    .unionByName(incoming, allowMissingColumns=True)
+                    .select(*current.columns, SOURCE_TAG))
         dist, by = _distribute(both, keys, len(touched), files_per_bucket)
         order = [F.col(version_column).desc_nulls_last()] if version_column else []
         order.append(F.col(SOURCE_TAG).desc())

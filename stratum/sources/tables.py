@@ -19,14 +19,28 @@ def is_path(ref: str) -> bool:
 
 
 def table_exists(spark: SparkSession, ref: str) -> bool:
-    """First-write detection: catalog lookup, or a schema probe of the path."""
+    """First-write detection: catalog lookup, or the commit marker of a path
+    table (``_SUCCESS`` from a batch write, ``_spark_metadata`` from a
+    streaming file sink). Looks at one entry, never lists the table's files."""
     if not is_path(ref):
         return spark.catalog.tableExists(ref)
+    for marker in ("_SUCCESS", "_spark_metadata"):
+        try:
+            spark.read.text(f"{ref.rstrip('/')}/{marker}")
+            return True
+        except AnalysisException:
+            continue
+    return False
+
+
+def read_partitions(spark: SparkSession, ref: str, column: str, values) -> DataFrame | None:
+    """Rows of the given partitions of a path table, listing only those
+    partition directories (``None`` when none of them exists yet)."""
+    pattern = f"{ref.rstrip('/')}/{column}={{{','.join(str(v) for v in sorted(values))}}}"
     try:
-        spark.read.parquet(ref).schema  # noqa: B018 - resolves the path only
-        return True
+        return spark.read.option("basePath", ref).parquet(pattern)
     except AnalysisException:
-        return False
+        return None
 
 
 def read_table(spark: SparkSession, ref: str) -> DataFrame:

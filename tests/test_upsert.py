@@ -80,3 +80,31 @@ def test_files_per_bucket_spreads_a_bucket(spark, lake):
     upsert(spark.createDataFrame([("k1", 100, 2)], COLS), ref, ["k"], buckets=2, files_per_bucket=4)
     got = dict((k, v) for k, v, _ in _rows(spark, ref))
     assert len(got) == 400 and got["k1"] == 100 and got["k2"] == 2
+
+
+def test_new_buckets_only_and_marker_detection(spark, lake):
+    from stratum.sources.tables import read_partitions
+    ref = lake.table("silver", "t6")
+    upsert(spark.createDataFrame([("a", 1, 1)], COLS), ref, ["k"], buckets=64)
+    assert table_exists(spark, ref)
+    # a batch whose keys all land in buckets that do not exist yet
+    from stratum.operators.upsert import bucket_of
+    used = {r[0] for r in spark.createDataFrame([("a",)], "k string").select(bucket_of(["k"], 64)).collect()}
+    fresh = [(f"n{i}", i, 1) for i in range(40)]
+    fresh = [r for r in fresh if r[0] not in ("a",)]
+    batch = spark.createDataFrame(fresh, COLS)
+    new_only = batch.filter(~bucket_of(["k"], 64).isin(list(used)))
+    upsert(new_only, ref, ["k"], buckets=64)
+    assert read_table(spark, ref).count() == 1 + new_only.count()
+    assert read_partitions(spark, ref, "_bucket", [999]) is None
+
+
+def test_unmarked_existing_path_is_not_replaced(spark, lake):
+    import pytest
+    ref = lake.table("silver", "t7")
+    os.makedirs(ref)
+    with open(os.path.join(ref, "keep.txt"), "w") as fh:
+        fh.write("x")
+    with pytest.raises(Exception):
+        upsert(spark.createDataFrame([("a", 1, 1)], COLS), ref, ["k"], buckets=4)
+    assert os.path.exists(os.path.join(ref, "keep.txt"))
