@@ -34,6 +34,13 @@ def _round(df: DataFrame, scales: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), s) for c, s in scales.items()})
 
 
+def _wall_clock(df: DataFrame) -> DataFrame:
+    """Silver timestamps are instants read in the session zone; present them
+    as the wall-clock values they were read from (independent of the zone)."""
+    return df.withColumns({f.name: F.col(f.name).cast("timestamp_ntz")
+                           for f in df.schema.fields if f.dataType.typeName() == "timestamp"})
+
+
 # ---------------------------------------------------------------- Spark side
 
 
@@ -83,7 +90,7 @@ def q_dim_sellers(spark: SparkSession, sf: str) -> DataFrame:
 def q_typed_refine(spark: SparkSession, sf: str) -> DataFrame:
     """Text rows (as landed) cast to the declared Silver types."""
     text = as_text(retail.order_items_raw(spark, sf))
-    return refine.typed_projection(text, load_spec("order_items", "silver"))
+    return _wall_clock(refine.typed_projection(text, load_spec("order_items", "silver")))
 
 
 def q_required_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,7 +150,7 @@ def q_silver_refine_stream(spark: SparkSession, sf: str) -> DataFrame:
         write_landing(retail.order_items_from(drop), lake.landing("order_items"))
         bronze.ingest(spark, "order_items", lake)
         silver.refine_stream(spark, "order_items", lake)
-    return silver_columns(silver.read_silver(spark, "order_items", lake))
+    return _wall_clock(silver_columns(silver.read_silver(spark, "order_items", lake)))
 
 
 def q_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
