@@ -40,7 +40,7 @@ def ingest(spark: SparkSession, dataset: str | BronzeSpec, lake: Lake,
     """
     spec = load_spec(dataset, "bronze") if isinstance(dataset, str) else dataset
     name = spec.target_table or spec.dataset_name
-    ts = ingest_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    ts = ingest_ts or dt.datetime.now(dt.timezone.utc)
     df = bronze_stream(spark, spec, landing or lake.landing(spec.dataset_name), ts,
                        max_files_per_trigger)
     target = lake.table("bronze", name)
