@@ -147,3 +147,14 @@ def test_failed_batch_is_replayed_idempotently(spark, lake):
                  for r in silver.read_silver(spark, "customers", lake).collect())
     assert got == [("c1", 3), ("c2", 2)]
     assert _bronze_rows(spark, lake, "customers").count() == 3
+
+
+def test_one_file_per_micro_batch_later_file_wins(spark, lake):
+    _drop(lake, "customers", "a.csv", HEADER + "c1,u1,1,first,SP\nc2,u2,2,x,RJ\n")
+    bronze.ingest(spark, "customers", lake, ingest_ts=dt.datetime(2024, 1, 1))
+    _drop(lake, "customers", "b.csv", HEADER + "c1,u1,9,second,SP\n")
+    bronze.ingest(spark, "customers", lake, ingest_ts=dt.datetime(2024, 1, 2))
+    # two Bronze files -> two micro-batches in one drain
+    silver.refine_stream(spark, "customers", lake, max_files_per_trigger=1)
+    got = {r.customer_id: r.customer_city for r in silver.read_silver(spark, "customers", lake).collect()}
+    assert got == {"c1": "second", "c2": "x"}
