@@ -158,3 +158,35 @@ def test_one_file_per_micro_batch_later_file_wins(spark, lake):
     silver.refine_stream(spark, "customers", lake, max_files_per_trigger=1)
     got = {r.customer_id: r.customer_city for r in silver.read_silver(spark, "customers", lake).collect()}
     assert got == {"c1": "second", "c2": "x"}
+
+
+def test_json_landing_through_a_new_spec(spark, lake, tmp_path):
+    """Adding a dataset needs only specs: a JSON-lines source, new keys."""
+    (tmp_path / "bronze").mkdir()
+    (tmp_path / "silver").mkdir()
+    (tmp_path / "bronze" / "events.yaml").write_text(
+        "file: {format: json, rescued_data_column: _rescued_data}\n"
+        "target: {schema: bronze, table: events}\n")
+    (tmp_path / "silver" / "events.yaml").write_text(
+        "source: {schema: bronze, table: events}\n"
+        "target: {schema: silver, table: events}\n"
+        "schema:\n"
+        "  - {column: event_id, type: long, nullable: false}\n"
+        "  - {column: kind, type: string, nullable: true}\n"
+        "  - {column: amount, type: double, nullable: true}\n"
+        "keys: {primary_keys: event_id}\n"
+        "upsert: {buckets: 4}\n")
+    land = lake.landing("events")
+    os.makedirs(land)
+    with open(os.path.join(land, "e1.json"), "w") as fh:
+        fh.write('{"event_id": 1, "kind": "a", "amount": 1.5}\n'
+                 '{"event_id": 2, "kind": "b", "amount": 2}\n'
+                 '{"event_id": 1, "kind": "z", "amount": 3.25}\n'
+                 'not json\n')
+    b = load_spec("events", "bronze", conf_root=tmp_path)
+    s = load_spec("events", "silver", conf_root=tmp_path)
+    bronze.ingest(spark, b, lake, landing=land)
+    assert _bronze_rows(spark, lake, "events").filter("_rescued_data is not null").count() == 1
+    silver.refine_stream(spark, s, lake)
+    got = {r.event_id: (r.kind, r.amount) for r in silver.read_silver(spark, s, lake).collect()}
+    assert got == {1: ("z", 3.25), 2: ("b", 2.0)}
