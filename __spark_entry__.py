@@ -157,8 +157,8 @@ def q_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """L4: every dataset landed as CSV -> Bronze -> Silver -> Gold; returns the
     sales fact as stored in Gold."""
     lake = Lake.fresh(spark, "q-refresh")
-    refresh.stage_landing(retail.landing_frames(spark, sf), lake)
-    refresh.full_refresh(spark, lake)
+    refresh.stage_landing(retail.landing_frames(spark, sf), lake, parallel=4)
+    refresh.full_refresh(spark, lake, parallel=4)
     return _round(refresh.read_gold(spark, lake, "fact_sales"), {"total_order_value": 4})
 
 

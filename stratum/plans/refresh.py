@@ -1,14 +1,18 @@
 """Whole-lake refresh: Bronze for every dataset, then Silver, then Gold.
 
-Each step only needs the tables it reads, so the order below is one valid
-topological order of that graph (a scheduler may run the steps of one layer
-side by side; that is the cluster scheduler's job, not this module's).
+Each step only needs the tables it reads: dataset X's Silver step needs only
+its Bronze step, and every Gold table needs only Silver. With ``parallel > 1``
+independent steps are submitted from that many driver threads, so their Spark
+jobs share the cluster (Spark's own scheduler runs them); Gold starts when
+every Silver table is done.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,10 +32,19 @@ FACT_INPUTS = {
 }
 
 
-def stage_landing(frames: dict[str, DataFrame], lake: Lake) -> None:
+def run_all(steps: list[Callable[[], object]], parallel: int = 1) -> list:
+    """Run independent steps, ``parallel`` at a time; the first failure is raised."""
+    if parallel <= 1:
+        return [step() for step in steps]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = [pool.submit(step) for step in steps]
+        return [f.result() for f in futures]
+
+
+def stage_landing(frames: dict[str, DataFrame], lake: Lake, parallel: int = 1) -> None:
     """Drop one landing file set per dataset (a distributed CSV write each)."""
-    for name, df in frames.items():
-        write_landing(df, lake.landing(name))
+    run_all([lambda n=n, df=df: write_landing(df, lake.landing(n)) for n, df in frames.items()],
+            parallel)
 
 
 def gold_dimension(spark: SparkSession, name: str, lake: Lake) -> str:
@@ -42,9 +55,12 @@ def gold_dimension(spark: SparkSession, name: str, lake: Lake) -> str:
     return target
 
 
-def build_gold(spark: SparkSession, lake: Lake, calendar_start=None, calendar_end=None) -> dict[str, str]:
+def build_gold(spark: SparkSession, lake: Lake, calendar_start=None, calendar_end=None,
+               parallel: int = 1) -> dict[str, str]:
     s = {n: silver.read_silver(spark, n, lake) for n in datasets("silver")}
-    out = {n: gold_dimension(spark, n, lake) for n in datasets("gold")}
+    dims = datasets("gold")
+    out = dict(zip(dims, run_all([lambda n=n: gold_dimension(spark, n, lake) for n in dims],
+                                 parallel)))
     facts = {
         "fact_sales": lambda: gold.fact_sales(s["orders"], s["order_items"], s["customers"]),
         "fact_seller_performance": lambda: gold.fact_seller_performance(
@@ -54,28 +70,29 @@ def build_gold(spark: SparkSession, lake: Lake, calendar_start=None, calendar_en
         "fact_payment_summary": lambda: gold.fact_payment_summary(
             s["order_payments"], s["orders"], s["customers"]),
     }
-    for name, build in facts.items():
-        out[name] = lake.table("gold", name)
-        write_table(build(), out[name])
     if calendar_start is None:
-        calendar = gold.dim_dates_from(gold.calendar_bounds(s["orders"]))
+        facts["dim_dates"] = lambda: gold.dim_dates_from(gold.calendar_bounds(s["orders"]))
     else:
-        calendar = gold.dim_dates(spark, calendar_start, calendar_end)
-    out["dim_dates"] = lake.table("gold", "dim_dates")
-    write_table(calendar, out["dim_dates"])
+        facts["dim_dates"] = lambda: gold.dim_dates(spark, calendar_start, calendar_end)
+    for name in facts:
+        out[name] = lake.table("gold", name)
+    run_all([lambda n=n, b=b: write_table(b(), out[n]) for n, b in facts.items()], parallel)
     return out
 
 
 def full_refresh(spark: SparkSession, lake: Lake, run_id: str | None = None,
                  ingest_ts: dt.datetime | None = None, calendar_start=None,
-                 calendar_end=None) -> dict[str, str]:
+                 calendar_end=None, parallel: int = 1) -> dict[str, str]:
     """Ingest new landing files, refine them, rebuild Gold; returns Gold paths."""
     run_id = run_id or str(uuid.uuid4())
-    for name in datasets("bronze"):
+    ingest_ts = ingest_ts or dt.datetime.now(dt.timezone.utc)
+
+    def chain(name: str) -> None:      # dataset X: Bronze X, then Silver X
         bronze.ingest(spark, name, lake, ingest_ts=ingest_ts)
-    for name in datasets("silver"):
         silver.refine_stream(spark, name, lake, run_id=run_id)
-    return build_gold(spark, lake, calendar_start, calendar_end)
+
+    run_all([lambda n=n: chain(n) for n in datasets("silver")], parallel)
+    return build_gold(spark, lake, calendar_start, calendar_end, parallel)
 
 
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:

@@ -11,9 +11,9 @@ from conftest import SF_SMALL
 
 
 def test_full_refresh_and_views(spark, lake):
-    refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), lake)
+    refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), lake, parallel=3)
     out = refresh.full_refresh(spark, lake, ingest_ts=dt.datetime(2024, 1, 1),
-                               calendar_start="2016-01-01", calendar_end="2016-03-01")
+                               calendar_start="2016-01-01", calendar_end="2016-03-01", parallel=3)
     assert set(out) == {"dim_customers", "dim_products", "dim_sellers", "dim_dates", "fact_sales",
                         "fact_seller_performance", "fact_product_performance", "fact_payment_summary"}
     orders = read_table(spark, SF_SMALL + "/orders.parquet").count()
