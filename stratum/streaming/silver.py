@@ -11,6 +11,7 @@ batch win; within a batch the newest ``_ingest_ts`` wins.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +27,7 @@ def _spec(dataset: str | SilverSpec) -> SilverSpec:
     return load_spec(dataset, "silver") if isinstance(dataset, str) else dataset
 
 
-def upsert_batch(spec: SilverSpec, target: str) -> callable:
+def upsert_batch(spec: SilverSpec, target: str) -> Callable[[DataFrame, int], None]:
     """The micro-batch function: skip empty batches, dedup, upsert."""
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
@@ -58,7 +59,9 @@ def rebuild(spark: SparkSession, dataset: str | SilverSpec, lake: Lake,
 
     Recovery path after a crash inside a bucket rewrite. The stream's
     checkpoint is kept: later runs upsert only newer Bronze rows, and
-    re-upserting rows already in the rebuilt table changes nothing.
+    re-upserting rows already in the rebuilt table changes nothing. With the
+    default version column (the Bronze run time) the newest run wins, as in
+    the stream.
     """
     spec = _spec(dataset)
     run_id = run_id or str(uuid.uuid4())
@@ -69,8 +72,8 @@ def rebuild(spark: SparkSession, dataset: str | SilverSpec, lake: Lake,
     return target
 
 
-def read_silver(spark: SparkSession, dataset: str, lake: Lake) -> DataFrame:
+def read_silver(spark: SparkSession, dataset: str | SilverSpec, lake: Lake) -> DataFrame:
     """The Silver table without its storage column."""
     spec = _spec(dataset)
-    return read_table(spark, lake.table("silver", spec.target_table or dataset)).drop(BUCKET)
+    return read_table(spark, lake.table("silver", spec.target_table or spec.dataset_name)).drop(BUCKET)
 
