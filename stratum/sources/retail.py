@@ -53,14 +53,14 @@ def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items_from(li: DataFrame) -> DataFrame:
-    return li.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
+    return li.selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS order_item_id",
+        "l_partkey AS product_id",
+        "l_suppkey AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        "l_extendedprice AS price",
+        "l_extendedprice * l_tax AS freight_value",
     )
 
 
@@ -74,102 +74,90 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        F.col("l_returnflag").alias("payment_type"),
-        F.floor("l_quantity").cast("int").alias("payment_installments"),
-        F.col("l_extendedprice").alias("payment_value"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS payment_sequential",
+        "l_returnflag AS payment_type",
+        "CAST(floor(l_quantity) AS INT) AS payment_installments",
+        "l_extendedprice AS payment_value",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with carrier/customer delivery dates from their lines' ship dates
     (NULL while the order is pending) and a promised date 60 days out."""
-    o = table(spark, sf_dir, "orders")
     ships = (table(spark, sf_dir, "lineitem")
              .groupBy(F.col("l_orderkey").alias("order_id"))
              .agg(F.min("l_shipdate").alias("_first_ship"),
                   F.max("l_shipdate").alias("_last_ship")))
-    shipped = F.col("order_status") != F.lit("P")
     return (
-        o.select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderstatus").alias("order_status"),
-            F.col("o_orderdate").alias("order_purchase_timestamp"),
+        table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "o_orderstatus AS order_status",
+            "o_orderdate AS order_purchase_timestamp",
         )
         .join(ships, "order_id", "left")
-        .select(
+        .selectExpr(
             "order_id", "customer_id", "order_status", "order_purchase_timestamp",
-            F.col("order_purchase_timestamp").alias("order_approved_at"),
-            F.when(shipped, F.col("_first_ship")).alias("order_delivered_carrier_date"),
-            F.when(shipped, F.col("_last_ship")).alias("order_delivered_customer_date"),
-            (F.col("order_purchase_timestamp")
-             + F.make_dt_interval(F.lit(ESTIMATED_DELIVERY_DAYS)))
-            .alias("order_estimated_delivery_date"),
+            "order_purchase_timestamp AS order_approved_at",
+            "CASE WHEN order_status <> 'P' THEN _first_ship END AS order_delivered_carrier_date",
+            "CASE WHEN order_status <> 'P' THEN _last_ship END AS order_delivered_customer_date",
+            f"order_purchase_timestamp + INTERVAL {ESTIMATED_DELIVERY_DAYS} DAYS"
+            " AS order_estimated_delivery_date",
         )
     )
 
 
 def _with_nation(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias(key), F.col("n_name").alias("_nation_name"))
+    nation = table(spark, sf_dir, "nation").selectExpr(
+        f"n_nationkey AS {key}", "n_name AS _nation_name")
     return df.join(nation, key, "left")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _with_nation(table(spark, sf_dir, "customer"), spark, sf_dir, "c_nationkey")
-    return c.select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        F.col("c_nationkey").alias("customer_zip_code_prefix"),
-        F.col("c_mktsegment").alias("customer_city"),
-        F.col("_nation_name").alias("customer_state"),
+    return _with_nation(table(spark, sf_dir, "customer"), spark, sf_dir, "c_nationkey").selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS customer_unique_id",
+        "c_nationkey AS customer_zip_code_prefix",
+        "c_mktsegment AS customer_city",
+        "_nation_name AS customer_state",
     )
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _with_nation(table(spark, sf_dir, "supplier"), spark, sf_dir, "s_nationkey")
-    return s.select(
-        F.col("s_suppkey").alias("seller_id"),
-        F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
-        F.col("s_name").alias("seller_city"),
-        F.col("_nation_name").alias("seller_state"),
+    return _with_nation(table(spark, sf_dir, "supplier"), spark, sf_dir, "s_nationkey").selectExpr(
+        "s_suppkey AS seller_id",
+        "CAST(s_nationkey AS STRING) AS seller_zip_code_prefix",
+        "s_name AS seller_city",
+        "_nation_name AS seller_state",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    return p.select(
-        k.alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        F.length("p_type").alias("product_description_lenght"),
-        (k % 5 + 1).cast("int").alias("product_photos_qty"),
-        F.col("p_size").alias("product_weight_g"),
-        (k % 50 + 10).cast("int").alias("product_length_cm"),
-        (k % 30 + 5).cast("int").alias("product_height_cm"),
-        (k % 20 + 5).cast("int").alias("product_width_cm"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_type AS product_category_name",
+        "length(p_name) AS product_name_lenght",
+        "length(p_type) AS product_description_lenght",
+        "CAST(p_partkey % 5 + 1 AS INT) AS product_photos_qty",
+        "p_size AS product_weight_g",
+        "CAST(p_partkey % 50 + 10 AS INT) AS product_length_cm",
+        "CAST(p_partkey % 30 + 5 AS INT) AS product_height_cm",
+        "CAST(p_partkey % 20 + 5 AS INT) AS product_width_cm",
     )
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    score = None
-    for kind, value in REVIEW_SCORES.items():
-        cond = F.col("event_type") == F.lit(kind)
-        score = F.when(cond, F.lit(value)) if score is None else score.when(cond, F.lit(value))
-    return e.select(
-        F.col("event_id").alias("review_id"),
-        F.expr("event_id div 2").alias("order_id"),
-        score.alias("review_score"),
-        F.col("event_type").alias("review_comment_title"),
-        F.col("props").alias("review_comment_message"),
-        F.col("ts").alias("review_creation_date"),
-        F.col("ts").alias("review_answer_timestamp"),
+    cases = " ".join(f"WHEN '{kind}' THEN {value}" for kind, value in REVIEW_SCORES.items())
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS review_id",
+        "event_id div 2 AS order_id",
+        f"CASE event_type {cases} END AS review_score",
+        "event_type AS review_comment_title",
+        "props AS review_comment_message",
+        "ts AS review_creation_date",
+        "ts AS review_answer_timestamp",
     )
 
 
