@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,20 +57,51 @@ def _distribute(df: DataFrame, keys: Sequence[str], n_buckets: int,
     return df.repartition(BUCKET), [BUCKET]
 
 
+def table_location(spark, ref: str) -> str:
+    """Storage path of a table: the path itself, or a catalog table's location."""
+    if is_path(ref):
+        return ref
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {ref}").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location")
+
+
 def _save(df: DataFrame, ref: str, only_present_buckets: bool, mode: str = "overwrite") -> None:
     """Write partitioned by ``_bucket``: a new table (``mode``), or (dynamic
-    partition overwrite) only the buckets present in ``df``."""
+    partition overwrite) only the buckets present in ``df``. A catalog table is
+    rewritten through its location (an overwrite of a table that is also being
+    read is refused by name), then its partitions are re-registered."""
     writer = df.write.format("parquet").partitionBy(BUCKET)
-    if only_present_buckets:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
+    if not only_present_buckets:
         writer = writer.mode(mode)
-    if is_path(ref):
-        writer.save(ref)
-    elif only_present_buckets:
-        writer.insertInto(ref, overwrite=True)
-    else:
-        writer.saveAsTable(ref)
+        writer.save(ref) if is_path(ref) else writer.saveAsTable(ref)
+        return
+    spark = df.sparkSession
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(
+        table_location(spark, ref))
+    if not is_path(ref):
+        spark.catalog.recoverPartitions(ref)
+        spark.catalog.refreshTable(ref)
+
+
+LAYOUT = "_layout"
+
+
+def _write_layout(spark, ref: str, buckets: int) -> None:
+    """Record the bucket count next to the data (``_``-prefixed paths are not
+    read as table data)."""
+    (spark.createDataFrame([(str(buckets),)], "value string").coalesce(1)
+     .write.mode("overwrite").text(f"{table_location(spark, ref).rstrip('/')}/{LAYOUT}"))
+
+
+def _check_layout(spark, ref: str, buckets: int) -> None:
+    path = f"{table_location(spark, ref).rstrip('/')}/{LAYOUT}"
+    try:
+        stored = int(spark.read.text(path).first().value)
+    except AnalysisException:
+        return  # table not created by write_buckets: nothing recorded
+    if stored != buckets:
+        raise ValueError(f"{ref} was created with {stored} buckets, not {buckets}; "
+                         "the bucket count is fixed when a table is created")
 
 
 def write_buckets(df: DataFrame, ref: str, keys: Sequence[str], buckets: int,
@@ -79,6 +111,7 @@ def write_buckets(df: DataFrame, ref: str, keys: Sequence[str], buckets: int,
     staged = df.withColumn(BUCKET, bucket_of(keys, buckets))
     dist, by = _distribute(staged, keys, buckets, files_per_bucket)
     _save(dist.sortWithinPartitions(*by).drop(SPREAD), ref, False, mode)
+    _write_layout(df.sparkSession, ref, buckets)
 
 
 def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
@@ -102,6 +135,7 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
             # a path that exists without a commit marker is refused, not replaced
             write_buckets(staged, ref, keys, buckets, files_per_bucket, mode="errorifexists")
             return
+        _check_layout(spark, ref, buckets)
         # At most `buckets` distinct values: a bounded collect.
         touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
         if not touched:
@@ -122,8 +156,5 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
         order.append(F.col(SOURCE_TAG).desc())
         merged = latest_per_key(dist, by + keys, order).drop(SOURCE_TAG, SPREAD)
         _save(merged, ref, only_present_buckets=True)
-        if not is_path(ref):
-            spark.catalog.recoverPartitions(ref)
-            spark.catalog.refreshTable(ref)
     finally:
         staged.unpersist()

@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stratum-warehouse-"))
     )
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)

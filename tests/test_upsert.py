@@ -82,6 +82,15 @@ def test_files_per_bucket_spreads_a_bucket(spark, lake):
     assert len(got) == 400 and got["k1"] == 100 and got["k2"] == 2
 
 
+def test_bucket_count_is_fixed(spark, lake):
+    import pytest
+    ref = lake.table("silver", "t8")
+    upsert(spark.createDataFrame([("a", 1, 1)], COLS), ref, ["k"], buckets=8)
+    with pytest.raises(ValueError, match="created with 8 buckets"):
+        upsert(spark.createDataFrame([("a", 2, 2)], COLS), ref, ["k"], buckets=16)
+    assert _rows(spark, ref) == [("a", 1, 1)]
+
+
 def test_new_buckets_only_and_marker_detection(spark, lake):
     from stratum.sources.tables import read_partitions
     ref = lake.table("silver", "t6")
@@ -108,3 +117,17 @@ def test_unmarked_existing_path_is_not_replaced(spark, lake):
     with pytest.raises(Exception):
         upsert(spark.createDataFrame([("a", 1, 1)], COLS), ref, ["k"], buckets=4)
     assert os.path.exists(os.path.join(ref, "keep.txt"))
+
+
+def test_catalog_table(spark):
+    name = "upsert_catalog_t"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    upsert(spark.createDataFrame([("a", 1, 1), ("b", 2, 1)], COLS), name, ["k"], buckets=4)
+    assert table_exists(spark, name)
+    upsert(spark.createDataFrame([("b", 20, 2), ("z", 26, 2)], COLS), name, ["k"], buckets=4)
+    got = sorted((r.k, r.v) for r in spark.table(name).collect())
+    assert got == [("a", 1), ("b", 20), ("z", 26)]
+    import pytest
+    with pytest.raises(ValueError, match="created with 4 buckets"):
+        upsert(spark.createDataFrame([("b", 21, 3)], COLS), name, ["k"], buckets=64)
+    spark.sql(f"DROP TABLE {name}")
