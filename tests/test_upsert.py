@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import Row
 
 from stratum.operators.upsert import upsert
 from stratum.sources.tables import read_table, table_exists
