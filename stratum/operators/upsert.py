@@ -83,25 +83,31 @@ def _save(df: DataFrame, ref: str, only_present_buckets: bool, mode: str = "over
         spark.catalog.refreshTable(ref)
 
 
-LAYOUT = "_layout"
+LAYOUT = "_buckets"
 
 
 def _write_layout(spark, ref: str, buckets: int) -> None:
-    """Record the bucket count next to the data (``_``-prefixed paths are not
-    read as table data)."""
+    """Record the bucket count next to the data as ``_buckets_<n>/`` (paths
+    starting with ``_`` and without ``=`` are not read as table data)."""
     (spark.createDataFrame([(str(buckets),)], "value string").coalesce(1)
-     .write.mode("overwrite").text(f"{table_location(spark, ref).rstrip('/')}/{LAYOUT}"))
+     .write.mode("overwrite").text(f"{table_location(spark, ref).rstrip('/')}/{LAYOUT}_{buckets}"))
 
 
 def _check_layout(spark, ref: str, buckets: int) -> None:
-    path = f"{table_location(spark, ref).rstrip('/')}/{LAYOUT}"
+    """Refuse an upsert whose bucket count differs from the table's. The
+    matching case only resolves one path (no Spark job)."""
+    root = table_location(spark, ref).rstrip("/")
     try:
-        stored = int(spark.read.text(path).first().value)
+        spark.read.text(f"{root}/{LAYOUT}_{buckets}")
+        return
+    except AnalysisException:
+        pass
+    try:
+        stored = spark.read.text(f"{root}/{LAYOUT}_*").first().value
     except AnalysisException:
         return  # table not created by write_buckets: nothing recorded
-    if stored != buckets:
-        raise ValueError(f"{ref} was created with {stored} buckets, not {buckets}; "
-                         "the bucket count is fixed when a table is created")
+    raise ValueError(f"{ref} was created with {stored} buckets, not {buckets}; "
+                     "the bucket count is fixed when a table is created")
 
 
 def write_buckets(df: DataFrame, ref: str, keys: Sequence[str], buckets: int,
