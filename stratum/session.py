@@ -78,15 +78,28 @@ _SCRATCH: dict[int, str] = {}
 class Lake:
     """Where a lakehouse keeps its tables, landing files and stream progress.
 
-    ``root`` must be a shared file system path on a cluster (the tables are
-    path-addressed parquet directories, so no metastore is needed).
+    ``root`` must be a shared file system path on a cluster. By default tables
+    are path-addressed parquet directories (no metastore needed). With
+    ``databases`` set (a name prefix, may be ``""``), tables are catalog tables
+    ``<prefix><layer>.<name>`` in databases whose location is under ``root``;
+    call ``create_databases`` once.
     """
 
     root: str
+    databases: str | None = None
 
     def table(self, layer: str, name: str) -> str:
+        if self.databases is not None:
+            return f"{self.databases}{layer}.{name}"
         return f"{self.root}/{layer}/{name}"
 
+    def create_databases(self, spark: SparkSession, layers=("bronze", "silver", "gold")) -> None:
+        if self.databases is None:
+            return
+        for layer in layers:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.databases}{layer} "
+                      f"LOCATION '{self.root}/{layer}'")
+
     def landing(self, dataset: str) -> str:
         return f"{self.root}/landing/{dataset}"
 

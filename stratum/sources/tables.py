@@ -43,6 +43,13 @@ def read_partitions(spark: SparkSession, ref: str, column: str, values) -> DataF
         return None
 
 
+def refresh_catalog(spark: SparkSession, ref: str) -> None:
+    """After a stream wrote a catalog table: the stream ran on its own cloned
+    session, so drop this session's cached file listing of the table."""
+    if not is_path(ref) and spark.catalog.tableExists(ref):
+        spark.catalog.refreshTable(ref)
+
+
 def read_table(spark: SparkSession, ref: str) -> DataFrame:
     """Batch scan of a table; filters and projections applied later reach the
     parquet scan (and prune ``_bucket`` partitions)."""

@@ -14,6 +14,7 @@ from stratum.functions.schema import all_string_schema
 from stratum.operators.refine import add_provenance
 from stratum.session import Lake
 from stratum.sources.files import read_file_stream
+from stratum.sources.tables import refresh_catalog
 from stratum.specs import BronzeSpec, load_spec
 from stratum.streaming.sinks import append_stream
 
@@ -45,4 +46,5 @@ def ingest(spark: SparkSession, dataset: str | BronzeSpec, lake: Lake,
                        max_files_per_trigger)
     target = lake.table("bronze", name)
     append_stream(df, target, lake.checkpoint("bronze", name))
+    refresh_catalog(spark, target)
     return target

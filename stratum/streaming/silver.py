@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.operators.refine import dedup_batch, refine
 from stratum.operators.upsert import upsert, write_buckets
 from stratum.session import Lake
-from stratum.sources.tables import read_table, read_table_stream
+from stratum.sources.tables import read_table, read_table_stream, refresh_catalog
 from stratum.specs import BUCKET, SilverSpec, load_spec
 from stratum.streaming.sinks import foreach_batch_stream
 
@@ -50,6 +50,7 @@ def refine_stream(spark: SparkSession, dataset: str | SilverSpec, lake: Lake,
                     spec, run_id)
     foreach_batch_stream(stream, lake.checkpoint("silver", spec.dataset_name),
                          upsert_batch(spec, target))
+    refresh_catalog(spark, target)
     return target
 
 

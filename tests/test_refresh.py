@@ -41,3 +41,29 @@ def test_cli_steps(spark, lake):
     cli(["--lake", lake.root, "silver", "--dataset", "sellers"])
     got = read_table(spark, lake.table("silver", "sellers")).count()
     assert got == read_table(spark, SF_SMALL + "/supplier.parquet").count()
+
+
+def test_catalog_lake(spark, lake):
+    from stratum.session import Lake
+    from stratum.streaming import silver
+    cat = Lake(lake.root + "-cat", databases="t_catlake_")
+    cat.create_databases(spark)
+    try:
+        refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), cat, parallel=3)
+        out = refresh.full_refresh(spark, cat, calendar_start="2016-01-01",
+                                   calendar_end="2016-01-31", parallel=3)
+        assert out["fact_sales"] == "t_catlake_gold.fact_sales"
+        orders = read_table(spark, SF_SMALL + "/orders.parquet").count()
+        assert spark.table("t_catlake_gold.fact_sales").count() == orders
+        assert spark.table("t_catlake_silver.orders").count() == orders
+        assert spark.table("t_catlake_gold.dim_dates").count() == 31
+        location = spark.sql("DESCRIBE DATABASE t_catlake_silver").collect()
+        assert any(cat.root in str(r) for r in location)
+        # a second drop for one dataset upserts into the catalog table
+        frames = retail.landing_frames(spark, SF_SMALL)
+        refresh.stage_landing({"orders": frames["orders"].limit(5)}, cat)
+        refresh.full_refresh(spark, cat, calendar_start="2016-01-01", calendar_end="2016-01-31")
+        assert silver.read_silver(spark, "orders", cat).count() == orders
+    finally:
+        for layer in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP DATABASE IF EXISTS t_catlake_{layer} CASCADE")
