@@ -3,7 +3,7 @@
     python -m stratum --lake PATH bronze --dataset orders
     python -m stratum --lake PATH silver --dataset orders
     python -m stratum --lake PATH gold [--calendar-start 2016-01-01]
-    python -m stratum --lake PATH refresh
+    python -m stratum --lake PATH refresh [--parallel 4] [--databases ""]
 
 The session comes from the environment (``spark-submit`` settings); the lake
 path must be on a file system every executor can reach.
@@ -29,6 +29,9 @@ log = logging.getLogger("stratum")
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="stratum")
     p.add_argument("--lake", required=True, help="lake root on shared storage")
+    p.add_argument("--databases", default=None,
+                   help="keep tables in catalog databases <prefix>bronze/silver/gold "
+                        "(located under the lake root); omit for path tables")
     p.add_argument("step", choices=["bronze", "silver", "gold", "refresh"])
     p.add_argument("--dataset", help="dataset name (bronze/silver); all when omitted")
     p.add_argument("--calendar-start", help="first calendar day (gold)")
@@ -40,7 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="[%(asctime)s] [%(levelname)s] %(message)s")
 
     spark = SparkSession.builder.getOrCreate()
-    lake = Lake(args.lake.rstrip("/"))
+    lake = Lake(args.lake.rstrip("/"), databases=args.databases)
+    lake.create_databases(spark)
     run_id = str(uuid.uuid4())
     start = time.time()
     log.info("step=%s dataset=%s run_id=%s lake=%s", args.step, args.dataset, run_id, lake.root)

@@ -67,3 +67,15 @@ def test_catalog_lake(spark, lake):
     finally:
         for layer in ("bronze", "silver", "gold"):
             spark.sql(f"DROP DATABASE IF EXISTS t_catlake_{layer} CASCADE")
+
+
+def test_cli_catalog_mode(spark, lake):
+    refresh.stage_landing({"products": retail.landing_frames(spark, SF_SMALL)["products"]}, lake)
+    try:
+        cli(["--lake", lake.root, "--databases", "t_cli_", "bronze", "--dataset", "products"])
+        cli(["--lake", lake.root, "--databases", "t_cli_", "silver", "--dataset", "products"])
+        assert spark.table("t_cli_silver.products").count() == \
+            read_table(spark, SF_SMALL + "/part.parquet").count()
+    finally:
+        for layer in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP DATABASE IF EXISTS t_cli_{layer} CASCADE")
