@@ -46,7 +46,8 @@ def refine_stream(spark: SparkSession, dataset: str | SilverSpec, lake: Lake,
     run_id = run_id or str(uuid.uuid4())
     source = lake.table("bronze", spec.source_table or spec.dataset_name)
     target = lake.table("silver", spec.target_table or spec.dataset_name)
-    stream = refine(read_table_stream(spark, source, max_files_per_trigger=max_files_per_trigger),
+    per_trigger = max_files_per_trigger or spec.max_files_per_trigger
+    stream = refine(read_table_stream(spark, source, max_files_per_trigger=per_trigger),
                     spec, run_id)
     foreach_batch_stream(stream, lake.checkpoint("silver", spec.dataset_name),
                          upsert_batch(spec, target))
