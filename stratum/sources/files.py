@@ -58,12 +58,15 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_landing(df: DataFrame, path: str, options: Mapping[str, str] | None = None) -> None:
+def write_landing(df: DataFrame, path: str, options: Mapping[str, str] | None = None,
+                  max_records_per_file: int = 100_000) -> None:
     """Write a DataFrame as landing CSV files (a new drop into ``path``).
 
-    Appends, so earlier drops stay; each drop is a distributed write, one file
-    per task.
+    Appends, so earlier drops stay; each drop is a distributed write with files
+    capped at ``max_records_per_file`` rows. A multi-line CSV file is read
+    whole by one task, so bounded files keep the ingest parallel.
     """
     opts = {k: v for k, v in (options or CSV_DIALECT).items()
             if k in ("header", "sep", "quote", "escape", "encoding")}
-    as_text(df).write.mode("append").options(**opts).csv(path)
+    (as_text(df).write.mode("append").options(**opts)
+     .option("maxRecordsPerFile", str(max_records_per_file)).csv(path))
