@@ -12,8 +12,13 @@ summation order.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# The package lives next to this file; make it importable from any working directory.
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
