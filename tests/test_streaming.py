@@ -190,3 +190,17 @@ def test_json_landing_through_a_new_spec(spark, lake, tmp_path):
     silver.refine_stream(spark, s, lake)
     got = {r.event_id: (r.kind, r.amount) for r in silver.read_silver(spark, s, lake).collect()}
     assert got == {1: ("z", 3.25), 2: ("b", 2.0)}
+
+
+def test_version_guard_option_through_the_stream(spark, lake):
+    spec = load_spec("customers", "silver")
+    spec.raw["upsert"] = {"buckets": 4, "version_guard": True}
+    _drop(lake, "customers", "a.csv", HEADER + "c1,u1,1,newer,SP\n")
+    bronze.ingest(spark, "customers", lake, ingest_ts=dt.datetime(2024, 5, 1))
+    silver.refine_stream(spark, spec, lake)
+    # a late drop carrying an older version of c1, and a new key
+    _drop(lake, "customers", "b.csv", HEADER + "c1,u1,2,older,SP\nc2,u2,3,x,RJ\n")
+    bronze.ingest(spark, "customers", lake, ingest_ts=dt.datetime(2024, 4, 1))
+    silver.refine_stream(spark, spec, lake)
+    got = {r.customer_id: r.customer_city for r in silver.read_silver(spark, spec, lake).collect()}
+    assert got == {"c1": "newer", "c2": "x"}
