@@ -27,9 +27,13 @@ RECOMMENDED_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "stratum", extra: dict | None = None) -> SparkSession:
+                  app: str = "stratum", extra: dict | None = None,
+                  max_failures: int | None = None) -> SparkSession:
+    """Local session for tests and the bench; ``max_failures`` lets a failed
+    task be retried (local mode does not retry by default)."""
+    master = f"local[{cores},{max_failures}]" if max_failures else f"local[{cores}]"
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(master)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")

@@ -12,7 +12,7 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from stratum.session import local_session
-    s = local_session("*", 8, app="stratum-tests")
+    s = local_session("*", 8, app="stratum-tests", max_failures=4)
     yield s
     s.stop()
 
