@@ -120,6 +120,30 @@ def write_buckets(df: DataFrame, ref: str, keys: Sequence[str], buckets: int,
     _write_layout(df.sparkSession, ref, buckets)
 
 
+def merge_plan(staged: DataFrame, ref: str, keys: Sequence[str], touched: Sequence[int],
+               version_column: str | None = None, files_per_bucket: int = 1) -> DataFrame:
+    """New content of the touched buckets: stored rows (tag 0) and batch rows
+    (tag 1, carrying ``_bucket``) hashed once by bucket; per key the highest
+    tag survives (after the newest version, with ``version_column``)."""
+    spark = staged.sparkSession
+    keys = list(keys)
+    if is_path(ref):
+        current = read_partitions(spark, ref, BUCKET, touched)
+    else:
+        current = read_table(spark, ref).filter(F.col(BUCKET).isin(list(touched)))
+    incoming = staged.withColumn(SOURCE_TAG, F.lit(1))
+    if current is None:       # every touched bucket is new
+        both = incoming
+    else:
+        both = (current.withColumn(SOURCE_TAG, F.lit(0))
+                .unionByName(incoming, allowMissingColumns=True)
+                .select(*current.columns, SOURCE_TAG))
+    dist, by = _distribute(both, keys, len(touched), files_per_bucket)
+    order = [F.col(version_column).desc_nulls_last()] if version_column else []
+    order.append(F.col(SOURCE_TAG).desc())
+    return latest_per_key(dist, by + keys, order).drop(SOURCE_TAG, SPREAD)
+
+
 def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
            version_column: str | None = None, files_per_bucket: int = 1) -> None:
     """Insert new keys and replace existing ones with the batch's rows.
@@ -146,21 +170,7 @@ def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
         touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
         if not touched:
             return
-        if is_path(ref):
-            current = read_partitions(spark, ref, BUCKET, touched)
-        else:
-            current = read_table(spark, ref).filter(F.col(BUCKET).isin(touched))
-        incoming = staged.withColumn(SOURCE_TAG, F.lit(1))
-        if current is None:       # every touched bucket is new
-            both = incoming
-        else:
-            both = (current.withColumn(SOURCE_TAG, F.lit(0))
-                    .unionByName(incoming, allowMissingColumns=True)
-                    .select(*current.columns, SOURCE_TAG))
-        dist, by = _distribute(both, keys, len(touched), files_per_bucket)
-        order = [F.col(version_column).desc_nulls_last()] if version_column else []
-        order.append(F.col(SOURCE_TAG).desc())
-        merged = latest_per_key(dist, by + keys, order).drop(SOURCE_TAG, SPREAD)
+        merged = merge_plan(staged, ref, keys, touched, version_column, files_per_bucket)
         _save(merged, ref, only_present_buckets=True)
     finally:
         staged.unpersist()

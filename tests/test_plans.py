@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from stratum.operators import upsert as U
-from stratum.operators.refine import latest_per_key
-from stratum.sources.tables import read_partitions
 
 from conftest import SF_SMALL
 
@@ -58,10 +56,6 @@ def test_upsert_merge_is_one_shuffle(spark, lake):
     U.upsert(spark.range(200).selectExpr("cast(id as string) k", "id v"), ref, ["k"], buckets=4)
     batch = (spark.range(100, 120).selectExpr("cast(id as string) k", "id * 10 v")
              .withColumn("_bucket", U.bucket_of(["k"], 4)))
-    current = read_partitions(spark, ref, "_bucket", [0, 1])
-    both = (current.withColumn("_src", F.lit(0))
-            .unionByName(batch.withColumn("_src", F.lit(1))).select(*current.columns, "_src"))
-    dist, by = U._distribute(both, ["k"], 2, 2)
-    plan = _plan(latest_per_key(dist, by + ["k"], [F.col("_src").desc()]))
+    plan = _plan(U.merge_plan(batch, ref, ["k"], [0, 1], files_per_bucket=2))
     assert plan.count("Exchange") == 1
     assert "_bucket=0" in plan and "_bucket=2" not in plan   # only touched buckets listed
