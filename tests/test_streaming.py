@@ -204,3 +204,15 @@ def test_version_guard_option_through_the_stream(spark, lake):
     silver.refine_stream(spark, spec, lake)
     got = {r.customer_id: r.customer_city for r in silver.read_silver(spark, spec, lake).collect()}
     assert got == {"c1": "newer", "c2": "x"}
+
+
+def test_batch_read_with_the_bronze_dialect(spark, lake):
+    from stratum.sources.files import read_files
+    from stratum.streaming.bronze import bronze_schema
+    _drop(lake, "customers", "a.csv", HEADER + 'c1,u1,01409,"a, ""b""",SP\nc2,u2\n')
+    spec = load_spec("customers", "bronze")
+    df = read_files(spark, lake.landing("customers"), spec.file_format, spec.reader_options,
+                    bronze_schema(spec))
+    rows = {r.customer_id: r for r in df.collect()}
+    assert rows["c1"].customer_city == 'a, "b"' and rows["c1"]._rescued_data is None
+    assert rows["c2"]._rescued_data is not None
