@@ -34,6 +34,12 @@ def test_full_refresh_and_views(spark, lake):
     after = sorted(tuple(r) for r in read_table(spark, out["fact_sales"]).collect())
     assert before == after
 
+    # the job CLI's Gold step over the same lake
+    cli(["--lake", lake.root, "gold", "--calendar-start", "2016-01-01",
+         "--calendar-end", "2016-01-10", "--parallel", "2"])
+    assert read_table(spark, out["dim_dates"]).count() == 10
+    assert read_table(spark, out["fact_sales"]).count() == orders
+
 
 def test_cli_steps(spark, lake):
     refresh.stage_landing({"sellers": retail.landing_frames(spark, SF_SMALL)["sellers"]}, lake)
