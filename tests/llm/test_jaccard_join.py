@@ -1,0 +1,110 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from stratum.llm import jaccard_join as J
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(rows):
+    """(class id, links) by position of (id, text) rows, from all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    where = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            where.setdefault(x, set()).add(i)
+    near = [set().union(*[where[x] for x in s]) if s else set() for s in sets]
+    links = [{j for j in near[i] if j != i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9}
+             for i in range(len(rows))]
+    label = list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+    for i, js in enumerate(links):
+        for j in js:
+            a, b = find(i), find(j)
+            label[max(a, b)] = min(a, b)
+    members = {}
+    for i in range(len(rows)):
+        members.setdefault(find(i), []).append(i)
+    out = []
+    for i in range(len(rows)):
+        ids = [rows[j][0] for j in members[find(i)] if rows[j][0] is not None]
+        out.append((rows[i][0], min(ids) if ids else None, len(links[i])))
+    return out
+
+
+def run(docs, **kw):
+    return [(r.id, r.class_id, r.n_links) for r in J.near_duplicates(docs, **kw).collect()]
+
+
+def test_table_against_all_pairs(documents, texts):
+    rows = sorted(texts.items())
+    assert sorted(run(documents)) == sorted(brute(rows))
+
+
+def planted(n_groups=6, size=60, words=90, seed=3):
+    rng, rows = random.Random(seed), []
+    for g in range(n_groups):
+        text = [f"w{rng.randrange(5000)}" for _ in range(words)]
+        for _ in range(size):
+            copy = list(text)
+            for _ in range(rng.randrange(0, 3)):
+                copy[rng.randrange(words)] = f"v{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+def test_groups_over_many_blocks(spark, monkeypatch):
+    rows = planted()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(brute(rows))
+    assert sorted(run(docs)) == want
+    small = lambda f, n: (lambda *a, **k: f(*a[:2], n))
+    monkeypatch.setattr(J, "blocked", small(J.blocked, 7))
+    assert sorted(run(docs)) == want
+
+
+def test_components_of_a_chain(spark):
+    n = 300
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (7, 7)], "u bigint, v bigint")
+    got = {r.node: r.label for r in J.components(edges.orderBy(F.rand(1))).collect()}
+    assert got == {**{i: 0 for i in range(n + 1)}, 1000: 1000, 1001: 1000}
+
+
+def test_pruning_keeps_what_reaches_the_threshold():
+    rng = np.random.default_rng(0)
+    least = J.least_matches()
+    pairs = 2_000
+    equal = rng.random((pairs, J.HASHES)) < 0.8
+    a = rng.integers(0, 256, (pairs, J.HASHES)).astype(np.uint8)
+    b = np.where(equal, a, a + 1).astype(np.uint8)
+    both = np.concatenate([a, b])
+    kept = J.survivors(both, np.arange(pairs), np.arange(pairs) + pairs, least)
+    assert len(kept) == pairs
+    unlike = np.concatenate([a, rng.integers(0, 256, (pairs, J.HASHES)).astype(np.uint8)])
+    assert len(J.survivors(unlike, np.arange(pairs), np.arange(pairs) + pairs, least)) == 0
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    assert sorted(run(odd_docs), key=str) == sorted(brute(rows), key=str)
+    assert run(no_docs) == []
+    kept = J.keep_one_each(odd_docs)
+    assert kept.schema.names == odd_docs.schema.names
+    ids = sorted((r.doc_id for r in kept.collect()), key=str)
+    # One of rows 0, 1, 1; rows without a word all stay, as do rows alone in their class.
+    assert ids == sorted([0, 2, 3, 4, 5, 6, 7, 8, None, None], key=str)
+    assert J.keep_one_each(no_docs).count() == 0
+
+
+def test_keep_one_each(documents, texts):
+    want = {c for _, c, _ in brute(sorted(texts.items()))}
+    assert {r.doc_id for r in J.keep_one_each(documents).collect()} == want
