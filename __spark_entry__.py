@@ -12,6 +12,7 @@ summation order.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -226,6 +227,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The pipeline operators are optional: without their folder (and the pipeline
+# module on top of it) everything else works.
+_LLM_ORACLE: dict[str, str] = {}
+if importlib.util.find_spec("stratum.llm") is not None:
+    from stratum.llm import queries as llm_queries
+
+    _QUERIES.update(llm_queries.QUERIES)
+    _LLM_ORACLE.update(llm_queries.ORACLE_SQL)
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        _QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the sales fact on sf0.001."""
     return q_fact_sales(spark, SMOKE_DIR)
@@ -572,4 +589,4 @@ FROM fact_payment GROUP BY customer_state"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in _QUERIES}
+    return {k: v for k, v in (_ORACLE | _LLM_ORACLE).items() if k in _QUERIES}
