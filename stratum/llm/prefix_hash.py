@@ -154,7 +154,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     n, keyed = rows.agg(F.count("*"), F.count("id")).first()
     parts = max(1, min(-(-n // range_rows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     ids = rows.select("id").where("id is not null").repartitionByRange(parts, "id")
-    firsts = sorted(r[0] for r in ids.groupBy(F.spark_partition_id()).agg(F.min("id")).collect())
+    firsts = sorted(r.first for r in ids.groupBy(F.spark_partition_id()).agg(F.min("id").alias("first")).collect())
     parts = max(1, len(firsts))
     bounds = firsts[1:]                    # range k holds bounds[k-1] <= id < bounds[k]; nulls in range 0
     heads = {first: k for k, first in enumerate(bounds)}
