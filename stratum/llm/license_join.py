@@ -36,23 +36,22 @@ PHRASES = {
     "mit license": "mit",
 }
 
-THRESHOLD = 0.8
+THRESHOLD = 0.9
 
 #: Notices by label; several may share one.
 TEMPLATES = (
-    ("apache-2.0", "licensed under the apache license version 2.0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache", "licensed under the apache license version 2.0"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4.0 international license"),
-    ("cc-by-4.0", "licensed under cc by 4.0"),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4.0"),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4.0"),
-    ("gpl-2.0", "this work is licensed under the gnu general public license version 2"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4.0 international license"),
+    ("cc-by", "licensed under cc by 4.0"),
+    ("cc-by-nc", "licensed under cc by nc 4.0"),
+    ("cc-by-sa", "licensed under cc by sa 4.0"),
+    ("gpl", "this work is licensed under the gnu general public license version"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2.0"),
 )
 
 # ASCII letters in lower case, digits and every byte above 127 stay; all else separates.
