@@ -1,0 +1,77 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stratum.llm import warc as W
+from stratum.llm.common import scratch_path
+
+
+def brute(rows):
+    payloads = [(i, (h or "").encode()) for i, _, h in rows]
+    largest = {}
+    for i, p in payloads:
+        if i is not None and len(p) >= 1000:
+            largest[p] = max(largest.get(p, i), i)
+    out = []
+    for i, p in payloads:
+        owner = largest.get(p) if i is not None else None
+        revisit = owner is not None and i < owner
+        out.append((i, len(p), hashlib.sha1(p).hexdigest(), "revisit" if revisit else "response", owner if revisit else None))
+    return sorted(out, key=str)
+
+
+def run(spark, pages, **kw):
+    path = scratch_path(spark, "test-warc")
+    W.write_archives(pages, path, **kw)
+    return sorted((tuple(r) for r in W.read_archives(spark, path).collect()), key=str), path
+
+
+def test_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    got, path = run(spark, pages)
+    assert got == brute(rows)
+    # Each part is an archive by itself.
+    for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect():
+        kinds = {h["warc-type"] for h, _ in W.parse(f.content)}
+        assert kinds <= {"response", "revisit", "continuation"}
+
+
+def test_odd_pages(spark):
+    big = "é\r\n\r\nWARC/1.1\r\n" * 900
+    rows = [(1, "u", big), (2, "u", big), (2, None, big), (3, "u\nv", None), (4, "u", ""), (5, "u", "x" * 999),
+            (6, "u", "x" * 999), (None, "u", big), (None, "u", None), (7, "u", "y" * 100_000), (7, "u", "y" * 100_000),
+            (8, "u", "y" * 100_000), (9, "u", "z" * 1000), (10, "u", "z" * 1000)]
+    schema = "page_id bigint, url string, html string, digest string, owner int, payload string"
+    pages = spark.createDataFrame([(*r, "d", 1, "p") for r in rows], schema)
+    assert run(spark, pages)[0] == brute(rows)
+    assert run(spark, pages, segment_bytes=100)[0] == brute(rows)
+    assert run(spark, pages.limit(0))[0] == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(max_size=10_000), st.integers(10, 3000))
+def test_segments_and_framing(payload, size):
+    records = [r + b"\r\n\r\n" for r in W.page_records(3, 17, "http://x", payload, hashlib.sha1(payload).hexdigest(), None, size)]
+    blocks = [b for _, b in W.parse(b"".join(records))]
+    assert W.http_payload(b"".join(blocks)) == payload
+    assert len(blocks) == -(-len(W.http_block(payload)) // size)
+
+
+def test_damage_is_named(spark):
+    path = scratch_path(spark, "test-warc")
+    pages = spark.createDataFrame([(1, "u", "y" * 50_000)], "page_id bigint, url string, html string")
+    W.write_archives(pages, path)
+    data = b"".join(f.content for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect())
+    records = list(W.parse(data))
+    assert [h.get("warc-segment-number") for h, _ in records] == ["1", "2", "3", "4"]
+    assert int(records[-1][0]["warc-segment-total-length"]) == sum(len(b) for _, b in records)
+    with pytest.raises(ValueError):
+        list(W.parse(data[:-30]))
+    lost = scratch_path(spark, "test-warc")
+    spark.createDataFrame([(data[:data.index(b"\r\n\r\nWARC/1.1", 100)],)], "value binary").selectExpr(
+        "cast(value as string) as value").write.option("lineSep", W.END).text(lost)
+    with pytest.raises(Exception, match="segments are missing"):
+        W.read_archives(spark, lost).collect()
