@@ -12,6 +12,7 @@ summation order.
 
 from __future__ import annotations
 
+import datetime as dt
 import importlib.util
 import os
 import sys
@@ -20,18 +21,20 @@ from collections.abc import Callable
 # The package lives next to this file; make it importable from any working directory.
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators import refine, ranking
-from stratum.operators.upsert import upsert
+from stratum.operators.upsert import KeyedTable
 from stratum.plans import gold, questions, refresh
 from stratum.session import Lake
-from stratum.sources import retail
+from stratum.sources import retail, storage
 from stratum.sources.files import as_text, write_landing
-from stratum.sources.tables import read_table
-from stratum.specs import is_metadata, load_spec
+from stratum.sources.tables import read_bronze, read_bronze_stream
+from stratum.specs import load_spec, parse_spec
 from stratum.streaming import bronze, silver
+from stratum.streaming.sinks import foreach_batch_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -119,55 +122,223 @@ def q_primary_payment_window(spark: SparkSession, sf: str) -> DataFrame:
         "payment_sequential", "primary_payment_type")
 
 
-def q_upsert_scd1(spark: SparkSession, sf: str) -> DataFrame:
-    """Load orders up to 1998, then upsert the orders from 1998 on with
-    a changed status (twice: the replay must change nothing)."""
-    lake = Lake.fresh(spark, "q-upsert")
-    ref = lake.table("silver", "orders")
-    o = retail.orders(spark, sf).select("order_id", "customer_id", "order_status",
-                                        "order_purchase_timestamp")
-    year = F.year("order_purchase_timestamp")
-    upsert(o.filter(year <= 1998), ref, ["order_id"], buckets=8)
-    later = o.filter(year >= 1998).withColumn("order_status", F.concat("order_status", F.lit("-2")))
-    upsert(later, ref, ["order_id"], buckets=8)
-    upsert(later, ref, ["order_id"], buckets=8)
-    return silver_columns(read_table(spark, ref))
+_ORDER_KEY = ["order_id"]
+
 
+def _order_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All orders, and those from 1998 on with a changed status."""
+    o = retail.orders(spark, sf).select("order_id", "customer_id", "order_status", "order_purchase_timestamp")
+    later = o.filter(F.year("order_purchase_timestamp") >= 1998)
+    return o, later.withColumn("order_status", F.concat("order_status", F.lit("-2")))
 
-def silver_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in df.columns if not is_metadata(c)])
+
+def _order_table(spark: SparkSession, label: str) -> KeyedTable:
+    return KeyedTable(spark, f"{Lake.fresh(spark, label).root}/silver/orders")
+
+
+def q_upsert_scd1(spark: SparkSession, sf: str) -> DataFrame:
+    """Load the orders not after 1998, then upsert the orders from 1998 on
+    with a changed status (twice: the replay must change nothing)."""
+    table = _order_table(spark, "q-upsert")
+    o, later = _order_rows(spark, sf)
+    table.upsert(o.filter(F.coalesce(F.year("order_purchase_timestamp") <= 1998, F.lit(True))), _ORDER_KEY, "w-0")
+    table.upsert(later, _ORDER_KEY, "w-1")
+    table.upsert(later, _ORDER_KEY, "w-1")
+    return table.read()
+
+
+def q_upsert_crash_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The table after a write that died before its commit, and after the
+    replay of that batch."""
+    table = _order_table(spark, "q-crash")
+    o, later = _order_rows(spark, sf)
+    table.upsert(o, _ORDER_KEY, "w-0")
+    table.upsert(later.limit(0), _ORDER_KEY, "w-1")
+    storage.remove(spark, f"{table.state().changes[-1][1]}/_SUCCESS")
+    crashed = table.read().withColumn("state", F.lit("crashed"))
+    table.upsert(later, _ORDER_KEY, "w-1")
+    return crashed.unionByName(table.read().withColumn("state", F.lit("replayed")))
+
+
+def q_upsert_new_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch with a new column, added by decision: null in all other rows."""
+    table = _order_table(spark, "q-new")
+    o, later = _order_rows(spark, sf)
+    table.upsert(o, _ORDER_KEY)
+    table.upsert(later.withColumn("channel", F.concat(F.lit("c"), F.col("customer_id"))), _ORDER_KEY, evolve=True)
+    return table.read()
+
+
+def q_upsert_missing_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch without one of the columns: its stored values stay."""
+    table = _order_table(spark, "q-missing")
+    o, later = _order_rows(spark, sf)
+    table.upsert(o, _ORDER_KEY)
+    table.upsert(later.drop("customer_id"), _ORDER_KEY)
+    return table.read()
+
+
+def q_upsert_compaction(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes folded into a new base, then one more change on top."""
+    table = _order_table(spark, "q-compact")
+    o, later = _order_rows(spark, sf)
+    table.upsert(o.filter(F.col("order_id") % 2 == 0), _ORDER_KEY)
+    table.upsert(o.filter(F.coalesce(F.col("order_id") % 2 != 0, F.lit(True))), _ORDER_KEY)
+    table.compact()
+    table.upsert(later, _ORDER_KEY)
+    return table.read()
 
 
 def q_bronze_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """L1 (S1-S4, P1, S8): land the item rows as CSV, ingest them incrementally."""
+    """L1 (S1-S4, P1, S8): land the item rows as CSV, ingest them incrementally;
+    provenance as checks."""
     lake = Lake.fresh(spark, "q-bronze")
     write_landing(retail.order_items_raw(spark, sf), lake.landing("order_items"))
-    table = bronze.ingest(spark, "order_items", lake)
+    began = dt.datetime.now(dt.timezone.utc)
+    path = bronze.ingest(spark, "order_items", lake, ingest_ts=began)
     bronze.ingest(spark, "order_items", lake)  # no new file: adds nothing
-    return read_table(spark, table).drop("_ingest_ts", "_source_file_path")
+    return read_bronze(spark, path).withColumns({
+        "_ingest_ts": F.col("_ingest_ts") == F.lit(began).cast("timestamp"),
+        "_source_file_path": F.col("_source_file_path").rlike("/landing/order_items/part-[^/]*csv$")})
+
+
+def q_bronze_late_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The second of three drops carries files dated years back."""
+    lake = Lake.fresh(spark, "q-late")
+    items = retail.order_items_raw(spark, sf)
+    third = F.pmod(F.xxhash64("order_id"), F.lit(3))
+    for n in range(3):
+        before = set(storage.names(spark, lake.landing("order_items")))
+        write_landing(items.filter(third == n), lake.landing("order_items"))
+        for name in set(storage.names(spark, lake.landing("order_items"))) - before if n == 1 else ():
+            storage.set_time(spark, f"{lake.landing('order_items')}/{name}", dt.datetime(2001, 1, 1))
+        path = bronze.ingest(spark, "order_items", lake)
+    return read_bronze(spark, path).drop("_ingest_ts", "_source_file_path")
+
+
+def q_rescued_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: every tenth landed line has a field too many; it is kept whole."""
+    lake = Lake.fresh(spark, "q-rescued")
+    lines = retail.table(spark, sf, "customer").select(F.concat_ws(
+        ",", "c_custkey", "c_name", "c_mktsegment",
+        F.when(F.col("c_custkey") % 10 == 0, F.lit("surplus"))).alias("value"))
+    lines.write.text(lake.landing("people"))
+    spec = parse_spec("people", "bronze", {
+        "file": {"format": "csv", "header": False, "rescued_data_column": "_rescued_data"},
+        "columns": ["customer_id", "name", "segment"]})
+    return read_bronze(spark, bronze.ingest(spark, spec, lake)).drop("_ingest_ts", "_source_file_path")
+
+
+def q_csv_quoting(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with quotes, separators and line ends through landing and back."""
+    lake = Lake.fresh(spark, "q-quoting")
+    write_landing(retail.table(spark, sf, "documents").select("doc_id", "text"), lake.landing("texts"))
+    options = load_spec("orders", "bronze").options
+    spec = parse_spec("texts", "bronze", {"file": {"format": "csv", **options}, "columns": ["doc_id", "text"]})
+    rows = read_bronze(spark, bronze.ingest(spark, spec, lake))
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"),
+                       F.length("text").cast("long").alias("n_chars"))
 
 
 def q_silver_refine_stream(spark: SparkSession, sf: str) -> DataFrame:
     """L2 (S5, S9, P2-P5, W1, S11, T1-T8): two landing drops (finished lines,
-    then open lines), each ingested and refined; the later drop wins a key."""
+    then all others), each ingested and refined; the later drop wins a key.
+    Provenance and audit columns as checks."""
     lake = Lake.fresh(spark, "q-silver")
     li = retail.table(spark, sf, "lineitem")
-    for drop in (li.filter(F.col("l_linestatus") != "O"), li.filter(F.col("l_linestatus") == "O")):
+    open_line = F.coalesce(F.col("l_linestatus") == "O", F.lit(True))
+    for n, drop in enumerate((li.filter(~open_line), li.filter(open_line))):
         write_landing(retail.order_items_from(drop), lake.landing("order_items"))
         bronze.ingest(spark, "order_items", lake)
-        silver.refine_stream(spark, "order_items", lake)
-    return _wall_clock(silver_columns(silver.read_silver(spark, "order_items", lake)))
+        silver.refine_stream(spark, "order_items", lake, run_id=f"run-{n}")
+    rows = silver.read_silver(spark, "order_items", lake)
+    audited = ((F.col("_processed_ts") >= F.col("_ingest_ts")) & F.col("_run_id").isin("run-0", "run-1")
+               & F.col("_source_file_path").contains("/landing/order_items/"))
+    return _wall_clock(refresh.business_columns(rows.withColumn("audited", audited)))
+
+
+def q_silver_two_files_one_run(spark: SparkSession, sf: str) -> DataFrame:
+    """One run reads two drops; for a key in both, the later file wins even
+    where its values are smaller."""
+    lake = Lake.fresh(spark, "q-files")
+    landing, items = lake.landing("order_items"), retail.order_items_raw(spark, sf)
+    write_landing(items, f"{landing}/1")
+    write_landing(items.withColumns({"price": F.lit(-1.0), "product_id": F.lit(0), "freight_value": F.lit(-1.0)})
+                  .filter(F.col("order_id") % 3 == 0), f"{landing}/2")
+    bronze.ingest(spark, "order_items", lake, landing=f"{landing}/*")
+    silver.refine_stream(spark, "order_items", lake)
+    return _wall_clock(refresh.business_columns(silver.read_silver(spark, "order_items", lake)))
+
+
+def q_silver_failed_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """The first run fails after its write, the second replays the batch
+    under the same origin; a third has no new row."""
+    lake, spec = Lake.fresh(spark, "q-failed"), load_spec("customers", "silver")
+    write_landing(retail.landing_frames(spark, sf)["customers"], lake.landing("customers"))
+    bronze.ingest(spark, "customers", lake)
+    process = silver.upsert_batch(spec, lake.path(spec.target))
+
+    def dies(batch: DataFrame, origin: str) -> None:
+        process(batch, origin)
+        raise RuntimeError("lost after the write")
+
+    rows = refine.refine(read_bronze_stream(spark, lake.path(spec.source), 100), spec, "first")
+    try:
+        foreach_batch_stream(rows, lake.checkpoint(spec.target), dies)
+        raise AssertionError("the failure of a batch must reach the caller")
+    except StreamingQueryException:
+        pass
+    silver.refine_stream(spark, "customers", lake, run_id="second")
+    silver.refine_stream(spark, "customers", lake, run_id="third")
+    return silver.read_silver(spark, "customers", lake).select("customer_id", "customer_state", "_run_id")
+
+
+def _refreshed(spark: SparkSession, sf: str, label: str) -> Lake:
+    lake = Lake.fresh(spark, label)
+    refresh.stage_landing(retail.landing_frames(spark, sf), lake, parallel=4)
+    refresh.full_refresh(spark, lake, parallel=4)
+    return lake
 
 
 def q_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """L4: every dataset landed as CSV -> Bronze -> Silver -> Gold; returns the
     sales fact as stored in Gold."""
-    lake = Lake.fresh(spark, "q-refresh")
-    refresh.stage_landing(retail.landing_frames(spark, sf), lake, parallel=4)
-    refresh.full_refresh(spark, lake, parallel=4)
+    lake = _refreshed(spark, sf, "q-refresh")
     return _round(refresh.read_gold(spark, lake, "fact_sales"), {"total_order_value": 4})
 
 
+# Gold table -> its key, and a number summed over it.
+_GOLD_DIGEST = {
+    "dim_customers": ("customer_id", "CAST(customer_zip_code_prefix AS BIGINT)"),
+    "dim_products": ("product_id", "CAST(length(product_category_name) AS BIGINT)"),
+    "dim_sellers": ("seller_id", "CAST(length(seller_state) AS BIGINT)"),
+    "fact_sales": ("order_id", "CAST(round(total_order_value * 100) AS BIGINT)"),
+    "fact_seller_performance": ("seller_id", "CAST(round(sum_revenue * 100) AS BIGINT)"),
+    "fact_product_performance": ("order_id", "CAST(product_weight_g AS BIGINT)"),
+    "fact_payment_summary": ("order_id", "CAST(max_installments AS BIGINT)"),
+}
+
+
+def q_full_refresh_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All Gold tables of one refresh, read back through the views:
+    rows, distinct keys and a sum of each; the calendar by its first day."""
+    lake = _refreshed(spark, sf, "q-tables")
+    refresh.register_views(spark, lake)
+    parts = [f"SELECT '{t}' AS gold_table, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys, "
+             f"CAST(sum({v}) AS BIGINT) AS total FROM gold_{t}" for t, (k, v) in _GOLD_DIGEST.items()]
+    parts.append("SELECT 'dim_dates', count(*), count(DISTINCT date_id), CAST(min(year) AS BIGINT) FROM gold_dim_dates")
+    return spark.sql(" UNION ALL ".join(parts))
+
+
+def q_calendar_default(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar of a refresh without dates, joined with the orders
+    of each day."""
+    days = gold.dim_dates(spark, refresh.CALENDAR_START)
+    per_day = (retail.orders(spark, sf).groupBy(F.col("order_purchase_timestamp").cast("date").alias("date_id"))
+               .agg(F.count("*").alias("orders")))
+    return days.join(per_day, "date_id", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+
+
 def _fact(spark: SparkSession, sf: str, which: str) -> DataFrame:
     v = retail
     if which == "sales":
@@ -207,10 +378,21 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "required_filter": q_required_filter,
     "latest_per_key": q_latest_per_key,
     "primary_payment_window": q_primary_payment_window,
+    "calendar_default": q_calendar_default,
     "upsert_scd1": q_upsert_scd1,
+    "upsert_crash_replay": q_upsert_crash_replay,
+    "upsert_new_column": q_upsert_new_column,
+    "upsert_missing_column": q_upsert_missing_column,
+    "upsert_compaction": q_upsert_compaction,
     "bronze_ingest_stream": q_bronze_ingest_stream,
+    "bronze_late_file": q_bronze_late_file,
+    "rescued_rows": q_rescued_rows,
+    "csv_quoting": q_csv_quoting,
     "silver_refine_stream": q_silver_refine_stream,
+    "silver_two_files_one_run": q_silver_two_files_one_run,
+    "silver_failed_batch": q_silver_failed_batch,
     "full_refresh": q_full_refresh,
+    "full_refresh_tables": q_full_refresh_tables,
     "c01_avg_order_value_by_state": _q("sales", questions.avg_order_value_by_state),
     "c02_sales_by_status": _q("sales", questions.sales_by_status),
     "c03_delivery_time": _q("sales", questions.delivery_time_summary),
@@ -403,7 +585,8 @@ strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipping_limit_date,
 CAST(l_extendedprice AS VARCHAR) AS price, CAST(l_extendedprice * l_tax AS VARCHAR) AS freight_value"""
 
 # Silver item rows after the pipeline: typed, newest per key where the later
-# drop wins, then larger business values (ids compare as text).
+# drop wins, then larger business values (ids compare as text). All rows of a
+# drop come from one landing file here.
 _SILVER_ITEMS = """
 SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
 FROM (
@@ -496,12 +679,72 @@ SELECT order_id, customer_id,
        order_purchase_timestamp
 FROM orders_v"""
 
-_ORACLE["bronze_ingest_stream"] = "SELECT " + _ITEM_TEXT + """,
+_SECOND = _with(_V_ORDERS) + """,
+second AS (
+  SELECT order_id, customer_id, order_status || '-2' AS order_status, order_purchase_timestamp
+  FROM orders_v WHERE year(order_purchase_timestamp) >= 1998),
+after AS (
+  SELECT * FROM second
+  UNION ALL
+  SELECT order_id, customer_id, order_status, order_purchase_timestamp FROM orders_v
+  WHERE order_id NOT IN (SELECT order_id FROM second))"""
+
+_ORACLE["upsert_crash_replay"] = _SECOND + """
+SELECT order_id, customer_id, order_status, order_purchase_timestamp, 'crashed' AS state FROM orders_v
+UNION ALL SELECT *, 'replayed' FROM after"""
+
+_ORACLE["upsert_new_column"] = _SECOND + """
+SELECT *, CASE WHEN order_status LIKE '%-2' THEN 'c' || CAST(customer_id AS VARCHAR) END AS channel FROM after"""
+
+_ORACLE["upsert_missing_column"] = _ORACLE["upsert_compaction"] = _SECOND + """
+SELECT * FROM after"""
+
+_ORACLE["bronze_late_file"] = "SELECT " + _ITEM_TEXT + """,
        CAST(NULL AS VARCHAR) AS _rescued_data
 FROM lineitem"""
 
-_ORACLE["silver_refine_stream"] = _SILVER_ITEMS.format(
-    drop="CASE WHEN l_linestatus = 'O' THEN 2 ELSE 1 END")
+_ORACLE["bronze_ingest_stream"] = "SELECT " + _ITEM_TEXT + """,
+       CAST(NULL AS VARCHAR) AS _rescued_data, true AS _ingest_ts, true AS _source_file_path
+FROM lineitem"""
+
+_ORACLE["rescued_rows"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name, c_mktsegment AS segment,
+       CASE WHEN c_custkey % 10 = 0
+            THEN concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, c_mktsegment, 'surplus') END AS _rescued_data
+FROM customer"""
+
+_ORACLE["csv_quoting"] = """
+SELECT doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars FROM documents"""
+
+_ORACLE["silver_refine_stream"] = "SELECT *, true AS audited FROM (" + _SILVER_ITEMS.format(
+    drop="CASE WHEN l_linestatus = 'O' THEN 2 ELSE 1 END") + ") t"
+
+_ORACLE["silver_two_files_one_run"] = "WITH first_file AS (" + _SILVER_ITEMS.format(drop="1") + """)
+SELECT f.order_id, f.order_item_id,
+       CASE WHEN b.third THEN '0' ELSE f.product_id END AS product_id,
+       CASE WHEN b.third THEN b.seller_id ELSE f.seller_id END AS seller_id,
+       CASE WHEN b.third THEN b.shipping_limit_date ELSE f.shipping_limit_date END AS shipping_limit_date,
+       CASE WHEN b.third THEN -1.0 ELSE f.price END AS price,
+       CASE WHEN b.third THEN -1.0 ELSE f.freight_value END AS freight_value
+FROM first_file f
+LEFT JOIN (
+  SELECT DISTINCT ON (l_orderkey, l_linenumber) CAST(l_orderkey AS VARCHAR) AS order_id,
+         l_linenumber AS order_item_id, true AS third, CAST(l_suppkey AS VARCHAR) AS seller_id,
+         l_shipdate AS shipping_limit_date
+  FROM lineitem WHERE l_orderkey % 3 = 0
+  ORDER BY l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) DESC, l_shipdate DESC) b
+ON b.order_id = f.order_id AND b.order_item_id = f.order_item_id"""
+
+_ORACLE["silver_failed_batch"] = _with(_V_CUSTOMERS) + """
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_state, 'second' AS _run_id FROM customers_v"""
+
+_ORACLE["calendar_default"] = """
+SELECT CAST(d AS DATE) AS date_id, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
+       coalesce(o.orders, 0) AS orders
+FROM (SELECT unnest(generate_series(DATE '2016-01-01', CAST(current_date + INTERVAL 90 DAY AS DATE), INTERVAL 1 DAY)) AS d) t
+LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS day_id, count(*) AS orders FROM orders GROUP BY 1) o
+ON o.day_id = CAST(d AS DATE)"""
 
 _ORACLE["full_refresh"] = _with(_V_ORDERS, _V_CUSTOMERS, """
 oi AS (""" + _SILVER_ITEMS.format(drop="1") + """),
@@ -515,6 +758,34 @@ FROM orders_v o
 LEFT JOIN tov ON CAST(o.order_id AS VARCHAR) = tov.order_id
 LEFT JOIN customers_v c ON o.customer_id = c.customer_id"""
 
+# The same digests over plain counts of the driver's tables.
+_ORACLE["full_refresh_tables"] = _with(_V_ORDERS, _V_CUSTOMERS, _V_SELLERS, _V_PRODUCTS, """
+oi AS (""" + _SILVER_ITEMS.format(drop="1") + """),
+value_of AS (SELECT order_id, sum(price + freight_value) AS v FROM oi GROUP BY order_id),
+revenue_of AS (SELECT seller_id, sum(price) AS v FROM oi GROUP BY seller_id),
+paid AS (SELECT order_id, max(payment_installments) AS v FROM (
+  SELECT l_orderkey AS order_id, CAST(floor(l_quantity) AS INTEGER) AS payment_installments,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                            ORDER BY l_returnflag DESC, CAST(floor(l_quantity) AS INTEGER) DESC,
+                                     l_extendedprice DESC) AS rn
+  FROM lineitem) WHERE rn = 1 GROUP BY order_id)""") + """
+SELECT 'dim_customers' AS gold_table, count(*) AS n_rows, count(DISTINCT customer_id) AS n_keys,
+       CAST(sum(customer_zip_code_prefix) AS BIGINT) AS total FROM customers_v
+UNION ALL SELECT 'dim_products', count(*), count(DISTINCT product_id),
+       CAST(sum(length(product_category_name)) AS BIGINT) FROM products_v
+UNION ALL SELECT 'dim_sellers', count(*), count(DISTINCT seller_id), CAST(sum(length(seller_state)) AS BIGINT) FROM sellers_v
+UNION ALL SELECT 'fact_sales', count(*), count(DISTINCT o.order_id), CAST(sum(CAST(round(v * 100) AS BIGINT)) AS BIGINT)
+FROM orders_v o LEFT JOIN value_of t ON t.order_id = CAST(o.order_id AS VARCHAR)
+UNION ALL SELECT 'fact_seller_performance', count(*), count(DISTINCT s.seller_id),
+       CAST(sum(CAST(round(v * 100) AS BIGINT)) AS BIGINT)
+FROM sellers_v s LEFT JOIN revenue_of t ON t.seller_id = CAST(s.seller_id AS VARCHAR)
+UNION ALL SELECT 'fact_product_performance', count(*), count(DISTINCT oi.order_id),
+       CAST(sum(p.product_weight_g) AS BIGINT)
+FROM oi LEFT JOIN products_v p ON CAST(p.product_id AS VARCHAR) = oi.product_id
+UNION ALL SELECT 'fact_payment_summary', count(*), count(*), CAST(sum(v) AS BIGINT) FROM paid
+UNION ALL SELECT 'dim_dates', n, n, 2016
+FROM (SELECT date_diff('day', DATE '2016-01-01', CAST(current_date + INTERVAL 90 DAY AS DATE)) + 1 AS n)"""
+
 _MONEY_SUM = "CAST(sum(CAST({c} AS DECIMAL(38,4))) AS DOUBLE)"
 
 _ORACLE["c01_avg_order_value_by_state"] = _with(*_SALES) + """

@@ -2,19 +2,24 @@
 
     python -m stratum --lake PATH bronze --dataset orders
     python -m stratum --lake PATH silver --dataset orders
-    python -m stratum --lake PATH gold [--calendar-start 2016-01-01]
-    python -m stratum --lake PATH refresh [--parallel 4] [--databases ""]
+    python -m stratum --lake PATH rebuild --dataset orders
+    python -m stratum --lake PATH gold --table fact_sales --calendar-start 2016-01-01
+    python -m stratum --lake PATH --conf specs --databases "" refresh --parallel 4
 
 The session comes from the environment (``spark-submit`` settings); the lake
-path must be on a file system every executor can reach.
+path must be on a file system every executor can reach. A step takes only the
+options that it honours. Progress goes to standard error as one JSON object a line.
 """
 
 from __future__ import annotations
 
 import argparse
-import logging
+import json
+import sys
 import time
 import uuid
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -23,50 +28,59 @@ from stratum.session import Lake
 from stratum.specs import datasets
 from stratum.streaming import bronze, silver
 
-log = logging.getLogger("stratum")
 
-
-def main(argv: list[str] | None = None) -> None:
+def arguments() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="stratum")
     p.add_argument("--lake", required=True, help="lake root on shared storage")
-    p.add_argument("--databases", default=None,
-                   help="keep tables in catalog databases <prefix>bronze/silver/gold "
-                        "(located under the lake root); omit for path tables")
-    p.add_argument("step", choices=["bronze", "silver", "gold", "refresh"])
-    p.add_argument("--dataset", help="dataset name (bronze/silver); all when omitted")
-    p.add_argument("--calendar-start", help="first calendar day (gold)")
-    p.add_argument("--calendar-end", help="last calendar day (gold; default today + 90 days)")
-    p.add_argument("--max-files-per-trigger", type=int)
-    p.add_argument("--parallel", type=int, default=1,
-                   help="independent datasets / Gold tables processed at once")
-    args = p.parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="[%(asctime)s] [%(levelname)s] %(message)s")
+    p.add_argument("--databases", help="also keep views <prefix><schema>.<table> of all tables; may be empty")
+    p.add_argument("--conf", help="folder of dataset specs (default: the packaged ones)")
+    steps = p.add_subparsers(dest="step", required=True)
+    trigger, calendar, many = (argparse.ArgumentParser(add_help=False) for _ in range(3))
+    trigger.add_argument("--max-files-per-trigger", type=int)
+    calendar.add_argument("--calendar-start", help="first calendar day")
+    calendar.add_argument("--calendar-end", help="last calendar day (default: today and 90 days)")
+    many.add_argument("--parallel", type=int, default=1, help="independent datasets or tables at once")
+    for name, parents in (("bronze", [trigger, many]), ("silver", [trigger, many]), ("rebuild", [many]),
+                          ("compact", [many]), ("gold", [calendar, many]), ("refresh", [trigger, calendar, many])):
+        step = steps.add_parser(name, parents=parents)
+        if name == "gold":
+            step.add_argument("--table", action="append", help="a Gold table; all when omitted")
+        elif name != "refresh":
+            step.add_argument("--dataset", action="append", help="a dataset; all when omitted")
+    return p
+
+
+def steps_of(a: argparse.Namespace, spark: SparkSession, lake: Lake, run_id: str) -> list[Callable[[], object]]:
+    if a.step == "gold":
+        return [partial(refresh.build_gold, spark, lake, a.calendar_start, a.calendar_end, a.parallel, a.table, a.conf)]
+    if a.step == "refresh":
+        return [partial(refresh.full_refresh, spark, lake, run_id, None, a.calendar_start, a.calendar_end,
+                        a.parallel, a.max_files_per_trigger, a.conf)]
+    names = a.dataset or datasets("bronze" if a.step == "bronze" else "silver", a.conf)
+    return [{
+        "bronze": lambda n=n: bronze.ingest(spark, n, lake, max_files_per_trigger=a.max_files_per_trigger, conf=a.conf),
+        "silver": lambda n=n: silver.refine_stream(spark, n, lake, run_id, a.max_files_per_trigger, a.conf),
+        "rebuild": lambda n=n: silver.rebuild(spark, n, lake, run_id, a.conf),
+        "compact": lambda n=n: silver.compact(spark, n, lake, a.conf),
+    }[a.step] for n in names]
 
+
+def main(argv: list[str] | None = None) -> None:
+    a = arguments().parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    lake = Lake(args.lake.rstrip("/"), databases=args.databases)
-    lake.create_databases(spark)
-    run_id = str(uuid.uuid4())
-    start = time.time()
-    log.info("step=%s dataset=%s run_id=%s lake=%s", args.step, args.dataset, run_id, lake.root)
+    lake, run_id, began = Lake(a.lake.rstrip("/"), a.databases), str(uuid.uuid4()), time.monotonic()
+
+    def tell(event: str, **more: object) -> None:
+        print(json.dumps({"event": event, "step": a.step, "run": run_id,
+                          "elapsed_ms": round(1000 * (time.monotonic() - began)), **more}), file=sys.stderr)
+
+    tell("begin", lake=lake.root)
     try:
-        if args.step in ("bronze", "silver"):
-            names = [args.dataset] if args.dataset else datasets(args.step)
-            if args.step == "bronze":
-                steps = [lambda n=n: bronze.ingest(
-                    spark, n, lake, max_files_per_trigger=args.max_files_per_trigger) for n in names]
-            else:
-                steps = [lambda n=n: silver.refine_stream(
-                    spark, n, lake, run_id=run_id,
-                    max_files_per_trigger=args.max_files_per_trigger) for n in names]
-            refresh.run_all(steps, args.parallel)
-        elif args.step == "gold":
-            refresh.build_gold(spark, lake, args.calendar_start, args.calendar_end, args.parallel)
-        else:
-            refresh.full_refresh(spark, lake, run_id=run_id, parallel=args.parallel)
-    except Exception:
-        log.exception("failed run_id=%s after %.3fs", run_id, time.time() - start)
+        refresh.run_all(steps_of(a, spark, lake, run_id), a.parallel)
+    except Exception as e:
+        tell("error", cause=f"{type(e).__name__}: {e}"[:500])
         raise
-    log.info("done run_id=%s in %.3fs", run_id, time.time() - start)
+    tell("end")
 
 
 if __name__ == "__main__":

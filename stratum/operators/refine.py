@@ -35,8 +35,8 @@ def typed_projection(df: DataFrame, spec: SilverSpec) -> DataFrame:
     """
     lenient = spec.on_cast_error == "null"
     typed = [
-        (F.col(f.name).try_cast(f.dataType) if lenient else F.col(f.name).cast(f.dataType)).alias(f.name)
-        for f in spec.struct.fields
+        (F.col(c.name).try_cast(c.type) if lenient else F.col(c.name).cast(c.type)).alias(c.name)
+        for c in spec.columns
     ]
     meta = [F.col(c) for c in df.columns if is_metadata(c)]
     return df.select(*typed, *meta)
@@ -60,7 +60,7 @@ def add_audit(df: DataFrame, run_id: str) -> DataFrame:
 def refine(df: DataFrame, spec: SilverSpec, run_id: str) -> DataFrame:
     """Stateless part of the Silver step: typed projection, required filter,
     audit columns."""
-    return add_audit(require_columns(typed_projection(df, spec), spec.required_columns), run_id)
+    return add_audit(require_columns(typed_projection(df, spec), spec.required), run_id)
 
 
 def select_columns(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
@@ -87,18 +87,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 def version_order(df: DataFrame, keys: Sequence[str], version_column: str) -> list[Column]:
     """A total order for picking the newest row of a key.
 
-    Version column descending (NULL last), then every other business column
-    descending, then the remaining metadata columns. Rows that tie on all of
-    these are equal in every business column, so the choice among them does not
-    change the table's content.
+    Version column descending (NULL last), then the source file descending (of
+    two files of one run the later name wins, whatever their values), then every
+    other business column, then the remaining metadata columns. Rows that tie on
+    all of these are equal in every business column.
     """
-    business = [c for c in df.columns if not is_metadata(c) and c not in keys and c != version_column]
-    meta = [c for c in df.columns if is_metadata(c) and c != version_column]
-    return [F.col(version_column).desc_nulls_last()] + \
-        [F.col(c).desc_nulls_last() for c in business + meta]
+    first = [version_column] + [c for c in (SOURCE_FILE,) if c in df.columns and c != version_column]
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    return [F.col(c).desc_nulls_last() for c in first + sorted(rest, key=is_metadata)]
 
 
-def dedup_batch(df: DataFrame, spec: SilverSpec) -> DataFrame:
-    """Newest row per primary key of a refined batch."""
-    return latest_per_key(df, spec.primary_keys,
-                          version_order(df, spec.primary_keys, spec.version_column))
+def batch_order(df: DataFrame, spec: SilverSpec) -> list[Column]:
+    """The order in which a refined batch keeps one row per primary key."""
+    return version_order(df, spec.keys, spec.version)

@@ -1,176 +1,261 @@
 """Keyed upsert (type-1 slowly changing dimension) on plain parquet.
 
-Contract: after ``upsert(batch, ref, keys)`` every key of ``batch`` has the
-batch's row, every other key keeps its row, and running it again with the
-same batch changes nothing (so a replayed micro-batch is harmless).
-
-Layout: the table is partitioned by ``_bucket = pmod(hash(keys), buckets)``.
-An upsert reads only the buckets the batch touches, keeps the batch's row
-for every key it carries and the stored row for the others, and rewrites
-just those bucket directories with dynamic partition overwrite. Work is
-proportional to the touched buckets, not to the table.
-
-Sizing: ``buckets`` bounds how much one upsert rewrites (a batch touching k
-buckets rewrites k/buckets of the table) and ``files_per_bucket`` spreads one
-bucket over that many write tasks. Pick buckets x files_per_bucket near
-table bytes / 256 MB (a 100 TB table: e.g. 4096 x 100), so no task writes
-more than a few hundred MB. Keys are unique in the table and in the batch, so
-hashing spreads rows evenly and no key can skew a bucket.
-
-Limitation (no transaction log): the overwrite of a bucket is a delete then a
-move. A driver crash between the two loses that bucket's untouched rows;
-recover with ``stratum.streaming.silver.rebuild``, which recomputes the table
-from the append-only Bronze table.
+Contract: after ``upsert(batch, table)`` every key of ``batch`` has the batch's
+row, every other key keeps its row, and running it again with the same origin
+changes nothing (so a replayed micro-batch is harmless).
+
+Layout of a table's directory::
+
+    _layout/snapshot=<n>                   keys, columns and version column (one line of JSON)
+    base=<s>                               one row per key: all changes up to number s
+    changes/_seq=<s>/_origin=<o>           rows of one upsert, one per key
+
+An upsert writes its own change directory and nothing else, so its cost is that
+of the batch, and a replay (same origin) overwrites just that directory. Readers
+take, for each key, the row of the latest change, and the base's for keys without
+one. When the changes have grown to a share of the base, ``compact`` writes a new
+base beside the old one. A directory without Spark's ``_SUCCESS`` marker does not
+exist for readers, so a crash at any point leaves the state before the write.
+
+One writer per table at a time; any number of readers. Directories that a new
+base replaces are removed by the compaction after it.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.operators.refine import latest_per_key
-from stratum.sources.tables import is_path, read_partitions, read_table, table_exists
-from stratum.specs import BUCKET
-
-
-def bucket_of(keys: Sequence[str], buckets: int):
-    return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets))
-
-
-SPREAD = "_spread"
-SOURCE_TAG = "_src"
-
-
-def _distribute(df: DataFrame, keys: Sequence[str], n_buckets: int,
-                files_per_bucket: int) -> tuple[DataFrame, list[str]]:
-    """Hash rows to write tasks by bucket; returns the frame and the columns it
-    is partitioned by. With ``files_per_bucket > 1`` a second, independent hash
-    of the keys splits each bucket over that many tasks (a fixed partition
-    count, which adaptive coalescing keeps)."""
-    if files_per_bucket > 1:
-        df = df.withColumn(SPREAD, F.pmod(F.xxhash64(*[F.col(k) for k in keys]),
-                                          F.lit(files_per_bucket)))
-        return df.repartition(max(1, n_buckets * files_per_bucket), BUCKET, SPREAD), [BUCKET, SPREAD]
-    return df.repartition(BUCKET), [BUCKET]
-
-
-def table_location(spark, ref: str) -> str:
-    """Storage path of a table: the path itself, or a catalog table's location."""
-    if is_path(ref):
-        return ref
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {ref}").collect()
-    return next(r.data_type for r in rows if r.col_name == "Location")
-
-
-def _save(df: DataFrame, ref: str, only_present_buckets: bool, mode: str = "overwrite") -> None:
-    """Write partitioned by ``_bucket``: a new table (``mode``), or (dynamic
-    partition overwrite) only the buckets present in ``df``. A catalog table is
-    rewritten through its location (an overwrite of a table that is also being
-    read is refused by name), then its partitions are re-registered."""
-    writer = df.write.format("parquet").partitionBy(BUCKET)
-    if not only_present_buckets:
-        writer = writer.mode(mode)
-        writer.save(ref) if is_path(ref) else writer.saveAsTable(ref)
-        return
-    spark = df.sparkSession
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(
-        table_location(spark, ref))
-    if not is_path(ref):
-        spark.catalog.recoverPartitions(ref)
-        spark.catalog.refreshTable(ref)
-
-
-LAYOUT = "_buckets"
-
-
-def _write_layout(spark, ref: str, buckets: int) -> None:
-    """Record the bucket count next to the data as ``_buckets_<n>/`` (paths
-    starting with ``_`` and without ``=`` are not read as table data)."""
-    (spark.createDataFrame([(str(buckets),)], "value string").coalesce(1)
-     .write.mode("overwrite").text(f"{table_location(spark, ref).rstrip('/')}/{LAYOUT}_{buckets}"))
-
-
-def _check_layout(spark, ref: str, buckets: int) -> None:
-    """Refuse an upsert whose bucket count differs from the table's. The
-    matching case only resolves one path (no Spark job)."""
-    root = table_location(spark, ref).rstrip("/")
-    try:
-        spark.read.text(f"{root}/{LAYOUT}_{buckets}")
-        return
-    except AnalysisException:
-        pass
-    try:
-        stored = spark.read.text(f"{root}/{LAYOUT}_*").first().value
-    except AnalysisException:
-        return  # table not created by write_buckets: nothing recorded
-    raise ValueError(f"{ref} was created with {stored} buckets, not {buckets}; "
-                     "the bucket count is fixed when a table is created")
-
-
-def write_buckets(df: DataFrame, ref: str, keys: Sequence[str], buckets: int,
-                  files_per_bucket: int = 1, mode: str = "overwrite") -> None:
-    """Create (``mode='errorifexists'``) or replace (``'overwrite'``) a
-    bucketed table from rows with unique keys."""
-    staged = df.withColumn(BUCKET, bucket_of(keys, buckets))
-    dist, by = _distribute(staged, keys, buckets, files_per_bucket)
-    _save(dist.sortWithinPartitions(*by).drop(SPREAD), ref, False, mode)
-    _write_layout(df.sparkSession, ref, buckets)
-
-
-def merge_plan(staged: DataFrame, ref: str, keys: Sequence[str], touched: Sequence[int],
-               version_column: str | None = None, files_per_bucket: int = 1) -> DataFrame:
-    """New content of the touched buckets: stored rows (tag 0) and batch rows
-    (tag 1, carrying ``_bucket``) hashed once by bucket; per key the highest
-    tag survives (after the newest version, with ``version_column``)."""
-    spark = staged.sparkSession
-    keys = list(keys)
-    if is_path(ref):
-        current = read_partitions(spark, ref, BUCKET, touched)
-    else:
-        current = read_table(spark, ref).filter(F.col(BUCKET).isin(list(touched)))
-    incoming = staged.withColumn(SOURCE_TAG, F.lit(1))
-    if current is None:       # every touched bucket is new
-        both = incoming
-    else:
-        both = (current.withColumn(SOURCE_TAG, F.lit(0))
-                .unionByName(incoming, allowMissingColumns=True)
-                .select(*current.columns, SOURCE_TAG))
-    dist, by = _distribute(both, keys, len(touched), files_per_bucket)
-    order = [F.col(version_column).desc_nulls_last()] if version_column else []
-    order.append(F.col(SOURCE_TAG).desc())
-    return latest_per_key(dist, by + keys, order).drop(SOURCE_TAG, SPREAD)
-
-
-def upsert(batch: DataFrame, ref: str, keys: Sequence[str], buckets: int = 16,
-           version_column: str | None = None, files_per_bucket: int = 1) -> None:
-    """Insert new keys and replace existing ones with the batch's rows.
-
-    ``batch`` must hold at most one row per key. With ``version_column`` set,
-    a batch row older than the stored row of its key is ignored (otherwise
-    the later batch wins, whatever its version).
-
-    Plan: stored rows of the touched buckets (tag 0) and batch rows (tag 1) are
-    hashed once by bucket; per key the row with the highest tag survives
-    (``row_number`` over a partitioning the shuffle already provides), and the
-    result is written back over those buckets. One shuffle of the touched data.
-    """
-    spark = batch.sparkSession
-    keys = list(keys)
-    staged = batch.withColumn(BUCKET, bucket_of(keys, buckets)).persist()
-    try:
-        if not table_exists(spark, ref):
-            # a path that exists without a commit marker is refused, not replaced
-            write_buckets(staged, ref, keys, buckets, files_per_bucket, mode="errorifexists")
-            return
-        _check_layout(spark, ref, buckets)
-        # At most `buckets` distinct values: a bounded collect.
-        touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        merged = merge_plan(staged, ref, keys, touched, version_column, files_per_bucket)
-        _save(merged, ref, only_present_buckets=True)
-    finally:
-        staged.unpersist()
+from stratum.sources import storage
+
+SEQ, ORIGIN = "_seq", "_origin"
+#: Changes are folded into the base at this share of its bytes, or this number.
+COMPACT_SHARE, MOST_CHANGES = 0.5, 32
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """What every directory of the table agrees on."""
+    keys: tuple[str, ...]
+    schema: T.StructType
+    version: str | None = None
+
+    def to_json(self) -> str:
+        return json.dumps({"keys": self.keys, "version": self.version, "schema": self.schema.jsonValue()})
+
+    @staticmethod
+    def of_json(text: str) -> "Layout":
+        raw = json.loads(text)
+        return Layout(tuple(raw["keys"]), T.StructType.fromJson(raw["schema"]), raw["version"])
+
+
+@dataclass(frozen=True)
+class State:
+    """The live directories: the base's number (0: none) and path, and the
+    committed changes after it as (number, path)."""
+    base_seq: int
+    base: str | None
+    changes: tuple[tuple[int, str], ...]
+
+
+class KeyedTable:
+    """A keyed table under ``path`` (a shared folder)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    # ------------------------------------------------------------- reading
+
+    def layout(self) -> Layout | None:
+        live = storage.live_snapshot(self.spark, f"{self.path}/_layout")
+        return Layout.of_json(self.spark.read.text(live).first().value) if live else None
+
+    def exists(self) -> bool:
+        return self.layout() is not None
+
+    def _all_changes(self) -> list[tuple[int, str, str]]:
+        """(number, origin, path) of every change directory, committed or not."""
+        out = []
+        for name in storage.names(self.spark, f"{self.path}/changes"):
+            seq = re.fullmatch(f"{SEQ}=(\\d+)", name)
+            for below in storage.names(self.spark, f"{self.path}/changes/{name}") if seq else ():
+                if below.startswith(f"{ORIGIN}="):
+                    out.append((int(seq[1]), below.partition("=")[2], f"{self.path}/changes/{name}/{below}"))
+        return sorted(out)
+
+    def state(self) -> State:
+        bases = storage.numbered(self.spark, self.path, "base")
+        seq = bases[-1] if bases else 0
+        changes = tuple((n, p) for n, _, p in self._all_changes()
+                        if n > seq and storage.committed(self.spark, p))
+        return State(seq, f"{self.path}/base={seq}" if bases else None, changes)
+
+    def query(self, state: State | None = None) -> str:
+        """The table's rows as SQL over its live directories.
+
+        With a base and changes, only the changes are ordered by key; the base
+        is anti-joined with their keys. With a version column the stored rows of
+        these keys compete with the changes by version first."""
+        layout, state = self._existing(), state or self.state()
+        columns = ", ".join(_quoted(f.name) for f in layout.schema)
+        keys = ", ".join(map(_quoted, layout.keys))
+        same = " AND ".join(f"b.{_quoted(k)} <=> n.{_quoted(k)}" for k in layout.keys)
+        base = f"SELECT {columns} FROM parquet.`{state.base}`"
+        parts = [f"SELECT {columns}, {n} AS {SEQ} FROM parquet.`{p}`" for n, p in state.changes]
+        if not parts:
+            if state.base:
+                return base
+            typed = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {_quoted(f.name)}" for f in layout.schema)
+            return f"SELECT {typed} WHERE false"
+        if state.base is None and len(parts) == 1:
+            return f"SELECT {columns} FROM ({parts[0]})"
+        order = f"{SEQ} DESC"
+        if layout.version:
+            order = f"{_quoted(layout.version)} DESC NULLS LAST, {order}"
+            if state.base:
+                parts.append(f"SELECT {columns}, 0 AS {SEQ} FROM parquet.`{state.base}` b WHERE EXISTS "
+                             f"(SELECT 1 FROM ({' UNION ALL '.join(parts)}) n WHERE {same})")
+        newest = (f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS _rn "
+                  f"FROM ({' UNION ALL '.join(parts)})) WHERE _rn = 1")
+        if state.base is None:
+            return newest
+        return (f"SELECT {columns} FROM parquet.`{state.base}` b WHERE NOT EXISTS "
+                f"(SELECT 1 FROM ({newest}) n WHERE {same}) UNION ALL {newest}")
+
+    def read(self) -> DataFrame:
+        return self.spark.sql(self.query())
+
+    # ------------------------------------------------------------- writing
+
+    def _existing(self) -> Layout:
+        layout = self.layout()
+        if layout is None:
+            raise ValueError(f"no keyed table at {self.path}")
+        return layout
+
+    def _write_layout(self, layout: Layout) -> None:
+        line = self.spark.createDataFrame([(layout.to_json(),)], "value string").coalesce(1)
+        storage.write_snapshot(line, f"{self.path}/_layout", "text")
+
+    def create(self, schema: T.StructType, keys: Sequence[str], version_column: str | None = None) -> Layout:
+        """Record the layout; it precedes any data. A path that holds something
+        else is refused."""
+        if storage.names(self.spark, self.path) not in ([], ["_layout"]):
+            raise ValueError(f"{self.path} holds files but no table layout; it is not replaced")
+        missing = set(keys) - set(schema.names)
+        if missing or not keys:
+            raise ValueError(f"keys {sorted(missing)} are not columns of the table" if missing else "a table needs keys")
+        plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        self._write_layout(Layout(tuple(keys), plain, version_column))
+        return self._existing()
+
+    def reconciled(self, batch: DataFrame, layout: Layout, evolve: bool) -> tuple[DataFrame, Layout]:
+        """The batch with the table's columns. A column that the batch lacks keeps
+        its stored value; one that the table lacks is refused, or added with
+        ``evolve``; a changed type is refused."""
+        stored = {f.name: f.dataType for f in layout.schema}
+        new = [f for f in batch.schema if f.name not in stored]
+        changed = [f"{f.name}: {stored[f.name].simpleString()} is now {f.dataType.simpleString()}"
+                   for f in batch.schema if f.name in stored and f.dataType != stored[f.name]]
+        lost_keys = [k for k in layout.keys if k not in batch.columns]
+        if changed or lost_keys or new and not evolve:
+            raise ValueError(f"{self.path}: the batch does not fit the table: "
+                             + "; ".join([*changed, *[f"key {k} is missing" for k in lost_keys],
+                                          *[f"column {f.name} is unknown" for f in new if not evolve]]))
+        if new:
+            layout = self._add_columns(layout, new)
+        missing = [f.name for f in layout.schema if f.name not in batch.columns]
+        if missing:
+            kept = self.read().select(*[F.col(k).alias(f"_stored_{k}") for k in layout.keys], *missing)
+            same = [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in layout.keys]
+            batch = batch.join(kept, same, "left")
+        return batch.select(*layout.schema.names), layout
+
+    def _add_columns(self, layout: Layout, new: list[T.StructField]) -> Layout:
+        """Rewrite the rows with the new columns (null) before the layout says
+        so: all live directories always have all columns."""
+        wider = replace(layout, schema=T.StructType([*layout.schema, *[T.StructField(f.name, f.dataType) for f in new]]))
+        rows = self.read().withColumns({f.name: F.lit(None).cast(f.dataType) for f in new})
+        self._write_base(rows, self.state().base_seq, self._next_seq())
+        self._write_layout(wider)
+        return wider
+
+    def _next_seq(self) -> int:
+        bases = storage.numbered(self.spark, self.path, "base")
+        return max([0, *bases[-1:], *[n for n, _, _ in self._all_changes()]]) + 1
+
+    def upsert(self, batch: DataFrame, keys: Sequence[str], origin: str | None = None,
+               order: Sequence[Column] | None = None, version_column: str | None = None,
+               evolve: bool = False) -> None:
+        """Insert new keys and replace existing ones with the batch's rows.
+
+        ``origin`` names the batch: the same origin again overwrites what it
+        wrote. Rows of one key in the batch are folded by ``order`` (default: the
+        largest values win). With a version column, given when the table is
+        created, a row never replaces one with a newer version."""
+        layout = self.layout() or self.create(batch.schema, keys, version_column)
+        if tuple(keys) != layout.keys or version_column != layout.version:
+            raise ValueError(f"{self.path} was created with keys {list(layout.keys)} and version column "
+                             f"{layout.version}, not {list(keys)} and {version_column}")
+        rows, layout = self.reconciled(batch, layout, evolve)
+        rest = [c for c in layout.schema.names if c not in layout.keys]
+        if order is None:
+            first = [layout.version] if layout.version else []
+            order = [F.col(c).desc_nulls_last() for c in first + [c for c in rest if c not in first]]
+        rows = latest_per_key(rows, layout.keys, order or [F.lit(1)])
+        name = re.sub(r"[^A-Za-z0-9.-]", "-", origin or uuid.uuid4().hex)
+        again = [p for _, o, p in self._all_changes() if o == name]
+        target = again[0] if again else f"{self.path}/changes/{SEQ}={self._next_seq()}/{ORIGIN}={name}"
+        rows.write.mode("overwrite").parquet(target)
+        if self.due():
+            self.compact()
+
+    def due(self, share: float = COMPACT_SHARE, most: int = MOST_CHANGES) -> bool:
+        """Whether the changes have grown enough to be folded. The first change of
+        a table serves as its base until then."""
+        state = self.state()
+        paths = [p for _, p in state.changes]
+        base, later = (state.base, paths) if state.base else (paths[:1][0] if paths else None, paths[1:])
+        if not later:
+            return False
+        return len(later) >= most or sum(storage.size(self.spark, p) for p in later) > share * storage.size(self.spark, base)
+
+    def compact(self) -> None:
+        """Fold the changes into a new base; the old one is live until it is
+        complete. Files get Spark's advisory partition size, whatever the table's."""
+        state = self.state()
+        if state.changes:
+            self._write_base(self.spark.sql(self.query(state)), state.base_seq, state.changes[-1][0])
+
+    def replace(self, rows: DataFrame, order: Sequence[Column]) -> None:
+        """New content for the whole table (recovery by recomputation)."""
+        layout = self._existing()
+        rows, layout = self.reconciled(rows, layout, False)
+        self._write_base(latest_per_key(rows, layout.keys, order), self.state().base_seq, self._next_seq())
+
+    def _write_base(self, rows: DataFrame, before: int, seq: int) -> None:
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/base={seq}")
+        # What the base before this one had replaced is out of every reader's sight.
+        for n in storage.numbered(self.spark, self.path, "base"):
+            if n < before:
+                storage.remove(self.spark, f"{self.path}/base={n}")
+        for n, _, path in self._all_changes():
+            if n <= before:
+                storage.remove(self.spark, path.rpartition("/")[0])
+
+
+def upsert(batch: DataFrame, path: str, keys: Sequence[str], **options) -> None:
+    """``KeyedTable.upsert`` on the table at ``path``."""
+    KeyedTable(batch.sparkSession, path).upsert(batch, keys, **options)

@@ -14,6 +14,8 @@ scans). Shape rules followed throughout, for scale:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ from stratum.specs import load_spec
 # ---------------------------------------------------------------- dimensions
 
 
-def dimension(silver: DataFrame, columns: list[str] | None) -> DataFrame:
+def dimension(silver: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     """Configured column subset of a Silver table (metadata columns dropped)."""
     return select_columns(silver, columns)
 
@@ -58,17 +60,16 @@ def dim_dates_from(bounds: DataFrame, start_col: str = "start", end_col: str = "
 
 def calendar_bounds(orders: DataFrame, ahead_days: int = 90) -> DataFrame:
     """One-row bounds for the calendar over the data: January 1st of the first
-    purchase year through the last purchase + ``ahead_days`` (the data's
-    stand-in for the reference's fixed start and "today + 90 days")."""
+    purchase year through the last purchase + ``ahead_days``."""
     return orders.agg(
         F.trunc(F.min("order_purchase_timestamp").cast("date"), "year").alias("start"),
         F.date_add(F.max("order_purchase_timestamp").cast("date"), ahead_days).alias("end"),
     )
 
 
-def gold_columns(name: str) -> list[str] | None:
+def gold_columns(name: str) -> tuple[str, ...] | None:
     """Column list of a Gold dimension spec."""
-    return load_spec(name, "gold").select_columns
+    return load_spec(name, "gold").columns
 
 
 # --------------------------------------------------------------------- facts
@@ -126,7 +127,7 @@ def fact_seller_performance(sellers: DataFrame, order_items: DataFrame, orders:
                        F.avg("avg_review_score").alias("avg_review_score")))
     out = (sellers.select("seller_id").join(per_seller, "seller_id", "left")
            .select("seller_id", "sum_revenue", "count_overdue_delivery", "avg_review_score"))
-    return out.orderBy(F.col("count_overdue_delivery").desc_nulls_last()) if ordered else out
+    return out.orderBy(F.col("count_overdue_delivery").desc_nulls_last(), "seller_id") if ordered else out
 
 
 def fact_product_performance(order_items: DataFrame, products: DataFrame,
@@ -171,6 +172,6 @@ def fact_payment_summary(order_payments: DataFrame, orders: DataFrame, customers
     if ordered:
         out = out.orderBy(F.col("total_payment_value").desc_nulls_last(),
                           F.col("total_methods_distincts_payments").desc_nulls_last(),
-                          F.col("customer_state").asc_nulls_first())
+                          F.col("customer_state").asc_nulls_first(), "order_id")
     return out
 

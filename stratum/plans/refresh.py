@@ -1,35 +1,57 @@
 """Whole-lake refresh: Bronze for every dataset, then Silver, then Gold.
 
 Each step only needs the tables it reads: dataset X's Silver step needs only
-its Bronze step, and every Gold table needs only Silver. With ``parallel > 1``
-independent steps are submitted from that many driver threads, so their Spark
-jobs share the cluster (Spark's own scheduler runs them); Gold starts when
-every Silver table is done.
+its Bronze step, and every Gold table only the Silver tables it names. With
+``parallel > 1`` independent steps are submitted from that many driver threads,
+so their Spark jobs share the cluster; Gold starts when every Silver table it
+reads is done.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import partial
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratum.operators.upsert import KeyedTable
 from stratum.plans import gold
 from stratum.session import Lake
+from stratum.sources import storage
 from stratum.sources.files import write_landing
-from stratum.sources.tables import read_table, write_table
-from stratum.specs import datasets, load_spec
+from stratum.sources.tables import bronze_exists, read_bronze, read_snapshot
+from stratum.specs import TableName, datasets, is_metadata, load_spec
 from stratum.streaming import bronze, silver
 
-# Gold fact -> the Silver tables it reads.
-FACT_INPUTS = {
-    "fact_sales": ("orders", "order_items", "customers"),
-    "fact_seller_performance": ("sellers", "order_items", "orders", "order_reviews"),
-    "fact_product_performance": ("order_items", "products", "order_reviews"),
-    "fact_payment_summary": ("order_payments", "orders", "customers"),
+# Fixed value: the first day of the calendar.
+CALENDAR_START = "2016-01-01"
+
+
+@dataclass(frozen=True)
+class Fact:
+    """A Gold table computed from Silver tables, in the order of its arguments."""
+    inputs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+
+
+FACTS = {
+    "fact_sales": Fact(("orders", "order_items", "customers"), gold.fact_sales),
+    "fact_seller_performance": Fact(("sellers", "order_items", "orders", "order_reviews"),
+                                    partial(gold.fact_seller_performance, ordered=False)),
+    "fact_product_performance": Fact(("order_items", "products", "order_reviews"), gold.fact_product_performance),
+    "fact_payment_summary": Fact(("order_payments", "orders", "customers"),
+                                 partial(gold.fact_payment_summary, ordered=False)),
 }
+CALENDAR = "dim_dates"
+
+
+def gold_tables(conf: Path | str | None = None) -> list[str]:
+    return [*datasets("gold", conf), *FACTS, CALENDAR]
 
 
 def run_all(steps: list[Callable[[], object]], parallel: int = 1) -> list:
@@ -43,79 +65,87 @@ def run_all(steps: list[Callable[[], object]], parallel: int = 1) -> list:
 
 def stage_landing(frames: dict[str, DataFrame], lake: Lake, parallel: int = 1) -> None:
     """Drop one landing file set per dataset (a distributed CSV write each)."""
-    run_all([lambda n=n, df=df: write_landing(df, lake.landing(n)) for n, df in frames.items()],
-            parallel)
-
-
-def gold_dimension(spark: SparkSession, name: str, lake: Lake) -> str:
-    spec = load_spec(name, "gold")
-    src = silver.read_silver(spark, spec.source_table, lake)
-    target = lake.table("gold", spec.target_table)
-    write_table(gold.dimension(src, spec.select_columns), target)
-    return target
-
-
-def build_gold(spark: SparkSession, lake: Lake, calendar_start=None, calendar_end=None,
-               parallel: int = 1) -> dict[str, str]:
-    s = {n: silver.read_silver(spark, n, lake) for n in datasets("silver")}
-    dims = datasets("gold")
-    out = dict(zip(dims, run_all([lambda n=n: gold_dimension(spark, n, lake) for n in dims],
-                                 parallel)))
-    facts = {
-        "fact_sales": lambda: gold.fact_sales(s["orders"], s["order_items"], s["customers"]),
-        "fact_seller_performance": lambda: gold.fact_seller_performance(
-            s["sellers"], s["order_items"], s["orders"], s["order_reviews"]),
-        "fact_product_performance": lambda: gold.fact_product_performance(
-            s["order_items"], s["products"], s["order_reviews"]),
-        "fact_payment_summary": lambda: gold.fact_payment_summary(
-            s["order_payments"], s["orders"], s["customers"]),
-    }
-    if calendar_start is None:
-        facts["dim_dates"] = lambda: gold.dim_dates_from(gold.calendar_bounds(s["orders"]))
-    else:
-        facts["dim_dates"] = lambda: gold.dim_dates(spark, calendar_start, calendar_end)
-    for name in facts:
-        out[name] = lake.table("gold", name)
-    run_all([lambda n=n, b=b: write_table(b(), out[n]) for n, b in facts.items()], parallel)
-    return out
+    run_all([partial(write_landing, df, lake.landing(n)) for n, df in frames.items()], parallel)
+
+
+def gold_target(name: str, conf: Path | str | None = None) -> TableName:
+    return load_spec(name, "gold", conf).target if name in datasets("gold", conf) else TableName("gold", name)
+
+
+def gold_frame(spark: SparkSession, name: str, lake: Lake, conf: Path | str | None = None,
+               calendar_start=None, calendar_end=None) -> DataFrame:
+    """The rows of one Gold table from the Silver tables that it reads, and no others."""
+    if name == CALENDAR:
+        return gold.dim_dates(spark, calendar_start or CALENDAR_START, calendar_end)
+    if name in FACTS:
+        return FACTS[name].build(*[silver.read_silver(spark, n, lake, conf) for n in FACTS[name].inputs])
+    spec = load_spec(name, "gold", conf)
+    return gold.dimension(KeyedTable(spark, lake.path(spec.source)).read(), spec.columns)
+
+
+def build_gold(spark: SparkSession, lake: Lake, calendar_start=None, calendar_end=None, parallel: int = 1,
+               names: Iterable[str] | None = None, conf: Path | str | None = None) -> dict[str, str]:
+    """Rebuild the named Gold tables (default: all); returns how to read each. The
+    calendar runs from ``CALENDAR_START`` to 90 days from today unless told
+    otherwise. A table stays as it was until its new content is complete."""
+    names = list(names or gold_tables(conf))
+    unknown = set(names) - set(gold_tables(conf))
+    if unknown:
+        raise ValueError(f"no Gold table {', '.join(sorted(unknown))}; there are {', '.join(gold_tables(conf))}")
+
+    def build(name: str) -> str:
+        target = gold_target(name, conf)
+        rows = gold_frame(spark, name, lake, conf, calendar_start, calendar_end)
+        live = storage.write_snapshot(rows, lake.path(target))
+        return lake.publish(spark, target, f"SELECT * FROM parquet.`{live}`")
+
+    return dict(zip(names, run_all([partial(build, n) for n in names], parallel)))
 
 
 def full_refresh(spark: SparkSession, lake: Lake, run_id: str | None = None,
-                 ingest_ts: dt.datetime | None = None, calendar_start=None,
-                 calendar_end=None, parallel: int = 1) -> dict[str, str]:
-    """Ingest new landing files, refine them, rebuild Gold; returns Gold paths."""
+                 ingest_ts: dt.datetime | None = None, calendar_start=None, calendar_end=None,
+                 parallel: int = 1, max_files_per_trigger: int | None = None,
+                 conf: Path | str | None = None) -> dict[str, str]:
+    """Ingest new landing files, refine them, rebuild Gold; returns how to read Gold."""
     run_id = run_id or str(uuid.uuid4())
     ingest_ts = ingest_ts or dt.datetime.now(dt.timezone.utc)
 
     def chain(name: str) -> None:      # dataset X: Bronze X, then Silver X
-        bronze.ingest(spark, name, lake, ingest_ts=ingest_ts)
-        silver.refine_stream(spark, name, lake, run_id=run_id)
-
-    run_all([lambda n=n: chain(n) for n in datasets("silver")], parallel)
-    return build_gold(spark, lake, calendar_start, calendar_end, parallel)
-
-
-def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    return read_table(spark, lake.table("gold", name))
-
-
-def register_views(spark: SparkSession, lake: Lake, layers=("bronze", "silver", "gold")) -> list[str]:
-    """Expose every existing lake table as a temp view ``<layer>_<table>`` so
-    the tables can be queried with ``spark.sql`` (Silver views hide
-    ``_bucket``)."""
-    from stratum.sources.tables import table_exists
-    names = {"bronze": datasets("bronze"), "silver": datasets("silver"),
-             "gold": datasets("gold") + list(FACT_INPUTS) + ["dim_dates"]}
-    out = []
-    for layer in layers:
-        for name in names[layer]:
-            ref = lake.table(layer, name)
-            if not table_exists(spark, ref):
-                continue
-            df = read_table(spark, ref)
-            if layer == "silver":
-                df = df.drop("_bucket")
-            view = f"{layer}_{name}"
-            df.createOrReplaceTempView(view)
-            out.append(view)
+        bronze.ingest(spark, name, lake, ingest_ts=ingest_ts, max_files_per_trigger=max_files_per_trigger, conf=conf)
+        silver.refine_stream(spark, name, lake, run_id, max_files_per_trigger, conf)
+
+    run_all([partial(chain, n) for n in datasets("silver", conf)], parallel)
+    return build_gold(spark, lake, calendar_start, calendar_end, parallel, conf=conf)
+
+
+def read_gold(spark: SparkSession, lake: Lake, name: str, conf: Path | str | None = None) -> DataFrame:
+    return read_snapshot(spark, lake.path(gold_target(name, conf)))
+
+
+def register_views(spark: SparkSession, lake: Lake, conf: Path | str | None = None) -> list[str]:
+    """Every existing lake table as a temp view ``<schema>_<table>``; Silver and
+    Bronze views keep their ``_`` columns."""
+    out: list[str] = []
+
+    def view(name: TableName, df: DataFrame) -> None:
+        out.append(f"{name.schema}_{name.table}")
+        df.createOrReplaceTempView(out[-1])
+
+    for n in datasets("bronze", conf):
+        target = load_spec(n, "bronze", conf).target
+        if bronze_exists(spark, lake.path(target)):
+            view(target, read_bronze(spark, lake.path(target)))
+    for n in datasets("silver", conf):
+        target = load_spec(n, "silver", conf).target
+        table = KeyedTable(spark, lake.path(target))
+        if table.exists():
+            view(target, table.read())
+    for n in gold_tables(conf):
+        target = gold_target(n, conf)
+        if storage.live_snapshot(spark, lake.path(target)):
+            view(target, read_snapshot(spark, lake.path(target)))
     return out
+
+
+def business_columns(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in df.columns if not is_metadata(c)])

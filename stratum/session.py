@@ -7,13 +7,18 @@ the bench only.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from stratum.specs import TableName
+
 # Settings the pipeline relies on, applied by local_session. On a cluster they
 # belong in the job's own configuration.
 RECOMMENDED_CONF = {
@@ -48,67 +53,57 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the job to a shared file system. Only when it is
-    unset (local tests) is a scratch folder created and registered.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, or the one set on the
+    running context. Only a local master gets a scratch folder of its own when
+    neither is set (removed at exit); on a cluster that is an error, since
+    executors would write to their own disks."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if id(spark) in _SCRATCH:
-        return _SCRATCH[id(spark)]
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session has no local SparkContext
-        sc = None
-    if sc is not None:
-        current = sc.getCheckpointDir()
-        if current:
-            # SparkContext appends its own uuid folder; use its parent.
-            return os.path.dirname(current.rstrip("/"))
-    # spark.checkpoint.dir cannot be changed on a running session; register a
-    # scratch folder with the SparkContext (local runs) and remember it.
-    root = _SCRATCH[id(spark)] = tempfile.mkdtemp(prefix="stratum-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(root)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return os.path.dirname(current.rstrip("/"))     # the context appends a folder of its own
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = tempfile.mkdtemp(prefix="stratum-scratch-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    sc.setCheckpointDir(root)
     return root
 
 
-_SCRATCH: dict[int, str] = {}
-
-
 @dataclass(frozen=True)
 class Lake:
     """Where a lakehouse keeps its tables, landing files and stream progress.
 
-    ``root`` must be a shared file system path on a cluster. By default tables
-    are path-addressed parquet directories (no metastore needed). With
-    ``databases`` set (a name prefix, may be ``""``), tables are catalog tables
-    ``<prefix><layer>.<name>`` in databases whose location is under ``root``;
-    call ``create_databases`` once.
+    ``root`` must be a folder that all executors share. Tables are parquet
+    directories ``<root>/<schema>/<table>``. With ``databases`` set (a name prefix,
+    may be ``""``) every table is also a view ``<prefix><schema>.<table>`` of its
+    live directories, replaced in one step after each write.
     """
 
     root: str
     databases: str | None = None
 
-    def table(self, layer: str, name: str) -> str:
-        if self.databases is not None:
-            return f"{self.databases}{layer}.{name}"
-        return f"{self.root}/{layer}/{name}"
+    def path(self, name: TableName) -> str:
+        return f"{self.root}/{name.schema}/{name.table}"
 
-    def create_databases(self, spark: SparkSession, layers=("bronze", "silver", "gold")) -> None:
-        if self.databases is None:
-            return
-        for layer in layers:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.databases}{layer} "
-                      f"LOCATION '{self.root}/{layer}'")
+    def ref(self, name: TableName) -> str:
+        """How a user reads the table: the view's name, else the path."""
+        return self.path(name) if self.databases is None else f"{self.databases}{name.schema}.{name.table}"
+
+    def publish(self, spark: SparkSession, name: TableName, query: str) -> str:
+        if self.databases is not None:
+            schema = f"{self.databases}{name.schema}"
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.root}/{name.schema}'")
+            spark.sql(f"CREATE OR REPLACE VIEW {self.ref(name)} AS {query}")
+        return self.ref(name)
 
     def landing(self, dataset: str) -> str:
         return f"{self.root}/landing/{dataset}"
 
-    def checkpoint(self, layer: str, name: str) -> str:
-        return f"{self.root}/_checkpoints/{layer}/{name}"
+    def checkpoint(self, name: TableName) -> str:
+        return f"{self.root}/_checkpoints/{name.schema}/{name.table}"
 
     @staticmethod
     def fresh(spark: SparkSession, label: str = "lake") -> "Lake":

@@ -28,15 +28,24 @@ CSV_DIALECT = {
 
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
 
+#: Longer than any file's age. Spark's own default skips, without a word, a file
+#: more than seven days older than the newest one seen.
+ANY_AGE = "36500d"
+
+#: Bytes of one landing file, about. A multi-line CSV file is read by one task.
+LANDING_FILE_BYTES = 64 << 20
+TEXT_BYTES = 16
+
 
 def read_file_stream(spark: SparkSession, path: str, file_format: str,
                      options: Mapping[str, str], schema: T.StructType,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of the rows of files landing under ``path`` (a directory or glob)."""
-    reader = spark.readStream.format(file_format).schema(schema).options(**dict(options))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+                     max_files_per_trigger: int, max_file_age: str | None = None) -> DataFrame:
+    """Stream of the rows of files landing under ``path`` (a directory or glob),
+    at most so many files a micro-batch. Files of any age are taken unless
+    ``max_file_age`` (Spark's option) narrows it: older ones are then skipped."""
+    return (spark.readStream.format(file_format).schema(schema)
+            .option("maxFileAge", max_file_age or ANY_AGE)
+            .option("maxFilesPerTrigger", str(max_files_per_trigger)).options(**dict(options)).load(path))
 
 
 def read_files(spark: SparkSession, path: str, file_format: str,
@@ -59,14 +68,16 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def write_landing(df: DataFrame, path: str, options: Mapping[str, str] | None = None,
-                  max_records_per_file: int = 100_000) -> None:
+                  file_bytes: int = LANDING_FILE_BYTES) -> None:
     """Write a DataFrame as landing CSV files (a new drop into ``path``).
 
-    Appends, so earlier drops stay; each drop is a distributed write with files
-    capped at ``max_records_per_file`` rows. A multi-line CSV file is read
-    whole by one task, so bounded files keep the ingest parallel.
+    Appends, so earlier drops stay. Files are bounded by bytes (about ``TEXT_BYTES`` a
+    column and row), so the ingest stays parallel without
+    millions of small files.
     """
+    text = as_text(df)
+    row_bytes = TEXT_BYTES * max(1, len(text.columns))
     opts = {k: v for k, v in (options or CSV_DIALECT).items()
             if k in ("header", "sep", "quote", "escape", "encoding")}
-    (as_text(df).write.mode("append").options(**opts)
-     .option("maxRecordsPerFile", str(max_records_per_file)).csv(path))
+    (text.write.mode("append").options(**opts)
+     .option("maxRecordsPerFile", str(max(1, file_bytes // row_bytes))).csv(path))

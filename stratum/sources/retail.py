@@ -33,18 +33,9 @@ ESTIMATED_DELIVERY_DAYS = 60
 REVIEW_SCORES = {"purchase": 5, "click": 4, "view": 3, "signup": 2}
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of a driver table. The driver tables are read-only, so the relation
-    (file listing and footer schema) is resolved once per session and path."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _RELATIONS[key] = spark.read.parquet(path)
-    return df
+    """Scan of a driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,21 +152,6 @@ def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-VIEWS = {
-    "order_items": order_items,
-    "order_payments": order_payments,
-    "orders": orders,
-    "customers": customers,
-    "sellers": sellers,
-    "products": products,
-    "order_reviews": order_reviews,
-}
-
-
-def silver_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir) for name, fn in VIEWS.items()}
-
-
 def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """What lands as CSV for each dataset: the raw rows (order items keep
     their repeated keys; Silver deduplicates them), in Silver column order."""

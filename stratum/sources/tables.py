@@ -1,85 +1,36 @@
-"""Table sources (batch scan, stream of appends) and the batch sink.
-
-A table is addressed either by a catalog name (``silver.orders``) or by a
-path on the shared file system (anything containing ``/``). Path tables are
-plain parquet directories, so they need no metastore.
-"""
+"""Table reads: a table that is replaced as a whole, and the stream of rows
+appended to a Bronze table."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from stratum.sources import storage
+from stratum.sources.files import ANY_AGE
 
-def is_path(ref: str) -> bool:
-    return "/" in ref or ":" in ref
-
-
-def table_exists(spark: SparkSession, ref: str) -> bool:
-    """First-write detection: catalog lookup, or the commit marker of a path
-    table (``_SUCCESS`` from a batch write, ``_spark_metadata`` from a
-    streaming file sink). Looks at one entry, never lists the table's files."""
-    if not is_path(ref):
-        return spark.catalog.tableExists(ref)
-    for marker in ("_SUCCESS", "_spark_metadata"):
-        try:
-            spark.read.text(f"{ref.rstrip('/')}/{marker}")
-            return True
-        except AnalysisException:
-            continue
-    return False
-
-
-def read_partitions(spark: SparkSession, ref: str, column: str, values) -> DataFrame | None:
-    """Rows of the given partitions of a path table, listing only those
-    partition directories (``None`` when none of them exists yet)."""
-    pattern = f"{ref.rstrip('/')}/{column}={{{','.join(str(v) for v in sorted(values))}}}"
-    try:
-        return spark.read.option("basePath", ref).parquet(pattern)
-    except AnalysisException:
-        return None
-
-
-def refresh_catalog(spark: SparkSession, ref: str) -> None:
-    """After a stream wrote a catalog table: the stream ran on its own cloned
-    session, so drop this session's cached file listing of the table."""
-    if not is_path(ref) and spark.catalog.tableExists(ref):
-        spark.catalog.refreshTable(ref)
 
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The live content of a table written by ``storage.write_snapshot``."""
+    live = storage.live_snapshot(spark, path)
+    if live is None:
+        raise ValueError(f"no complete table at {path}")
+    return spark.read.parquet(live)
 
-def read_table(spark: SparkSession, ref: str) -> DataFrame:
-    """Batch scan of a table; filters and projections applied later reach the
-    parquet scan (and prune ``_bucket`` partitions)."""
-    return spark.read.parquet(ref) if is_path(ref) else spark.read.table(ref)
 
+def bronze_exists(spark: SparkSession, path: str) -> bool:
+    """The file sink's commit log is there from the first batch on."""
+    return storage.exists(spark, f"{path}/_spark_metadata")
 
-def read_table_stream(spark: SparkSession, ref: str, schema: StructType | None = None,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of rows appended to a table since the reader's checkpoint.
 
-    A path table written by a streaming file sink is read through the sink's
-    commit log, so files of an unfinished batch are never seen.
-    """
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if not is_path(ref):
-        return reader.table(ref)
-    if schema is None:
-        schema = spark.read.parquet(ref).schema
-    return reader.schema(schema).parquet(ref)
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """All committed rows of a Bronze table (through the sink's commit log)."""
+    return spark.read.parquet(path)
 
 
-def write_table(df: DataFrame, ref: str, mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None) -> None:
-    """Batch sink. ``overwrite`` replaces the table's content."""
-    writer = df.write.mode(mode).format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if is_path(ref):
-        writer.save(ref)
-    else:
-        writer.saveAsTable(ref)
+def read_bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int,
+                       schema: StructType | None = None) -> DataFrame:
+    """Stream of the rows appended since the reader's checkpoint, read through
+    the sink's commit log: files of an unfinished batch are never seen."""
+    return (spark.readStream.schema(schema or spark.read.parquet(path).schema)
+            .option("maxFilesPerTrigger", str(max_files_per_trigger)).option("maxFileAge", ANY_AGE).parquet(path))

@@ -7,44 +7,31 @@ landing files -> file stream (declared all-text schema) -> provenance columns
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from stratum.functions.schema import all_string_schema
 from stratum.operators.refine import add_provenance
 from stratum.session import Lake
 from stratum.sources.files import read_file_stream
-from stratum.sources.tables import refresh_catalog
 from stratum.specs import BronzeSpec, load_spec
 from stratum.streaming.sinks import append_stream
 
 
-def bronze_schema(spec: BronzeSpec):
-    extra = [spec.rescued_column] if spec.rescued_column else []
-    return all_string_schema(spec.business_columns(), extra)
-
-
-def bronze_stream(spark: SparkSession, spec: BronzeSpec, landing: str, ingest_ts,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    raw = read_file_stream(spark, landing, spec.file_format, spec.reader_options,
-                           bronze_schema(spec), max_files_per_trigger)
-    return add_provenance(raw, ingest_ts)
-
-
 def ingest(spark: SparkSession, dataset: str | BronzeSpec, lake: Lake,
            landing: str | None = None, ingest_ts: dt.datetime | None = None,
-           max_files_per_trigger: int | None = None) -> str:
-    """Append the files that arrived since the last run; returns the table path.
+           max_files_per_trigger: int | None = None, conf: Path | str | None = None) -> str:
+    """Append the files that arrived since the last run; returns the table's path.
 
     ``ingest_ts`` is one timestamp for the whole run (all rows of a run share
     it, which makes it the version column of Silver).
     """
-    spec = load_spec(dataset, "bronze") if isinstance(dataset, str) else dataset
-    name = spec.target_table or spec.dataset_name
-    ts = ingest_ts or dt.datetime.now(dt.timezone.utc)
-    df = bronze_stream(spark, spec, landing or lake.landing(spec.dataset_name), ts,
-                       max_files_per_trigger)
-    target = lake.table("bronze", name)
-    append_stream(df, target, lake.checkpoint("bronze", name))
-    refresh_catalog(spark, target)
-    return target
+    spec = load_spec(dataset, "bronze", conf) if isinstance(dataset, str) else dataset
+    rows = read_file_stream(spark, landing or lake.landing(spec.name), spec.file_format, spec.options,
+                            spec.landing_schema, max_files_per_trigger or spec.max_files_per_trigger,
+                            spec.max_file_age)
+    path = lake.path(spec.target)
+    append_stream(add_provenance(rows, ingest_ts or dt.datetime.now(dt.timezone.utc)), path,
+                  lake.checkpoint(spec.target))
+    lake.publish(spark, spec.target, f"SELECT * FROM parquet.`{path}`")
+    return path

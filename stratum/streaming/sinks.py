@@ -3,42 +3,32 @@
 Both drain what is available and stop (``availableNow``), keep progress in
 ``checkpoint``, and block until done; a failure in the stream is raised here
 as ``StreamingQueryException``. A rerun resumes from the checkpoint, and a
-micro-batch that failed is replayed, so a ``foreachBatch`` function must be
-idempotent for a given batch (the upsert is).
+micro-batch that failed is replayed under the same origin.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
-
-from stratum.sources.tables import is_path
-
-
-def append_stream(df: DataFrame, ref: str, checkpoint: str,
-                  query_name: str | None = None) -> StreamingQuery:
-    """Append every new row of ``df`` to a table, then stop."""
-    writer = (df.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint)
-              .trigger(availableNow=True))
-    if query_name:
-        writer = writer.queryName(query_name)
-    q = writer.start(ref) if is_path(ref) else writer.toTable(ref)
-    q.awaitTermination()
-    return q
-
-
-def foreach_batch_stream(df: DataFrame, checkpoint: str,
-                         fn: Callable[[DataFrame, int], None],
-                         query_name: str | None = None) -> StreamingQuery:
-    """Run ``fn(batch_df, batch_id)`` on each micro-batch, then stop."""
-    writer = (df.writeStream.foreachBatch(fn)
-              .option("checkpointLocation", checkpoint)
-              .trigger(availableNow=True))
-    if query_name:
-        writer = writer.queryName(query_name)
-    q = writer.start()
-    q.awaitTermination()
-    return q
+
+
+def append_stream(df: DataFrame, path: str, checkpoint: str) -> None:
+    """Append every new row of ``df`` to the table at ``path``, then stop."""
+    (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start(path).awaitTermination())
+
+
+def foreach_batch_stream(df: DataFrame, checkpoint: str, fn: Callable[[DataFrame, str], None]) -> None:
+    """Run ``fn(batch_df, origin)`` on each micro-batch, then stop. The origin
+    names the batch: the query's id, which lives in the checkpoint and so outlasts
+    restarts but not a new checkpoint, and the batch's number in it."""
+    name, manager = f"batches-{uuid.uuid4().hex}", df.sparkSession.streams
+
+    def call(batch: DataFrame, number: int) -> None:
+        query = next(q for q in manager.active if q.name == name)
+        fn(batch, f"{query.id}-{number}")
+
+    (df.writeStream.queryName(name).foreachBatch(call).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())

@@ -2,6 +2,7 @@
 DuckDB oracle on the smallest driver tables."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -20,8 +21,12 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+#: The optional operators have tests of their own.
+CORE = sorted(n for n in entry.queries() if n != "pipeline" and not re.match(r"op\d+_", n))
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(CORE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +34,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", CORE)
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, name, SF_SMALL, con)
     assert ok, msg

@@ -3,11 +3,8 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from stratum.operators import upsert as U
-
 from conftest import SF_SMALL
 
 
@@ -49,13 +46,3 @@ def test_seller_fact_aggregates_items_before_joining_sellers(spark, no_broadcast
     assert re.search(r"SortMergeJoin \[seller_id#\d+L\], \[seller_id#\d+L\], LeftOuter", plan)
     join_at = plan.index("SortMergeJoin [seller_id")
     assert "HashAggregate(keys=[seller_id" in plan[join_at:]
-
-
-def test_upsert_merge_is_one_shuffle(spark, lake):
-    ref = lake.table("silver", "p")
-    U.upsert(spark.range(200).selectExpr("cast(id as string) k", "id v"), ref, ["k"], buckets=4)
-    batch = (spark.range(100, 120).selectExpr("cast(id as string) k", "id * 10 v")
-             .withColumn("_bucket", U.bucket_of(["k"], 4)))
-    plan = _plan(U.merge_plan(batch, ref, ["k"], [0, 1], files_per_bucket=2))
-    assert plan.count("Exchange") == 1
-    assert "_bucket=0" in plan and "_bucket=2" not in plan   # only touched buckets listed

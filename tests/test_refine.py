@@ -1,11 +1,12 @@
 """Row-level refinement operators on literal frames."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 
-from stratum.operators.refine import (add_audit, dedup_batch, refine, require_columns,
-                                      select_columns, typed_projection)
+from stratum.operators.refine import (add_audit, batch_order, latest_per_key, refine,
+                                      require_columns, select_columns, typed_projection)
 from stratum.specs import load_spec
 
 
@@ -35,8 +36,8 @@ def test_malformed_value_fails_or_nulls(spark):
                                  " payment_installments string, payment_value string")
     with pytest.raises(Exception):
         typed_projection(text, spec).collect()
-    spec.raw["on_cast_error"] = "null"
-    out = require_columns(typed_projection(text, spec), spec.required_columns)
+    spec = replace(spec, on_cast_error="null")
+    out = require_columns(typed_projection(text, spec), spec.required)
     assert out.count() == 0          # the key became NULL, so the row is dropped
 
 
@@ -48,7 +49,8 @@ def test_review_id_is_the_only_key(spark):
         "review_id string, order_id string, review_score string, review_comment_title string,"
         " review_comment_message string, review_creation_date string,"
         " review_answer_timestamp string, _ingest_ts timestamp")
-    out = dedup_batch(refine(text, spec, "run"), spec).collect()
+    refined = refine(text, spec, "run")
+    out = latest_per_key(refined, spec.keys, batch_order(refined, spec)).collect()
     assert len(out) == 1 and out[0].order_id == "o2"     # larger business value wins the tie
 
 

@@ -1,11 +1,15 @@
 """Whole-lake refresh from landing CSV to Gold, SQL views, and the job CLI."""
 
 import datetime as dt
+import os
+
+import pytest
 
 from stratum.__main__ import main as cli
 from stratum.plans import refresh
 from stratum.sources import retail
-from stratum.sources.tables import read_table
+from stratum.sources.tables import read_snapshot
+from stratum.streaming import silver
 
 from conftest import SF_SMALL
 
@@ -16,50 +20,48 @@ def test_full_refresh_and_views(spark, lake):
                                calendar_start="2016-01-01", calendar_end="2016-03-01", parallel=3)
     assert set(out) == {"dim_customers", "dim_products", "dim_sellers", "dim_dates", "fact_sales",
                         "fact_seller_performance", "fact_product_performance", "fact_payment_summary"}
-    orders = read_table(spark, SF_SMALL + "/orders.parquet").count()
-    assert read_table(spark, out["fact_sales"]).count() == orders
-    assert read_table(spark, out["dim_dates"]).count() == 61
-    assert read_table(spark, out["dim_customers"]).columns == [
+    orders = spark.read.parquet(SF_SMALL + "/orders.parquet").count()
+    assert read_snapshot(spark, out["fact_sales"]).count() == orders
+    assert read_snapshot(spark, out["dim_dates"]).count() == 61
+    assert read_snapshot(spark, out["dim_customers"]).columns == [
         "customer_id", "customer_unique_id", "customer_city", "customer_state",
         "customer_zip_code_prefix"]
     views = refresh.register_views(spark, lake)
     assert "silver_orders" in views and "gold_fact_sales" in views
     n = spark.sql("SELECT count(*) AS n FROM silver_orders").first().n
     assert n == orders
-    assert "_bucket" not in spark.table("silver_order_items").columns
+    assert "_ingest_ts" in spark.table("bronze_order_items").columns
 
     # a second refresh with no new landing files changes nothing
-    before = sorted(tuple(r) for r in read_table(spark, out["fact_sales"]).collect())
+    before = sorted(tuple(r) for r in read_snapshot(spark, out["fact_sales"]).collect())
     refresh.full_refresh(spark, lake, calendar_start="2016-01-01", calendar_end="2016-03-01")
-    after = sorted(tuple(r) for r in read_table(spark, out["fact_sales"]).collect())
+    after = sorted(tuple(r) for r in read_snapshot(spark, out["fact_sales"]).collect())
     assert before == after
 
     # the job CLI's Gold step over the same lake
     cli(["--lake", lake.root, "gold", "--calendar-start", "2016-01-01",
          "--calendar-end", "2016-01-10", "--parallel", "2"])
-    assert read_table(spark, out["dim_dates"]).count() == 10
-    assert read_table(spark, out["fact_sales"]).count() == orders
+    assert read_snapshot(spark, out["dim_dates"]).count() == 10
+    assert read_snapshot(spark, out["fact_sales"]).count() == orders
 
 
 def test_cli_steps(spark, lake):
     refresh.stage_landing({"sellers": retail.landing_frames(spark, SF_SMALL)["sellers"]}, lake)
     cli(["--lake", lake.root, "bronze", "--dataset", "sellers"])
     cli(["--lake", lake.root, "silver", "--dataset", "sellers"])
-    got = read_table(spark, lake.table("silver", "sellers")).count()
-    assert got == read_table(spark, SF_SMALL + "/supplier.parquet").count()
+    got = silver.read_silver(spark, "sellers", lake).count()
+    assert got == spark.read.parquet(SF_SMALL + "/supplier.parquet").count()
 
 
 def test_catalog_lake(spark, lake):
     from stratum.session import Lake
-    from stratum.streaming import silver
     cat = Lake(lake.root + "-cat", databases="t_catlake_")
-    cat.create_databases(spark)
     try:
         refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), cat, parallel=3)
         out = refresh.full_refresh(spark, cat, calendar_start="2016-01-01",
                                    calendar_end="2016-01-31", parallel=3)
         assert out["fact_sales"] == "t_catlake_gold.fact_sales"
-        orders = read_table(spark, SF_SMALL + "/orders.parquet").count()
+        orders = spark.read.parquet(SF_SMALL + "/orders.parquet").count()
         assert spark.table("t_catlake_gold.fact_sales").count() == orders
         assert spark.table("t_catlake_silver.orders").count() == orders
         assert spark.table("t_catlake_gold.dim_dates").count() == 31
@@ -81,7 +83,62 @@ def test_cli_catalog_mode(spark, lake):
         cli(["--lake", lake.root, "--databases", "t_cli_", "bronze", "--dataset", "products"])
         cli(["--lake", lake.root, "--databases", "t_cli_", "silver", "--dataset", "products"])
         assert spark.table("t_cli_silver.products").count() == \
-            read_table(spark, SF_SMALL + "/part.parquet").count()
+            spark.read.parquet(SF_SMALL + "/part.parquet").count()
     finally:
         for layer in ("bronze", "silver", "gold"):
             spark.sql(f"DROP DATABASE IF EXISTS t_cli_{layer} CASCADE")
+
+
+def test_rebuild_compact_and_single_gold_table(spark, lake):
+    frames = retail.landing_frames(spark, SF_SMALL)
+    refresh.stage_landing({n: frames[n] for n in ("customers", "sellers")}, lake)
+    base = ["--lake", lake.root]
+    cli([*base, "bronze", "--dataset", "customers", "--dataset", "sellers", "--max-files-per-trigger", "1"])
+    cli([*base, "silver", "--dataset", "customers", "--dataset", "sellers", "--parallel", "2"])
+    before = sorted(map(tuple, refresh.business_columns(silver.read_silver(spark, "customers", lake)).collect()))
+    cli([*base, "rebuild", "--dataset", "customers"])
+    cli([*base, "compact", "--dataset", "customers"])
+    assert sorted(map(tuple, refresh.business_columns(silver.read_silver(spark, "customers", lake)).collect())) == before
+    cli([*base, "gold", "--table", "dim_customers"])       # the other Silver tables do not exist
+    assert refresh.read_gold(spark, lake, "dim_customers").count() == len(before)
+    cli([*base, "gold", "--table", "dim_dates"])
+    days = refresh.read_gold(spark, lake, "dim_dates")
+    assert str(days.agg({"date_id": "min"}).first()[0]) == "2016-01-01"
+    cli([*base, "gold", "--table", "dim_dates", "--calendar-end", "2016-01-31"])
+    assert refresh.read_gold(spark, lake, "dim_dates").count() == 31
+    with pytest.raises(ValueError, match="fact_nothing"):
+        cli([*base, "gold", "--table", "fact_nothing"])
+    with pytest.raises(SystemExit):                        # a step refuses what it would not honour
+        cli([*base, "silver", "--calendar-start", "2016-01-01"])
+
+
+def test_own_specs_and_schema_names(spark, lake, tmp_path):
+    for layer, text in (
+            ("bronze", "file: {format: csv, header: true}\ntarget: {schema: raw, table: readings_in}\n"),
+            ("silver", "source: {schema: raw, table: readings_in}\ntarget: {schema: clean, table: readings}\n"
+                       "schema:\n  - {column: id, type: int, nullable: false}\n"
+                       "  - {column: v, type: double, nullable: true}\nkeys: {primary_keys: id}\n"),
+            ("gold", "source: {schema: clean, table: readings}\ntarget: {schema: mart, table: ids}\ncolumns: [id]\n")):
+        (tmp_path / layer).mkdir()
+        (tmp_path / layer / ("ids.yaml" if layer == "gold" else "readings.yaml")).write_text(text)
+    spark.createDataFrame([("1", "2.5"), ("2", "3")], "id string, v string").write.option("header", True).csv(lake.landing("readings"))
+    base = ["--lake", lake.root, "--conf", str(tmp_path)]
+    for step in ("bronze", "silver"):
+        cli([*base, step])
+    cli([*base, "gold", "--table", "ids"])
+    assert sorted(r.id for r in refresh.read_gold(spark, lake, "ids", tmp_path).collect()) == [1, 2]
+    assert sorted(n for n in os.listdir(lake.root) if not n.startswith("_")) == ["clean", "landing", "mart", "raw"]
+    names = refresh.register_views(spark, lake, tmp_path)
+    assert names == ["raw_readings_in", "clean_readings", "mart_ids"]
+    assert spark.sql("SELECT sum(v) AS s FROM clean_readings").first().s == 5.5
+
+
+def test_scratch_folder_only_on_a_local_master():
+    from types import SimpleNamespace
+
+    from stratum.session import ensure_checkpoint_dir
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda k, d: d),
+        sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(cluster)

@@ -2,11 +2,12 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from stratum.sources.tables import read_table
+from stratum.sources.tables import read_bronze
 from stratum.specs import load_spec
 from stratum.streaming import bronze, silver
 
@@ -22,7 +23,7 @@ def _drop(lake, dataset, name, text):
 
 
 def _bronze_rows(spark, lake, table):
-    return read_table(spark, lake.table("bronze", table))
+    return read_bronze(spark, f"{lake.root}/bronze/{table}")
 
 
 def test_csv_dialect_rescue_and_provenance(spark, lake):
@@ -109,8 +110,7 @@ def test_cast_modes(spark, lake):
     with pytest.raises(StreamingQueryException):
         silver.refine_stream(spark, strict, lake)
 
-    lenient = load_spec("customers", "silver")
-    lenient.raw["on_cast_error"] = "null"
+    lenient = replace(load_spec("customers", "silver"), on_cast_error="null")
     lake2 = type(lake)(lake.root + "-lenient")
     _drop(lake2, "customers", "a.csv", HEADER + "c1,u1,notanumber,x,SP\nc2,u2,12,y,RJ\n")
     bronze.ingest(spark, "customers", lake2)
@@ -122,26 +122,26 @@ def test_cast_modes(spark, lake):
 
 def test_failed_batch_is_replayed_idempotently(spark, lake):
     from stratum.operators.refine import refine
-    from stratum.sources.tables import read_table_stream
+    from stratum.sources.tables import read_bronze_stream
     from stratum.streaming.sinks import foreach_batch_stream
 
     _drop(lake, "customers", "a.csv", HEADER + "c1,u1,1,x,SP\nc2,u2,2,y,RJ\nc1,u1,3,z,SP\n")
     bronze.ingest(spark, "customers", lake, ingest_ts=dt.datetime(2024, 1, 1))
     spec = load_spec("customers", "silver")
-    target = lake.table("silver", "customers")
-    ckpt = lake.checkpoint("silver", "customers")
+    target = lake.path(spec.target)
+    ckpt = lake.checkpoint(spec.target)
     process = silver.upsert_batch(spec, target)
     calls = []
 
-    def crash_after_write(df, batch_id):
-        process(df, batch_id)
-        calls.append(batch_id)
+    def crash_after_write(df, origin):
+        process(df, origin)
+        calls.append(origin.rpartition("-")[2])
         raise RuntimeError("driver lost after the write")
 
-    stream = lambda: refine(read_table_stream(spark, lake.table("bronze", "customers")), spec, "r")
+    stream = lambda: refine(read_bronze_stream(spark, lake.path(spec.source), 10), spec, "r")
     with pytest.raises(StreamingQueryException):
         foreach_batch_stream(stream(), ckpt, crash_after_write)
-    assert calls == [0]
+    assert calls == ["0"]
     foreach_batch_stream(stream(), ckpt, process)      # replays batch 0
     got = sorted((r.customer_id, r.customer_zip_code_prefix)
                  for r in silver.read_silver(spark, "customers", lake).collect())
@@ -174,8 +174,7 @@ def test_json_landing_through_a_new_spec(spark, lake, tmp_path):
         "  - {column: event_id, type: long, nullable: false}\n"
         "  - {column: kind, type: string, nullable: true}\n"
         "  - {column: amount, type: double, nullable: true}\n"
-        "keys: {primary_keys: event_id}\n"
-        "upsert: {buckets: 4}\n")
+        "keys: {primary_keys: event_id}\n")
     land = lake.landing("events")
     os.makedirs(land)
     with open(os.path.join(land, "e1.json"), "w") as fh:
@@ -183,8 +182,8 @@ def test_json_landing_through_a_new_spec(spark, lake, tmp_path):
                  '{"event_id": 2, "kind": "b", "amount": 2}\n'
                  '{"event_id": 1, "kind": "z", "amount": 3.25}\n'
                  'not json\n')
-    b = load_spec("events", "bronze", conf_root=tmp_path)
-    s = load_spec("events", "silver", conf_root=tmp_path)
+    b = load_spec("events", "bronze", conf=tmp_path)
+    s = load_spec("events", "silver", conf=tmp_path)
     bronze.ingest(spark, b, lake, landing=land)
     assert _bronze_rows(spark, lake, "events").filter("_rescued_data is not null").count() == 1
     silver.refine_stream(spark, s, lake)
@@ -193,8 +192,7 @@ def test_json_landing_through_a_new_spec(spark, lake, tmp_path):
 
 
 def test_version_guard_option_through_the_stream(spark, lake):
-    spec = load_spec("customers", "silver")
-    spec.raw["upsert"] = {"buckets": 4, "version_guard": True}
+    spec = replace(load_spec("customers", "silver"), version_guard=True)
     _drop(lake, "customers", "a.csv", HEADER + "c1,u1,1,newer,SP\n")
     bronze.ingest(spark, "customers", lake, ingest_ts=dt.datetime(2024, 5, 1))
     silver.refine_stream(spark, spec, lake)
@@ -208,11 +206,58 @@ def test_version_guard_option_through_the_stream(spark, lake):
 
 def test_batch_read_with_the_bronze_dialect(spark, lake):
     from stratum.sources.files import read_files
-    from stratum.streaming.bronze import bronze_schema
     _drop(lake, "customers", "a.csv", HEADER + 'c1,u1,01409,"a, ""b""",SP\nc2,u2\n')
     spec = load_spec("customers", "bronze")
-    df = read_files(spark, lake.landing("customers"), spec.file_format, spec.reader_options,
-                    bronze_schema(spec))
+    df = read_files(spark, lake.landing("customers"), spec.file_format, spec.options, spec.landing_schema)
     rows = {r.customer_id: r for r in df.collect()}
     assert rows["c1"].customer_city == 'a, "b"' and rows["c1"]._rescued_data is None
     assert rows["c2"]._rescued_data is not None
+
+
+def test_back_dated_file_is_ingested(spark, lake):
+    _drop(lake, "customers", "a.csv", HEADER + "c1,u1,1,x,SP\n")
+    bronze.ingest(spark, "customers", lake)
+    _drop(lake, "customers", "b.csv", HEADER + "c2,u2,2,x,SP\n")
+    old = dt.datetime.now().timestamp() - 400 * 86_400
+    os.utime(os.path.join(lake.landing("customers"), "b.csv"), (old, old))
+    bronze.ingest(spark, "customers", lake)
+    _drop(lake, "customers", "c.csv", HEADER + "c3,u3,3,x,SP\n")
+    bronze.ingest(spark, "customers", lake)
+    assert {r.customer_id for r in _bronze_rows(spark, lake, "customers").collect()} == {"c1", "c2", "c3"}
+    silver.refine_stream(spark, "customers", lake)
+    assert silver.read_silver(spark, "customers", lake).count() == 3
+
+
+def test_later_file_of_one_run_wins(spark, lake):
+    _drop(lake, "customers", "a.csv", HEADER + "c1,u9,9,zzz,ZZ\n")
+    _drop(lake, "customers", "b.csv", HEADER + "c1,u1,1,aaa,AA\n")       # every value smaller
+    bronze.ingest(spark, "customers", lake)
+    silver.refine_stream(spark, "customers", lake)
+    assert silver.read_silver(spark, "customers", lake).first().customer_city == "aaa"
+
+
+def test_batch_without_rows_changes_nothing(spark, lake):
+    _drop(lake, "customers", "a.csv", HEADER + ",u1,1,x,SP\n")            # no key: nothing is left
+    bronze.ingest(spark, "customers", lake)
+    silver.refine_stream(spark, "customers", lake)
+    with pytest.raises(ValueError, match="no keyed table"):
+        silver.read_silver(spark, "customers", lake)
+    _drop(lake, "customers", "b.csv", HEADER + "c1,u1,1,x,SP\n")
+    bronze.ingest(spark, "customers", lake)
+    silver.refine_stream(spark, "customers", lake)
+    assert silver.read_silver(spark, "customers", lake).count() == 1
+
+
+def test_new_checkpoint_is_a_new_origin(spark, lake):
+    """Batch 0 of a stream that starts anew must not overwrite batch 0 of the old one."""
+    from stratum.operators.refine import refine
+    from stratum.sources.tables import read_bronze_stream
+    from stratum.streaming.sinks import foreach_batch_stream
+    spec = load_spec("customers", "silver")
+    _drop(lake, "customers", "a.csv", HEADER + "c1,u1,1,x,SP\n")
+    bronze.ingest(spark, "customers", lake)
+    seen = []
+    for ckpt in ("one", "two"):
+        stream = refine(read_bronze_stream(spark, lake.path(spec.source), 10), spec, "r")
+        foreach_batch_stream(stream, f"{lake.root}/ckpt/{ckpt}", lambda df, origin: seen.append(origin))
+    assert len(set(seen)) == 2 and all(o.endswith("-0") for o in seen)

@@ -1,132 +1,255 @@
+"""The keyed table: contract, replays, crashes at every step, schema changes,
+compaction and cost."""
+
 import os
 
+import pytest
+from pyspark.sql import functions as F
 
-from stratum.operators.upsert import upsert
-from stratum.sources.tables import read_table, table_exists
+from stratum.operators.upsert import KeyedTable, upsert
+from stratum.sources import storage
 
 COLS = "k string, v int, ver int"
 
 
-def _rows(spark, ref):
-    return sorted((r.k, r.v, r.ver) for r in read_table(spark, ref).select("k", "v", "ver").collect())
+@pytest.fixture()
+def table(spark, lake):
+    return KeyedTable(spark, f"{lake.root}/silver/t")
+
 
+def frame(spark, rows, cols=COLS):
+    return spark.createDataFrame(rows, cols)
 
-def _bucket_files(ref):
-    out = {}
-    for d in sorted(os.listdir(ref)):
-        if d.startswith("_bucket="):
-            out[d] = sorted(f for f in os.listdir(os.path.join(ref, d)) if f.endswith(".parquet"))
-    return out
 
+def rows(table):
+    return sorted(map(tuple, table.read().collect()))
 
-def test_create_then_upsert_and_replay(spark, lake):
-    ref = lake.table("silver", "t")
-    assert not table_exists(spark, ref)
-    b1 = spark.createDataFrame([("a", 1, 1), ("b", 2, 1), ("c", 3, 1)], COLS)
-    upsert(b1, ref, ["k"], buckets=8)
-    assert table_exists(spark, ref)
-    assert _rows(spark, ref) == [("a", 1, 1), ("b", 2, 1), ("c", 3, 1)]
 
-    b2 = spark.createDataFrame([("b", 20, 2), ("d", 4, 2)], COLS)
-    upsert(b2, ref, ["k"], buckets=8)
-    expected = [("a", 1, 1), ("b", 20, 2), ("c", 3, 1), ("d", 4, 2)]
-    assert _rows(spark, ref) == expected
-    before = _bucket_files(ref)
+def data_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
 
-    # replaying the same batch leaves the content unchanged
-    upsert(b2, ref, ["k"], buckets=8)
-    assert _rows(spark, ref) == expected
-    after = _bucket_files(ref)
-    # buckets the batch does not touch keep their files
-    from stratum.operators.upsert import bucket_of
-    touched = {f"_bucket={r[0]}" for r in b2.select(bucket_of(["k"], 8)).collect()}
-    for d, files in before.items():
-        if d not in touched:
-            assert after[d] == files
 
+def test_insert_replace_and_replay(spark, table):
+    assert not table.exists()
+    table.upsert(frame(spark, [("a", 1, 1), ("b", 2, 1), ("c", 3, 1)]), ["k"], "w-0")
+    assert rows(table) == [("a", 1, 1), ("b", 2, 1), ("c", 3, 1)]
+    table.upsert(frame(spark, [("b", 20, 2), ("d", 4, 2)]), ["k"], "w-1")
+    want = [("a", 1, 1), ("b", 20, 2), ("c", 3, 1), ("d", 4, 2)]
+    assert rows(table) == want
+    table.upsert(frame(spark, [("b", 20, 2), ("d", 4, 2)]), ["k"], "w-1")
+    assert rows(table) == want
 
-def test_later_batch_wins_without_guard(spark, lake):
-    ref = lake.table("silver", "t2")
-    upsert(spark.createDataFrame([("a", 1, 5)], COLS), ref, ["k"], buckets=4)
-    upsert(spark.createDataFrame([("a", 2, 3)], COLS), ref, ["k"], buckets=4)
-    assert _rows(spark, ref) == [("a", 2, 3)]
 
+def test_later_batch_wins_without_a_version(spark, table):
+    table.upsert(frame(spark, [("a", 1, 5)]), ["k"])
+    table.upsert(frame(spark, [("a", 2, 3)]), ["k"])
+    assert rows(table) == [("a", 2, 3)]
 
-def test_version_guard_keeps_newer_stored_row(spark, lake):
-    ref = lake.table("silver", "t3")
-    upsert(spark.createDataFrame([("a", 1, 5), ("b", 1, 1)], COLS), ref, ["k"], buckets=4)
-    upsert(spark.createDataFrame([("a", 2, 3), ("b", 2, 2)], COLS), ref, ["k"], buckets=4,
-           version_column="ver")
-    assert _rows(spark, ref) == [("a", 1, 5), ("b", 2, 2)]
 
+@pytest.mark.parametrize("fold", [False, True])
+def test_version_guard(spark, table, fold):
+    table.upsert(frame(spark, [("a", 1, 5), ("b", 1, 1)]), ["k"], version_column="ver")
+    if fold:
+        table.compact()
+    table.upsert(frame(spark, [("a", 2, 3), ("b", 2, 2), ("c", 9, None)]), ["k"], version_column="ver")
+    assert rows(table) == [("a", 1, 5), ("b", 2, 2), ("c", 9, None)]
+    table.compact()
+    assert rows(table) == [("a", 1, 5), ("b", 2, 2), ("c", 9, None)]
+    with pytest.raises(ValueError, match="version column ver"):
+        table.upsert(frame(spark, [("a", 2, 3)]), ["k"])
 
-def test_composite_key(spark, lake):
-    ref = lake.table("silver", "t4")
+
+def test_composite_and_null_keys(spark, table):
     cols = "o string, i int, v int"
-    upsert(spark.createDataFrame([("x", 1, 1), ("x", 2, 1)], cols), ref, ["o", "i"], buckets=4)
-    upsert(spark.createDataFrame([("x", 2, 9), ("y", 1, 1)], cols), ref, ["o", "i"], buckets=4)
-    got = sorted(tuple(r) for r in read_table(spark, ref).select("o", "i", "v").collect())
-    assert got == [("x", 1, 1), ("x", 2, 9), ("y", 1, 1)]
-
-
-def test_files_per_bucket_spreads_a_bucket(spark, lake):
-    ref = lake.table("silver", "t5")
-    rows = [(f"k{i}", i, 1) for i in range(400)]
-    upsert(spark.createDataFrame(rows, COLS), ref, ["k"], buckets=2, files_per_bucket=4)
-    files = _bucket_files(ref)
-    assert set(files) == {"_bucket=0", "_bucket=1"}
-    assert all(len(f) > 1 for f in files.values())
-    upsert(spark.createDataFrame([("k1", 100, 2)], COLS), ref, ["k"], buckets=2, files_per_bucket=4)
-    got = dict((k, v) for k, v, _ in _rows(spark, ref))
-    assert len(got) == 400 and got["k1"] == 100 and got["k2"] == 2
-
-
-def test_bucket_count_is_fixed(spark, lake):
-    import pytest
-    ref = lake.table("silver", "t8")
-    upsert(spark.createDataFrame([("a", 1, 1)], COLS), ref, ["k"], buckets=8)
-    with pytest.raises(ValueError, match="created with 8 buckets"):
-        upsert(spark.createDataFrame([("a", 2, 2)], COLS), ref, ["k"], buckets=16)
-    assert _rows(spark, ref) == [("a", 1, 1)]
-
-
-def test_new_buckets_only_and_marker_detection(spark, lake):
-    from stratum.sources.tables import read_partitions
-    ref = lake.table("silver", "t6")
-    upsert(spark.createDataFrame([("a", 1, 1)], COLS), ref, ["k"], buckets=64)
-    assert table_exists(spark, ref)
-    # a batch whose keys all land in buckets that do not exist yet
-    from stratum.operators.upsert import bucket_of
-    used = {r[0] for r in spark.createDataFrame([("a",)], "k string").select(bucket_of(["k"], 64)).collect()}
-    fresh = [(f"n{i}", i, 1) for i in range(40)]
-    fresh = [r for r in fresh if r[0] not in ("a",)]
-    batch = spark.createDataFrame(fresh, COLS)
-    new_only = batch.filter(~bucket_of(["k"], 64).isin(list(used)))
-    upsert(new_only, ref, ["k"], buckets=64)
-    assert read_table(spark, ref).count() == 1 + new_only.count()
-    assert read_partitions(spark, ref, "_bucket", [999]) is None
-
-
-def test_unmarked_existing_path_is_not_replaced(spark, lake):
-    import pytest
-    ref = lake.table("silver", "t7")
-    os.makedirs(ref)
-    with open(os.path.join(ref, "keep.txt"), "w") as fh:
+    table.upsert(frame(spark, [("x", 1, 1), ("x", 2, 1), (None, 1, 1)], cols), ["o", "i"])
+    table.compact()
+    table.upsert(frame(spark, [("x", 2, 9), ("y", 1, 1), (None, 1, 7)], cols), ["o", "i"])
+    assert sorted(rows_of(table), key=str) == sorted([("x", 1, 1), ("x", 2, 9), ("y", 1, 1), (None, 1, 7)], key=str)
+
+
+def rows_of(table):
+    return list(map(tuple, table.read().collect()))
+
+
+def test_repeated_keys_fold_on_create_as_on_update(spark, table):
+    table.upsert(frame(spark, [("a", 1, 1), ("a", 5, 0), ("a", 5, 1)]), ["k"])
+    assert rows(table) == [("a", 5, 1)]
+    table.upsert(frame(spark, [("a", 9, 1), ("a", 2, 7)]), ["k"], order=[F.col("ver").desc()])
+    assert rows(table) == [("a", 2, 7)]
+
+
+# --------------------------------------------------------------- crashes
+
+
+def lose_marker(path):
+    """The state after a write that died before its commit."""
+    os.remove(f"{path}/_SUCCESS")
+
+
+def change_paths(table):
+    return [p for _, _, p in table._all_changes()]
+
+
+def test_crash_inside_a_change(spark, table):
+    many = [(f"k{i}", i, 1) for i in range(200)]
+    table.upsert(frame(spark, many), ["k"], "w-0")
+    table.upsert(frame(spark, [("k3", -3, 2)]), ["k"], "w-1")
+    lose_marker(change_paths(table)[-1])
+    assert rows(table) == sorted(many)                      # as before the write
+    table.upsert(frame(spark, [("k3", -3, 2)]), ["k"], "w-1")
+    assert rows(table) == sorted([r for r in many if r[0] != "k3"] + [("k3", -3, 2)])
+    assert len(change_paths(table)) == 2                    # the replay took its place
+
+
+def test_crash_inside_the_first_write(spark, table):
+    table.upsert(frame(spark, [("a", 1, 1)]), ["k"], "w-0")
+    lose_marker(change_paths(table)[0])
+    assert rows(table) == []
+    table.upsert(frame(spark, [("a", 1, 1)]), ["k"], "w-0")
+    assert rows(table) == [("a", 1, 1)]
+
+
+def test_crash_between_layout_and_data(spark, table):
+    table.create(frame(spark, []).schema, ["k"])
+    assert table.exists() and rows(table) == []
+    with pytest.raises(ValueError, match="keys"):
+        table.upsert(frame(spark, [("a", 1, 1)]), ["v"])
+    table.upsert(frame(spark, [("a", 1, 1)]), ["k"])
+    assert rows(table) == [("a", 1, 1)]
+
+
+def test_crash_inside_a_compaction(spark, table):
+    table.upsert(frame(spark, [("a", 1, 1), ("b", 1, 1)]), ["k"])
+    table.compact()
+    table.upsert(frame(spark, [("b", 2, 1)]), ["k"])
+    table.compact()
+    lose_marker(table.state().base)
+    assert rows(table) == [("a", 1, 1), ("b", 2, 1)]        # the base and change before it are still there
+    table.compact()
+    assert rows(table) == [("a", 1, 1), ("b", 2, 1)]
+
+
+def test_other_errors_are_not_taken_for_absence(spark, table):
+    table.upsert(frame(spark, [("a", 1, 1)]), ["k"])
+    [path] = change_paths(table)
+    for f in os.listdir(path):
+        if f.endswith(".parquet"):
+            with open(f"{path}/{f}", "wb") as fh:
+                fh.write(b"damaged")
+    with pytest.raises(Exception):
+        table.read().collect()
+    with pytest.raises(Exception):
+        table.compact()
+    assert table.state().base is None
+
+
+def test_foreign_files_are_not_replaced(spark, table):
+    os.makedirs(table.path)
+    with open(f"{table.path}/keep.txt", "w") as fh:
         fh.write("x")
+    with pytest.raises(ValueError, match="not replaced"):
+        table.upsert(frame(spark, [("a", 1, 1)]), ["k"])
+    assert os.listdir(table.path) == ["keep.txt"]
+
+
+# ---------------------------------------------------------------- schema
+
+
+def test_missing_column_keeps_the_stored_value(spark, table):
+    table.upsert(frame(spark, [("a", 1, 7), ("b", 2, 8)]), ["k"])
+    table.upsert(frame(spark, [("a", 10), ("c", 30)], "k string, v int"), ["k"])
+    assert rows(table) == [("a", 10, 7), ("b", 2, 8), ("c", 30, None)]
+
+
+def test_new_column_is_refused_or_added(spark, table):
+    table.upsert(frame(spark, [("a", 1, 7), ("b", 2, 8)]), ["k"])
+    wide = frame(spark, [("a", 10, 9, "x")], COLS + ", more string")
+    with pytest.raises(ValueError, match="more is unknown"):
+        table.upsert(wide, ["k"])
+    assert rows(table) == [("a", 1, 7), ("b", 2, 8)]
+    table.upsert(wide, ["k"], evolve=True)
+    assert table.read().columns == ["k", "v", "ver", "more"]
+    assert rows(table) == [("a", 10, 9, "x"), ("b", 2, 8, None)]
+
+
+@pytest.mark.parametrize("cols", ["k string, v bigint, ver int", "k int, v int, ver int", "v int, ver int"])
+def test_changed_types_and_lost_keys_are_refused(spark, table, cols):
+    table.upsert(frame(spark, [("a", 1, 7)]), ["k"])
+    with pytest.raises(ValueError, match="does not fit"):
+        table.upsert(frame(spark, [], cols), ["k"])
+    assert rows(table) == [("a", 1, 7)]
+
+
+# ------------------------------------------------------------------ cost
+
+
+def test_small_batch_writes_little(spark, table):
+    table.upsert(spark.range(100_000).selectExpr("cast(id as string) k", "cast(id as int) v", "1 ver"), ["k"])
+    table.compact()
+    before = data_bytes(table.path)
+    table.upsert(spark.range(1_000).selectExpr("cast(id * 100 as string) k", "-1 v", "2 ver"), ["k"])
+    assert data_bytes(table.path) - before < 0.05 * before
+    got = table.read()
+    assert got.count() == 100_000 and got.where("v = -1").count() == 1_000
+
+
+def test_reading_orders_changes_alone(spark, table):
+    table.upsert(spark.range(1_000).selectExpr("cast(id as string) k", "cast(id as int) v", "1 ver"), ["k"])
+    table.compact()
+    table.upsert(frame(spark, [("7", -7, 2)]), ["k"])
+    plan = table.read()._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window"):plan.index("Window") + plan[plan.index("Window"):].index("Relation")]
+    assert "LeftAnti" in plan and "base" not in window
+    assert "base" not in table.query(table.state()).split("row_number")[1].split("_rn = 1")[0]
+
+
+def test_growing_changes_are_folded(spark, table):
+    base = frame(spark, [(f"k{i}", i, 1) for i in range(50)])
+    table.upsert(base, ["k"])
+    for n in range(40):
+        table.upsert(frame(spark, [(f"k{n}", -n, 2)]), ["k"], f"w-{n}")
+    assert table.state().base is not None
+    assert len(table.state().changes) < 40
+    assert dict((k, v) for k, v, _ in rows(table)) == {f"k{i}": -i if i < 40 else i for i in range(50)}
+    # What older bases replaced is gone; the last one's inputs are still there for running readers.
+    assert len(storage.numbered(spark, table.path, "base")) <= 2
+
+
+def test_rows_are_spread_by_size(spark, table):
+    """No constant in the layout: as many write tasks as the bytes ask for."""
+    adaptive = "spark.sql.adaptive."
+    small = {"spark.sql.shuffle.partitions": "64", adaptive + "advisoryPartitionSizeInBytes": "8k",
+             adaptive + "coalescePartitions.minPartitionSize": "4k"}
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        table.upsert(spark.range(60_000).selectExpr("cast(id as string) k", "cast(id as int) v", "1 ver"), ["k"])
+        table.compact()
+        files = [f for f in os.listdir(table.state().base) if f.endswith(".parquet")]
+        assert len(files) > 16
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_snapshot_stays_until_the_next_is_complete(spark, lake):
+    path = f"{lake.root}/gold/g"
+    storage.write_snapshot(spark.range(3), path)
+
+    @F.udf("bigint")
+    def fail(x):
+        raise RuntimeError("injected")
+
     with pytest.raises(Exception):
-        upsert(spark.createDataFrame([("a", 1, 1)], COLS), ref, ["k"], buckets=4)
-    assert os.path.exists(os.path.join(ref, "keep.txt"))
-
-
-def test_catalog_table(spark):
-    name = "upsert_catalog_t"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    upsert(spark.createDataFrame([("a", 1, 1), ("b", 2, 1)], COLS), name, ["k"], buckets=4)
-    assert table_exists(spark, name)
-    upsert(spark.createDataFrame([("b", 20, 2), ("z", 26, 2)], COLS), name, ["k"], buckets=4)
-    got = sorted((r.k, r.v) for r in spark.table(name).collect())
-    assert got == [("a", 1), ("b", 20), ("z", 26)]
-    import pytest
-    with pytest.raises(ValueError, match="created with 4 buckets"):
-        upsert(spark.createDataFrame([("b", 21, 3)], COLS), name, ["k"], buckets=64)
-    spark.sql(f"DROP TABLE {name}")
+        storage.write_snapshot(spark.range(5).select(fail("id").alias("id")), path)
+    assert spark.read.parquet(storage.live_snapshot(spark, path)).count() == 3
+    for n in (7, 9):
+        storage.write_snapshot(spark.range(n), path)
+    assert spark.read.parquet(storage.live_snapshot(spark, path)).count() == 9
+    assert len([n for n in storage.names(spark, path) if n.startswith("snapshot=")]) == 2
+
+
+def test_function_form(spark, table):
+    upsert(frame(spark, [("a", 1, 1)]), table.path, ["k"], origin="x")
+    assert rows(table) == [("a", 1, 1)]
