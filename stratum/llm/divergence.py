@@ -40,7 +40,7 @@ CLASSES = ("lower", "upper", "digit", "space", "symbol", "punctuation", "accente
 #: Least code points and words from which a distance counts.
 LEAST_CHARS, LEAST_COMMON_WORDS = 200, 50
 #: Largest distances of a document that is kept.
-MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE = 0.30, 0.75
+MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE = 0.30, 0.50
 
 _WORD = re.compile(f"[^{SPACES}]+")
 _NULL_LANG = "\x00"

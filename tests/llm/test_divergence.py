@@ -36,6 +36,8 @@ def test_clean_documents_stay_and_junk_goes(documents, spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     good = [rows[i].kept for i, q in labels.items() if q == 1 and i in rows and not rows[i].base_failed]
     assert np.mean(good) > 0.97
+    junk = [rows[i].kept for i, q in labels.items() if q == 0 and i in rows]
+    assert np.mean(junk) < 0.05
 
 
 def test_references_count_everything(documents):
