@@ -76,10 +76,10 @@ def target_rates(docs: DataFrame, weights: Mapping[str | None, float] | None = N
         given = F.create_map(*pairs)[F.col("source")] if pairs else F.lit(None).cast("double")
         weight = F.when(F.col("source").isNull(), of_null).otherwise(F.coalesce(given, F.lit(0.0)))
     weighted = counts.withColumn("w", weight)
-    totals = weighted.agg(F.sum("n").cast("double").alias("rows"), F.sum("w").alias("total"))
-    # One row of totals against one row per source.
-    rate = F.when(F.col("total") > 0, F.lit(float(size)) * F.col("w") / F.col("total") * F.col("rows") / F.col("n"))
-    return weighted.join(F.broadcast(totals)).select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    rows, total = weighted.agg(F.sum("n"), F.sum("w")).first()
+    if not total:
+        return weighted.select("source", F.lit(0.0).alias("rate"))
+    return weighted.select("source", (F.lit(float(size)) * F.col("w") / total * float(rows) / F.col("n")).alias("rate"))
 
 
 def replicate(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
