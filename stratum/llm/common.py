@@ -3,8 +3,13 @@ shared folder, and Arrow batch functions with a declared output schema."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +20,26 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from stratum.session import ensure_checkpoint_dir
 
 
+_SENT: set[str] = set()
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Make this package importable in the Python tasks of the session's
+    application, wherever the driver was started: its modules are added to the
+    application once, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SENT:
+        return
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="stratum-modules-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{package.name}.zip", "w") as archive:
+        for module in sorted(package.rglob("*.py")):
+            archive.write(module, module.relative_to(package.parent))
+    sc.addPyFile(f"{folder}/{package.name}.zip")
+    _SENT.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -50,6 +75,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
                 ddl: str) -> DataFrame:
     """``mapInArrow`` whose per-task state is built once: ``make()`` returns a
     function from a record batch to columns (name -> list or array)."""
+    on_workers(df.sparkSession)
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

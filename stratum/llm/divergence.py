@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_schema, field, map_batches, record_batch
+from stratum.llm.common import arrow_schema, field, map_batches, on_workers, record_batch
 
 # Fixed values of the base rule.
 SYMBOLS = "#*$%&|<>"
@@ -156,6 +156,7 @@ def learn_references(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     common word reaches the driver."""
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit(_NULL_LANG)).alias("lang"))
+    on_workers(docs.sparkSession)
     ddl = "lang string, kind int, word string, n bigint"
     schema = arrow_schema(ddl)
 

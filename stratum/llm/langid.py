@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_schema, field, map_batches, record_batch
+from stratum.llm.common import arrow_schema, field, map_batches, on_workers, record_batch
 
 BUCKETS = 1 << 15
 MAX_N = 3
@@ -156,6 +156,7 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Documents that hold each bucket, over all rows of ``text``; and how many
     rows have a letter. One row per bucket and task is shuffled."""
+    on_workers(texts.sparkSession)
     schema = arrow_schema("bucket int, n bigint")
 
     def run(batches):
@@ -253,6 +254,7 @@ def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text"
                     least_score: float = 0.3) -> DataFrame:
     """The documents whose language could be determined with a calibrated
     probability of at least ``least_score``; columns and order within a task stay."""
+    on_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

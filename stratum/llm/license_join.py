@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_schema, field, map_batches, record_batch
+from stratum.llm.common import arrow_schema, field, map_batches, on_workers, record_batch
 
 # Phrases of the base rule and their labels.
 PHRASES = {
@@ -132,6 +132,7 @@ class Matcher:
 def word_frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str) -> Counter:
     """Blocks of all documents that hold each template word: one row per word
     and task is shuffled, one per template word reaches the driver."""
+    on_workers(docs.sparkSession)
     schema = arrow_schema("word binary, n bigint")
 
     def run(batches):

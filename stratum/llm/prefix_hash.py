@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_schema, field, record_batch
+from stratum.llm.common import arrow_schema, field, on_workers, record_batch
 
 PRIME = (1 << 31) - 1
 BASES = (1_000_003, 777_767_777)
@@ -150,6 +150,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     task has the successor of its last row and reads its range as a stream.
     """
     spark, key = docs.sparkSession, field(docs, id_col)
+    on_workers(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n, keyed = rows.agg(F.count("*"), F.count("id")).first()
     parts = max(1, min(-(-n // range_rows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import field, map_batches
+from stratum.llm.common import field, map_batches, on_workers
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -204,6 +204,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def mask_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with their secrets masked; null text stays null, all other
     columns and all rows stay as they are."""
+    on_workers(docs.sparkSession)
     types = docs.schema
 
     def run(batches):
