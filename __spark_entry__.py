@@ -76,8 +76,8 @@ def q_fact_product_performance(spark: SparkSession, sf: str) -> DataFrame:
 def q_fact_payment_summary(spark: SparkSession, sf: str) -> DataFrame:
     v = retail
     df = gold.fact_payment_summary(v.order_payments(spark, sf), v.orders(spark, sf),
-                                   v.customers(spark, sf))
-    return _round(df, {"total_payment_value": 2})
+                                   v.customers(spark, sf), ordered=False)
+    return gold.payment_order(_round(df, {"total_payment_value": 2}))
 
 
 def q_dim_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -354,6 +354,14 @@ def _fact(spark: SparkSession, sf: str, which: str) -> DataFrame:
                                      v.customers(spark, sf), ordered=False)
 
 
+def _placed(build: Callable[[SparkSession, str], DataFrame], *columns: str):
+    """O1-O3: the order of a sorted table, as the position of each row."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        path = f"{Lake.fresh(spark, 'q-order').root}/sorted"
+        return ranking.with_positions(build(spark, sf).select(*columns), path)
+    return run
+
+
 def _q(fact: str, fn, scales: dict[str, int] | None = None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         df = fn(_fact(spark, sf, fact))
@@ -393,6 +401,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_failed_batch": q_silver_failed_batch,
     "full_refresh": q_full_refresh,
     "full_refresh_tables": q_full_refresh_tables,
+    "dim_dates_order": _placed(q_dim_dates, "date_id"),
+    "fact_seller_order": _placed(q_fact_seller_performance, "seller_id", "count_overdue_delivery"),
+    "fact_payment_order": _placed(q_fact_payment_summary, "order_id", "total_payment_value"),
     "c01_avg_order_value_by_state": _q("sales", questions.avg_order_value_by_state),
     "c02_sales_by_status": _q("sales", questions.sales_by_status),
     "c03_delivery_time": _q("sales", questions.delivery_time_summary),
@@ -634,6 +645,21 @@ FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d
             FROM orders) b) t
 ORDER BY date_id"""
 
+_ORACLE["dim_dates_order"] = (
+    "SELECT date_id, row_number() OVER (ORDER BY date_id) AS position FROM (" + _ORACLE["dim_dates"] + ") d")
+
+_ORACLE["fact_seller_order"] = _with(*_SELLER) + """
+SELECT seller_id, count_overdue_delivery,
+       row_number() OVER (ORDER BY count_overdue_delivery DESC NULLS LAST, seller_id) AS position
+FROM fact_seller"""
+
+_ORACLE["fact_payment_order"] = _with(*_PAYMENT) + """
+SELECT order_id, round(total_payment_value, 2) AS total_payment_value,
+       row_number() OVER (ORDER BY round(total_payment_value, 2) DESC NULLS LAST,
+                          total_methods_distincts_payments DESC NULLS LAST,
+                          customer_state ASC NULLS FIRST, order_id) AS position
+FROM fact_payment"""
+
 _ORACLE["dim_customers"] = _with(_V_CUSTOMERS) + """
 SELECT customer_id, customer_unique_id, customer_city, customer_state, customer_zip_code_prefix
 FROM customers_v"""

@@ -28,6 +28,25 @@ def primary_value(pick: str, value: str, sequence: str) -> Column:
                     F.struct(F.col(value), -F.col(sequence).cast("long"), F.col(pick)))
 
 
+def with_positions(ordered: DataFrame, path: str, position: str = "position") -> DataFrame:
+    """The rows of a globally sorted DataFrame with their place in it, from 1.
+
+    The sorted rows are written to ``path`` with their partition and place in it;
+    the sizes of the partitions (one row each) give every partition's offset. No
+    window over all rows, so no task sees them all."""
+    spark = ordered.sparkSession
+    at = F.monotonically_increasing_id()
+    ordered.withColumns({"_part": F.shiftright(at, 33), "_place": at.bitwiseAND((1 << 33) - 1)}).write.parquet(path)
+    rows = spark.read.parquet(path)
+    offsets, total = [], 0
+    for part, n in sorted(rows.groupBy("_part").count().collect()):
+        offsets.append((part, total))
+        total += n
+    starts = spark.createDataFrame(offsets, "_part bigint, _start bigint")
+    return (rows.join(starts, "_part").withColumn(position, F.col("_start") + F.col("_place") + 1)
+            .drop("_part", "_place", "_start"))
+
+
 def primary_value_by_window(df: DataFrame, group: Sequence[str], pick: str,
                             value: str, sequence: str, alias: str) -> DataFrame:
     """Same answer as ``primary_value`` via ``row_number`` (the independent

@@ -169,9 +169,12 @@ def fact_payment_summary(order_payments: DataFrame, orders: DataFrame, customers
            .join(states, "customer_id", "left")
            .select("order_id", "total_payment_value", "total_methods_distincts_payments",
                    "max_installments", "primary_payment_type", "customer_state"))
-    if ordered:
-        out = out.orderBy(F.col("total_payment_value").desc_nulls_last(),
-                          F.col("total_methods_distincts_payments").desc_nulls_last(),
-                          F.col("customer_state").asc_nulls_first(), "order_id")
-    return out
+    return payment_order(out) if ordered else out
+
+
+def payment_order(payments: DataFrame) -> DataFrame:
+    """The payment fact's order; the order id last, so that equal rows can be split."""
+    return payments.orderBy(F.col("total_payment_value").desc_nulls_last(),
+                            F.col("total_methods_distincts_payments").desc_nulls_last(),
+                            F.col("customer_state").asc_nulls_first(), "order_id")
 
