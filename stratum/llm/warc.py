@@ -20,6 +20,7 @@ damaged record stops the read with an error that names it.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_schema, record_batch, settle
+from stratum.llm.common import arrow_schema, on_workers, record_batch, settle
 
 # Fixed values of the formats.
 VERSION = b"WARC/1.1"
@@ -37,8 +38,8 @@ END = "\r\n\r\n"
 LEAST_DEDUP = 1_000
 SEGMENT_BYTES = 16_384
 CHUNK_BYTES = 4_096
-#: Payload bytes of one archive file, about.
-FILE_BYTES = 8 << 20
+#: Most records of one archive file (each at most a segment and its header).
+RECORDS_PER_FILE = 8_192
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -150,14 +151,12 @@ def decide(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES) -> None:
-    """Write the pages' records as ``*.txt`` archive parts under ``path``. Rows are
-    spread by a hash of all their bytes; a file holds about FILE_BYTES."""
-    decided = decide(pages)
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    files = max(1, -(-total // FILE_BYTES))
-    spread = (decided.withColumn("row", F.monotonically_increasing_id())
-              .withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
-              .repartition(files, F.xxhash64("page_id", "digest", "row")))
+    """Write the pages' records as gzipped archive parts under ``path``. Payloads
+    move at most once, for the join with the shared digests; a record is at most a
+    segment, so RECORDS_PER_FILE bounds the bytes of a file."""
+    on_workers(pages.sparkSession)
+    rows = (decide(pages).withColumn("row", F.monotonically_increasing_id())
+            .withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload"))))
     schema = arrow_schema("value binary")
 
     def run(batches):
@@ -169,14 +168,16 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
                 yield record_batch({"value": out}, schema)
 
     # The cast keeps the bytes as they are; the writer copies them out.
-    lines = spread.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    lines.write.option("lineSep", END).text(path)
+    lines = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    (lines.write.option("lineSep", END).option("compression", "gzip")
+     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
 def read_archives(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """One row per page read back: page_id, payload_bytes, payload_digest,
     record_type, refers_to. Whole records are finished where they are parsed;
     only segments of long ones are shuffled, by origin."""
+    on_workers(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     ddl = ("urn string, kind string, refers string, digest string, length bigint, "
            "number int, total bigint, part binary")
@@ -185,7 +186,7 @@ def read_archives(spark: SparkSession, path: str, id_type: str = "bigint") -> Da
     def parse_files(batches):
         for batch in batches:
             for content in batch.column(0):
-                out = [_row(h, block) for h, block in parse(content.as_py())]
+                out = [_row(h, block) for h, block in parse(gzip.decompress(content.as_py()))]
                 if out:
                     yield record_batch(dict(zip(schema.names, map(list, zip(*out)))), schema)
 

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 
 import pytest
@@ -35,7 +36,7 @@ def test_table(spark):
     assert got == brute(rows)
     # Each part is an archive by itself.
     for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect():
-        kinds = {h["warc-type"] for h, _ in W.parse(f.content)}
+        kinds = {h["warc-type"] for h, _ in W.parse(gzip.decompress(f.content))}
         assert kinds <= {"response", "revisit", "continuation"}
 
 
@@ -64,7 +65,7 @@ def test_damage_is_named(spark):
     path = scratch_path(spark, "test-warc")
     pages = spark.createDataFrame([(1, "u", "y" * 50_000)], "page_id bigint, url string, html string")
     W.write_archives(pages, path)
-    data = b"".join(f.content for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect())
+    data = b"".join(gzip.decompress(f.content) for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect())
     records = list(W.parse(data))
     assert [h.get("warc-segment-number") for h, _ in records] == ["1", "2", "3", "4"]
     assert int(records[-1][0]["warc-segment-total-length"]) == sum(len(b) for _, b in records)
@@ -72,6 +73,6 @@ def test_damage_is_named(spark):
         list(W.parse(data[:-30]))
     lost = scratch_path(spark, "test-warc")
     spark.createDataFrame([(data[:data.index(b"\r\n\r\nWARC/1.1", 100)],)], "value binary").selectExpr(
-        "cast(value as string) as value").write.option("lineSep", W.END).text(lost)
+        "cast(value as string) as value").write.option("lineSep", W.END).option("compression", "gzip").text(lost)
     with pytest.raises(Exception, match="segments are missing"):
         W.read_archives(spark, lost).collect()
