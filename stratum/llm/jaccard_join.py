@@ -275,23 +275,31 @@ def _runs(part: pa.Table) -> np.ndarray:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of all nodes of the edges (u, v): the least node of each
-    connected component. Alternating large and small stars; every round is
-    settled, and ends when the edges no longer change."""
-    edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges, mark = settle(edges, "edges"), None
-    while True:
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == mark or not now[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
-        mark = now
+    connected component. Alternating large and small stars, until every node has
+    one edge, to a node that has none.
+
+    The node of a large star has as many edges as its component has nodes. Its
+    least neighbour is an aggregate, settled before the edges meet it, so that
+    this join has its own exchanges and adaptive execution can split the node."""
+    edges = settle(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                   .distinct(), "edges")
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        near = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-                 .unionByName(near.select("u", F.col("m").alias("v"))).distinct())
-        edges = settle(small.where("u <> v"), "edges")
+        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = settle(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                       .distinct(), "large")
+        near = settle(large.groupBy("u").agg(F.min("v").alias("m")), "near")
+        small = (large.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(near.select("u", F.col("m").alias("v"))))
+        edges = settle(small.where("u <> v").distinct(), "edges")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    nodes = edges.groupBy("u").agg(F.count("*").alias("n"))
+    centres = edges.select(F.col("v").alias("u")).distinct()
+    return nodes.where("n > 1").isEmpty() and nodes.join(centres, "u", "leftsemi").isEmpty()
 
 
 def verified_links(members: DataFrame, threshold: float = THRESHOLD, block: int = GROUP_BLOCK) -> DataFrame:
