@@ -518,74 +518,55 @@ def _with(*views: str) -> str:
     return "WITH " + ",".join(views)
 
 
-# Facts as CTEs (unrounded), built on the views above.
-_C_TOV = """
-tov AS (SELECT order_id, sum(price + freight_value) AS total_order_value
-        FROM order_items_v GROUP BY order_id)"""
+# Facts as CTEs (unrounded), row by row with correlated subqueries where the Spark
+# plans aggregate first and join.
 _C_FACT_SALES = """
 fact_sales AS (
-  SELECT o.order_id, o.customer_id, o.order_status, tov.total_order_value, c.customer_state,
-         CAST(date_diff('day', CAST(o.order_purchase_timestamp AS DATE),
-                        CAST(o.order_delivered_customer_date AS DATE)) AS INTEGER) AS delivery_time_days
-  FROM orders_v o
-  LEFT JOIN tov ON o.order_id = tov.order_id
-  LEFT JOIN customers_v c ON o.customer_id = c.customer_id)"""
-_SALES = (_V_ORDER_ITEMS, _V_ORDERS, _V_CUSTOMERS, _C_TOV, _C_FACT_SALES)
+  SELECT order_id, customer_id, order_status,
+         (SELECT sum(i.price + i.freight_value) FROM order_items_v i WHERE i.order_id = o.order_id)
+           AS total_order_value,
+         (SELECT max(c.customer_state) FROM customers_v c WHERE c.customer_id = o.customer_id) AS customer_state,
+         CAST(CAST(order_delivered_customer_date AS DATE) - CAST(order_purchase_timestamp AS DATE) AS INTEGER)
+           AS delivery_time_days
+  FROM orders_v o)"""
+_SALES = (_V_ORDER_ITEMS, _V_ORDERS, _V_CUSTOMERS, _C_FACT_SALES)
 
 _C_FACT_SELLER = """
-review_score AS (SELECT order_id, avg(review_score) AS avg_review_score
-                 FROM order_reviews_v GROUP BY order_id),
-overdue_delivery AS (
-  SELECT order_id,
-         count(CASE WHEN order_delivered_customer_date > order_estimated_delivery_date THEN 1 END)
-           AS count_overdue_delivery
-  FROM orders_v GROUP BY order_id),
+sold AS (
+  SELECT i.seller_id, i.price,
+         CASE WHEN o.order_id IS NOT NULL
+              THEN coalesce(CAST(o.order_delivered_customer_date > o.order_estimated_delivery_date AS INTEGER), 0)
+         END AS late,
+         (SELECT avg(r.review_score) FROM order_reviews_v r WHERE r.order_id = o.order_id) AS score
+  FROM order_items_v i LEFT JOIN orders_v o ON o.order_id = i.order_id),
 fact_seller AS (
-  SELECT s.seller_id, sum(oi.price) AS sum_revenue,
-         CAST(sum(o.count_overdue_delivery) AS BIGINT) AS count_overdue_delivery,
-         avg(orv.avg_review_score) AS avg_review_score
-  FROM sellers_v s
-  LEFT JOIN order_items_v oi ON oi.seller_id = s.seller_id
-  LEFT JOIN overdue_delivery o ON o.order_id = oi.order_id
-  LEFT JOIN review_score orv ON orv.order_id = o.order_id
-  GROUP BY s.seller_id)"""
+  SELECT s.seller_id, sum(sold.price) AS sum_revenue, CAST(sum(sold.late) AS BIGINT) AS count_overdue_delivery,
+         avg(sold.score) AS avg_review_score
+  FROM sold RIGHT JOIN sellers_v s ON s.seller_id = sold.seller_id
+  GROUP BY ALL)"""
 _SELLER = (_V_ORDER_ITEMS, _V_ORDERS, _V_REVIEWS, _V_SELLERS, _C_FACT_SELLER)
 
 _C_FACT_PRODUCT = """
-reviews AS (SELECT order_id, avg(review_score) AS avg_review_score
-            FROM order_reviews_v GROUP BY order_id),
 fact_product AS (
   SELECT p.product_id, p.product_category_name, p.product_weight_g, p.product_length_cm,
-         p.product_height_cm, p.product_width_cm, oi.order_id, oi.freight_value,
-         r.avg_review_score
-  FROM order_items_v oi
-  LEFT JOIN products_v p ON p.product_id = oi.product_id
-  LEFT JOIN reviews r ON r.order_id = oi.order_id)"""
+         p.product_height_cm, p.product_width_cm, i.order_id, i.freight_value,
+         (SELECT avg(r.review_score) FROM order_reviews_v r WHERE r.order_id = i.order_id) AS avg_review_score
+  FROM products_v p RIGHT JOIN order_items_v i ON i.product_id = p.product_id)"""
 _PRODUCT = (_V_ORDER_ITEMS, _V_PRODUCTS, _V_REVIEWS, _C_FACT_PRODUCT)
 
 _C_PRIMARY = """
-primary_method AS (
-  SELECT order_id, payment_type FROM (
-    SELECT order_id, payment_type,
-           row_number() OVER (PARTITION BY order_id
-                              ORDER BY payment_value DESC NULLS LAST,
-                                       payment_sequential ASC NULLS LAST,
-                                       payment_type DESC NULLS LAST) AS rn
-    FROM order_payments_v) t
-  WHERE rn = 1)"""
-_C_FACT_PAYMENT = """
-payments AS (
+paid AS (
   SELECT order_id, sum(payment_value) AS total_payment_value,
          count(DISTINCT payment_type) AS total_methods_distincts_payments,
-         max(payment_installments) AS max_installments
-  FROM order_payments_v GROUP BY order_id),
+         max(payment_installments) AS max_installments,
+         first(payment_type ORDER BY payment_value DESC NULLS LAST, payment_sequential ASC NULLS LAST,
+                                     payment_type DESC NULLS LAST) AS primary_payment_type
+  FROM order_payments_v GROUP BY order_id)"""
+_C_FACT_PAYMENT = """
 fact_payment AS (
-  SELECT p.order_id, p.total_payment_value, p.total_methods_distincts_payments,
-         p.max_installments, m.payment_type AS primary_payment_type, c.customer_state
-  FROM payments p
-  LEFT JOIN primary_method m ON m.order_id = p.order_id
-  LEFT JOIN orders_v o ON o.order_id = p.order_id
-  LEFT JOIN customers_v c ON c.customer_id = o.customer_id)"""
+  SELECT paid.*, (SELECT max(c.customer_state) FROM orders_v o JOIN customers_v c ON c.customer_id = o.customer_id
+                  WHERE o.order_id = paid.order_id) AS customer_state
+  FROM paid)"""
 _PAYMENT = (_V_ORDER_PAYMENTS, _V_ORDERS, _V_CUSTOMERS, _C_PRIMARY, _C_FACT_PAYMENT)
 
 # Text of the item rows as they land (ids, numbers and timestamps as text).
@@ -696,7 +677,7 @@ FROM (
 WHERE rn = 1"""
 
 _ORACLE["primary_payment_window"] = _with(_V_ORDER_PAYMENTS, _C_PRIMARY) + """
-SELECT order_id, payment_type AS primary_payment_type FROM primary_method"""
+SELECT order_id, primary_payment_type FROM paid"""
 
 _ORACLE["upsert_scd1"] = _with(_V_ORDERS) + """
 SELECT order_id, customer_id,
@@ -773,16 +754,14 @@ LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS day_id, count(*) AS orders FROM o
 ON o.day_id = CAST(d AS DATE)"""
 
 _ORACLE["full_refresh"] = _with(_V_ORDERS, _V_CUSTOMERS, """
-oi AS (""" + _SILVER_ITEMS.format(drop="1") + """),
-tov AS (SELECT order_id, sum(price + freight_value) AS total_order_value
-        FROM oi GROUP BY order_id)""") + """
-SELECT CAST(o.order_id AS VARCHAR) AS order_id, CAST(o.customer_id AS VARCHAR) AS customer_id,
-       o.order_status, round(tov.total_order_value, 4) AS total_order_value, c.customer_state,
-       CAST(date_diff('day', CAST(o.order_purchase_timestamp AS DATE),
-                      CAST(o.order_delivered_customer_date AS DATE)) AS INTEGER) AS delivery_time_days
-FROM orders_v o
-LEFT JOIN tov ON CAST(o.order_id AS VARCHAR) = tov.order_id
-LEFT JOIN customers_v c ON o.customer_id = c.customer_id"""
+oi AS (""" + _SILVER_ITEMS.format(drop="1") + ")") + """
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, order_status,
+       round((SELECT sum(price + freight_value) FROM oi WHERE oi.order_id = CAST(o.order_id AS VARCHAR)), 4)
+         AS total_order_value,
+       (SELECT max(c.customer_state) FROM customers_v c WHERE c.customer_id = o.customer_id) AS customer_state,
+       CAST(CAST(order_delivered_customer_date AS DATE) - CAST(order_purchase_timestamp AS DATE) AS INTEGER)
+         AS delivery_time_days
+FROM orders_v o"""
 
 # The same digests over plain counts of the driver's tables.
 _ORACLE["full_refresh_tables"] = _with(_V_ORDERS, _V_CUSTOMERS, _V_SELLERS, _V_PRODUCTS, """
