@@ -312,7 +312,7 @@ _GOLD_DIGEST = {
     "dim_customers": ("customer_id", "CAST(customer_zip_code_prefix AS BIGINT)"),
     "dim_products": ("product_id", "CAST(length(product_category_name) AS BIGINT)"),
     "dim_sellers": ("seller_id", "CAST(length(seller_state) AS BIGINT)"),
-    "fact_sales": ("order_id", "CAST(round(total_order_value * 100) AS BIGINT)"),
+    "fact_sales": ("order_id", "CAST(round(total_order_value * 10000) AS BIGINT)"),
     "fact_seller_performance": ("seller_id", "CAST(round(sum_revenue * 100) AS BIGINT)"),
     "fact_product_performance": ("order_id", "CAST(product_weight_g AS BIGINT)"),
     "fact_payment_summary": ("order_id", "CAST(max_installments AS BIGINT)"),
@@ -779,7 +779,7 @@ SELECT 'dim_customers' AS gold_table, count(*) AS n_rows, count(DISTINCT custome
 UNION ALL SELECT 'dim_products', count(*), count(DISTINCT product_id),
        CAST(sum(length(product_category_name)) AS BIGINT) FROM products_v
 UNION ALL SELECT 'dim_sellers', count(*), count(DISTINCT seller_id), CAST(sum(length(seller_state)) AS BIGINT) FROM sellers_v
-UNION ALL SELECT 'fact_sales', count(*), count(DISTINCT o.order_id), CAST(sum(CAST(round(v * 100) AS BIGINT)) AS BIGINT)
+UNION ALL SELECT 'fact_sales', count(*), count(DISTINCT o.order_id), CAST(sum(CAST(round(v * 10000) AS BIGINT)) AS BIGINT)
 FROM orders_v o LEFT JOIN value_of t ON t.order_id = CAST(o.order_id AS VARCHAR)
 UNION ALL SELECT 'fact_seller_performance', count(*), count(DISTINCT s.seller_id),
        CAST(sum(CAST(round(v * 100) AS BIGINT)) AS BIGINT)
