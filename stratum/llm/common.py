@@ -71,6 +71,18 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T._parse_datatype_string(ddl))
 
 
+#: Bytes of a record batch that a task works at a time; a longer row is one slice.
+SLICE_BYTES = 2 << 20
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about SLICE_BYTES, so that a task's memory follows
+    neither the session's batch size nor the length of its texts."""
+    step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]],
                 ddl: str) -> DataFrame:
     """``mapInArrow`` whose per-task state is built once: ``make()`` returns a
@@ -81,8 +93,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                yield record_batch(step(batch), schema)
+            for part in slices(batch):
+                yield record_batch(step(part), schema)
 
     return df.mapInArrow(run, ddl)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_schema, field, map_batches, on_workers, record_batch
+from stratum.llm.common import arrow_schema, field, map_batches, on_workers, record_batch, slices
 
 BUCKETS = 1 << 15
 MAX_N = 3
@@ -259,7 +259,7 @@ def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text"
 
     def run(batches):
         featuriser, fitted = Featuriser(), shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             found = [predict_text(fitted, featuriser, t) for t in texts]
             yield batch.filter(pa.array([lang != UNDETERMINED and score >= least_score

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import field, map_batches, on_workers
+from stratum.llm.common import field, map_batches, on_workers, slices
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -208,7 +208,7 @@ def mask_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     types = docs.schema
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             at = batch.schema.get_field_index(text_col)
             texts = [t if t is None or not (s := scan(t)) else mask(t, s)
                      for t in batch.column(at).to_pylist()]
