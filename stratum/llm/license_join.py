@@ -1,13 +1,15 @@
 """License scan as an exact set-similarity join of text blocks and templates.
 
-A block is a line of a document, a template a license notice; both are sets of
-words. A block matches a template if it contains at least ``THRESHOLD`` of the
-template's words. The join is exact: template words are put in one global order,
-rarest first, by the number of blocks of all documents that hold them; a block
-that meets the threshold must share one of the template's first
-``size - required + 1`` words (prefix filter), have at least ``required`` words
-(length filter), and from a shared word on both must have enough words left
-(positional filter). Survivors are counted in full.
+A template is a license notice, a block any run of as many words of a document
+as the notice has (the whole text, if it is shorter); line breaks and comment
+marks separate words and do not count. A block matches a template if it contains
+at least ``THRESHOLD`` of the template's distinct words. The join is exact:
+template words are put in one global order, rarest first, by the number of
+documents that hold them; a text with a block that meets the threshold must share
+one of the template's first ``size - required + 1`` words (prefix filter), have
+at least ``required`` words (length filter), and from a shared word on both must
+have enough words left (positional filter). In surviving texts every block is
+counted in full.
 
 Defined results: null text is the empty text (no words, no labels, score 0);
 every text is read whole; a document may have many labels; repeated rows give
@@ -96,7 +98,7 @@ class Matcher:
 
     def __init__(self, templates, frequency: Mapping[bytes, int], threshold: float):
         self.order = lambda w: (frequency.get(w, 0), w)
-        self.templates, self.index = [], defaultdict(list)
+        self.templates, self.lengths, self.index = [], [], defaultdict(list)
         self.words: set[bytes] = set()
         for label, notice in templates:
             words = sorted(set(fold(notice).split()), key=self.order)
@@ -106,18 +108,18 @@ class Matcher:
             for place, word in enumerate(words[:len(words) - required + 1]):
                 self.index[word].append((len(self.templates), place))
             self.templates.append((label, words, frozenset(words), required))
+            self.lengths.append(len(fold(notice).split()))
             self.words.update(words)
 
-    def match(self, block: set[bytes]) -> dict[str, float]:
-        """Labels whose template the block contains, with the containment."""
-        out: dict[str, float] = {}
+    def _survivors(self, block: set[bytes]):
+        """Number and shared words of the templates that the block contains."""
         if block.isdisjoint(self.index):
-            return out
+            return
         held = sorted(block & self.words, key=self.order)
         done = set()
         for place, word in enumerate(held):
             for number, at in self.index.get(word, ()):
-                label, words, template, required = self.templates[number]
+                _, words, template, required = self.templates[number]
                 if number in done or len(block) < required:
                     continue
                 done.add(number)           # the first shared word decides: none before it is shared
@@ -125,12 +127,48 @@ class Matcher:
                     continue
                 shared = len(template & block)
                 if shared >= required:
-                    out[label] = max(out.get(label, 0.0), shared / len(words))
+                    yield number, shared
+
+    def match(self, block: set[bytes]) -> dict[str, float]:
+        """Labels whose template the block contains, with the containment."""
+        return self._best(self._survivors(block))
+
+    def match_text(self, words: list[bytes]) -> dict[str, float]:
+        """The same over all blocks of a text. Its whole word set holds those of
+        its blocks, so a template that it does not contain is in none of them."""
+        numbers = [number for number, _ in self._survivors(set(words))]
+        if not numbers:
+            return {}
+        at = [(i, word) for i, word in enumerate(words) if word in self.words]
+        return self._best((number, self._most(number, at)) for number in numbers)
+
+    def _most(self, number: int, at: list[tuple[int, bytes]]) -> int:
+        """Most of the template's words in one block, from the places of words."""
+        template, length = self.templates[number][2], self.lengths[number]
+        places = [(i, word) for i, word in at if word in template]
+        held, kept, first, most = Counter(), 0, 0, 0
+        for i, word in places:
+            held[word] += 1
+            kept += held[word] == 1
+            while places[first][0] <= i - length:
+                gone = places[first][1]
+                held[gone] -= 1
+                kept -= held[gone] == 0
+                first += 1
+            most = max(most, kept)
+        return most
+
+    def _best(self, found) -> dict[str, float]:
+        out: dict[str, float] = {}
+        for number, shared in found:
+            label, words, _, required = self.templates[number]
+            if shared >= required:
+                out[label] = max(out.get(label, 0.0), shared / len(words))
         return out
 
 
 def word_frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str) -> Counter:
-    """Blocks of all documents that hold each template word: one row per word
+    """Documents that hold each template word: one row per word
     and task is shuffled, one per template word reaches the driver."""
     on_workers(docs.sparkSession)
     schema = arrow_schema("word binary, n bigint")
@@ -139,8 +177,7 @@ def word_frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str) ->
         held: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for line in fold(text or "").split(b"\n"):
-                    held.update(vocabulary.intersection(line.split()))
+                held.update(vocabulary.intersection(fold(text or "").split()))
         if held:
             yield record_batch({"word": list(held), "n": list(held.values())}, schema)
 
@@ -165,10 +202,7 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
             out = {"id": batch["id"], "n_words": [], "starts": [], "phrases": [], "matches": []}
             for text in batch["text"].to_pylist():
                 folded = fold(text or "")
-                base, found = base_matches(folded), {}
-                for line in folded.split(b"\n"):
-                    for label, share in matcher.match(set(line.split())).items():
-                        found[label] = max(found.get(label, 0.0), share)
+                base, found = base_matches(folded), matcher.match_text(folded.split())
                 out["n_words"].append(base.n_words)
                 out["starts"].append(sorted(base.starts))
                 out["phrases"].append(sorted(base.labels))

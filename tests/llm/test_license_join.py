@@ -1,4 +1,6 @@
+import random
 import re
+import textwrap
 
 from stratum.llm import license_join as L
 
@@ -60,6 +62,43 @@ def test_separators_and_places():
     assert (base.starts, sorted(base.labels)) == ([6, 1, 3, 12], ["cc-by", "gpl", "mit"])
 
 
+def test_wrapped_notices_and_one_long_line(spark):
+    """Every template in a comment, hard-wrapped at any width; and all its words
+    on one line, too far apart to be a notice."""
+    rows, want = [], {}
+    for label, notice in L.TEMPLATES:
+        for width in (16, 40, 76):
+            text = "x = 1\n/*\n * " + "\n * ".join(textwrap.wrap(notice, width)) + "\n */\ny = 2"
+            want[len(rows)] = label
+            rows.append((len(rows), text))
+    words = sorted({w for _, n in L.TEMPLATES for w in n.split()})
+    rows.append((len(rows), (" pad" * 30).join(words)))
+    got = {r[0]: r for r in run(spark.createDataFrame(rows, "doc_id bigint, text string"))}
+    assert all(label in got[i][6].split(",") for i, label in want.items())
+    assert got[len(rows) - 1][6:] == ("", 0.0)
+
+
+def test_every_block_counts():
+    """Sliding counts against each window on its own."""
+    matcher, rng = L.Matcher(L.TEMPLATES, {}, L.THRESHOLD), random.Random(3)
+    found = 0
+    for _ in range(400):
+        notice = L.fold(rng.choice(L.TEMPLATES)[1]).split()
+        words = rng.choices(notice, k=rng.randrange(30)) + notice + rng.choices(notice, k=9)
+        del words[rng.randrange(len(words))]
+        words.insert(rng.randrange(len(words)), b"pad")
+        want = {}
+        for label, n in L.TEMPLATES:
+            size, template = len(L.fold(n).split()), set(L.fold(n).split())
+            for at in range(max(1, len(words) - size + 1)):
+                share = len(template & set(words[at:at + size])) / len(template)
+                if share >= L.THRESHOLD - 1e-9:
+                    want[label] = max(want.get(label, 0.0), share)
+        assert matcher.match_text(words) == want
+        found += bool(want)
+    assert found > 100
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = sorted(run(odd_docs), key=str)
     assert got == sorted(((r.doc_id, *brute(r.text)) for r in odd_docs.collect()), key=str)
