@@ -253,7 +253,8 @@ def predict_text(model: Model | None, featuriser: Featuriser, text: str | None)
 def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text",
                     least_score: float = 0.3) -> DataFrame:
     """The documents whose language could be determined with a calibrated
-    probability of at least ``least_score``; columns and order within a task stay."""
+    probability of at least ``least_score``; without a model (no training row has
+    a label) those that have a letter. Columns and order within a task stay."""
     on_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -261,8 +262,11 @@ def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text"
         featuriser, fitted = Featuriser(), shared.value
         for batch in (part for whole in batches for part in slices(whole)):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            found = [predict_text(fitted, featuriser, t) for t in texts]
-            yield batch.filter(pa.array([lang != UNDETERMINED and score >= least_score
-                                         for lang, score in found], pa.bool_()))
+            if fitted is None:
+                keep = [featuriser.counts(t) is not None for t in texts]
+            else:
+                found = [predict_text(fitted, featuriser, t) for t in texts]
+                keep = [lang != UNDETERMINED and score >= least_score for lang, score in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -58,3 +58,10 @@ def test_one_language(spark):
     docs = spark.createDataFrame([(1, "hello there", "en"), (2, "general", "en")], "doc_id bigint, text string, lang string")
     model = langid.train(docs, F.col("doc_id"))
     assert [(r.lang_pred, r.score) for r in langid.identify(docs, model).collect()] == [("en", 1.0)] * 2
+
+
+def test_without_labels_documents_with_a_letter_stay(odd_docs):
+    unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    model = langid.train(unlabelled, F.col("doc_id"))
+    kept = [r.doc_id for r in langid.keep_identified(unlabelled, model).collect()]
+    assert model is None and sorted(kept, key=str) == [0, 1, 1, 6, 7, 8, None]
