@@ -13,7 +13,6 @@ summation order.
 from __future__ import annotations
 
 import datetime as dt
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -420,17 +419,21 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-# The pipeline operators are optional: without their folder (and the pipeline
-# module on top of it) everything else works.
+# The training-data operators are optional: where their folder, the pipeline module
+# or a package that they need is missing, everything else works.
 _LLM_ORACLE: dict[str, str] = {}
-if importlib.util.find_spec("stratum.llm") is not None:
+try:
     from stratum.llm import queries as llm_queries
-
+except ImportError:
+    pass
+else:
     _QUERIES.update(llm_queries.QUERIES)
     _LLM_ORACLE.update(llm_queries.ORACLE_SQL)
-    if importlib.util.find_spec("corpus_pipeline") is not None:
+    try:
         import corpus_pipeline
-
+    except ImportError:
+        pass
+    else:
         _QUERIES["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL is not None:
             _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def _plan(df) -> str:

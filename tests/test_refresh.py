@@ -11,7 +11,7 @@ from stratum.sources import retail
 from stratum.sources.tables import read_snapshot
 from stratum.streaming import silver
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def test_full_refresh_and_views(spark, lake):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratum.plans import gold
 from stratum.sources import retail
 
-from conftest import SF_MID
+from sf_dirs import SF_MID
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
