@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import (bpe, divergence, hmm_lm, jaccard_join, langid, license_join, poisson_mix,
-                         prefix_hash, secret_scan, warc)
+from stratum.llm import (bpe, decontaminate, divergence, fp_tree, hmm_lm, jaccard_join, langid, license_join,
+                         poisson_mix, prefix_hash, secret_scan, warc, whitening)
 from stratum.llm.common import residue, scratch_path, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -72,6 +72,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doc_id(bpe.digests(encoded(table(spark, sf_dir, "documents"))))
 
 
+def op11_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = as_doc_id(fp_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return as_doc_id(decontaminate.digests(found)).drop("spans")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     return bpe.encode_documents(docs, bpe.read_ranks(public_tokenizers.path(VOCABULARY)),
                                 public_tokenizers.PATTERN)
@@ -79,7 +93,12 @@ def encoded(docs: DataFrame) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_ngram_jaccard_join, op3_secret_scan, op4_hmm_scores, op5_prefix_hashes,
-    op6_license_join, op7_quality_divergence, op8_warc_segments, op9_poisson_mix, op10_byte_bpe)}
+    op6_license_join, op7_quality_divergence, op8_warc_segments, op9_poisson_mix, op10_byte_bpe,
+    op11_fp_tree_search, op12_benchmark_decontamination, op13_embedding_whitening)}
+
+#: DuckDB: the words of a text, A-Z lower-cased.
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
 ORACLE_SQL = {
     "op8_warc_segments": """
@@ -113,4 +132,41 @@ counted AS (
 SELECT doc_id, source, round(rate, 9) AS rate, copies, copy, md5(text) AS text_md5,
        md5('mix-order|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || CAST(copy AS VARCHAR)) AS shuffle_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted) t""",
+    "op11_fp_tree_search": f"""
+WITH doc_words AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+totals AS (SELECT count(*) AS docs, sum(len(words)) AS all_words FROM doc_words WHERE len(words) > 0),
+norms AS (SELECT r, doc_id, 75 + (25 * len(words) * docs) // all_words AS m FROM doc_words, totals WHERE len(words) > 0),
+tfs AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM doc_words) t GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term, docs),
+item_terms AS (
+  SELECT i, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS i, item_id, unnest({_WORDS}) AS term FROM benchmark) t GROUP BY ALL),
+scores AS (
+  SELECT i, item_id, r, n.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM item_terms JOIN weights USING (term) JOIN tfs USING (term) JOIN norms n USING (r) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
+    "op12_benchmark_decontamination": f"""
+WITH doc_words AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+item_words AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {_WORDS} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size, words[p:p + least(len(words), 10) - 1] AS run
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS p FROM item_words WHERE len(words) > 0) t),
+doc_runs AS (
+  SELECT r, p, size, words[p:p + size - 1] AS run
+  FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS p
+        FROM doc_words, (SELECT DISTINCT size FROM windows) s) t),
+hits AS (SELECT r, p, d.size, item_id FROM doc_runs d JOIN windows w ON d.size = w.size AND d.run = w.run),
+hit_words AS (
+  SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(p, p + size)) AS place FROM hits) t GROUP BY r),
+hit_items AS (
+  SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, item_id FROM hits) t GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n, 0) AS BIGINT) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(h.n, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit_words h USING (r) LEFT JOIN hit_items i USING (r)""",
 }
