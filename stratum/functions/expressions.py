@@ -38,3 +38,19 @@ def calendar_columns(day) -> list[Column]:
         F.dayofmonth(d).alias("day"),
         F.dayofweek(d).alias("day_of_week"),
     ]
+
+
+def order_number(value) -> Column:
+    """A 64-bit integer that orders as the double does (Spark's order: NULL first,
+    NaN above all, -0 equal to 0), one to one: the bits of its IEEE form, by
+    arithmetic on exponent and mantissa, negated below 0. Unlike a struct, it can
+    be the state of a hash aggregate."""
+    v = _c(value).cast("double")
+    size = F.abs(v)
+    near = F.least(F.greatest(F.floor(F.log2(size)).cast("int"), F.lit(-1022)), F.lit(1023))
+    lead = size * F.pow(F.lit(2.0), -near)                     # log2 can miss a power of two by one
+    exponent = F.greatest(near + F.when(lead >= 2, 1).when(lead < 1, -1).otherwise(0), F.lit(-1022))
+    mantissa = (size * F.pow(F.lit(2.0), -exponent) * float(1 << 52)).cast("long")
+    bits = (F.when(F.isnan(v), F.lit((2047 << 52) + 1)).when(size == float("inf"), F.lit(2047 << 52))
+            .when(size == 0, F.lit(0)).otherwise((exponent + 1022).cast("long") * F.lit(1 << 52) + mantissa))
+    return F.coalesce(F.when(v < 0, -bits).otherwise(bits), F.lit(-(1 << 63) + 1))

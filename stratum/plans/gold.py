@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.expressions import (calendar_columns, days_between,
                                            late_flag, line_total)
-from stratum.operators.ranking import primary_value
+from stratum.operators.ranking import pick_key
 from stratum.operators.refine import select_columns
 from stratum.specs import load_spec
 
@@ -149,14 +149,21 @@ def fact_product_performance(order_items: DataFrame, products: DataFrame,
 
 def payment_totals(order_payments: DataFrame) -> DataFrame:
     """Per order: total paid, distinct methods, most installments, and the
-    method of the largest payment (ties: lowest sequence number) in one
-    aggregate over one scan."""
-    return (order_payments.groupBy("order_id")
-            .agg(F.sum("payment_value").alias("total_payment_value"),
-                 F.count_distinct("payment_type").alias("total_methods_distincts_payments"),
-                 F.max("payment_installments").alias("max_installments"),
-                 primary_value("payment_type", "payment_value", "payment_sequential")
-                 .alias("primary_payment_type")))
+    method of the largest payment (ties: lowest sequence number, then the larger
+    name), from one scan.
+
+    Payments are folded by order and method first, into states of fixed width
+    only, so Spark hashes them before the first exchange; the order's row is then
+    picked from one row per method."""
+    by_method = (order_payments.groupBy("order_id", "payment_type")
+                 .agg(F.sum("payment_value").alias("paid"),
+                      F.max("payment_installments").alias("installments"),
+                      F.max(pick_key("payment_value", "payment_sequential")).alias("largest")))
+    return (by_method.groupBy("order_id")
+            .agg(F.sum("paid").alias("total_payment_value"),
+                 F.count("payment_type").alias("total_methods_distincts_payments"),
+                 F.max("installments").alias("max_installments"),
+                 F.max_by("payment_type", F.struct("largest", "payment_type")).alias("primary_payment_type")))
 
 
 def fact_payment_summary(order_payments: DataFrame, orders: DataFrame, customers: DataFrame,

@@ -1,6 +1,9 @@
 """Gold facts on small literal frames: NULLs, orphans, fan-out and ties."""
 
 import datetime as dt
+import math
+import random
+import struct
 
 import pytest
 
@@ -135,3 +138,39 @@ def test_dim_dates_default_end_is_today_plus_90(spark):
     rows = gold.dim_dates(spark, dt.date.today()).collect()
     assert len(rows) == 91
     assert rows[-1].date_id == dt.date.today() + dt.timedelta(days=90)
+
+
+def test_order_number_orders_like_the_double(spark):
+    from stratum.functions.expressions import order_number
+    rng = random.Random(4)
+    values = [0.0, -0.0, 1.0, -1.0, 2.0, 0.5, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308,
+              1.7976931348623157e308, float("inf"), float("-inf"), 0.1, 0.30000000000000004, 0.3, 1e15 + 0.125]
+    values += [math.ldexp(1.0, e) for e in range(-1074, 1024, 7)]
+    values += [math.nextafter(math.ldexp(1.0, e), d) for e in range(-1000, 1024, 11) for d in (0.0, math.inf)]
+    values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    values = [v for v in values if v == v]
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan"), None]], "v double").withColumn("n", order_number("v"))
+    got = [r.n for r in df.collect()]
+    for v, n in zip(values, got):
+        assert abs(n) == struct.unpack("<q", struct.pack("<d", abs(v)))[0] and (n < 0) == (v < 0)
+    assert got[-1] < min(got[:-1]) and got[-2] > max(got[:-2])
+
+
+def test_payment_totals_against_the_window(spark):
+    """Many ties in value and sequence, nulls everywhere; one order holds a third of the rows."""
+    rng = random.Random(9)
+    rows = [(rng.choice(["hot", f"o{rng.randrange(300)}", f"o{rng.randrange(300)}"]), rng.choice([None, 1, 2, 3, -5, 2**31 - 1]),
+             rng.choice(["a", "b", "c", None]), rng.choice([None, 1, 12]),
+             rng.choice([None, 1.0, 1.0, 0.1 + 0.2, 0.3, -4.0, 1e300, float("inf")])) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "order_id string, payment_sequential int, payment_type string, "
+                                     "payment_installments int, payment_value double")
+    got = {r.order_id: r for r in gold.payment_totals(df).collect()}
+    want = {r.order_id: r.p for r in primary_value_by_window(
+        df, ["order_id"], "payment_type", "payment_value", "payment_sequential", "p").collect()}
+    assert {k: r.primary_payment_type for k, r in got.items()} == want
+    for k, r in got.items():
+        own = [x for x in rows if x[0] == k]
+        assert r.total_methods_distincts_payments == len({x[2] for x in own} - {None})
+        assert r.max_installments == max((x[3] for x in own if x[3]), default=None)
+        assert r.total_payment_value == pytest.approx(sum(x[4] for x in own if x[4] is not None)) \
+            or all(x[4] is None for x in own) and r.total_payment_value is None

@@ -27,6 +27,18 @@ def test_payment_fact_has_no_window(spark):
     assert "max_by" in plan
 
 
+def test_payments_are_hashed_before_the_first_exchange(spark):
+    """No sort on the raw payments: HashAggregate from the scan to the exchange."""
+    from stratum.plans import gold
+    from stratum.sources import retail
+    df = gold.payment_totals(retail.order_payments(spark, SF_SMALL))
+    lines = _plan(df).splitlines()
+    assert not any("SortAggregate(keys=[order_id" in x and "payment_type" in x.split("functions")[0] for x in lines)
+    first = max(k for k, x in enumerate(lines) if "Exchange hashpartitioning" in x)     # the deepest
+    below = "\n".join(lines[first + 1:])
+    assert "HashAggregate(keys=[order_id" in below and "Sort" not in below
+
+
 def test_latest_per_key_limits_before_the_shuffle(spark):
     plan = _plan(entry.queries()["latest_per_key"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan and "Partial" in plan
