@@ -7,15 +7,23 @@ changes nothing (so a replayed micro-batch is harmless).
 Layout of a table's directory::
 
     _layout/snapshot=<n>                   keys, columns and version column (one line of JSON)
-    base=<s>                               one row per key: all changes up to number s
-    changes/_seq=<s>/_origin=<o>           rows of one upsert, one per key
+    base=<s>[/_bucket=<b>]                 one row per key: all changes up to number s
+    _bases/<s>.json                        that base's number of buckets, and the origins folded into it
+    changes/_seq=<n>/_origin=<o>           rows of one upsert, one per key
 
 An upsert writes its own change directory and nothing else, so its cost is that
-of the batch, and a replay (same origin) overwrites just that directory. Readers
-take, for each key, the row of the latest change, and the base's for keys without
-one. When the changes have grown to a share of the base, ``compact`` writes a new
-base beside the old one. A directory without Spark's ``_SUCCESS`` marker does not
-exist for readers, so a crash at any point leaves the state before the write.
+of the batch. Readers take, for each key, the row of the latest change, and the
+base's for keys without one. When the changes have grown to a share of the base,
+``compact`` writes a new base beside the old one, cut by a hash of the key into
+buckets of about ``bucket_bytes``. Whatever concerns some keys only (replaced rows
+of a read, stored values of a batch) is joined with the buckets of these keys alone.
+
+A directory without Spark's ``_SUCCESS`` marker does not exist for readers, so a
+crash at any point leaves the state before the write. An origin gets its number
+by the write that commits, above all numbers taken until then: the replay of a
+write that died is the latest change, whatever was written or folded in between.
+The replay of a committed origin keeps its number: it writes beside its first try
+(``_origin=<o>~<k>``, the last committed try counts), or nothing once it is folded.
 
 One writer per table at a time; any number of readers. Directories that a new
 base replaces are removed by the compaction after it.
@@ -24,9 +32,10 @@ base replaces are removed by the compaction after it.
 from __future__ import annotations
 
 import json
+import math
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,15 +45,27 @@ from pyspark.sql import types as T
 from stratum.operators.refine import latest_per_key
 from stratum.sources import storage
 
-SEQ, ORIGIN = "_seq", "_origin"
+SEQ, ORIGIN, BUCKET = "_seq", "_origin", "_bucket"
 #: Changes are folded into the base at this share of its bytes, or this number.
 COMPACT_SHARE, MOST_CHANGES = 0.5, 32
+#: Bytes of one bucket of a base, about.
+BUCKET_BYTES = 128 << 20
 
 
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _bucket(keys: Sequence[str], buckets: int) -> str:
+    return f"CAST(pmod(xxhash64({', '.join(map(_quoted, keys))}), {buckets}) AS INT)"
+
+
+def _among(what: str, buckets: Iterable[int] | None) -> str:
+    if buckets is None:
+        return "true"
+    return f"{what} IN ({', '.join(map(str, sorted(buckets)))})" if buckets else "false"
+
+
 @dataclass(frozen=True)
 class Layout:
     """What every directory of the table agrees on."""
@@ -63,18 +84,20 @@ class Layout:
 
 @dataclass(frozen=True)
 class State:
-    """The live directories: the base's number (0: none) and path, and the
-    committed changes after it as (number, path)."""
+    """The live directories: the base's number (0: none), path, buckets and
+    folded origins, and the committed changes after it as (number, path)."""
     base_seq: int
     base: str | None
     changes: tuple[tuple[int, str], ...]
+    buckets: int = 1
+    folded: frozenset[str] = frozenset()
 
 
 class KeyedTable:
     """A keyed table under ``path`` (a shared folder)."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, bucket_bytes: int = BUCKET_BYTES):
+        self.spark, self.path, self.bucket_bytes = spark, path.rstrip("/"), bucket_bytes
 
     # ------------------------------------------------------------- reading
 
@@ -86,53 +109,62 @@ class KeyedTable:
         return self.layout() is not None
 
     def _all_changes(self) -> list[tuple[int, str, str]]:
-        """(number, origin, path) of every change directory, committed or not."""
+        """(number, origin, path) of every try of a change, committed or not."""
         out = []
         for name in storage.names(self.spark, f"{self.path}/changes"):
             seq = re.fullmatch(f"{SEQ}=(\\d+)", name)
             for below in storage.names(self.spark, f"{self.path}/changes/{name}") if seq else ():
-                if below.startswith(f"{ORIGIN}="):
-                    out.append((int(seq[1]), below.partition("=")[2], f"{self.path}/changes/{name}/{below}"))
-        return sorted(out)
+                origin = re.fullmatch(f"{ORIGIN}=([^~]*)(?:~(\\d+))?", below)
+                if origin:
+                    out.append((int(seq[1]), int(origin[2] or 0), origin[1], f"{self.path}/changes/{name}/{below}"))
+        return [(n, origin, path) for n, _, origin, path in sorted(out)]
+
+    def _committed_changes(self) -> dict[int, tuple[str, str]]:
+        """Number -> (origin, path) of its last committed try."""
+        return {n: (o, p) for n, o, p in self._all_changes() if storage.committed(self.spark, p)}
 
     def state(self) -> State:
         bases = storage.numbered(self.spark, self.path, "base")
         seq = bases[-1] if bases else 0
-        changes = tuple((n, p) for n, _, p in self._all_changes()
-                        if n > seq and storage.committed(self.spark, p))
-        return State(seq, f"{self.path}/base={seq}" if bases else None, changes)
+        about = json.loads(storage.read_text(self.spark, f"{self.path}/_bases/{seq}.json") or "{}")
+        changes = tuple((n, p) for n, (_, p) in self._committed_changes().items() if n > seq)
+        return State(seq, f"{self.path}/base={seq}" if bases else None, changes,
+                     about.get("buckets", 1), frozenset(about.get("origins", ())))
 
-    def query(self, state: State | None = None) -> str:
-        """The table's rows as SQL over its live directories.
+    def query(self, state: State | None = None, within: Sequence[int] | None = None) -> str:
+        """The table's rows as SQL over its live directories; ``within``: those of
+        some buckets of the base only.
 
-        With a base and changes, only the changes are ordered by key; the base
-        is anti-joined with their keys. With a version column the stored rows of
-        these keys compete with the changes by version first."""
+        With a base and changes, only the changes are ordered by key, and only the
+        base's buckets that hold a changed key are anti-joined with them."""
         layout, state = self._existing(), state or self.state()
         columns = ", ".join(_quoted(f.name) for f in layout.schema)
         keys = ", ".join(map(_quoted, layout.keys))
         same = " AND ".join(f"b.{_quoted(k)} <=> n.{_quoted(k)}" for k in layout.keys)
-        base = f"SELECT {columns} FROM parquet.`{state.base}`"
-        parts = [f"SELECT {columns}, {n} AS {SEQ} FROM parquet.`{p}`" for n, p in state.changes]
+        cut = state.base is not None and state.buckets > 1
+        bucket = _bucket(layout.keys, state.buckets)
+        inside = _among(bucket, within) if cut else "true"
+        parts = [f"SELECT {columns}, {n} AS {SEQ} FROM parquet.`{p}` WHERE {inside}" for n, p in state.changes]
         if not parts:
             if state.base:
-                return base
+                return f"SELECT {columns} FROM parquet.`{state.base}` WHERE {_among(BUCKET, within) if cut else 'true'}"
             typed = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {_quoted(f.name)}" for f in layout.schema)
             return f"SELECT {typed} WHERE false"
         if state.base is None and len(parts) == 1:
             return f"SELECT {columns} FROM ({parts[0]})"
-        order = f"{SEQ} DESC"
-        if layout.version:
-            order = f"{_quoted(layout.version)} DESC NULLS LAST, {order}"
-            if state.base:
-                parts.append(f"SELECT {columns}, 0 AS {SEQ} FROM parquet.`{state.base}` b WHERE EXISTS "
-                             f"(SELECT 1 FROM ({' UNION ALL '.join(parts)}) n WHERE {same})")
-        newest = (f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS _rn "
-                  f"FROM ({' UNION ALL '.join(parts)})) WHERE _rn = 1")
+        changes = " UNION ALL ".join(parts)
+        newest = (f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {SEQ} DESC) AS _rn "
+                  f"FROM ({changes})) WHERE _rn = 1")
         if state.base is None:
             return newest
-        return (f"SELECT {columns} FROM parquet.`{state.base}` b WHERE NOT EXISTS "
-                f"(SELECT 1 FROM ({newest}) n WHERE {same}) UNION ALL {newest}")
+        replaced = f"NOT EXISTS (SELECT 1 FROM ({newest}) n WHERE {same})"
+        if not cut:
+            return f"SELECT {columns} FROM parquet.`{state.base}` b WHERE {replaced} UNION ALL {newest}"
+        changed = {r[0] for r in self.spark.sql(f"SELECT DISTINCT {bucket} FROM ({changes})").collect()}
+        every = set(range(state.buckets)) if within is None else set(within)
+        return (f"SELECT {columns} FROM parquet.`{state.base}` WHERE {_among(BUCKET, every - changed)} UNION ALL "
+                f"SELECT {columns} FROM parquet.`{state.base}` b WHERE {_among(BUCKET, every & changed)} AND {replaced} "
+                f"UNION ALL {newest}")
 
     def read(self) -> DataFrame:
         return self.spark.sql(self.query())
@@ -178,11 +210,29 @@ class KeyedTable:
             layout = self._add_columns(layout, new)
         missing = [f.name for f in layout.schema if f.name not in batch.columns]
         if missing:
-            kept = self.read().select(*[F.col(k).alias(f"_stored_{k}") for k in layout.keys], *missing)
-            same = [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in layout.keys]
-            batch = batch.join(kept, same, "left")
+            batch = self._beside_stored(batch, layout, missing)
+            batch = batch.withColumns({c: F.col(f"_stored_{c}") for c in missing})
         return batch.select(*layout.schema.names), layout
 
+    def _beside_stored(self, batch: DataFrame, layout: Layout, columns: Sequence[str]) -> DataFrame:
+        """The batch with columns ``_stored_<name>`` of the rows stored under its
+        keys, read from these keys' buckets alone."""
+        state = self.state()
+        within = None
+        if state.base and state.buckets > 1:
+            within = [r[0] for r in batch.select(F.expr(_bucket(layout.keys, state.buckets))).distinct().collect()]
+        stored = self.spark.sql(self.query(state, within))
+        stored = stored.select(*[F.col(c).alias(f"_stored_{c}") for c in (*layout.keys, *columns)])
+        same = [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in layout.keys]
+        return batch.join(stored, same, "left")
+
+    def _not_older(self, batch: DataFrame, layout: Layout) -> DataFrame:
+        """The rows that are no older than the stored row of their key."""
+        version = F.col(layout.version)
+        was = F.col(f"_stored_{layout.version}")
+        rows = self._beside_stored(batch, layout, [layout.version])
+        return rows.where(was.isNull() | F.coalesce(version >= was, F.lit(False))).select(*batch.columns)
+
     def _add_columns(self, layout: Layout, new: list[T.StructField]) -> Layout:
         """Rewrite the rows with the new columns (null) before the layout says
         so: all live directories always have all columns."""
@@ -201,8 +251,8 @@ class KeyedTable:
                evolve: bool = False) -> None:
         """Insert new keys and replace existing ones with the batch's rows.
 
-        ``origin`` names the batch: the same origin again overwrites what it
-        wrote. Rows of one key in the batch are folded by ``order`` (default: the
+        ``origin`` names the batch: the same origin again replaces what it
+        wrote, at its place in the order of changes. Rows of one key in the batch are folded by ``order`` (default: the
         largest values win). With a version column, given when the table is
         created, a row never replaces one with a newer version."""
         layout = self.layout() or self.create(batch.schema, keys, version_column)
@@ -215,13 +265,30 @@ class KeyedTable:
             first = [layout.version] if layout.version else []
             order = [F.col(c).desc_nulls_last() for c in first + [c for c in rest if c not in first]]
         rows = latest_per_key(rows, layout.keys, order or [F.lit(1)])
-        name = re.sub(r"[^A-Za-z0-9.-]", "-", origin or uuid.uuid4().hex)
-        again = [p for _, o, p in self._all_changes() if o == name]
-        target = again[0] if again else f"{self.path}/changes/{SEQ}={self._next_seq()}/{ORIGIN}={name}"
+        if layout.version and self.state() != State(0, None, ()):
+            rows = self._not_older(rows, layout)
+        target = self.directory_for(re.sub(r"[^A-Za-z0-9.-]", "-", origin or uuid.uuid4().hex))
+        if target is None:
+            return
         rows.write.mode("overwrite").parquet(target)
         if self.due():
             self.compact()
 
+    def directory_for(self, origin: str) -> str | None:
+        """Where an upsert of this origin goes; None if it is part of the base."""
+        tries = [(n, p) for n, o, p in self._all_changes() if o == origin]
+        committed = {n for n, (o, _) in self._committed_changes().items() if o == origin}
+        state = self.state()
+        if origin in state.folded or any(n <= state.base_seq for n in committed):
+            return None
+        if committed:
+            n = max(committed)
+            return f"{self.path}/changes/{SEQ}={n}/{ORIGIN}={origin}~{sum(m == n for m, _ in tries)}"
+        target = f"{self.path}/changes/{SEQ}={self._next_seq()}/{ORIGIN}={origin}"
+        for _, torn in tries:
+            storage.remove(self.spark, torn)
+        return target
+
     def due(self, share: float = COMPACT_SHARE, most: int = MOST_CHANGES) -> bool:
         """Whether the changes have grown enough to be folded. The first change of
         a table serves as its base until then."""
@@ -246,11 +313,23 @@ class KeyedTable:
         self._write_base(latest_per_key(rows, layout.keys, order), self.state().base_seq, self._next_seq())
 
     def _write_base(self, rows: DataFrame, before: int, seq: int) -> None:
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/base={seq}")
+        """A new base: what it folds is noted before its marker makes it live."""
+        state, target = self.state(), f"{self.path}/base={seq}"
+        size = sum(storage.size(self.spark, p) for p in [*([state.base] if state.base else []), *[p for _, p in state.changes]])
+        buckets = 1 << max(0, math.ceil(math.log2(max(1, size) / self.bucket_bytes)))
+        folded = state.folded | {o for n, (o, _) in self._committed_changes().items() if n <= seq}
+        storage.write_text(self.spark, f"{self.path}/_bases/{seq}.json",
+                           json.dumps({"buckets": buckets, "origins": sorted(folded)}))
+        if buckets == 1:
+            rows.hint("rebalance").write.mode("overwrite").parquet(target)
+        else:
+            cut = rows.withColumn(BUCKET, F.expr(_bucket(self._existing().keys, buckets)))
+            cut.repartitionById(buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(target)
         # What the base before this one had replaced is out of every reader's sight.
         for n in storage.numbered(self.spark, self.path, "base"):
             if n < before:
                 storage.remove(self.spark, f"{self.path}/base={n}")
+                storage.remove(self.spark, f"{self.path}/_bases/{n}.json")
         for n, _, path in self._all_changes():
             if n <= before:
                 storage.remove(self.spark, path.rpartition("/")[0])

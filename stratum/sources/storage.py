@@ -42,6 +42,25 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced as a whole; complete once this returns."""
+    fs, where = _at(spark, path)
+    with_data = fs.create(where, True)
+    with_data.write(bytearray(text.encode("utf-8")))
+    with_data.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, where = _at(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def set_time(spark: SparkSession, path: str, when: dt.datetime) -> None:
     """Date a file."""
     fs, where = _at(spark, path)
@@ -58,6 +77,40 @@ def numbered(spark: SparkSession, path: str, label: str) -> list[int]:
     return sorted(int(m[1]) for m in found if m and committed(spark, f"{path}/{m[0]}"))
 
 
+def move(spark: SparkSession, file: str, folder: str) -> None:
+    """Move a file into a folder, which is made if it is not there."""
+    fs, where = _at(spark, file)
+    into = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs.mkdirs(into)
+    if not fs.rename(where, into):
+        raise OSError(f"{file} could not be moved to {folder}")
+
+
+BATCH = "batch"
+
+
+def batches(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the committed batch directories of an append-only table, in one listing."""
+    fs, where = _at(spark, path)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where, f"{BATCH}=*/_SUCCESS"))
+    return sorted(s.getPath().getParent().toString() for s in found or ())
+
+
+def append_batch(df: DataFrame, path: str, name: str) -> None:
+    """Append one batch to a table, once: the rows are written aside, and their
+    files moved into the batch's directory, the marker last. The repetition of a
+    batch that died goes on where it stopped, and of a finished one does nothing;
+    so a file that a stream has seen is part of the table for good."""
+    spark, aside, target = df.sparkSession, f"{path}/_staging/{name}", f"{path}/{BATCH}={name}"
+    if committed(spark, target):
+        return
+    if not committed(spark, aside):
+        df.write.mode("overwrite").parquet(aside)
+    for file in sorted(names(spark, aside), key=lambda f: f == "_SUCCESS"):
+        move(spark, f"{aside}/{file}", target)
+    remove(spark, aside)
+
+
 SNAPSHOT = "snapshot"
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from stratum.operators.upsert import KeyedTable, upsert
 from stratum.sources import storage
 
+from scans import scanned
+
 COLS = "k string, v int, ver int"
 
 
@@ -253,3 +255,96 @@ def test_snapshot_stays_until_the_next_is_complete(spark, lake):
 def test_function_form(spark, table):
     upsert(frame(spark, [("a", 1, 1)]), table.path, ["k"], origin="x")
     assert rows(table) == [("a", 1, 1)]
+
+
+# ------------------------------------------------- replays and key buckets
+
+
+def test_torn_write_replayed_after_others_and_a_fold(spark, table):
+    """The replay of a write that died comes after what was written since, and is not lost."""
+    many = spark.range(20_000).selectExpr("cast(id as string) k", "cast(id as int) v", "1 ver")
+    late = frame(spark, [("99999", 1, 9), ("5", -1, 9)])
+    table.upsert(many, ["k"], "w-0")
+    table.upsert(late, ["k"], "w-1")
+    lose_marker(change_paths(table)[-1])
+    table.upsert(frame(spark, [("5", -2, 9), ("6", -2, 9)]), ["k"], "w-2")
+    table.compact()
+    table.upsert(late, ["k"], "w-1")
+    got = {k: v for k, v, _ in rows(table)}
+    assert len(got) == 20_001 and (got["99999"], got["5"], got["6"]) == (1, -1, -2)
+    table.compact()
+    assert {k: v for k, v, _ in rows(table)} == got
+
+
+def test_torn_write_without_a_fold(spark, table):
+    table.upsert(spark.range(2_000).selectExpr("cast(id as string) k", "0 v", "1 ver"), ["k"], "w-0")
+    table.upsert(frame(spark, [("a", 1, 1)]), ["k"], "w-1")
+    lose_marker(change_paths(table)[-1])
+    table.upsert(frame(spark, [("a", 2, 1)]), ["k"], "w-2")
+    assert ("a", 2, 1) in rows(table)
+    table.upsert(frame(spark, [("a", 1, 1)]), ["k"], "w-1")
+    assert ("a", 1, 1) in rows(table) and ("a", 2, 1) not in rows(table)
+
+
+def test_committed_replay_keeps_its_number(spark, table):
+    table.upsert(spark.range(2_000).selectExpr("cast(id as string) k", "0 v", "1 ver"), ["k"], "w-0")
+    letters = lambda: [r for r in rows(table) if r[0].isalpha()]
+    table.upsert(frame(spark, [("a", 1, 1), ("b", 1, 1)]), ["k"], "w-1")
+    table.upsert(frame(spark, [("a", 2, 1)]), ["k"], "w-2")
+    table.upsert(frame(spark, [("a", 7, 1), ("b", 7, 1)]), ["k"], "w-1")     # replaces its rows, at its place
+    assert letters() == [("a", 2, 1), ("b", 7, 1)]
+    lose_marker([p for p in change_paths(table) if p.endswith("~1")][0])      # a replay that dies changes nothing
+    assert letters() == [("a", 2, 1), ("b", 1, 1)]
+    table.compact()
+    table.upsert(frame(spark, [("c", 3, 1)]), ["k"], "w-3")
+    for origin in ("w-1", "w-2"):
+        table.upsert(frame(spark, [("a", 9, 1)]), ["k"], origin)              # folded: known
+    table.compact()
+    table.upsert(frame(spark, [("d", 4, 1)]), ["k"], "w-4")
+    table.compact()
+    table.upsert(frame(spark, [("a", 9, 1)]), ["k"], "w-1")
+    assert letters() == [("a", 2, 1), ("b", 1, 1), ("c", 3, 1), ("d", 4, 1)]
+
+
+@pytest.fixture()
+def cut(spark, lake):
+    """A table whose base has 16 buckets or more."""
+    t = KeyedTable(spark, f"{lake.root}/silver/cut", bucket_bytes=16 << 10)
+    t.upsert(spark.range(40_000).selectExpr("cast(id as string) k", "cast(id as int) v", "5 ver"), ["k"], version_column="ver")
+    t.compact()
+    assert t.state().buckets >= 16
+    return t
+
+
+
+def test_reads_touch_the_changed_buckets_alone(spark, cut):
+    cut.upsert(frame(spark, [("7", -7, 6), ("x", 1, 6)]), ["k"], version_column="ver")
+    plan = cut.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan
+    filters = [f for f in plan.splitlines() if "_bucket" in f and "Filter" in f]
+    changed = {r[0] for r in spark.sql("SELECT DISTINCT CAST(pmod(xxhash64(k), %d) AS INT) FROM VALUES ('7'), ('x') t(k)"
+                                       % cut.state().buckets).collect()}
+    assert len(changed) <= 2 and len(filters) == 2                            # these buckets, and all others
+    got = {k: v for k, v, _ in rows(cut)}
+    assert len(got) == 40_001 and got["7"] == -7 and got["8"] == 8 and got["x"] == 1
+
+
+def base_bytes_read(spark, cut, batch):
+    """Bytes of the base's files in which the stored values of a batch are looked up."""
+    return scanned(spark, cut._beside_stored(batch, cut.layout(), ["ver"]), "filesSize", "/base=")
+
+
+def test_lookups_read_the_buckets_of_the_batch(spark, cut):
+    total = data_bytes(cut.state().base)
+    few = frame(spark, [("7", 0, 0)])
+    assert 0 < base_bytes_read(spark, cut, few) < 0.15 * total
+    cut.upsert(frame(spark, [("7", -1, 4), ("8", -1, 6), ("y", 1, None)]), ["k"], version_column="ver")
+    got = {k: v for k, v, _ in rows(cut)}
+    assert (got["7"], got["8"], got["y"]) == (7, -1, 1)
+    cut.upsert(frame(spark, [("8", 6), ("z", 6)], "k string, ver int"), ["k"], version_column="ver")
+    got = {k: v for k, v, _ in rows(cut)}
+    assert got["8"] == -1 and got["z"] is None and len(got) == 40_002
+    cut.compact()
+    assert {k: v for k, v, _ in rows(cut)} == got
+    few = spark.range(3).selectExpr("cast(id as string) k", "0 v", "0 ver")
+    assert base_bytes_read(spark, cut, few) < 0.4 * total
