@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 # The package lives next to this file; make it importable from any working directory.
@@ -29,11 +30,11 @@ from stratum.operators.upsert import KeyedTable
 from stratum.plans import gold, questions, refresh
 from stratum.session import Lake
 from stratum.sources import retail, storage
-from stratum.sources.files import as_text, write_landing
+from stratum.sources.files import as_text, read_file_stream, write_landing
 from stratum.sources.tables import read_bronze, read_bronze_stream
-from stratum.specs import load_spec, parse_spec
+from stratum.specs import TableName, load_spec, parse_spec
 from stratum.streaming import bronze, silver
-from stratum.streaming.sinks import foreach_batch_stream
+from stratum.streaming.sinks import append_stream, foreach_batch_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -135,6 +136,13 @@ def _order_table(spark: SparkSession, label: str) -> KeyedTable:
     return KeyedTable(spark, f"{Lake.fresh(spark, label).root}/silver/orders")
 
 
+def _dies_writing(table: KeyedTable, rows: DataFrame, origin: str) -> None:
+    """The state after an upsert that wrote its rows and died before its commit."""
+    target = table.directory_for(origin)
+    rows.write.parquet(target)
+    storage.remove(rows.sparkSession, f"{target}/_SUCCESS")
+
+
 def q_upsert_scd1(spark: SparkSession, sf: str) -> DataFrame:
     """Load the orders not after 1998, then upsert the orders from 1998 on
     with a changed status (twice: the replay must change nothing)."""
@@ -152,13 +160,40 @@ def q_upsert_crash_replay(spark: SparkSession, sf: str) -> DataFrame:
     table = _order_table(spark, "q-crash")
     o, later = _order_rows(spark, sf)
     table.upsert(o, _ORDER_KEY, "w-0")
-    table.upsert(later.limit(0), _ORDER_KEY, "w-1")
-    storage.remove(spark, f"{table.state().changes[-1][1]}/_SUCCESS")
+    _dies_writing(table, later, "w-1")
     crashed = table.read().withColumn("state", F.lit("crashed"))
     table.upsert(later, _ORDER_KEY, "w-1")
     return crashed.unionByName(table.read().withColumn("state", F.lit("replayed")))
 
 
+def q_upsert_late_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A write dies before its commit; another one follows and all is folded
+    into a new base; the replay of the first is then the latest change."""
+    table = _order_table(spark, "q-late-replay")
+    o, later = _order_rows(spark, sf)
+    table.upsert(o.filter("order_id % 5 <> 0"), _ORDER_KEY, "w-0")
+    _dies_writing(table, later, "w-1")
+    table.upsert(o.filter("order_id % 2 = 0").withColumn("order_status", F.concat("order_status", F.lit("-3"))),
+                 _ORDER_KEY, "w-2")
+    table.compact()
+    table.upsert(later, _ORDER_KEY, "w-1")
+    return table.read()
+
+
+def q_upsert_key_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """A base cut by key hash; a batch of few keys without one of the
+    columns and with older and newer versions, looked up in their buckets alone."""
+    table = KeyedTable(spark, f"{Lake.fresh(spark, 'q-buckets').root}/silver/orders", bucket_bytes=8 << 10)
+    o, _ = _order_rows(spark, sf)
+    version = "order_purchase_timestamp"
+    table.upsert(o, _ORDER_KEY, version_column=version)
+    table.compact()
+    few = (o.filter("order_id % 97 = 0").drop("customer_id").withColumn("order_status", F.concat("order_status", F.lit("-2")))
+           .withColumn(version, F.col(version) + F.expr("CASE WHEN order_id % 2 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL -1 DAY END")))
+    table.upsert(few, _ORDER_KEY, version_column=version)
+    return table.read()
+
+
 def q_upsert_new_column(spark: SparkSession, sf: str) -> DataFrame:
     """A batch with a new column, added by decision: null in all other rows."""
     table = _order_table(spark, "q-new")
@@ -228,6 +263,93 @@ def q_rescued_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read_bronze(spark, bronze.ingest(spark, spec, lake)).drop("_ingest_ts", "_source_file_path")
 
 
+def q_rescued_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: files with reordered, missing and additional columns, matched by the names
+    in their headers; what has no declared column is kept field by field."""
+    lake = Lake.fresh(spark, "q-fields")
+    c = retail.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nation"), F.concat(F.lit('say "'), "c_name", F.lit('", ok')).alias("remark"))
+    for n, columns in enumerate((("segment", "customer_id", "name"), ("name", "customer_id"),
+                                 ("customer_id", "nation", "name", "remark", "segment"))):
+        write_landing(c.filter(F.col("customer_id") % 3 == n).select(*columns), lake.landing("people"))
+    spec = parse_spec("people", "bronze", {
+        "file": {"format": "csv", "header": True, "quote": '"', "escape": '"', "multiLine": True, "match": "name",
+                 "rescued_data_column": "_rescued_data"},
+        "columns": ["customer_id", "name", "segment"]})
+    return read_bronze(spark, bronze.ingest(spark, spec, lake)).drop("_ingest_ts", "_source_file_path")
+
+
+def q_bronze_batch_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A micro-batch that fails after its write is replayed, and one that
+    died while its files were moved is finished: every row is there once, and a
+    stream reads it once. No log of the file sink."""
+    lake, spec = Lake.fresh(spark, "q-replay"), load_spec("customers", "bronze")
+    frame = retail.landing_frames(spark, sf)["customers"]
+    half = F.pmod(F.xxhash64("customer_id"), F.lit(2))
+    write_landing(frame.filter(half == 0), lake.landing("customers"))
+    path = lake.path(spec.target)
+
+    def dies(paths: list[str]) -> DataFrame:
+        rows = bronze.landed_rows(spark, paths, spec, dt.datetime.now(dt.timezone.utc))
+        name = next(q for q in spark.streams.active if q.name.startswith("batches-")).id
+        storage.append_batch(rows, path, f"{name}-0")
+        raise RuntimeError("lost after the write")
+
+    try:
+        append_stream(read_file_stream(spark, lake.landing("customers"), 100), path, lake.checkpoint(spec.target), dies)
+        raise AssertionError("the failure of a batch must reach the caller")
+    except StreamingQueryException:
+        pass
+    bronze.ingest(spark, spec, lake)
+    rows = read_bronze(spark, path).limit(0).unionByName(as_text(frame.filter(half == 1)), allowMissingColumns=True)
+    rows.repartition(2).write.parquet(f"{path}/_staging/torn-7")
+    first = next(n for n in storage.names(spark, f"{path}/_staging/torn-7") if n.endswith(".parquet"))
+    storage.move(spark, f"{path}/_staging/torn-7/{first}", f"{path}/batch=torn-7")
+    streamed = f"{lake.root}/streamed"
+
+    def drain() -> None:
+        foreach_batch_stream(read_bronze_stream(spark, path, 1), f"{lake.root}/_checkpoints/streamed",
+                             lambda batch, origin: batch.write.mode("overwrite").parquet(f"{streamed}/{origin}"))
+
+    drain()                                                    # sees the file that is in place
+    storage.append_batch(rows, path, "torn-7")
+    drain()
+    log = F.lit(storage.exists(spark, f"{path}/_spark_metadata"))
+    read = [read_bronze(spark, path).withColumn("reader", F.lit("batch")),
+            spark.read.schema(rows.schema).parquet(f"{streamed}/*").withColumn("reader", F.lit("stream"))]
+    return read[0].unionByName(read[1]).select("customer_id", "customer_state", "reader", log.alias("sink_log"))
+
+
+def q_named_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drops through Bronze, Silver and Gold tables of the catalog:
+    Silver streams from the named Bronze table, Gold is read by name after each."""
+    lake = Lake(Lake.fresh(spark, "q-named").root, databases=f"q{uuid.uuid4().hex[:8]}_")
+    frame = retail.landing_frames(spark, sf)["customers"]
+    out = []
+    for n in range(2):
+        write_landing(frame.filter(F.col("customer_id") % 2 == n), lake.landing("customers"))
+        bronze.ingest(spark, "customers", lake)
+        silver.refine_stream(spark, "customers", lake)
+        gold_name = refresh.build_gold(spark, lake, names=["dim_customers"])["dim_customers"]
+        counts = [spark.table(lake.ref(TableName(layer, "customers"))).count() for layer in ("bronze", "silver")]
+        out.append(spark.table(gold_name).groupBy("customer_state").agg(F.count("*").alias("customers"))
+                   .select(F.lit(n).alias("run"), "customer_state", "customers",
+                           F.lit(counts[0]).cast("long").alias("bronze_rows"), F.lit(counts[1]).cast("long").alias("silver_rows")))
+        out[-1] = spark.createDataFrame(out[-1].collect(), out[-1].schema)      # as of this drop
+    return out[0].unionByName(out[1])
+
+
+def q_csv_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Event times with fractions of a second through landing and back."""
+    lake = Lake.fresh(spark, "q-times")
+    write_landing(retail.table(spark, sf, "events").select("event_id", "ts"), lake.landing("times"))
+    options = {k: v for k, v in load_spec("orders", "bronze").options.items()}
+    spec = parse_spec("times", "bronze", {"file": {"format": "csv", **options}, "columns": ["event_id", "ts"]})
+    rows = read_bronze(spark, bronze.ingest(spark, spec, lake))
+    return rows.select(F.col("event_id").cast("long").alias("event_id"), F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 def q_csv_quoting(spark: SparkSession, sf: str) -> DataFrame:
     """Texts with quotes, separators and line ends through landing and back."""
     lake = Lake.fresh(spark, "q-quoting")
@@ -271,7 +393,8 @@ def q_silver_two_files_one_run(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_silver_failed_batch(spark: SparkSession, sf: str) -> DataFrame:
     """The first run fails after its write, the second replays the batch
-    under the same origin; a third has no new row."""
+    under the same origin; the third's only rows lack a required column, so its
+    batch is empty when it comes to the upsert."""
     lake, spec = Lake.fresh(spark, "q-failed"), load_spec("customers", "silver")
     write_landing(retail.landing_frames(spark, sf)["customers"], lake.landing("customers"))
     bronze.ingest(spark, "customers", lake)
@@ -288,6 +411,9 @@ def q_silver_failed_batch(spark: SparkSession, sf: str) -> DataFrame:
     except StreamingQueryException:
         pass
     silver.refine_stream(spark, "customers", lake, run_id="second")
+    write_landing(retail.landing_frames(spark, sf)["customers"].withColumn("customer_id", F.lit(None).cast("long")),
+                  lake.landing("customers"))
+    bronze.ingest(spark, "customers", lake)
     silver.refine_stream(spark, "customers", lake, run_id="third")
     return silver.read_silver(spark, "customers", lake).select("customer_id", "customer_state", "_run_id")
 
@@ -388,12 +514,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "calendar_default": q_calendar_default,
     "upsert_scd1": q_upsert_scd1,
     "upsert_crash_replay": q_upsert_crash_replay,
+    "upsert_late_replay": q_upsert_late_replay,
+    "upsert_key_buckets": q_upsert_key_buckets,
     "upsert_new_column": q_upsert_new_column,
     "upsert_missing_column": q_upsert_missing_column,
     "upsert_compaction": q_upsert_compaction,
     "bronze_ingest_stream": q_bronze_ingest_stream,
     "bronze_late_file": q_bronze_late_file,
     "rescued_rows": q_rescued_rows,
+    "rescued_fields": q_rescued_fields,
+    "bronze_batch_replay": q_bronze_batch_replay,
+    "named_tables": q_named_tables,
+    "csv_timestamps": q_csv_timestamps,
     "csv_quoting": q_csv_quoting,
     "silver_refine_stream": q_silver_refine_stream,
     "silver_two_files_one_run": q_silver_two_files_one_run,
@@ -703,6 +835,20 @@ _ORACLE["upsert_crash_replay"] = _SECOND + """
 SELECT order_id, customer_id, order_status, order_purchase_timestamp, 'crashed' AS state FROM orders_v
 UNION ALL SELECT *, 'replayed' FROM after"""
 
+_ORACLE["upsert_late_replay"] = _with(_V_ORDERS) + """
+SELECT order_id, customer_id,
+       CASE WHEN year(order_purchase_timestamp) >= 1998 THEN order_status || '-2'
+            WHEN order_id % 2 = 0 THEN order_status || '-3' ELSE order_status END AS order_status,
+       order_purchase_timestamp
+FROM orders_v
+WHERE order_id % 5 <> 0 OR order_id % 2 = 0 OR year(order_purchase_timestamp) >= 1998"""
+
+_ORACLE["upsert_key_buckets"] = _with(_V_ORDERS) + """
+SELECT order_id, customer_id,
+       CASE WHEN newer THEN order_status || '-2' ELSE order_status END AS order_status,
+       CASE WHEN newer THEN order_purchase_timestamp + INTERVAL 1 DAY ELSE order_purchase_timestamp END AS order_purchase_timestamp
+FROM (SELECT *, order_id % 97 = 0 AND order_id % 2 = 0 AS newer FROM orders_v) t"""
+
 _ORACLE["upsert_new_column"] = _SECOND + """
 SELECT *, CASE WHEN order_status LIKE '%-2' THEN 'c' || CAST(customer_id AS VARCHAR) END AS channel FROM after"""
 
@@ -723,6 +869,25 @@ SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name, c_mktsegment A
             THEN concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, c_mktsegment, 'surplus') END AS _rescued_data
 FROM customer"""
 
+_ORACLE["rescued_fields"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name,
+       CASE WHEN c_custkey % 3 <> 1 THEN c_mktsegment END AS segment,
+       CASE WHEN c_custkey % 3 = 2 THEN concat('{"nation":"', c_nationkey, '","remark":"say \\"', c_name, '\\", ok"}') END AS _rescued_data
+FROM customer"""
+
+_ORACLE["bronze_batch_replay"] = _with(_V_CUSTOMERS) + """
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_state, b.reader, false AS sink_log
+FROM customers_v, (VALUES ('batch'), ('stream')) b(reader)"""
+
+_ORACLE["named_tables"] = _with(_V_CUSTOMERS) + """,
+seen AS (SELECT n AS run, c.* FROM customers_v c, (VALUES (0), (1)) r(n) WHERE c.customer_id % 2 <= n)
+SELECT CAST(run AS INTEGER) AS run, customer_state, count(*) AS customers,
+       (SELECT count(*) FROM seen b WHERE b.run = s.run) AS bronze_rows,
+       (SELECT count(*) FROM seen b WHERE b.run = s.run) AS silver_rows
+FROM seen s GROUP BY run, customer_state"""
+
+_ORACLE["csv_timestamps"] = "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(ts AS TIMESTAMP) AS ts FROM events"
+
 _ORACLE["csv_quoting"] = """
 SELECT doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars FROM documents"""
 

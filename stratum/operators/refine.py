@@ -19,11 +19,10 @@ from stratum.specs import (INGEST_TS, PROCESSED_TS, RUN_ID, SOURCE_FILE,
 
 
 def add_provenance(df: DataFrame, ingest_ts) -> DataFrame:
-    """Run timestamp and source file of each landed row (file sources only)."""
-    return df.withColumns({
-        INGEST_TS: F.lit(ingest_ts).cast("timestamp"),
-        SOURCE_FILE: F.col("_metadata.file_path"),
-    })
+    """Run timestamp and source file (unless the reader has set it) of each landed
+    row; file sources only."""
+    source = {} if SOURCE_FILE in df.columns else {SOURCE_FILE: F.col("_metadata.file_path")}
+    return df.withColumns({INGEST_TS: F.lit(ingest_ts).cast("timestamp"), **source})
 
 
 def typed_projection(df: DataFrame, spec: SilverSpec) -> DataFrame:

@@ -16,7 +16,9 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
+from stratum.sources import storage
 from stratum.specs import TableName
 
 # Settings the pipeline relies on, applied by local_session. On a cluster they
@@ -78,8 +80,10 @@ class Lake:
 
     ``root`` must be a folder that all executors share. Tables are parquet
     directories ``<root>/<schema>/<table>``. With ``databases`` set (a name prefix,
-    may be ``""``) every table is also a view ``<prefix><schema>.<table>`` of its
-    live directories, replaced in one step after each write.
+    may be ``""``) every table also has the catalog name ``<prefix><schema>.<table>``:
+    Bronze tables with a partition per committed batch, Gold tables at their live
+    snapshot, and Silver tables as views of their live directories, each changed in
+    one step after a write.
     """
 
     root: str
@@ -89,16 +93,60 @@ class Lake:
         return f"{self.root}/{name.schema}/{name.table}"
 
     def ref(self, name: TableName) -> str:
-        """How a user reads the table: the view's name, else the path."""
+        """How a user reads the table: its name, else the path."""
         return self.path(name) if self.databases is None else f"{self.databases}{name.schema}.{name.table}"
 
+    def _database(self, spark: SparkSession, name: TableName) -> None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.databases}{name.schema} LOCATION '{self.root}/{name.schema}'")
+
     def publish(self, spark: SparkSession, name: TableName, query: str) -> str:
+        """A view of the table's live directories."""
         if self.databases is not None:
-            schema = f"{self.databases}{name.schema}"
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.root}/{name.schema}'")
+            self._database(spark, name)
             spark.sql(f"CREATE OR REPLACE VIEW {self.ref(name)} AS {query}")
         return self.ref(name)
 
+    def publish_batches(self, spark: SparkSession, name: TableName) -> str:
+        """A table with one partition per committed batch directory."""
+        done = storage.batches(spark, self.path(name)) if self.databases is not None else []
+        if done:
+            self._database(spark, name)
+            if not spark.catalog.tableExists(self.ref(name)):
+                columns = spark.read.parquet(done[0]).schema
+                self._create(spark, name, self.path(name), columns.add(storage.BATCH, "string"),
+                             f" PARTITIONED BY ({storage.BATCH})")
+            known = {r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {self.ref(name)}").collect()}
+            new = [b for b in (d.rpartition("=")[2] for d in done) if b not in known]
+            if new:
+                spark.sql(f"ALTER TABLE {self.ref(name)} ADD IF NOT EXISTS "
+                          + " ".join(f"PARTITION ({storage.BATCH}='{b}')" for b in new))
+                spark.catalog.refreshTable(self.ref(name))
+        return self.ref(name)
+
+    def publish_snapshot(self, spark: SparkSession, name: TableName, live: str) -> str:
+        """A table at its live snapshot; made anew if its columns have changed."""
+        if self.databases is not None:
+            self._database(spark, name)
+            columns = spark.read.parquet(live).schema
+            exists = spark.catalog.tableExists(self.ref(name))
+            if exists and spark.table(self.ref(name)).schema != columns:
+                spark.sql(f"DROP TABLE {self.ref(name)}")
+                exists = False
+            if exists:
+                spark.sql(f"ALTER TABLE {self.ref(name)} SET LOCATION '{live}'")
+                spark.catalog.refreshTable(self.ref(name))
+            else:
+                self._create(spark, name, live, columns)
+        return self.ref(name)
+
+    def _create(self, spark: SparkSession, name: TableName, location: str, columns: StructType, more: str = "") -> None:
+        declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+        spark.sql(f"CREATE TABLE {self.ref(name)} ({declared}) USING parquet{more} LOCATION '{location}'")
+
+    def archive(self, dataset: str) -> str:
+        """Where processed landing files go."""
+        return f"{self.root}/_archive/{dataset}"
+
     def landing(self, dataset: str) -> str:
         return f"{self.root}/landing/{dataset}"
 

@@ -1,5 +1,5 @@
-"""Table reads: a table that is replaced as a whole, and the stream of rows
-appended to a Bronze table."""
+"""Table reads: a table that is replaced as a whole, and the rows appended to a
+Bronze table, by its name in the catalog or by its path."""
 
 from __future__ import annotations
 
@@ -19,18 +19,23 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bronze_exists(spark: SparkSession, path: str) -> bool:
-    """The file sink's commit log is there from the first batch on."""
-    return storage.exists(spark, f"{path}/_spark_metadata")
+    return bool(storage.batches(spark, path))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """All committed rows of a Bronze table (through the sink's commit log)."""
-    return spark.read.parquet(path)
+    """All rows of the committed batches of the Bronze table at ``path``."""
+    done = storage.batches(spark, path)
+    if not done:
+        raise ValueError(f"no complete table at {path}")
+    return spark.read.parquet(*done)
 
 
-def read_bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int,
+def read_bronze_stream(spark: SparkSession, table: str, max_files_per_trigger: int,
                        schema: StructType | None = None) -> DataFrame:
-    """Stream of the rows appended since the reader's checkpoint, read through
-    the sink's commit log: files of an unfinished batch are never seen."""
-    return (spark.readStream.schema(schema or spark.read.parquet(path).schema)
-            .option("maxFilesPerTrigger", str(max_files_per_trigger)).option("maxFileAge", ANY_AGE).parquet(path))
+    """Stream of the rows appended to a Bronze table (a catalog name, or a path)
+    since the reader's checkpoint. A batch's files come into sight one by one, each
+    once and for good, when the batch has been written in full."""
+    stream = spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)).option("maxFileAge", ANY_AGE)
+    if "/" not in table:
+        return stream.table(table).drop(storage.BATCH)
+    return stream.schema(schema or read_bronze(spark, table).schema).parquet(table).drop(storage.BATCH)

@@ -44,7 +44,7 @@ def refine_stream(spark: SparkSession, dataset: str | SilverSpec, lake: Lake, ru
                   max_files_per_trigger: int | None = None, conf: Path | str | None = None) -> str:
     """Refine the Bronze rows appended since the last run; returns the table's path."""
     spec, run_id = _spec(dataset, conf), run_id or str(uuid.uuid4())
-    rows = read_bronze_stream(spark, lake.path(spec.source), max_files_per_trigger or spec.max_files_per_trigger)
+    rows = read_bronze_stream(spark, lake.publish_batches(spark, spec.source), max_files_per_trigger or spec.max_files_per_trigger)
     path = lake.path(spec.target)
     foreach_batch_stream(refine(rows, spec, run_id), lake.checkpoint(spec.target), upsert_batch(spec, path))
     _publish(spark, spec, lake)

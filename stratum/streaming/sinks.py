@@ -1,4 +1,4 @@
-"""Streaming sinks: append to a table, or hand each micro-batch to a function.
+"""Streaming sinks: append files' rows to a table, or hand each micro-batch to a function.
 
 Both drain what is available and stop (``availableNow``), keep progress in
 ``checkpoint``, and block until done; a failure in the stream is raised here
@@ -13,11 +13,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from stratum.sources import storage
 
-def append_stream(df: DataFrame, path: str, checkpoint: str) -> None:
-    """Append every new row of ``df`` to the table at ``path``, then stop."""
-    (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start(path).awaitTermination())
+
+def append_stream(files: DataFrame, path: str, checkpoint: str, read: Callable[[list[str]], DataFrame]) -> None:
+    """Append the rows that ``read`` makes of each micro-batch's files (a stream of
+    their paths, bounded by its trigger limit) to the table at ``path``, then stop.
+    Every micro-batch is one batch directory, which only its own replay goes on with."""
+    def append(batch: DataFrame, origin: str) -> None:
+        paths = sorted(r.path for r in batch.collect())
+        if paths:
+            storage.append_batch(read(paths), path, origin)
+
+    foreach_batch_stream(files, checkpoint, append)
 
 
 def foreach_batch_stream(df: DataFrame, checkpoint: str, fn: Callable[[DataFrame, str], None]) -> None:

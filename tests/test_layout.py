@@ -1,0 +1,79 @@
+"""Stored layout and names of the tables: sorted facts, catalog tables."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from scans import scanned, settings
+from sf_dirs import SF_SMALL
+from stratum.plans import refresh
+from stratum.session import Lake
+from stratum.sources import retail
+from stratum.sources.tables import read_bronze_stream
+from stratum.specs import TableName
+from stratum.streaming import bronze, silver
+
+SMALL_FILES = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+               "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
+
+
+@pytest.mark.parametrize("table, within", [
+    ("fact_payment_summary", "total_payment_value > 350000"),
+    ("fact_sales", "order_id BETWEEN '1000' AND '1099'"),
+    ("fact_product_performance", "order_id BETWEEN '1000' AND '1099'")])
+def test_a_range_of_a_stored_fact_reads_a_fraction(spark, lake, table, within):
+    """Files are ranges of the order: row groups out of the range are skipped."""
+    refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), lake, parallel=3)
+    for name in {n for n in refresh.FACTS[table].inputs}:
+        bronze.ingest(spark, name, lake)
+        silver.refine_stream(spark, name, lake)
+    with settings(spark, **SMALL_FILES):
+        refresh.build_gold(spark, lake, names=[table])
+    fact = refresh.read_gold(spark, lake, table)
+    part = fact.where(within)
+    rows, hits = fact.count(), part.count()
+    assert len(fact.inputFiles()) >= 4 and 0 < hits < 0.2 * rows
+    assert scanned(spark, fact, "numOutputRows") == rows
+    assert hits <= scanned(spark, part, "numOutputRows") < 0.6 * rows
+
+
+@pytest.fixture()
+def named(spark, lake):
+    prefix = "t_names_"
+    yield Lake(lake.root, databases=prefix)
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer} CASCADE")
+
+
+def test_bronze_table_by_name(spark, named):
+    """Batch reads by name see the registered batches, a stream reads each row once."""
+    frame = retail.landing_frames(spark, SF_SMALL)["sellers"]
+    name, seen = named.ref(TableName("bronze", "sellers")), []
+
+    def drain():
+        (read_bronze_stream(spark, name, 1).writeStream.foreachBatch(lambda b, n: seen.extend(r.seller_id for r in b.collect()))
+         .option("checkpointLocation", f"{named.root}/ckpt").trigger(availableNow=True).start().awaitTermination())
+
+    for n in range(2):
+        refresh.stage_landing({"sellers": frame.where(F.col("seller_id") % 2 == n)}, named)
+        bronze.ingest(spark, "sellers", named, ingest_ts=dt.datetime(2024, 1, 1 + n))
+        drain()
+        assert spark.table(name).count() == len(seen) == len(set(seen))
+    assert len(seen) == frame.count() and "batch" in spark.table(name).columns
+    assert spark.catalog.getTable(name).tableType == "EXTERNAL"
+    spark.sql(f"DROP TABLE {name}")                                   # as in a new session: registered again
+    bronze.ingest(spark, "sellers", named)
+    assert spark.table(name).count() == len(seen)
+
+
+def test_gold_table_by_name_follows_its_snapshot_and_columns(spark, named):
+    frame = retail.landing_frames(spark, SF_SMALL)["sellers"]
+    target = TableName("gold", "g")
+    from stratum.sources import storage
+    for rows in (frame.limit(3), frame.limit(5), frame.limit(4).withColumn("more", F.lit(1))):
+        live = storage.write_snapshot(rows, named.path(target))
+        name = named.publish_snapshot(spark, target, live)
+        got = spark.table(name)
+        assert got.columns == rows.columns and got.count() == spark.read.parquet(live).count()
+        assert spark.catalog.getTable(name).tableType == "EXTERNAL"

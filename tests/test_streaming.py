@@ -1,6 +1,7 @@
 """Bronze ingest and Silver refine on small landing CSV files (two runs)."""
 
 import datetime as dt
+import json
 import os
 from dataclasses import replace
 
@@ -57,12 +58,95 @@ def test_second_run_without_new_file_adds_nothing(spark, lake):
     assert _bronze_rows(spark, lake, "customers").count() == 2
 
 
-def test_reordered_header_stops_the_stream(spark, lake):
-    _drop(lake, "customers", "a.csv",
-          "customer_unique_id,customer_id,customer_zip_code_prefix,customer_city,customer_state\n"
-          "u1,c1,1,x,SP\n")
+REORDERED = ("customer_unique_id,customer_id,customer_zip_code_prefix,customer_city,customer_state\n"
+             "u1,c1,1,x,SP\n")
+
+
+def test_reordered_header_is_read_by_name(spark, lake):
+    _drop(lake, "customers", "a.csv", REORDERED)
+    bronze.ingest(spark, "customers", lake)
+    row = _bronze_rows(spark, lake, "customers").first()
+    assert (row.customer_id, row.customer_unique_id, row._rescued_data) == ("c1", "u1", None)
+
+
+def test_reordered_header_stops_a_stream_by_position(spark, lake):
+    spec = load_spec("customers", "bronze")
+    spec = replace(spec, by_name=False, options={**spec.options, "enforceSchema": "false"})
+    _drop(lake, "customers", "a.csv", REORDERED)
     with pytest.raises(StreamingQueryException):
+        bronze.ingest(spark, spec, lake)
+
+
+def test_misfit_fields_are_kept_one_by_one(spark, lake):
+    """Files of four headers in one micro-batch: extra, missing, reordered and repeated columns."""
+    text = {"a.csv": "customer_id,customer_city,extra,customer_state\nc1,Rio,e1,RJ\nc2,Rio,,RJ\n",
+            "b [x] +{y}.csv": HEADER + "c3,u3,3,x,SP,more,\"a \"\"b\"\",\nc\"\nc4,u4\nc5,u5,5,y,SP\n",
+            "c.csv": "\"customer_state\", customer_id,customer_id,_c3\nBA,c6,again,three,four\n",
+            "d.csv": "customer_id,customer_city,extra,customer_state\nc7,\"two\nlines\",e7,PE\n",
+            "empty.csv": "", "header.csv": HEADER}
+    for name, content in text.items():
+        _drop(lake, "customers", name, content)
+    bronze.ingest(spark, "customers", lake)
+    rows = {r.customer_id: r for r in _bronze_rows(spark, lake, "customers").collect()}
+    kept = {k: json.loads(r._rescued_data) if r._rescued_data else None for k, r in rows.items()}
+    assert kept == {"c1": {"extra": "e1"}, "c2": None, "c3": {"_c5": "more", "_c6": 'a "b",\nc'}, "c4": {"_line": "c4,u4"},
+                    "c5": None, "c6": {"customer_id": "again", "_c3": "three", "_c4": "four"}, "c7": {"extra": "e7"}}
+    assert rows["c7"].customer_city == "two\nlines" and rows["c7"].customer_zip_code_prefix is None
+    assert rows["c3"].customer_state == "SP" and rows["c6"].customer_state == "BA"
+    assert rows["c3"]._source_file_path.endswith("/customers/b%20%5Bx%5D%20+%7By%7D.csv")
+
+
+def test_very_long_line_is_kept_whole_too(spark, lake):
+    line = "c1,u1,1,x,SP," + ",".join(f"s{i}" for i in range(100))
+    _drop(lake, "customers", "a.csv", HEADER + line + "\n")
+    bronze.ingest(spark, "customers", lake)
+    kept = json.loads(_bronze_rows(spark, lake, "customers").first()._rescued_data)
+    assert kept["_c5"] == "s0" and kept["_line"] == line
+
+
+def _batches(lake, table):
+    return sorted(n for n in os.listdir(f"{lake.root}/bronze/{table}") if n.startswith("batch="))
+
+
+def test_micro_batches_bounded_by_bytes(spark, lake):
+    spec = replace(load_spec("customers", "bronze"), max_bytes_per_trigger=200)
+    for n in range(6):
+        _drop(lake, "customers", f"{n}.csv", HEADER + f"c{n},u{n},1,x,SP\n")     # about 90 bytes each
+    bronze.ingest(spark, spec, lake)
+    assert len(_batches(lake, "customers")) == 3
+    assert _bronze_rows(spark, lake, "customers").count() == 6
+    assert load_spec("orders", "bronze").max_bytes_per_trigger == 64 << 30
+    assert "_spark_metadata" not in os.listdir(f"{lake.root}/bronze/customers")
+
+
+def test_processed_files_leave_the_landing_folder(spark, lake):
+    for n in range(3):
+        _drop(lake, "customers", f"{n}.csv", HEADER + f"c{n},u{n},1,x,SP\n")
         bronze.ingest(spark, "customers", lake)
+    assert len(os.listdir(lake.landing("customers"))) <= 1          # the last run's file is cleaned by the next
+    assert _bronze_rows(spark, lake, "customers").count() == 3
+    moved = [f for _, _, fs in os.walk(f"{lake.root}/_archive") for f in fs if f.endswith(".csv")]
+    assert len(moved) >= 2
+
+
+def test_unfinished_batches_are_not_read(spark, lake):
+    from stratum.sources import storage
+    path = f"{lake.root}/bronze/t"
+    rows = spark.range(100).repartition(3)
+    storage.append_batch(rows, path, "q-0")
+    rows.write.parquet(f"{path}/_staging/q-1")                       # written, not yet moved
+    assert read_bronze(spark, path).count() == 100
+    one = [f for f in os.listdir(f"{path}/_staging/q-1") if f.endswith(".parquet")][0]
+    storage.move(spark, f"{path}/_staging/q-1/{one}", f"{path}/batch=q-1")
+    assert read_bronze(spark, path).count() == 100
+    for _ in range(2):
+        storage.append_batch(spark.range(7), path, "q-1")            # goes on with what was written
+        assert read_bronze(spark, path).count() == 200
+    os.makedirs(f"{path}/_staging/q-2")                              # died while writing
+    storage.append_batch(rows, path, "q-2")
+    assert read_bronze(spark, path).count() == 300
+    with pytest.raises(ValueError, match="no complete table"):
+        read_bronze(spark, path + "-none")
 
 
 def test_silver_refine_dedup_upsert_two_runs(spark, lake):
@@ -248,6 +332,26 @@ def test_batch_without_rows_changes_nothing(spark, lake):
     assert silver.read_silver(spark, "customers", lake).count() == 1
 
 
+def test_empty_batch_reaches_the_short_circuit(spark, lake, monkeypatch):
+    """A batch whose rows all lack a required column is handed over empty, and makes no write."""
+    spec = load_spec("customers", "silver")
+    sizes, path = [], lake.path(spec.target)
+    process = silver.upsert_batch(spec, path)
+
+    def watched(spec, path):
+        def run(batch, origin):
+            sizes.append(batch.count())
+            process(batch, origin)
+        return run
+
+    monkeypatch.setattr(silver, "upsert_batch", watched)
+    for text in ("c1,u1,1,x,SP\n", ",u1,1,x,SP\n,u2,1,x,SP\n"):
+        _drop(lake, "customers", f"{len(sizes)}.csv", HEADER + text)
+        bronze.ingest(spark, "customers", lake)
+        silver.refine_stream(spark, "customers", lake)
+    assert sizes == [1, 0] and len(os.listdir(f"{path}/changes")) == 1
+
+
 def test_new_checkpoint_is_a_new_origin(spark, lake):
     """Batch 0 of a stream that starts anew must not overwrite batch 0 of the old one."""
     from stratum.operators.refine import refine
