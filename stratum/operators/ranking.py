@@ -5,7 +5,7 @@ group" as an ordinary aggregate: ``max_by`` over an ordering struct. Spark
 computes it partially on the map side, so the shuffle carries one row per
 group and input partition, whatever the skew; the window form needs a sort
 of every row of the group. The struct's state is not of fixed width, for which
-Spark sorts the rows; ``pick_key`` is that order as one number, which rows are
+Spark sorts the rows; ``with_pick_key`` is that order as one number, which rows are
 folded by in a hash aggregate first.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.expressions import order_number
+from stratum.functions.expressions import with_order_number
 from stratum.operators.refine import latest_per_key
 
 
@@ -31,12 +31,13 @@ def primary_value(pick: str, value: str, sequence: str) -> Column:
                     F.struct(F.col(value), -F.col(sequence).cast("long"), F.col(pick)))
 
 
-def pick_key(value: str, sequence: str) -> Column:
-    """One number that is largest for the largest ``value`` (NULL last) and, of
+def with_pick_key(df: DataFrame, value: str, sequence: str, name: str) -> DataFrame:
+    """Adds one number that is largest for the largest ``value`` (NULL last) and, of
     equal ones, the smallest ``sequence`` (an int, NULL last): a decimal, which a
     hash aggregate can hold the maximum of."""
     place = F.coalesce(F.lit(1 << 31) - F.col(sequence).cast("int").cast("long"), F.lit(0))
-    return order_number(value).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + place.cast("decimal(11,0)")
+    high = F.col(name).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)")
+    return with_order_number(df, value, name).withColumn(name, high + place.cast("decimal(11,0)"))
 
 
 def with_positions(ordered: DataFrame, path: str, position: str = "position") -> DataFrame:

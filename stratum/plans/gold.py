@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.expressions import (calendar_columns, days_between,
                                            late_flag, line_total)
-from stratum.operators.ranking import pick_key
+from stratum.operators.ranking import with_pick_key
 from stratum.operators.refine import select_columns
 from stratum.specs import load_spec
 
@@ -155,10 +155,12 @@ def payment_totals(order_payments: DataFrame) -> DataFrame:
     Payments are folded by order and method first, into states of fixed width
     only, so Spark hashes them before the first exchange; the order's row is then
     picked from one row per method."""
-    by_method = (order_payments.groupBy("order_id", "payment_type")
+    keyed = with_pick_key(order_payments.select("order_id", "payment_type", "payment_installments", "payment_value",
+                                                "payment_sequential"), "payment_value", "payment_sequential", "largest")
+    by_method = (keyed.groupBy("order_id", "payment_type")
                  .agg(F.sum("payment_value").alias("paid"),
                       F.max("payment_installments").alias("installments"),
-                      F.max(pick_key("payment_value", "payment_sequential")).alias("largest")))
+                      F.max("largest").alias("largest")))
     return (by_method.groupBy("order_id")
             .agg(F.sum("paid").alias("total_payment_value"),
                  F.count("payment_type").alias("total_methods_distincts_payments"),
