@@ -116,21 +116,24 @@ FROM p LEFT JOIN owners o ON o.payload_digest = p.payload_digest AND p.payload_b
 WITH RECURSIVE sources AS (SELECT source, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
 rates AS (
   SELECT source, w / (SELECT sum(w) FROM sources) * (SELECT sum(n) FROM sources) / n AS rate FROM sources),
-drawn AS (
+hashed AS (
   SELECT d.doc_id, d.source, d.text, r.rate,
-         CAST(('0x' || substr(md5('mix|' || coalesce(CAST(d.doc_id AS VARCHAR), '') || '|1'), 1, 13)) AS BIGINT)
-           / 4503599627370496.0 AS u
+         md5(concat_ws('|', coalesce(CAST(d.doc_id AS VARCHAR), ''), coalesce(d.text, ''), coalesce(d.lang, ''),
+                       coalesce(d.source, ''), coalesce(CAST(d.n_chars AS VARCHAR), ''))) || '|' ||
+           CAST(row_number() OVER (PARTITION BY d.doc_id, d.text, d.lang, d.source, d.n_chars) AS VARCHAR) AS hash
   FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
+drawn AS (
+  SELECT *, CAST(('0x' || substr(md5('mix|' || hash || '|1'), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u FROM hashed),
 terms(source, rate, k, term, total) AS (
   SELECT source, rate, 0, exp(-rate), exp(-rate) FROM rates
   UNION ALL
   SELECT source, rate, k + 1, term * rate / (k + 1), total + term * rate / (k + 1) FROM terms WHERE k < 63),
 counted AS (
-  SELECT d.doc_id, d.source, d.text, d.rate, count(t.k) AS copies
+  SELECT d.doc_id, d.source, d.text, d.hash, d.rate, count(t.k) AS copies
   FROM drawn d JOIN terms t ON t.source IS NOT DISTINCT FROM d.source AND t.total <= d.u
   GROUP BY ALL)
 SELECT doc_id, source, round(rate, 9) AS rate, copies, copy, md5(text) AS text_md5,
-       md5('mix-order|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || CAST(copy AS VARCHAR)) AS shuffle_key
+       md5('mix-order|' || hash || '|' || CAST(copy AS VARCHAR)) AS shuffle_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted) t""",
     "op11_fp_tree_search": f"""
 WITH doc_words AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
