@@ -6,19 +6,24 @@ length n are equal (but for chance of about 2^-62) when
 (S[i+n] - S[i]) * B^j = (S[j+n] - S[j]) * B^i. The longest common extension of
 two positions follows by binary search over n.
 
-A fingerprint keeps the length, the whole hash, and the prefix and suffix hashes
-at the multiples of a power-of-two stride (at most ``MARKS`` each). Two
-fingerprints are compared at the coarser stride: binary search finds the longest
-equal prefix and suffix, whose share of the longer text is the likeness.
+A fingerprint keeps the prefix array at places that the content chooses: where
+the hash of the ``WINDOW`` code points before a place is a multiple of ``EVERY``,
+and at the end. So it grows with the text, and an edit moves no places but those
+next to it. The spans between neighbouring places of one fingerprint are looked up
+in the other, and runs of spans are extended by binary search over the kept array;
+the share of the longer text that the common spans cover is the likeness. Each
+span is used once. An edit costs the spans that it touches, of about ``EVERY``
+code points each, wherever it is.
 
 Defined results: null text is the empty text; equal texts have equal
 fingerprints and likeness 1; two empty texts are equal. Documents follow each
-other by ascending key, null keys first, rows of one key by text; a lone row
-follows itself. Other columns are ignored.
+other by ascending key, null keys first, rows of one key by the MD5 of their text;
+a lone row follows itself. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import base64
 import bisect
 import hashlib
 from collections.abc import Iterator
@@ -32,7 +37,8 @@ from stratum.llm.common import arrow_schema, field, on_workers, record_batch
 
 PRIME = (1 << 31) - 1
 BASES = (1_000_003, 777_767_777)
-MARKS = 16
+#: Code points whose hash chooses a place, and the mean distance of places.
+WINDOW, EVERY = 8, 32
 #: Rows of one range of keys; a range is read by one task as a stream.
 RANGE_ROWS = 4_096
 #: Pairs a task compares before it hands a batch on.
@@ -51,6 +57,7 @@ class Powers:
 
     def __init__(self):
         self.table = [np.ones(1, np.uint64) for _ in BASES]
+        self.inverse = np.ones(1, np.uint64)
 
     def upto(self, n: int) -> list[np.ndarray]:
         for k, base in enumerate(BASES):
@@ -60,76 +67,111 @@ class Powers:
                 self.table[k] = np.concatenate([have, _mod(have * step)])
         return [t[:n] for t in self.table]
 
+    def inverses(self, n: int) -> np.ndarray:
+        """Powers of the first base's inverse."""
+        step = pow(BASES[0], PRIME - 2, PRIME)
+        while len(self.inverse) < n:
+            self.inverse = np.concatenate([self.inverse, _mod(self.inverse * np.uint64(pow(step, len(self.inverse), PRIME)))])
+        return self.inverse[:n]
 
-class PrefixHashes:
-    """Prefix arrays of one text (code points)."""
 
-    def __init__(self, text: str, powers: Powers):
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
-        self.n, self.powers = len(points), powers
-        self.sums = []
-        for power in powers.upto(self.n + 1):
-            terms = _mod(points * power[:self.n])
-            self.sums.append(np.concatenate([np.zeros(1, np.uint64), _mod(np.cumsum(terms))]))
+class Sums:
+    """A prefix array, or some places of one: ``at`` are the places (ascending,
+    from 0 to the end), ``sums`` the array's values there under each base. Indices
+    count places; the whole array has every place."""
+
+    def __init__(self, at: np.ndarray, sums: list[np.ndarray]):
+        self.at, self.sums, self.n = at, sums, len(at) - 1
 
     def span(self, i: int, j: int, shift: int) -> tuple[int, ...]:
-        """Hash of the span [i, j) as if it began at ``shift`` >= i."""
-        powers = self.powers.upto(shift - i + 1)
-        return tuple((int(s[j]) - int(s[i])) % PRIME * int(p[shift - i]) % PRIME
-                     for s, p in zip(self.sums, powers))
-
-    def equal(self, i: int, other: "PrefixHashes", j: int, n: int) -> bool:
-        at = max(i, j)
-        return self.span(i, i + n, at) == other.span(j, j + n, at)
-
-    def extension(self, i: int, other: "PrefixHashes", j: int) -> int:
-        """Length of the longest common extension of position i here and j there."""
-        low, high = 0, min(self.n - i, other.n - j)
+        """Hash of the text between places i and j, moved on by ``shift`` code points."""
+        return tuple((int(s[j]) - int(s[i])) * pow(base, shift, PRIME) % PRIME for s, base in zip(self.sums, BASES))
+
+    def equal(self, i: int, other: "Sums", j: int, n: int) -> bool:
+        """Whether n places on from i here and from j there the texts are equal."""
+        here, there = int(self.at[i]), int(other.at[j])
+        return (self.at[i + n] - here == other.at[j + n] - there
+                and self.span(i, i + n, there) == other.span(j, j + n, here))
+
+    def extension(self, i: int, other: "Sums", j: int, most: int | None = None) -> int:
+        """Length of the longest common extension (at most ``most``) of place i
+        here and j there."""
+        low, high = 0, min(self.n - i, other.n - j) if most is None else most
         while low < high:
             middle = (low + high + 1) // 2
             low, high = (middle, high) if self.equal(i, other, j, middle) else (low, middle - 1)
         return low
 
+    def spans(self) -> list[tuple[int, ...]]:
+        """Length and hashes (as if at the start) of the span after each place but the last."""
+        inverse = [pow(base, PRIME - 2, PRIME) for base in BASES]
+        starts, lengths = self.at[:-1].tolist(), np.diff(self.at).tolist()
+        hashes = [[d * pow(inv, i, PRIME) % PRIME for d, i in zip(np.diff(s.astype(np.int64)).tolist(), starts)]
+                  for s, inv in zip(self.sums, inverse)]
+        return list(zip(lengths, *hashes))
+
+
+class PrefixHashes(Sums):
+    """Prefix arrays of one text (code points)."""
+
+    def __init__(self, text: str, powers: Powers):
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+        self.powers, sums = powers, []
+        for power in powers.upto(len(points) + 1):
+            terms = _mod(points * power[:len(points)])
+            sums.append(np.concatenate([np.zeros(1, np.uint64), _mod(np.cumsum(terms))]))
+        super().__init__(np.arange(len(points) + 1), sums)
+
+    def places(self) -> np.ndarray:
+        """0, the places that the content chooses, and the end. A window at i has the
+        hash v * B^i; v is a multiple of EVERY where it follows the window's text alone."""
+        s = self.sums[0]
+        moved = _mod(s[WINDOW:] + np.uint64(PRIME) - s[:-WINDOW]) if self.n >= WINDOW else s[:0]
+        values = _mod(moved * self.powers.inverses(len(moved)))
+        chosen = np.flatnonzero(values % np.uint64(EVERY) == 0) + WINDOW
+        return np.unique(np.concatenate([[0], chosen, [self.n]]))
+
     def fingerprint(self) -> str:
-        """``length-hash-prefix marks-suffix marks``, in hex."""
-        stride = _stride(self.n)
-        at = np.arange(stride, self.n + 1, stride)
-        whole = "".join(f"{int(s[self.n]):08x}" for s in self.sums)
-        first = self.sums[0]
-        # A suffix's hash must not depend on where it starts: divide by B^start.
-        inverse = pow(BASES[0], PRIME - 2, PRIME)
-        tails = [(int(first[self.n]) - int(first[self.n - a])) * pow(inverse, self.n - a, PRIME) % PRIME
-                 for a in at.tolist()]
-        return "-".join([f"{self.n:x}", whole, "".join(f"{x:08x}" for x in first[at].tolist()),
-                         "".join(f"{x:08x}" for x in tails)])
+        """The places but the first, each with the array's values, as base64 of
+        little-endian 32-bit numbers."""
+        at = self.places()[1:]
+        rows = np.stack([at.astype(np.uint64), *[s[at] for s in self.sums]], 1) if self.n else np.zeros((0, 3))
+        return base64.b64encode(rows.astype("<u4").tobytes()).decode()
+
+
+def read_fingerprint(text: str) -> Sums:
+    rows = np.frombuffer(base64.b64decode(text), "<u4").reshape(-1, 1 + len(BASES)).astype(np.int64)
+    rows = np.concatenate([np.zeros((1, rows.shape[1]), np.int64), rows])
+    return Sums(rows[:, 0], [rows[:, 1 + k] for k in range(len(BASES))])
 
 
 def likeness(a: str, b: str) -> float:
-    """Of two fingerprints: the share of the longer text that their longest
-    equal prefix and suffix cover, to the resolution of the marks."""
+    """Of two fingerprints: the share of the longer text that their common spans
+    cover, each span of either used once."""
     if a == b:
         return 1.0
-    (n, _, *one), (m, _, *two) = a.split("-"), b.split("-")
-    n, m = int(n, 16), int(m, 16)
-    if not n or not m:
-        return 0.0
-    strides = [_stride(n), _stride(m)]
-    coarse = max(strides)
-    common = 0
-    for x, y in zip(one, two):
-        mark = [lambda k, s=s, t=t: s[8 * (k * coarse // t - 1):8 * (k * coarse // t)]
-                for s, t in ((x, strides[0]), (y, strides[1]))]
-        # Equal prefixes have equal marks up to some number and none after it.
-        common += coarse * bisect.bisect_left(range(1, min(n, m) // coarse + 1), True,
-                                              key=lambda k: mark[0](k) != mark[1](k))
-    return min(common, min(n, m)) / max(n, m)
-
-
-def _stride(n: int) -> int:
-    stride = 1
-    while n // stride > MARKS:
-        stride *= 2
-    return stride
+    one, two = read_fingerprint(a), read_fingerprint(b)
+    longer = int(max(one.at[-1], two.at[-1]))
+    ours, where = one.spans(), {}
+    for j, span in reversed(list(enumerate(two.spans()))):
+        where.setdefault(span, []).append(j)                  # the first unused one is the last of its list
+    free = np.ones(two.n + 1, bool)
+    free[two.n] = False
+    i = covered = 0
+    while i < one.n:
+        unused = where.get(ours[i], [])
+        while unused and not free[unused[-1]]:
+            unused.pop()
+        if not unused:
+            i += 1
+            continue
+        j = unused.pop()
+        run = one.extension(i, two, j, min(one.n - i, int(free[j:].argmin())))
+        run = max(run, 1)
+        covered += int(one.at[i + run] - one.at[i])
+        free[j:j + run] = False
+        i += run
+    return covered / longer
 
 
 def edited(text: str, following: str) -> str:
@@ -138,53 +180,57 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+def _place(key, tie: str) -> tuple:
+    """A row's place in the order: null keys first."""
+    return (0, tie) if key is None else (1, key, tie)
+
+
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row per document: fingerprints of its text and of its edited text,
     and the likenesses to the edited and to the next document.
 
-    The keys alone are range-partitioned first; the least key of every range is
-    the only thing the driver sees (one per ``range_rows`` rows, at most four
-    times the shuffle partitions). Texts then move once, to the range of their
+    Keys and digests of the texts alone are range-partitioned first; the least of
+    every range are the only thing the driver sees (one per ``range_rows`` rows, at
+    most four times the shuffle partitions); rows without a key, or with one key,
+    are many ranges. Texts then move once, to the range of their
     key; the first row of a range is also sent to the range before it, so every
     task has the successor of its last row and reads its range as a stream.
     """
     spark, key = docs.sparkSession, field(docs, id_col)
     on_workers(spark)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n, keyed = rows.agg(F.count("*"), F.count("id")).first()
-    parts = max(1, min(-(-n // range_rows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    ids = rows.select("id").where("id is not null").repartitionByRange(parts, "id")
-    firsts = sorted(r.first for r in ids.groupBy(F.spark_partition_id()).agg(F.min("id").alias("first")).collect())
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.md5(text).alias("tie"))
+    order = [F.col("id").asc_nulls_first(), F.col("tie").asc()]
+    parts = max(1, min(-(-rows.count() // range_rows), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    least = F.min(F.struct(F.col("id").isNotNull().alias("keyed"), "id", "tie")).alias("first")
+    firsts = sorted(_place(r.first.id, r.first.tie) for r in rows.select("id", "tie").repartitionByRange(parts, *order)
+                    .groupBy(F.spark_partition_id()).agg(least).collect())
     parts = max(1, len(firsts))
-    bounds = firsts[1:]                    # range k holds bounds[k-1] <= id < bounds[k]; nulls in range 0
+    bounds = firsts[1:]                    # range k holds bounds[k-1] <= row < bounds[k]
     heads = {first: k for k, first in enumerate(bounds)}
-    if n == keyed and firsts:
+    if firsts:
         heads[firsts[0]] = parts - 1       # the last row is followed by the first
     sent = spark.sparkContext.broadcast((bounds, heads))
 
-    ddl = f"part int, tail boolean, id {key}, text string"
+    ddl = f"part int, tail boolean, id {key}, text string, tie string"
     schema = arrow_schema(ddl)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges, before = sent.value
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            part = [0 if i is None else bisect.bisect_right(edges, i) for i in keys]
+            places = [_place(i, tie) for i, tie in zip(batch.column("id").to_pylist(), batch.column("tie").to_pylist())]
+            part = [bisect.bisect_right(edges, p) for p in places]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([False] * len(part)),
                                               *batch.columns], schema=schema)
-            at = [k for k, i in enumerate(keys) if i in before]
+            at = [k for k, p in enumerate(places) if p in before]
             if at:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([before[keys[k]] for k in at], pa.int32()), pa.array([True] * len(at)),
+                    [pa.array([before[places[k]] for k in at], pa.int32()), pa.array([True] * len(at)),
                      *batch.take(pa.array(at)).columns], schema=schema)
 
-    placed = rows.mapInArrow(place, ddl)
-    if n > keyed:
-        first = rows.where("id is null").orderBy("text").limit(1)
-        placed = placed.unionByName(first.select(F.lit(parts - 1).alias("part"), F.lit(True).alias("tail"), "id", "text"))
-    ordered = (placed.repartitionById(parts, F.col("part"))
-               .sortWithinPartitions("part", "tail", F.col("id").asc_nulls_first(), "text"))
+    ordered = (rows.mapInArrow(place, ddl).repartitionById(parts, F.col("part"))
+               .sortWithinPartitions("part", "tail", *order).drop("tie"))
 
     out_ddl = (f"id {key}, n_chars bigint, edited_sha256 string, fingerprint string, "
                "edited_fingerprint string, near_edited double, near_next double")
@@ -211,4 +257,4 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return ordered.mapInArrow(compare, out_ddl)
 
 
-__all__ = ["PrefixHashes", "Powers", "compare_with_next", "edited", "likeness"]
+__all__ = ["PrefixHashes", "Powers", "Sums", "compare_with_next", "edited", "likeness", "read_fingerprint"]
