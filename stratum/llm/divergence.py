@@ -6,16 +6,23 @@ distance (the square root of the divergence, base 2: 0 to 1). The references
 are learned from all documents of the table. A distance counts only from a
 least length on, since short texts stray by chance.
 
+A language has references of its own if it has ``LEAST_DOCUMENTS`` documents and
+the share ``OWN_SHARE`` of all words (so there are at most 1 / OWN_SHARE of them,
+whatever the column holds). Documents of others are compared with all documents
+together, by character classes alone and with all letters as one class: a
+language of a few documents would be its own reference.
+
 Common words are those that make up at least ``COMMON_SHARE`` of a language's
-words. They are found exactly without shuffling a vocabulary: a word of that
-share in all chunks has it in at least one, so the words that reach it in some
-chunk are the candidates (at most 1 / COMMON_SHARE a chunk and language), and a
-second pass counts only these.
+words. They are found exactly without shuffling a vocabulary. Tasks count words
+in chunks of text and hand on those that reach half that share in a chunk; what a
+word has in all other chunks is less than half the share of these. The words that
+can reach the share by this bound have at least half of it already, so there are at
+most 2 / COMMON_SHARE of them a language; a second pass counts only these.
 
 Defined results: null text has no words and fails the base rule; a null language
-is a language of its own; a language whose documents have no word has empty
-references, whose distance counts as 0. Repeated rows give repeated results;
-other columns are ignored; texts are read whole.
+is a language like others; where no document has a word nothing is compared;
+an empty table gives no rows. Repeated rows give repeated results; other columns
+are ignored; texts are read whole.
 """
 
 from __future__ import annotations
@@ -28,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_schema, field, map_batches, on_workers, record_batch
+from stratum.llm.common import arrow_schema, field, map_batches, on_workers, record_batch, settle
 
 # Fixed values of the base rule.
 SYMBOLS = "#*$%&|<>"
@@ -36,6 +43,10 @@ LEAST_WORDS, WINDOW, MOST_REPEATED_PERCENT = 10, 5, 20
 SPACES = " \t\n\x0b\x0c\r"
 
 COMMON_SHARE = 0.001
+#: A language with fewer documents, or less of all words, has no references of its own.
+LEAST_DOCUMENTS, OWN_SHARE = 10, 0.001
+#: Text whose words a task counts before it hands on the common ones.
+CHUNK_BYTES = 16 << 20
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punctuation", "accented", "other")
 #: Least code points and words from which a distance counts.
 LEAST_CHARS, LEAST_COMMON_WORDS = 200, 50
@@ -44,6 +55,12 @@ MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE = 0.30, 0.50
 
 _WORD = re.compile(f"[^{SPACES}]+")
 _NULL_LANG = "\x00"
+#: Classes with all letters as one, for documents of languages without references.
+_LETTERS = [CLASSES.index(c) for c in ("lower", "upper", "accented")]
+
+
+def merged(counts: np.ndarray) -> np.ndarray:
+    return np.append(np.delete(counts, _LETTERS), counts[_LETTERS].sum())
 
 
 def class_table() -> np.ndarray:
@@ -126,11 +143,13 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
 
 
 class References:
-    """Per language: character-class counts, and counts of the common words
-    with the count of all others in the last place."""
+    """Character-class counts of all documents, and per language with references
+    those and the counts of the common words, the count of all others in the last
+    place."""
 
-    def __init__(self, classes: dict[str, np.ndarray], words: dict[str, dict[str, int]], totals: dict[str, int]):
-        self.classes, self.place, self.words = classes, {}, {}
+    def __init__(self, pooled: np.ndarray, classes: dict[str, np.ndarray], words: dict[str, dict[str, int]],
+                 totals: dict[str, int]):
+        self.pooled, self.classes, self.place, self.words = merged(pooled), classes, {}, {}
         for lang, total in totals.items():
             common = words.get(lang, {})
             self.place[lang] = {w: i for i, w in enumerate(sorted(common))}
@@ -138,8 +157,10 @@ class References:
             self.words[lang] = np.array([*counts, total - sum(counts)], float)
 
     def distances(self, lang: str, counts: np.ndarray, words: list[str]) -> tuple[float, float]:
-        of_class = js_distance(counts, self.classes[lang]) if lang in self.classes else 0.0
-        place = self.place.get(lang)
+        if lang not in self.classes:
+            return js_distance(merged(counts), self.pooled), 0.0
+        of_class = js_distance(counts, self.classes[lang])
+        place = self.place[lang]
         if not place or not words:
             return of_class, 0.0
         found = Counter(filter(place.__contains__, map(str.lower, words)))
@@ -150,69 +171,84 @@ class References:
         return of_class, js_distance(own, self.words[lang])
 
 
-def learn_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
-    """Two passes over all documents; sums of one row per chunk, language and
-    class or candidate word are shuffled and a row per language and class or
-    common word reaches the driver."""
+def learn_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                     chunk_bytes: int = CHUNK_BYTES) -> References:
+    """Two passes over all documents. What reaches the driver is bounded by the
+    shares: the counts of languages with references, and their candidate words."""
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit(_NULL_LANG)).alias("lang"))
     on_workers(docs.sparkSession)
-    ddl = "lang string, kind int, word string, n bigint"
+    ddl = "lang string, kind int, word string, n bigint, seen bigint"
     schema = arrow_schema(ddl)
 
-    def emit(found: dict[tuple[str, int, str], int]) -> pa.RecordBatch:
-        keys = list(found)
-        return record_batch({"lang": [k[0] for k in keys], "kind": [k[1] for k in keys],
-                             "word": [k[2] for k in keys], "n": list(found.values())}, schema)
+    def emit(rows: list[tuple[str, int, str, int, int]]) -> pa.RecordBatch:
+        return record_batch(dict(zip(schema.names, map(list, zip(*rows)))), schema)
 
     def survey(batches):
-        """Kind -1: words of the language; 0 and up: characters by class; -2:
-        words that are common in this chunk."""
+        """A chunk's counts by language: characters by class (kind 0 and up), words
+        (-1), documents (-3), and words that are common in the chunk (-2, ``seen``
+        being all words)."""
         classes = class_table()
+        chars, counted, texts, size = defaultdict(lambda: np.zeros(len(CLASSES), np.int64)), defaultdict(Counter), Counter(), 0
+
+        def chunk() -> list[tuple[str, int, str, int, int]]:
+            out = []
+            for lang, counts in chars.items():
+                total = counted[lang].total()
+                out += [(lang, k, "", int(n), 0) for k, n in enumerate(counts)]
+                out += [(lang, -1, "", total, 0), (lang, -3, "", texts[lang], 0)]
+                out += [(lang, -2, w, n, total) for w, n in counted[lang].items() if n >= COMMON_SHARE / 2 * total]
+            chars.clear(), counted.clear(), texts.clear()
+            return out
+
         for batch in batches:
-            chars, counted = defaultdict(lambda: np.zeros(len(CLASSES), np.int64)), defaultdict(Counter)
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 chars[lang] += class_counts(text, classes)
                 counted[lang].update(map(str.lower, words_of(text)))
-            out: dict[tuple[str, int, str], int] = {}
-            for lang, counts in chars.items():
-                out |= {(lang, k, ""): int(n) for k, n in enumerate(counts)}
-                total = sum(counted[lang].values())
-                out[lang, -1, ""] = total
-                out |= {(lang, -2, w): n for w, n in counted[lang].items() if n >= COMMON_SHARE * total}
-            if out:
-                yield emit(out)
-
-    first = rows.mapInArrow(survey, ddl).groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")).collect()
+                texts[lang] += 1
+                size += len(text)
+                if size >= chunk_bytes:
+                    yield emit(chunk())
+                    size = 0
+        if texts:
+            yield emit(chunk())
+
+    first = settle(rows.mapInArrow(survey, ddl).groupBy("lang", "kind", "word")
+                   .agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")), "survey")
+    pooled = np.zeros(len(CLASSES))
+    for kind, n in first.where("kind >= 0").groupBy("kind").agg(F.sum("n")).collect():
+        pooled[kind] = n
+    words = first.where("kind = -1").select("lang", F.col("n").alias("total"))
+    everything = words.agg(F.sum("total")).first()[0] or 0
+    large = first.where((F.col("kind") == -3) & (F.col("n") >= LEAST_DOCUMENTS)).select("lang")
+    totals = {r.lang: r.total for r in words.where((F.col("total") > 0) & (F.col("total") >= OWN_SHARE * everything))
+              .join(large, "lang").collect()}
+    own = docs.sparkSession.createDataFrame(list(totals.items()), "lang string, total bigint")
     classes: dict[str, np.ndarray] = {}
-    totals: dict[str, int] = {}
+    for lang, kind, n in first.where("kind >= 0").join(F.broadcast(own), "lang").select("lang", "kind", "n").collect():
+        classes.setdefault(lang, np.zeros(len(CLASSES)))[kind] = n
+    most = F.col("n") + COMMON_SHARE / 2 * (F.col("total") - F.col("seen"))
     candidates: dict[str, set[str]] = defaultdict(set)
-    for lang, kind, word, n in first:
-        if kind >= 0:
-            classes.setdefault(lang, np.zeros(len(CLASSES)))[kind] = n
-        elif kind == -1:
-            totals[lang] = n
-        else:
-            candidates[lang].add(word)
+    for lang, word in (first.where("kind = -2").join(F.broadcast(own), "lang")
+                       .where(most >= COMMON_SHARE * (1 - 1e-9) * F.col("total")).select("lang", "word").collect()):
+        candidates[lang].add(word)
     shared = docs.sparkSession.sparkContext.broadcast(dict(candidates))
 
     def count(batches):
-        known = shared.value
+        known, out = shared.value, defaultdict(Counter)
         for batch in batches:
-            out: Counter = Counter()
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w, n in Counter(filter(known.get(lang, frozenset()).__contains__,
-                                           map(str.lower, words_of(text)))).items():
-                    out[lang, -2, w] += n
-            if out:
-                yield emit(out)
+                if lang in known:
+                    out[lang].update(filter(known[lang].__contains__, map(str.lower, words_of(text))))
+        if out:
+            yield emit([(lang, -2, w, n, 0) for lang, found in out.items() for w, n in found.items()])
 
-    second = rows.mapInArrow(count, ddl).groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")).collect()
+    second = rows.mapInArrow(count, ddl).groupBy("lang", "word").agg(F.sum("n").alias("n")).collect() if candidates else []
     common: dict[str, dict[str, int]] = defaultdict(dict)
-    for lang, _, word, n in second:
+    for lang, word, n in second:
         if n >= COMMON_SHARE * totals[lang]:
             common[lang][word] = n
-    return References(classes, common, totals)
+    return References(pooled, classes, common, totals)
 
 
 def judge(docs: DataFrame, references: References, id_col: str = "doc_id", text_col: str = "text",

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -56,6 +57,102 @@ def test_references_count_everything(documents):
     assert sum(c.sum() for c in refs.classes.values()) == sum(len(r.text) for r in documents.collect())
 
 
+def distance(p, q):
+    a, b = sum(p.values()), sum(q.values())
+    if not a or not b:
+        return 0.0
+    out = 0.0
+    for k in set(p) | set(q):
+        x, y = p.get(k, 0) / a, q.get(k, 0) / b
+        out += sum(v / 2 * math.log2(2 * v / (x + y)) for v in (x, y) if v)
+    return math.sqrt(max(0.0, out))
+
+
+def class_of(c):
+    if ord(c) >= 128:
+        return "accented" if c.isalpha() and ord(c) < 0x3000 else "other"
+    if c in "#*$%&|<>":
+        return "symbol"
+    if c in " \t\n\x0b\x0c\r":
+        return "space"
+    return ("lower" if c.islower() else "upper") if c.isalpha() else "digit" if c.isdigit() else \
+        "punctuation" if c.isprintable() else "other"
+
+
+def letters(histogram):
+    return Counter({k: v for k, v in histogram.items() if k not in ("lower", "upper", "accented")}) + Counter(
+        letter=sum(histogram[k] for k in ("lower", "upper", "accented")))
+
+
+def brute_verdicts(rows):
+    """(id, kept) from the definition, by plain counting."""
+    words, classes, docs = {}, {}, Counter()
+    for _, text, lang in rows:
+        words.setdefault(lang, Counter()).update(w.lower() for w in WORD.findall(text or ""))
+        classes.setdefault(lang, Counter()).update(map(class_of, text or ""))
+        docs[lang] += 1
+    everything, pooled = sum(w.total() for w in words.values()), letters(sum(classes.values(), Counter()))
+    out = []
+    for i, text, lang in rows:
+        text = text or ""
+        found = [w.lower() for w in WORD.findall(text)]
+        total, histogram = words[lang].total(), Counter(map(class_of, text))
+        of_word = 0.0
+        if docs[lang] >= 10 and total and total >= 0.001 * everything:
+            of_class = distance(histogram, classes[lang])
+            common = {w: n for w, n in words[lang].items() if n >= 0.001 * total}
+            own = Counter(w if w in common else "" for w in found)
+            if common and found:
+                of_word = distance(own, common | {"": total - sum(common.values())})
+        else:
+            of_class = distance(letters(histogram), pooled)
+        strays = len(text) >= 200 and of_class > 0.30 or len(found) >= 50 and of_word > 0.50
+        out.append((i, not brute(text)[5] and not strays))
+    return sorted(out, key=str)
+
+
+def test_verdicts_of_the_table(documents):
+    rows = [(r.doc_id, r.text, r.lang) for r in documents.collect()]
+    assert sorted(((r.id, r.kept) for r in run(documents)), key=str) == brute_verdicts(rows)
+
+
+def test_languages_without_references(spark):
+    """Junk under a language of its own does not pass as its own reference; rare languages stay."""
+    rng, some = random.Random(3), [f"{a}{b}" for a in ("th", "qu", "br", "fo", "ju", "la") for b in ("e", "ick", "own", "x", "zy")]
+    rows = [(k, ". ".join(" ".join(rng.choices(some, k=12)) for _ in range(12)), "en") for k in range(60)]
+    rows += [(100 + k, "".join(f"{j}{k}#|<>%$ 48 9{j}15 *** &&& 77{k}1{j} " for j in range(30)), f"junk{k}") for k in range(5)]
+    rows += [(200, "".join(f"слово{j} другой{j * j} текст, " for j in range(40)), "ru"), (300, None, "xx"), (301, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    refs = D.learn_references(docs)
+    assert set(refs.classes) == {"en"}
+    got = {r.id: r.kept for r in run(docs)}
+    assert sorted(got.items(), key=str) == brute_verdicts(rows)
+    assert got[200] and got[0] and not any(got[100 + k] for k in range(5))
+
+
+@pytest.mark.parametrize("chunk", [1, 3_000, 200_000])
+def test_references_do_not_depend_on_chunks_or_batches(spark, documents, chunk):
+    want = D.learn_references(documents)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(size)
+    spark.conf.set(size, "5")
+    try:
+        got = D.learn_references(documents, chunk_bytes=chunk)
+    finally:
+        spark.conf.set(size, old)
+    assert got.place == want.place and all((got.words[k] == want.words[k]).all() for k in want.words)
+    assert (got.pooled == want.pooled).all() and all((got.classes[k] == want.classes[k]).all() for k in want.classes)
+
+
+def test_words_that_reach_the_driver_are_bounded(spark, documents, monkeypatch):
+    sent = []
+    real = spark.sparkContext.broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, v: sent.append(v) or real(v))
+    D.learn_references(documents.repartition(50), chunk_bytes=2_000)
+    [candidates] = [v for v in sent if isinstance(v, dict)]
+    assert 0 < max(map(len, candidates.values())) <= 2 / D.COMMON_SHARE
+
+
 def test_js_distance():
     p, q = np.array([1.0, 0, 3]), np.array([0, 2.0, 2])
     a, b = p / 4, q / 4
