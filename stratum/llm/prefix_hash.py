@@ -53,26 +53,19 @@ def _mod(x: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """Powers of each base, grown by doubling as longer texts come."""
+    """Powers of each base and of its inverse, grown by doubling as longer texts come."""
 
     def __init__(self):
-        self.table = [np.ones(1, np.uint64) for _ in BASES]
-        self.inverse = np.ones(1, np.uint64)
+        steps = [*BASES, *[pow(base, PRIME - 2, PRIME) for base in BASES]]
+        self.steps, self.tables = steps, [np.ones(1, np.uint64) for _ in steps]
 
     def upto(self, n: int) -> list[np.ndarray]:
-        for k, base in enumerate(BASES):
-            while len(self.table[k]) < n:
-                have = self.table[k]
-                step = np.uint64(pow(base, len(have), PRIME))
-                self.table[k] = np.concatenate([have, _mod(have * step)])
-        return [t[:n] for t in self.table]
-
-    def inverses(self, n: int) -> np.ndarray:
-        """Powers of the first base's inverse."""
-        step = pow(BASES[0], PRIME - 2, PRIME)
-        while len(self.inverse) < n:
-            self.inverse = np.concatenate([self.inverse, _mod(self.inverse * np.uint64(pow(step, len(self.inverse), PRIME)))])
-        return self.inverse[:n]
+        """The powers 0 to n - 1 (at least): of the bases, then of their inverses."""
+        for k, step in enumerate(self.steps):
+            while len(self.tables[k]) < n:
+                have = self.tables[k]
+                self.tables[k] = np.concatenate([have, _mod(have * np.uint64(pow(step, len(have), PRIME)))])
+        return self.tables
 
 
 class Sums:
@@ -80,12 +73,13 @@ class Sums:
     from 0 to the end), ``sums`` the array's values there under each base. Indices
     count places; the whole array has every place."""
 
-    def __init__(self, at: np.ndarray, sums: list[np.ndarray]):
-        self.at, self.sums, self.n = at, sums, len(at) - 1
+    def __init__(self, at: np.ndarray, sums: list[np.ndarray], powers: Powers):
+        self.at, self.sums, self.n, self.powers = at, sums, len(at) - 1, powers
 
     def span(self, i: int, j: int, shift: int) -> tuple[int, ...]:
         """Hash of the text between places i and j, moved on by ``shift`` code points."""
-        return tuple((int(s[j]) - int(s[i])) * pow(base, shift, PRIME) % PRIME for s, base in zip(self.sums, BASES))
+        powers = self.powers.upto(shift + 1)
+        return tuple((int(s[j]) - int(s[i])) % PRIME * int(p[shift]) % PRIME for s, p in zip(self.sums, powers))
 
     def equal(self, i: int, other: "Sums", j: int, n: int) -> bool:
         """Whether n places on from i here and from j there the texts are equal."""
@@ -102,13 +96,15 @@ class Sums:
             low, high = (middle, high) if self.equal(i, other, j, middle) else (low, middle - 1)
         return low
 
-    def spans(self) -> list[tuple[int, ...]]:
-        """Length and hashes (as if at the start) of the span after each place but the last."""
-        inverse = [pow(base, PRIME - 2, PRIME) for base in BASES]
-        starts, lengths = self.at[:-1].tolist(), np.diff(self.at).tolist()
-        hashes = [[d * pow(inv, i, PRIME) % PRIME for d, i in zip(np.diff(s.astype(np.int64)).tolist(), starts)]
-                  for s, inv in zip(self.sums, inverse)]
-        return list(zip(lengths, *hashes))
+    def spans(self) -> list[int]:
+        """Of the span after each place but the last: both hashes, as if it were at
+        the start, in one number."""
+        starts, whole = self.at[:-1], np.zeros(self.n, np.uint64)
+        inverse = self.powers.upto(int(self.at[-1]) + 1)[len(BASES):]
+        for k, (s, inv) in enumerate(zip(self.sums, inverse)):
+            moved = _mod(s[1:] + np.uint64(PRIME) - s[:-1])
+            whole |= _mod(moved * inv[starts]) << np.uint64(31 * k)
+        return whole.tolist()
 
 
 class PrefixHashes(Sums):
@@ -116,60 +112,67 @@ class PrefixHashes(Sums):
 
     def __init__(self, text: str, powers: Powers):
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
-        self.powers, sums = powers, []
-        for power in powers.upto(len(points) + 1):
+        sums = []
+        for power in powers.upto(len(points) + 1)[:len(BASES)]:
             terms = _mod(points * power[:len(points)])
             sums.append(np.concatenate([np.zeros(1, np.uint64), _mod(np.cumsum(terms))]))
-        super().__init__(np.arange(len(points) + 1), sums)
+        super().__init__(np.arange(len(points) + 1), sums, powers)
 
     def places(self) -> np.ndarray:
         """0, the places that the content chooses, and the end. A window at i has the
         hash v * B^i; v is a multiple of EVERY where it follows the window's text alone."""
         s = self.sums[0]
         moved = _mod(s[WINDOW:] + np.uint64(PRIME) - s[:-WINDOW]) if self.n >= WINDOW else s[:0]
-        values = _mod(moved * self.powers.inverses(len(moved)))
+        values = _mod(moved * self.powers.upto(len(moved))[len(BASES)][:len(moved)])
         chosen = np.flatnonzero(values % np.uint64(EVERY) == 0) + WINDOW
         return np.unique(np.concatenate([[0], chosen, [self.n]]))
 
-    def fingerprint(self) -> str:
-        """The places but the first, each with the array's values, as base64 of
-        little-endian 32-bit numbers."""
-        at = self.places()[1:]
-        rows = np.stack([at.astype(np.uint64), *[s[at] for s in self.sums]], 1) if self.n else np.zeros((0, 3))
-        return base64.b64encode(rows.astype("<u4").tobytes()).decode()
+    def kept(self) -> Sums:
+        """The array at its places."""
+        at = self.places()
+        return Sums(at, [s[at] for s in self.sums], self.powers)
 
 
-def read_fingerprint(text: str) -> Sums:
-    rows = np.frombuffer(base64.b64decode(text), "<u4").reshape(-1, 1 + len(BASES)).astype(np.int64)
-    rows = np.concatenate([np.zeros((1, rows.shape[1]), np.int64), rows])
-    return Sums(rows[:, 0], [rows[:, 1 + k] for k in range(len(BASES))])
+def fingerprint(kept: Sums) -> str:
+    """The places but the first, each with the array's values, as base64 of
+    little-endian 32-bit numbers."""
+    rows = np.stack([kept.at.astype(np.uint64), *kept.sums], 1)[1:]
+    return base64.b64encode((rows if kept.at[-1] else rows[:0]).astype("<u4").tobytes()).decode()
 
 
-def likeness(a: str, b: str) -> float:
-    """Of two fingerprints: the share of the longer text that their common spans
-    cover, each span of either used once."""
-    if a == b:
-        return 1.0
-    one, two = read_fingerprint(a), read_fingerprint(b)
+def read_fingerprint(text: str, powers: Powers) -> Sums:
+    rows = np.frombuffer(base64.b64decode(text), "<u4").reshape(-1, 1 + len(BASES)).astype(np.uint64)
+    rows = np.concatenate([np.zeros((1, rows.shape[1]), np.uint64), rows])
+    return Sums(rows[:, 0].astype(np.int64), [rows[:, 1 + k] for k in range(len(BASES))], powers)
+
+
+def likeness(one: Sums, two: Sums) -> float:
+    """Of two texts' kept arrays, as their fingerprints have them: the share of the
+    longer text that their common spans cover, each span of either used once."""
     longer = int(max(one.at[-1], two.at[-1]))
-    ours, where = one.spans(), {}
-    for j, span in reversed(list(enumerate(two.spans()))):
-        where.setdefault(span, []).append(j)                  # the first unused one is the last of its list
-    free = np.ones(two.n + 1, bool)
-    free[two.n] = False
+    if not longer:
+        return 1.0
+    ours, theirs = one.spans(), two.spans()
+    common = set(ours).intersection(theirs)
+    if not common:
+        return 0.0
+    where: dict[int, list[int]] = {}
+    for j in range(two.n - 1, -1, -1):
+        if theirs[j] in common:
+            where.setdefault(theirs[j], []).append(j)         # the first unused one is the last of its list
+    free = bytearray(b"\1" * two.n + b"\0")
     i = covered = 0
     while i < one.n:
-        unused = where.get(ours[i], [])
+        unused = where.get(ours[i], ())
         while unused and not free[unused[-1]]:
             unused.pop()
         if not unused:
             i += 1
             continue
         j = unused.pop()
-        run = one.extension(i, two, j, min(one.n - i, int(free[j:].argmin())))
-        run = max(run, 1)
+        run = max(1, one.extension(i, two, j, min(one.n - i, free.index(0, j) - j)))
         covered += int(one.at[i + run] - one.at[i])
-        free[j:j + run] = False
+        free[j:j + run] = bytes(run)
         i += run
     return covered / longer
 
@@ -240,13 +243,13 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         powers, out, held = Powers(), [], None
         for batch in batches:
             for part, tail, i, text in zip(*[c.to_pylist() for c in batch.columns]):
-                mark = None if tail and not (held and held[0] == part) else PrefixHashes(text, powers).fingerprint()
+                mark = None if tail and not (held and held[0] == part) else PrefixHashes(text, powers).kept()
                 if held and held[0] == part:
-                    _, of, old, print_ = held
+                    _, of, old, kept = held
                     changed = edited(old, text)
-                    new = PrefixHashes(changed, powers).fingerprint()
+                    new = PrefixHashes(changed, powers).kept()
                     out.append((of, len(old), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(),
-                                print_, new, likeness(print_, new), likeness(print_, mark)))
+                                fingerprint(kept), fingerprint(new), likeness(kept, new), likeness(kept, mark)))
                     if len(out) >= OUT_ROWS:
                         yield record_batch(dict(zip(out_schema.names, map(list, zip(*out)))), out_schema)
                         out = []
@@ -257,4 +260,4 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return ordered.mapInArrow(compare, out_ddl)
 
 
-__all__ = ["PrefixHashes", "Powers", "Sums", "compare_with_next", "edited", "likeness", "read_fingerprint"]
+__all__ = ["PrefixHashes", "Powers", "Sums", "compare_with_next", "edited", "fingerprint", "likeness", "read_fingerprint"]
