@@ -2,8 +2,10 @@
 
 Base patterns propose spans; then base64 and hex candidates are decoded and
 their structure parsed: DER key encodings by their nested lengths, the framed
-fields of an OpenSSH private key, PEM armour, and the header of a signed token.
-A structure that holds adds a span of its own kind (``der``, ``pem``, ``jwt``)
+fields of an OpenSSH private key, PEM armour (with the header lines of an encrypted
+key, too, and once more inside base64), and the header of a signed token. A DER key
+may be broken into lines: its own length tells how much of what follows belongs to
+it. A structure that holds adds a span of its own kind (``der``, ``pem``, ``jwt``)
 and confirms the base spans it overlaps; base spans always stay.
 
 Defined results: null text is the empty text (no spans); every text is scanned
@@ -37,11 +39,18 @@ BASE_KINDS = ("assign", "access", "hex")
 METHOD_KINDS = ("jwt", "pem", "der")
 RANK = {kind: i for i, kind in enumerate(BASE_KINDS + METHOD_KINDS)}
 
-JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
+#: A JSON object begins with "e" in base64, then "y" or "w" for a quote, a blank or a line break.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])e[yw][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----(\s*(?:[A-Za-z0-9-]+:[^\r\n]*\r?\n)*)"
+                 r"([A-Za-z0-9+/=\s\\]+)-----END \1-----")
+PEM_ENCRYPTED = re.compile(r"Proc-Type:\s*4,ENCRYPTED\s*\n(?:.*\n)*?DEK-Info:\s*[A-Z0-9-]+,((?:[0-9A-Fa-f]{2}){8,16})\s")
+#: Base64 of "-----BEGIN ".
+PEM_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])LS0tLS1CRUdJTi(?:[A-Za-z0-9+/_-]|\r?\n[ \t]*(?=[A-Za-z0-9+/_-]))+={0,2}")
 #: A DER sequence starts with 0x30: "M" in base64, "30" in hex.
-DER_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-Za-z0-9+/_-]{31,}={0,2}")
+DER_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-Za-z0-9+/_-]{31,}")
 DER_HEX = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{46,}(?![0-9A-Fa-f])")
+#: Base64 characters, or a line break between them.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]+|\r?\n[ \t]*(?=[A-Za-z0-9+/_-])")
 OPENSSH_MAGIC = b"openssh-key-v1\x00"
 
 
@@ -125,24 +134,77 @@ def is_signed_token(text: str) -> bool:
     return isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(claims, dict)
 
 
+def der_size(head: bytes) -> int:
+    """Bytes of the DER element that begins so, its head included; 0 if it is none."""
+    if len(head) < 6 or head[1] == 0x80 or head[1] > 0x84:
+        return 0
+    if head[1] < 0x80:
+        return 2 + head[1]
+    width = head[1] & 0x7F
+    return 2 + width + int.from_bytes(head[2:2 + width], "big")
+
+
+def wrapped_der(text: str, start: int) -> int | None:
+    """End of the DER key in base64 that begins at ``start``, which may go on over
+    line breaks; None if what its length says is not one."""
+    size = der_size(decode_base64(text[start:start + 8]) or b"")
+    need, taken, at = -(-size * 4 // 3), [], start
+    while need > 0:
+        m = WRAPPED.match(text, at)
+        if not m:
+            return None
+        body = m[0].strip()[:need]
+        taken.append(body)
+        need -= len(body)
+        at = m.start() + len(body) if body else m.end()
+    data = decode_base64("".join(taken))
+    if not data or not is_der_key(data):
+        return None
+    return at + len(re.compile(r"(?:\r?\n)?={1,2}|").match(text, at)[0])
+
+
+def is_armoured_key(headers: str, body: str) -> bool:
+    """What stands between the lines of a PEM key: a DER or OpenSSH key, or, after
+    the header lines of an encrypted one, whole blocks of its cipher."""
+    data = decode_base64(body)
+    if not data:
+        return False
+    encrypted = PEM_ENCRYPTED.search(headers)
+    return len(data) % (len(encrypted[1]) // 2) == 0 if encrypted else is_der_key(data) or is_openssh_key(data)
+
+
+def encoded_pem(text: str) -> int | None:
+    """Of base64 text: the number of characters up to the end of the PEM key in it."""
+    places = [i for i, c in enumerate(text) if not c.isspace()]
+    body = "".join(text[i] for i in places).rstrip("=")
+    data = decode_base64(body[:len(body) - (len(body) % 4 == 1)])
+    m = PEM.match((data or b"").decode("latin-1"))
+    if not m or not is_armoured_key(m[2], m[3]):
+        return None
+    return places[min(len(places), -(-m.end() * 4 // 3)) - 1] + 1
+
+
 def structures(text: str) -> list[tuple[int, int, str]]:
     """Spans whose content holds as a key or a signed token."""
     out: list[tuple[int, int, str]] = []
-    if "eyJ" in text:
+    if "ey" in text or "ew" in text:
         out += [(*m.span(), "jwt") for m in JWT.finditer(text) if is_signed_token(m[0])]
     if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            data = decode_base64(m[2])
-            if data and (is_der_key(data) or is_openssh_key(data)):
-                out.append((*m.span(), "pem"))
-    armoured = [(a, b) for a, b, _ in out]
-    for pattern, decode in ((DER_BASE64, decode_base64), (DER_HEX, _decode_hex)):
+        out += [(*m.span(), "pem") for m in PEM.finditer(text) if is_armoured_key(m[2], m[3])]
+    if "LS0tLS1CRUdJTi" in text:
+        for m in PEM_BASE64.finditer(text):
+            end = encoded_pem(m[0])
+            if end:
+                out.append((m.start(), m.start() + end, "pem"))
+    ends = [(a, b) for a, b, _ in out]
+    for pattern, end_of in ((DER_BASE64, lambda m: wrapped_der(text, m.start())),
+                            (DER_HEX, lambda m: m.end() if is_der_key(_decode_hex(m[0]) or b"") else None)):
         for m in pattern.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b in armoured):
-                continue
-            data = decode(m[0])
-            if data and is_der_key(data):
-                out.append((*m.span(), "der"))
+            if not any(a < m.end() and m.start() < b for a, b in ends):
+                end = end_of(m)
+                if end:
+                    out.append((m.start(), end, "der"))
+                    ends.append((m.start(), end))
     return out
 
 

@@ -60,6 +60,58 @@ def test_structures():
     assert [s.kind for s in spans] == ["assign", "jwt"] and all(s.confirmed for s in spans)
 
 
+def wrapped(text, width, newline="\n"):
+    return newline.join(text[i:i + width] for i in range(0, len(text), width))
+
+
+def spans_of(text, kind):
+    return [text[s.start:s.end] for s in S.scan(text) if s.kind == kind]
+
+
+def test_wrapped_der_without_armour():
+    b64 = base64.b64encode(KEY).decode()
+    for width, newline in ((64, "\n"), (76, "\r\n"), (40, "\n   "), (10_000, "\n")):
+        body = wrapped(b64, width, newline)
+        for after in ("\nand some prose follows it", "", "\n\nnext", " x"):
+            assert spans_of(f"key:\n{body}{after}", "der") == [body]
+    assert spans_of(wrapped(base64.b64encode(KEY[:-9]).decode(), 64) + "\nprose", "der") == []
+    short = der(der(b"\x00", tag=2), der(bytes(range(1, 60)), tag=2))           # a length of one byte, no padding
+    assert spans_of(f"a {base64.b64encode(short).decode()} b", "der") == [base64.b64encode(short).decode()]
+
+
+def test_base64_of_pem():
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{wrapped(base64.b64encode(KEY).decode(), 64)}\n-----END RSA PRIVATE KEY-----"
+    for tail in ("", "\n", "\n\n"):
+        once = base64.b64encode((pem + tail).encode()).decode()
+        for text in (once, wrapped(once, 76)):
+            [found] = spans_of(f"config: {text} # end", "pem")
+            assert text.startswith(found) and len(text) - len(found) <= 6
+            assert kinds(f"config: {text} # end") == ["pem"]
+    broken = pem.replace("END RSA", "END")
+    assert kinds(base64.b64encode(broken.encode()).decode()) == []
+
+
+def test_encrypted_pem():
+    def text(headers, body):
+        return f"-----BEGIN RSA PRIVATE KEY-----\n{headers}\n{wrapped(base64.b64encode(body).decode(), 64)}\n-----END RSA PRIVATE KEY-----"
+    iv = "0123456789ABCDEF" * 2
+    secret = bytes(range(7, 247)) * 2
+    assert kinds(text(f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{iv}\n", secret)) == ["pem"]
+    assert kinds(text(f"Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,{iv[:16]}\n", secret)) == ["pem"]
+    assert kinds(text(f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{iv}\n", secret[:-1])) == []      # not whole blocks
+    assert kinds(text("Proc-Type: 4,ENCRYPTED\n", secret)) == []
+    assert kinds(text("Comment: mine\n", KEY)) == ["pem"]
+
+
+def test_tokens_whose_header_is_spaced():
+    part = lambda x: base64.urlsafe_b64encode(x.encode()).decode().rstrip("=")
+    for header in ('{ "alg": "HS256" }', '{\n"alg":"HS256"}', '{\r\n "alg":"HS256"}', '{\t"alg":"HS256"}', '{"alg":"HS256"}'):
+        for claims in ('{"sub":1}', '{\n "sub": 1 }'):
+            token = f"{part(header)}.{part(claims)}.c2ln"
+            assert spans_of(f"x {token}, y", "jwt") == [token]
+    assert kinds("eyes.are.open ewe.are.here they.were.there") == []
+
+
 def test_openssh():
     field = lambda b: len(b).to_bytes(4, "big") + b
     data = S.OPENSSH_MAGIC + field(b"none") * 2 + field(b"") + (1).to_bytes(4, "big") + field(b"pub")
