@@ -8,8 +8,13 @@ template words are put in one global order, rarest first, by the number of
 documents that hold them; a text with a block that meets the threshold must share
 one of the template's first ``size - required + 1`` words (prefix filter), have
 at least ``required`` words (length filter), and from a shared word on both must
-have enough words left (positional filter). In surviving texts every block is
-counted in full.
+have enough words left (positional filter). In surviving texts every block that
+holds one of these prefix words is counted in full; others cannot match.
+
+Blocks that match are united where they overlap and belong to one template. Notices
+of one family differ by a word or two, so of matches that overlap by half of the
+shorter one that with the greater containment, then the longer, then the first by
+label is reported.
 
 Defined results: null text is the empty text (no words, no labels, score 0);
 every text is read whole; a document may have many labels; repeated rows give
@@ -18,6 +23,7 @@ repeated results; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter, defaultdict
@@ -40,20 +46,50 @@ PHRASES = {
 
 THRESHOLD = 0.9
 
-#: Notices by label; several may share one.
+#: Licence notices and bodies by label; several may share one.
 TEMPLATES = (
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero "
+             "general public license as published by the free software foundation"),
     ("apache", "licensed under the apache license version 2.0"),
     ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
+               "on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+              "accompanying documentation covered by this license the software to use reproduce display distribute execute and "
+              "transmit the software and to prepare derivative works of the software"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following "
+            "disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+            "following disclaimer in the documentation and or other materials provided with the distribution"),
     ("cc-by", "this work is licensed under a creative commons attribution 4.0 international license"),
     ("cc-by", "licensed under cc by 4.0"),
     ("cc-by-nc", "licensed under cc by nc 4.0"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4.0 international license"),
     ("cc-by-sa", "licensed under cc by sa 4.0"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
+    ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or "
+            "her rights to the work worldwide under copyright law including all related and neighboring rights to the extent "
+            "allowed by law"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
     ("gpl", "this work is licensed under the gnu general public license version"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+            "provided that the above copyright notice and this permission notice appear in all copies"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
+             "public license"),
+    ("lgpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
+             "public license"),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "the software without restriction including without limitation the rights to use copy modify merge publish distribute "
+            "sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2.0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+                  "compile sell or distribute this software either in source code form or as a compiled binary for any purpose "
+                  "commercial or non commercial and by any means"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter "
+             "it and redistribute it freely"),
 )
 
 # ASCII letters in lower case, digits and every byte above 127 stay; all else separates.
@@ -93,6 +129,34 @@ def base_matches(folded: bytes) -> Base:
     return Base(len(words), starts, labels)
 
 
+class Block(NamedTuple):
+    label: str
+    start: int              # words, from 0
+    end: int                # exclusive
+    containment: float
+
+
+def _around(hits: list[int], reach: int) -> list[tuple[int, int]]:
+    """Ascending places widened by ``reach`` to both sides, united where they meet."""
+    out: list[tuple[int, int]] = []
+    for i in hits:
+        if out and out[-1][1] >= i - reach - 1:
+            out[-1] = (out[-1][0], i + reach)
+        else:
+            out.append((max(0, i - reach), i + reach))
+    return out
+
+
+def reported(blocks: list[Block]) -> list[Block]:
+    """The blocks without those that share half their words, or half of its, with a
+    better one; by place."""
+    out: list[Block] = []
+    for b in sorted(blocks, key=lambda b: (-b.containment, b.start - b.end, b.label, b.start)):
+        if not any(2 * (min(b.end, o.end) - max(b.start, o.start)) >= min(b.end - b.start, o.end - o.start) for o in out):
+            out.append(b)
+    return sorted(out, key=lambda b: (b.start, b.end, b.label))
+
+
 class Matcher:
     """The templates in the global order, indexed by their prefix words."""
 
@@ -133,20 +197,35 @@ class Matcher:
         """Labels whose template the block contains, with the containment."""
         return self._best(self._survivors(block))
 
-    def match_text(self, words: list[bytes]) -> dict[str, float]:
-        """The same over all blocks of a text. Its whole word set holds those of
-        its blocks, so a template that it does not contain is in none of them."""
-        numbers = [number for number, _ in self._survivors(set(words))]
+    def blocks(self, words: list[bytes]) -> list["Block"]:
+        """All matching blocks of a text, those of one template that overlap united."""
+        # The whole word set holds those of all blocks: a template that it does not contain is in none.
+        numbers = {number for number, _ in self._survivors(set(words))}
         if not numbers:
-            return {}
+            return []
         at = [(i, word) for i, word in enumerate(words) if word in self.words]
-        return self._best((number, self._most(number, at)) for number in numbers)
+        prefix: dict[int, list[int]] = defaultdict(list)
+        for i, word in at:
+            for number, _ in self.index.get(word, ()):
+                if number in numbers:
+                    prefix[number].append(i)
+        out = []
+        for number, hits in prefix.items():
+            _, _, template, required = self.templates[number]
+            length = self.lengths[number]
+            for low, high in _around(hits, length - 1):
+                a, b = bisect.bisect_left(at, (low,)), bisect.bisect_left(at, (high + 1,))
+                places = [x for x in at[a:b] if x[1] in template]
+                if len(places) >= required:
+                    out += self._windows(number, places)
+        return out
 
-    def _most(self, number: int, at: list[tuple[int, bytes]]) -> int:
-        """Most of the template's words in one block, from the places of words."""
-        template, length = self.templates[number][2], self.lengths[number]
-        places = [(i, word) for i, word in at if word in template]
-        held, kept, first, most = Counter(), 0, 0, 0
+    def _windows(self, number: int, places: list[tuple[int, bytes]]):
+        """The matching blocks among these places of the template's words: first and
+        last word (exclusive) of united blocks, with the most that one of them holds."""
+        label, words, _, required = self.templates[number]
+        held, kept, first, length = Counter(), 0, 0, self.lengths[number]
+        found: list[Block] = []
         for i, word in places:
             held[word] += 1
             kept += held[word] == 1
@@ -155,8 +234,19 @@ class Matcher:
                 held[gone] -= 1
                 kept -= held[gone] == 0
                 first += 1
-            most = max(most, kept)
-        return most
+            if kept >= required:
+                block = Block(label, places[first][0], i + 1, kept / len(words))
+                if found and found[-1].end > block.start:
+                    block = Block(label, found[-1].start, block.end, max(found.pop().containment, block.containment))
+                found.append(block)
+        return found
+
+    def match_text(self, words: list[bytes]) -> dict[str, float]:
+        """Labels with a matching block in the text, with the best containment."""
+        out: dict[str, float] = {}
+        for block in self.blocks(words):
+            out[block.label] = max(out.get(block.label, 0.0), block.containment)
+        return out
 
     def _best(self, found) -> dict[str, float]:
         out: dict[str, float] = {}
@@ -187,13 +277,13 @@ def word_frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str) ->
 
 def find_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: the base measures and ``matches`` (label and best
-    containment over its blocks). Two maps over all documents; the templates,
+    """One row per document: the base measures and ``matches`` (label, places by
+    word number and containment of each reported block). Two maps over all documents; the templates,
     given by the caller, are the small side and go to every task."""
     plain = Matcher(templates, {}, threshold)
     frequency = word_frequencies(docs, plain.words, text_col)
     ddl = (f"id {field(docs, id_col)}, n_words bigint, starts array<bigint>, phrases array<string>, "
-           "matches array<struct<label:string,containment:double>>")
+           "matches array<struct<label:string,start:bigint,end:bigint,containment:double>>")
 
     def make():
         matcher = Matcher(templates, frequency, threshold)
@@ -202,11 +292,11 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
             out = {"id": batch["id"], "n_words": [], "starts": [], "phrases": [], "matches": []}
             for text in batch["text"].to_pylist():
                 folded = fold(text or "")
-                base, found = base_matches(folded), matcher.match_text(folded.split())
+                base, found = base_matches(folded), reported(matcher.blocks(folded.split()))
                 out["n_words"].append(base.n_words)
                 out["starts"].append(sorted(base.starts))
                 out["phrases"].append(sorted(base.labels))
-                out["matches"].append([{"label": k, "containment": v} for k, v in sorted(found.items())])
+                out["matches"].append([b._asdict() for b in found])
             return out
         return step
 
@@ -226,4 +316,4 @@ def digests(found: DataFrame) -> DataFrame:
         F.when(F.size("starts") > 0, F.lit(1.0)).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"))
 
 
-__all__ = ["Matcher", "TEMPLATES", "base_matches", "digests", "find_licenses", "fold"]
+__all__ = ["Block", "Matcher", "TEMPLATES", "base_matches", "digests", "find_licenses", "fold", "reported"]

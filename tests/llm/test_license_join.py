@@ -99,6 +99,61 @@ def test_every_block_counts():
     assert found > 100
 
 
+def labels(text):
+    return [(b.label, b.containment) for b in L.reported(L.Matcher(L.TEMPLATES, {}, L.THRESHOLD).blocks(L.fold(text).split()))]
+
+
+def test_notices_of_one_family_are_told_apart():
+    lgpl = ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+            "General Public License as published by the Free Software Foundation")
+    assert labels(lgpl) == [("lgpl", 1.0)]
+    assert labels(lgpl.replace("library", "program").replace("Lesser ", "")) == [("gpl", 1.0)]
+    assert labels(lgpl.replace("library", "program").replace("Lesser", "Affero")) == [("agpl", 1.0)]
+    isc = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+           "granted, provided that the above copyright notice and this permission notice appear in all copies.")
+    assert labels(isc) == [("isc", 1.0)]
+    cc0 = ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+           "this work.")
+    assert labels(cc0) == [("cc0", 1.0)]
+    assert labels("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.") == [("cc-by-sa", 1.0)]
+    for label, notice in L.TEMPLATES:
+        assert labels(notice)[0][0] == label
+
+
+def test_places_of_blocks():
+    """Two notices far apart in a long text, one of them twice, each found where it stands."""
+    rng = random.Random(5)
+    pad = lambda n: [f"w{rng.randrange(300)}" for _ in range(n)]
+    mit = "released under the mit license".split()
+    mpl = L.fold(dict(L.TEMPLATES)["mpl"]).decode().split()
+    words = pad(4000) + mit + pad(3000) + mpl + pad(500) + mit + pad(10)
+    found = L.reported(L.Matcher(L.TEMPLATES, {}, L.THRESHOLD).blocks([w.encode() for w in words]))
+    assert [(b.label, b.start, b.end) for b in found] == [
+        ("mit", 4000, 4005), ("mpl", 7005, 7005 + len(mpl)), ("mit", 7505 + len(mpl), 7510 + len(mpl))]
+
+
+def test_blocks_against_every_window():
+    """Prefix places decide which windows are counted, and none that matches is missed."""
+    rng = random.Random(8)
+    vocabulary = sorted({w for _, n in L.TEMPLATES[:12] for w in L.fold(n).split()})
+    for order in ({}, {w: rng.randrange(100) for w in vocabulary}):
+        for _ in range(150):
+            threshold = rng.choice([0.6, 0.8, 0.9])
+            matcher = L.Matcher(L.TEMPLATES, order, threshold)
+            label, notice = rng.choice(L.TEMPLATES)
+            words = rng.choices(vocabulary, k=rng.randrange(60)) + L.fold(notice).split() + rng.choices(vocabulary, k=rng.randrange(60))
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(len(words))] = b"pad"
+            want = {}
+            for of, n in L.TEMPLATES:
+                size, template = len(L.fold(n).split()), set(L.fold(n).split())
+                for at in range(max(1, len(words) - size + 1)):
+                    share = len(template & set(words[at:at + size])) / len(template)
+                    if share >= threshold - 1e-9:
+                        want[of] = max(want.get(of, 0.0), share)
+            assert matcher.match_text(words) == want
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = sorted(run(odd_docs), key=str)
     assert got == sorted(((r.doc_id, *brute(r.text)) for r in odd_docs.collect()), key=str)
