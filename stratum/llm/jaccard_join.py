@@ -9,16 +9,19 @@
 3. Candidates compare their MinHash values block by block; after each block a
    pair is dropped when the posterior probability that its similarity reaches
    the threshold, given the matches so far, is below ``TOLERANCE``. What is left
-   links classes into groups.
-4. Inside a group every pair of classes is verified exactly on the full sets,
-   block against block, and each class gets its number of links.
+   links classes into groups. Every class is compared with the least one of each
+   of its buckets first; pairs that are in one group then are not compared again,
+   so a bucket that is one group costs a row for each member.
+4. Inside a group links are counted exactly on the full sets, and each class gets
+   its number of links: groups of up to ``GROUP_BLOCK`` classes pair by pair, larger
+   ones through their common core (see ``large_links``).
 5. Classes linked by verified pairs are one component; its least id is the
    documents' class id.
 
-Large buckets and large groups are cut into blocks of bounded size and each pair
-of blocks is a task of its own; tasks return counts and a spanning forest, never
-the pairs, so rows stay proportional to the documents. There is no cap: every
-pair of blocks is worked.
+What is left of large buckets, and of the pairs of a large group that its core does
+not decide, is cut into blocks of bounded size and each pair of blocks is a task of
+its own; tasks return counts and a spanning forest, never the pairs. There is no
+cap: every pair of blocks is worked.
 
 Words are runs of bytes other than ASCII white space, with A-Z lower-cased.
 Defined results: a text that is null or has no word is similar to nothing: its
@@ -30,12 +33,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fractions import Fraction
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import arrow_schema, field, map_batches, record_batch, settle
@@ -47,7 +51,8 @@ HASHES = BANDS * BAND_ROWS
 #: MinHash values are compared this many at a time.
 COMPARE_STEP = 16
 TOLERANCE = 1e-6
-#: Classes of one block of a bucket, and of one block of a group.
+#: Classes of one block of a bucket; most classes of a group that is verified pair by
+#: pair, and of one block of what is left of a larger one.
 BUCKET_BLOCK, GROUP_BLOCK = 512, 256
 #: Words whose hash a task keeps.
 WORD_CACHE = 400_000
@@ -201,17 +206,41 @@ def blocked(members: DataFrame, size: str, block: int) -> DataFrame:
             .drop("blocks", "other", size))
 
 
+def star_links(keys: DataFrame, payload: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Edges of classes with the least class of a bucket, where the pair survives."""
+    heads = keys.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
+    pairs = keys.join(heads, "key").where("node <> head").select("node", "head").distinct()
+    of_head = payload.select(F.col("node").alias("head"), F.col("n").alias("head_n"), F.col("signature").alias("head_signature"))
+    rows = (pairs.join(payload, "node").join(of_head, "head")
+            .where(F.least("n", "head_n") >= F.lit(threshold) * F.greatest("n", "head_n")))
+    least = least_matches(threshold, tolerance)
+
+    def step(batch: pa.RecordBatch) -> dict:
+        both = b"".join(batch["signature"].to_pylist() + batch["head_signature"].to_pylist())
+        signatures, m = np.frombuffer(both, np.uint8).reshape(-1, HASHES), batch.num_rows
+        at = pa.array(survivors(signatures, np.arange(m), np.arange(m) + m, least))
+        return {"u": batch["node"].take(at), "v": batch["head"].take(at)}
+
+    return map_batches(rows.select("node", "head", "signature", "head_signature"), lambda: step, "u bigint, v bigint")
+
+
 def candidate_links(classes: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
                     block: int = BUCKET_BLOCK) -> DataFrame:
-    """Edges (u > v) that span the classes whose pairs survive the pruning."""
+    """Edges (u > v) that span the classes whose pairs survive the pruning: those
+    with the least class of a bucket, then those of what is in one bucket but not yet
+    in one group."""
     keys = classes.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = keys.join(shared, "key")
-    spread = blocked(members, "size", block)
     payload = classes.select("node", "n", "signature")
+    stars = settle(star_links(keys, payload, threshold, tolerance), "stars")
+    grouped = (keys.join(components(stars).select("node", F.col("label").alias("star")), "node", "left")
+               .withColumn("star", F.coalesce("star", "node")))
+    mixed = (grouped.groupBy("key").agg(F.count("*").alias("size"), F.min("star").alias("low"), F.max("star").alias("high"))
+             .where("low < high").select("key", "size"))
+    members = grouped.join(mixed, "key")
+    spread = blocked(members, "size", block)
     rows = (spread.join(payload, "node").repartition("key", "low", "high")
             .sortWithinPartitions("key", "low", "high", "node")
-            .select("key", "low", "high", "block", "node", "n", "signature"))
+            .select("key", "low", "high", "block", "node", "star", "n", "signature"))
     least = least_matches(threshold, tolerance)
     schema = arrow_schema("u bigint, v bigint")
 
@@ -223,7 +252,13 @@ def candidate_links(classes: DataFrame, threshold: float = THRESHOLD, tolerance:
         cross = part["low"].to_numpy() != part["high"].to_numpy()
         size = part["n"].to_numpy()
         signatures = np.frombuffer(b"".join(part["signature"].to_pylist()), np.uint8).reshape(-1, HASHES)
-        parent, rows_left = np.arange(len(number)), np.arange(len(number))
+        # Rows of one bucket that are in one group already have one root.
+        order = np.lexsort((np.arange(len(number)), part["star"].to_numpy(), number))
+        star = part["star"].to_numpy()[order]
+        first = np.concatenate([[True], (star[1:] != star[:-1]) | (number[order][1:] != number[order][:-1])])
+        parent, rows_left = np.empty(len(number), np.int64), np.arange(len(number))
+        parent[order] = order[np.flatnonzero(first)][np.cumsum(first) - 1]
+        joined = parent.copy()
         d = 1
         while True:
             rows_left = rows_left[rows_left + d < len(number)]
@@ -238,7 +273,7 @@ def candidate_links(classes: DataFrame, threshold: float = THRESHOLD, tolerance:
             left = survivors(signatures, one, two, least)
             parent = unite(parent, one[left], two[left])
             d += 1
-        at = np.flatnonzero(parent != np.arange(len(number)))
+        at = np.flatnonzero(parent != joined)
         node = part["node"].to_numpy()
         if not len(at):
             return None
@@ -261,7 +296,7 @@ def candidate_links(classes: DataFrame, threshold: float = THRESHOLD, tolerance:
             if found is not None:
                 yield found
 
-    return rows.mapInArrow(run, "u bigint, v bigint")
+    return rows.mapInArrow(run, "u bigint, v bigint").unionByName(stars)
 
 
 def _runs(part: pa.Table) -> np.ndarray:
@@ -302,34 +337,113 @@ def _are_stars(edges: DataFrame) -> bool:
     return nodes.where("n > 1").isEmpty() and nodes.join(centres, "u", "leftsemi").isEmpty()
 
 
-def verified_links(members: DataFrame, threshold: float = THRESHOLD, block: int = GROUP_BLOCK) -> DataFrame:
-    """From (node, copies, label, size, shingles): (node, links, root), one row
-    per class and pair of blocks. Exact: intersections are counted on the sets."""
-    spread = blocked(members, "size", block)
+def verified_links(members: DataFrame, threshold: float = THRESHOLD, block: int | None = None) -> DataFrame:
+    """From (node, copies, label, size, shingles): (node, links, root), one row or
+    more per class. Exact: intersections are counted on the sets."""
+    block = block or GROUP_BLOCK
     ddl = "node bigint, links bigint, root bigint"
 
     def verify(part: pa.Table) -> pa.Table:
         part = part.sort_by("node")
-        node, copies, own = (part[c].to_numpy() for c in ("node", "copies", "block"))
         sets = [np.frombuffer(b, np.uint64) for b in part["shingles"].to_pylist()]
-        linked = similar(sets, threshold)
+        return linked_rows(part, similar(sets, threshold))
+
+    small = members.where(F.col("size") <= block).groupBy("label").applyInArrow(verify, ddl)
+    large = members.where(F.col("size") > block)
+    return small if large.isEmpty() else small.unionByName(large_links(large, threshold, block))
+
+
+def linked_rows(part: pa.Table, linked: np.ndarray) -> pa.Table:
+    """(node, links, root) from the matrix of linked pairs."""
+    node, copies = part["node"].to_numpy(), part["copies"].to_numpy().astype(np.int64)
+    root = unite(np.arange(len(node)), *np.nonzero(linked))
+    return pa.table({"node": node, "links": (linked @ copies).astype(np.int64), "root": node[root]})
+
+
+def large_links(members: DataFrame, threshold: float, block: int) -> DataFrame:
+    """The links of large groups, most of them without looking at pairs.
+
+    A group's core are the shingles that more than half of its sets hold; D(x) is
+    the symmetric difference of x and the core. For a threshold p/q two sets are
+    linked exactly if (q + p) |x ^ y| <= (q - p) (|x| + |y|), and as |x ^ y| =
+    |D(x)| + |D(y)| - 2 |D(x) & D(y)|, if
+
+        far(x) + far(y) <= 2 (q + p) |D(x) & D(y)|,   far(x) = (q + p) |D(x)| - (q - p) |x|.
+
+    Pairs with far(x) + far(y) <= 0 are linked whatever their intersection: a class
+    has as many as there are classes up to -far(x) in its group, a running sum over
+    the values of far; and all classes with such a link have one with the class that
+    is least in far. Other pairs are linked only if they share something that the
+    core does not explain: of the classes that can be in such a pair, only what two
+    or more of their D hold is kept, and those with something left are compared in
+    pairs of blocks."""
+    ratio = Fraction(threshold).limit_denominator(10_000)
+    up, down = ratio.denominator + ratio.numerator, ratio.denominator - ratio.numerator
+
+    def as_set(batch: pa.RecordBatch) -> dict:
+        return {**{c: batch[c] for c in ("node", "copies", "label", "size")},
+                "held": [np.frombuffer(b, np.int64) for b in batch["shingles"].to_pylist()]}
+
+    sets = settle(map_batches(members.select("node", "copies", "label", "size", "shingles"), lambda: as_set,
+                              "node bigint, copies bigint, label bigint, size bigint, held array<bigint>"), "large")
+    core = (sets.select("label", "size", F.explode("held").alias("s")).groupBy("label", "size", "s").count()
+            .where("2 * count > size").groupBy("label").agg(F.collect_list("s").alias("core")))
+    none = F.array().cast("array<bigint>")
+    against = sets.join(core, "label", "left").withColumn("core", F.coalesce("core", none))
+    apart = F.concat(F.array_except("held", "core"), F.array_except("core", "held"))
+    rows = settle(against.select("label", "node", "copies", F.size("held").alias("n"), apart.alias("apart"))
+                  .withColumn("far", (F.lit(up) * F.size("apart") - F.lit(down) * F.col("n")).cast("bigint"))
+                  .select("label", "node", "copies", "far", "apart"), "apart")
+    ends = rows.groupBy("label").agg(F.min(F.struct("far", "node")).alias("least"), F.max("far").alias("most"))
+    counts = rows.groupBy("label", "far").agg(F.sum("copies").alias("copies"))
+    asked = counts.select("label", (-F.col("far")).alias("at"), F.lit(0).cast("bigint").alias("copies"), "far")
+    upto = Window.partitionBy("label").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    found = (asked.unionByName(counts.select("label", F.col("far").alias("at"), "copies", F.lit(None).cast("bigint").alias("far")))
+             .withColumn("near", F.sum("copies").over(upto)).where("far IS NOT NULL")
+             .join(ends, "label").select("label", "far", "near", "least"))
+    own = F.when(F.col("far") <= 0, F.col("copies")).otherwise(F.lit(0))
+    near = rows.drop("apart").join(found, ["label", "far"]).select(
+        "node", (F.col("near") - own).alias("links"),
+        F.when(F.col("far") + F.col("least.far") <= 0, F.col("least.node")).otherwise(F.col("node")).alias("root"))
+
+    open_ = rows.join(ends.select("label", "most"), "label").where("far + most > 0")
+    items = open_.select("label", "node", F.explode("apart").alias("s"))
+    shared = items.groupBy("label", "s").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    left = items.join(shared, ["label", "s"]).groupBy("label", "node").agg(F.collect_list("s").alias("items"))
+    left = settle(left.join(open_.select("label", "node", "copies", "far"), ["label", "node"]), "left")
+    sizes = left.groupBy("label").agg(F.count("*").alias("size"))
+    spread = blocked(left.join(sizes, "label"), "size", block)
+
+    def verify(part: pa.Table) -> pa.Table:
+        part = part.sort_by("node")
+        far, own = part["far"].to_numpy(), part["block"].to_numpy()
+        both = far[:, None] + far[None, :]
+        common = intersections([np.array(x, np.int64) for x in part["items"].to_pylist()])
+        linked = (both > 0) & (both <= 2 * up * common)
+        np.fill_diagonal(linked, False)
         if part["low"][0].as_py() != part["high"][0].as_py():
             linked &= own[:, None] != own[None, :]
-        one, two = np.nonzero(linked)
-        root = unite(np.arange(len(sets)), one, two)
-        return pa.table({"node": node, "links": (linked @ copies.astype(np.int64)).astype(np.int64),
-                         "root": node[root]})
+        return linked_rows(part, linked)
 
-    return spread.groupBy("label", "low", "high").applyInArrow(verify, ddl)
+    return near.unionByName(spread.groupBy("label", "low", "high").applyInArrow(verify, "node bigint, links bigint, root bigint"))
 
 
 def similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     """Matrix of the pairs of different sets with Jaccard similarity >= threshold."""
+    sizes, common = np.array([len(s) for s in sets], np.int64), intersections(sets)
+    both = sizes[:, None] + sizes[None, :] - common
+    linked = common >= threshold * both - 1e-9
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the sizes of the intersections of any two sets."""
     sizes = np.array([len(s) for s in sets], np.int64)
     values = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, column, held = np.unique(values, return_inverse=True, return_counts=True)
-    shared = held[column] > 1                 # a shingle of one set alone adds nothing
+    shared = held[column] > 1                 # an item of one set alone adds nothing
     number = np.cumsum(held > 1) - 1
     column, owner = number[column[shared]], owner[shared]
     order = np.argsort(column, kind="stable")
@@ -340,10 +454,8 @@ def similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
         held_here = np.zeros((len(sets), 4096), np.float32)
         held_here[owner[a:b], column[a:b] - at] = 1.0
         common += held_here @ held_here.T
-    both = sizes[:, None] + sizes[None, :] - common
-    linked = common >= threshold * both - 1e-9
-    np.fill_diagonal(linked, False)
-    return linked
+    np.fill_diagonal(common, sizes)
+    return common
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -376,7 +488,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "shingles": [shingle(t).tobytes() for t in batch["text"].to_pylist()]}
         return step
 
-    members = map_batches(found, make, ddl).dropDuplicates(["node"])
+    members = settle(map_batches(found, make, ddl).dropDuplicates(["node"]), "members")
     checked = settle(verified_links(members, threshold), "links")
     labels = components(checked.select(F.col("node").alias("u"), F.col("root").alias("v")))
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.llm import jaccard_join as J
@@ -70,6 +71,80 @@ def test_groups_over_many_blocks(spark, monkeypatch):
     small = lambda f, n: (lambda *a, **k: f(*a[:2], n))
     monkeypatch.setattr(J, "blocked", small(J.blocked, 7))
     assert sorted(run(docs)) == want
+    monkeypatch.setattr(J, "GROUP_BLOCK", 5)
+    assert sorted(run(docs)) == want
+
+
+def clustered(seed, texts=4, size=50, words=60, short=False):
+    """Groups that hold several tight clusters, each some edits from the next, with
+    links inside, between neighbours, and none between the ends; repeated texts too."""
+    rng, rows = random.Random(seed), []
+    for g in range(texts):
+        text = [f"w{g}x{rng.randrange(5000)}" for _ in range(words if not short else rng.randrange(6, 30))]
+        for _ in range(4):
+            for _ in range(size // 4):
+                copy = list(text)
+                for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+                    copy[rng.randrange(len(copy))] = f"v{rng.randrange(40)}"
+                rows.append((len(rows), " ".join(copy)))
+            for _ in range(2):
+                text[rng.randrange(len(text))] = f"u{rng.randrange(10**6)}"
+    return rows
+
+
+@pytest.mark.parametrize("seed, short", [(1, False), (2, True), (3, False)])
+def test_large_groups_are_exact(spark, monkeypatch, seed, short):
+    """Every group goes through its core, and blocks of what the core leaves open."""
+    rows = clustered(seed, short=short)
+    want = sorted(brute(rows))
+    assert len({n for _, _, n in want}) > 5
+    monkeypatch.setattr(J, "GROUP_BLOCK", 3)
+    assert sorted(run(spark.createDataFrame(rows, "doc_id bigint, text string"))) == want
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.75, 0.9])
+def test_other_thresholds(spark, monkeypatch, threshold):
+    rng = random.Random(5)
+    members, sets = [], []
+    base = [rng.getrandbits(62) for _ in range(60)]
+    for k in range(80):
+        s = sorted({*rng.sample(base, rng.randrange(35, 61)), *[rng.randrange(50) for _ in range(rng.randrange(12))]})
+        sets.append(s)
+        members.append((k, 1 + k % 3, 7, 80, bytearray(np.array(s, np.uint64).tobytes())))
+    frame = spark.createDataFrame(members, "node bigint, copies bigint, label bigint, size bigint, shingles binary")
+    links = {}
+    for r in J.verified_links(frame, threshold, 10).collect():
+        links[r.node] = links.get(r.node, 0) + r.links
+    for k, s in enumerate(sets):
+        assert links[k] == sum(1 + j % 3 for j, t in enumerate(sets) if j != k
+                               and len({*s} & {*t}) >= threshold * len({*s} | {*t}) - 1e-9)
+
+
+def test_rows_grow_with_the_copies(spark, monkeypatch):
+    """Of one text's near copies, blocked rows and their sets: ten times the copies,
+    no more than some ten times the rows."""
+    made, real = [], J.blocked
+
+    def counted(*a, **k):
+        made.append(real(*a, **k))
+        return made[-1]
+
+    monkeypatch.setattr(J, "blocked", counted)
+    total = []
+    for n in (300, 3_000):
+        rng = random.Random(2)
+        text = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        rows = []
+        for i in range(n):
+            copy = list(text)
+            for _ in range(2):
+                copy[rng.randrange(200)] = f"v{rng.randrange(10**7)}"
+            rows.append((i, " ".join(copy)))
+        made.clear()
+        got = run(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8))
+        assert {(c, l) for _, c, l in got} == {(0, n - 1)}
+        total.append(sum(df.count() for df in made))
+    assert total[1] <= 10 * max(total[0], n // 10)
 
 
 def test_components_of_a_chain(spark):
