@@ -40,12 +40,13 @@ def dim_dates(spark: SparkSession, start, end=None, ahead_days: int = 90) -> Dat
     ``current_date() + ahead_days``. A calendar has one row per day, so its
     size is bounded by the date range, not by the data.
     """
-    lo = F.lit(start).cast("date") if not isinstance(start, Column) else start
+    lo = F.lit(start) if not isinstance(start, Column) else start
     if end is None:
         hi = F.current_date() + F.make_interval(days=F.lit(ahead_days))
     else:
-        hi = F.lit(end).cast("date") if not isinstance(end, Column) else end
-    hi = hi.cast("date")
+        hi = F.lit(end) if not isinstance(end, Column) else end
+    # Without a zone, as a zone's clock changes would move or drop days.
+    lo, hi = (F.date_trunc("day", b.cast("timestamp_ntz")).cast("timestamp_ntz") for b in (lo, hi))
     days = spark.range(1).select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("d"))
     return days.select(*calendar_columns("d")).orderBy("date_id")
 
