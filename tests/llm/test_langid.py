@@ -1,4 +1,10 @@
+import math
+from collections import Counter
+
 import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratum.llm import langid, queries
@@ -65,3 +71,110 @@ def test_without_labels_documents_with_a_letter_stay(odd_docs):
     model = langid.train(unlabelled, F.col("doc_id"))
     kept = [r.doc_id for r in langid.keep_identified(unlabelled, model).collect()]
     assert model is None and sorted(kept, key=str) == [0, 1, 1, 6, 7, 8, None]
+
+
+# ------------------------------------------------ against plain definitions
+
+MASK = (1 << 64) - 1
+ODD, STEP = 0x9E3779B97F4A7C15, 0x100000001B3
+
+
+def grams(text):
+    """Letter n-grams of 1 to 3 code points: letters in lower case, every other run is one space."""
+    out, gap = [], False
+    for c in text.lower():
+        if c.isalpha():
+            out.append(c)
+            gap = False
+        elif not gap:
+            out.append(" ")
+            gap = True
+    return [tuple(out[i:i + n]) for n in (1, 2, 3) for i in range(len(out) - n + 1)]
+
+
+def bucket(gram):
+    h = ord(gram[0])
+    for c in gram[1:]:
+        h = (h * STEP + ord(c)) & MASK
+    m = (h + len(gram)) * ODD & MASK
+    m = (m ^ m >> 29) * ODD & MASK
+    return m >> (64 - 15)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("aBcé 1.-ßЖ\n", max_size=60))
+def test_features_are_the_grams(text):
+    got = langid.Featuriser().counts(text)
+    if not any(c.isalpha() for c in text.lower()):
+        assert got is None
+        return
+    want = Counter(map(bucket, grams(text)))
+    assert {i: int(got[i]) for i in np.flatnonzero(got)} == dict(want)
+
+
+def test_weights_are_unit_tf_idf(documents):
+    some = documents.limit(60)
+    held, n = langid.document_frequencies(some.select("text"))
+    texts = [r.text for r in some.collect()]
+    sets = [set(map(bucket, grams(t))) for t in texts if t and any(c.isalpha() for c in t)]
+    df = Counter(b for s in sets for b in s)
+    assert n == len(sets) and {i: int(held[i]) for i in np.flatnonzero(held)} == dict(df)
+    idf = np.log((1.0 + n) / (1.0 + held)) + 1.0
+    counts = Counter(map(bucket, grams(texts[0])))
+    want = {b: (1 + math.log(c)) * (math.log((1 + n) / (1 + df[b])) + 1) for b, c in counts.items()}
+    norm = math.sqrt(sum(v * v for v in want.values()))
+    at, value = langid.Featuriser().weighted(langid.Featuriser().counts(texts[0]), idf)
+    assert dict(zip(at.tolist(), value.tolist())) == pytest.approx({b: v / norm for b, v in want.items()})
+
+
+def test_ftrl_coordinate_by_coordinate():
+    """The proximal update, one coordinate and one label at a time."""
+    rng = np.random.default_rng(3)
+    samples = []
+    for k in range(40):
+        at = np.sort(rng.choice(12, 5, replace=False))
+        samples.append((at, rng.random(5), int(at[0] % 3)))
+    alpha, beta, l1, l2, epochs, seed = 0.5, 1.0, 0.6, 0.01, 3, 7
+    z, q = {}, {}
+
+    def weight(i, k):
+        x = z.get((i, k), 0.0)
+        free = 0.0 if i == "bias" else l1
+        if abs(x) <= free:
+            return 0.0
+        return -(x - math.copysign(free, x)) / ((beta + math.sqrt(q.get((i, k), 0.0))) / alpha + l2)
+
+    order = np.random.default_rng(seed)
+    for _ in range(epochs):
+        for s in order.permutation(len(samples)):
+            at, value, label = samples[s]
+            x = [*zip(at.tolist(), value.tolist()), ("bias", 1.0)]
+            w = {(i, k): weight(i, k) for i, _ in x for k in range(3)}
+            logits = [sum(v * w[i, k] for i, v in x) for k in range(3)]
+            e = [math.exp(v - max(logits)) for v in logits]
+            for i, v in x:
+                for k in range(3):
+                    g = v * (e[k] / sum(e) - (k == label))
+                    was = q.get((i, k), 0.0)
+                    z[i, k] = z.get((i, k), 0.0) + g - (math.sqrt(was + g * g) - math.sqrt(was)) / alpha * w[i, k]
+                    q[i, k] = was + g * g
+    weights, bias = langid.fit_ftrl(samples, 3, alpha=alpha, beta=beta, l1=l1, l2=l2, epochs=epochs, seed=seed)
+    assert weights[:12].ravel() == pytest.approx([weight(i, k) for i in range(12) for k in range(3)])
+    assert bias == pytest.approx([weight("bias", k) for k in range(3)])
+    assert not weights[12:].any() and (weights[:12] == 0).any()
+
+
+def test_temperature_has_the_least_loss():
+    rng = np.random.default_rng(4)
+    labels = rng.integers(0, 4, 300)
+    logits = rng.normal(size=(300, 4)) * 3
+    logits[np.arange(300), labels] += 2.0
+
+    def loss(t):
+        p = langid.softmax(logits / t)
+        return -np.log(p[np.arange(300), labels]).mean()
+
+    found = langid.fit_temperature(logits, labels)
+    grid = np.exp(np.linspace(-4, 3, 4000))
+    assert found == pytest.approx(grid[np.argmin([loss(t) for t in grid])], rel=5e-3)
+    assert langid.fit_temperature(logits[:0], labels[:0]) == 1.0
