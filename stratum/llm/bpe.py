@@ -10,7 +10,8 @@ meet inside the overlap, the stretch is pre-tokenised again from the last sure
 boundary. The pieces between boundaries are then merged by rank.
 
 Defined results: null text encodes like the empty text (no ids); every text is
-processed whole; repeated rows give repeated results; other columns are ignored.
+processed whole; repeated rows give repeated results; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ cap: every pair of blocks is worked.
 Words are runs of bytes other than ASCII white space, with A-Z lower-cased.
 Defined results: a text that is null or has no word is similar to nothing: its
 class id is its own id, with no links; repeated rows are copies of each other
-and count as links; other columns are ignored. Every text is read whole.
+and count as links; an empty table gives no rows; other columns are ignored. Every
+text is read whole.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ key; one in five of these sets the temperature instead of the weights.
 Defined results: a text that is null or has no letter gets ``und`` and score 0;
 so does every text when no labelled training document exists. With one learned
 language every other text gets it with score 1. Ties go to the first language in
-sorted order. Repeated rows give repeated results; other columns are ignored.
+sorted order. Repeated rows give repeated results; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations

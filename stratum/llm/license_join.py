@@ -18,7 +18,7 @@ label is reported.
 
 Defined results: null text is the empty text (no words, no labels, score 0);
 every text is read whole; a document may have many labels; repeated rows give
-repeated results; other columns are ignored.
+repeated results; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ and confirms the base spans it overlaps; base spans always stay.
 
 Defined results: null text is the empty text (no spans); every text is scanned
 whole; offsets are code points, ends exclusive; repeated rows give repeated
-results; other columns are ignored.
+results; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

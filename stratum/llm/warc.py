@@ -14,7 +14,11 @@ digest verified. Revisits take length and digest from the record they refer to.
 
 Defined results: null html is an empty payload; a page without an id is never
 deduplicated; repeated rows of one id that is the largest are all responses; a
-damaged record stops the read with an error that names it.
+damaged record stops the read with an error that names it; an empty table gives no
+records and no rows; columns other than id, url and html are ignored. A payload of any
+length is written and joined again in segments, by one task each way. Ids that are
+texts must not hold "#" or ">", which end an id in a record's name; an empty text
+reads back as null.
 """
 
 from __future__ import annotations
