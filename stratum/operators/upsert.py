@@ -277,7 +277,7 @@ class KeyedTable:
     def directory_for(self, origin: str) -> str | None:
         """Where an upsert of this origin goes; None if it is part of the base."""
         tries = [(n, p) for n, o, p in self._all_changes() if o == origin]
-        committed = {n for n, (o, _) in self._committed_changes().items() if o == origin}
+        committed = {n for n, p in tries if storage.committed(self.spark, p)}
         state = self.state()
         if origin in state.folded or any(n <= state.base_seq for n in committed):
             return None
