@@ -16,9 +16,8 @@ Defined results: null html is an empty payload; a page without an id is never
 deduplicated; repeated rows of one id that is the largest are all responses; a
 damaged record stops the read with an error that names it; an empty table gives no
 records and no rows; columns other than id, url and html are ignored. A payload of any
-length is written and joined again in segments, by one task each way. Ids that are
-texts must not hold "#" or ">", which end an id in a record's name; an empty text
-reads back as null.
+length is written and joined again in segments, by one task each way. Ids may be
+texts; an empty one reads back as null.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ import base64
 import gzip
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,11 +48,8 @@ DATE = "2024-01-01T00:00:00Z"
 
 
 def page_urn(page_id: object, row: int | None = None) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}{'' if row is None else f'#r{row}'}>"
-
-
-def id_of_urn(urn: str) -> str | None:
-    return urn[len("<urn:page:"):-1].split("#")[0] or None
+    """The id, percent-encoded, and the row that holds it."""
+    return f"<urn:page:{'' if page_id is None else quote(str(page_id), safe='')}{'' if row is None else f'#r{row}'}>"
 
 
 def chunked(payload: bytes) -> bytes:
@@ -212,8 +209,8 @@ def read_archives(spark: SparkSession, path: str, id_type: str = "bigint") -> Da
     joined = (parsed.where("number is not null").select("urn", "kind", "digest", "number", "total", "part")
               .groupBy("urn").applyInArrow(assemble, "urn string, kind string, refers string, digest string, length bigint"))
     records = whole.unionByName(joined)
-    page = F.nullif(F.regexp_extract("urn", "^<urn:page:([^#>]*)", 1), F.lit("")).cast(id_type)
-    target = F.nullif(F.regexp_extract("refers", "^<urn:page:([^#>]*)", 1), F.lit("")).cast(id_type)
+    page, target = (F.url_decode(F.nullif(F.regexp_extract(c, "^<urn:page:([^#>]*)", 1), F.lit(""))).cast(id_type)
+                    for c in ("urn", "refers"))
     pages = records.select(page.alias("page_id"), "kind", target.alias("refers_to"), "digest", "length")
     # A revisit's own record has no payload: take both figures from its target.
     targets = (pages.where("kind = 'response' and page_id is not null").groupBy("page_id", "digest")

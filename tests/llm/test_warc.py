@@ -52,6 +52,15 @@ def test_odd_pages(spark):
     assert run(spark, pages.limit(0))[0] == []
 
 
+def test_ids_of_any_text(spark):
+    rows = [(i, "u", body) for body in ("x" * 2_000, "y" * 40_000, "z")
+            for i in ("a#b", "c>d", "100%", "1+1 =2", "é/\r\n", "%41", "plain")]
+    path = scratch_path(spark, "test-warc")
+    W.write_archives(spark.createDataFrame(rows, "page_id string, url string, html string"), path)
+    got = sorted(map(tuple, W.read_archives(spark, path, "string").collect()), key=str)
+    assert got == brute(rows) and sum(r[3] == "revisit" for r in got) == 12
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.binary(max_size=10_000), st.integers(10, 3000))
 def test_segments_and_framing(payload, size):
