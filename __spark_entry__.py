@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators import refine, ranking
 from stratum.operators.upsert import KeyedTable
-from stratum.plans import gold, questions, refresh
+from stratum.plans import clustering, gold, questions, refresh
 from stratum.session import Lake
 from stratum.sources import retail, storage
 from stratum.sources.files import as_text, read_file_stream, write_landing
@@ -432,6 +432,26 @@ def q_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _round(refresh.read_gold(spark, lake, "fact_sales"), {"total_order_value": 4})
 
 
+def q_facts_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """All four facts from tables bucketed by order id, written once;
+    rows, distinct keys and a sum of each as stored in Gold."""
+    lake = Lake.fresh(spark, "q-clustered")
+    frames = {"orders": retail.orders(spark, sf), "order_items": retail.order_items(spark, sf),
+              "order_payments": retail.order_payments(spark, sf), "order_reviews": retail.order_reviews(spark, sf)}
+    with clustering.clustered(spark, frames, lake.root) as t:
+        facts = {"fact_sales": gold.fact_sales(t["orders"], t["order_items"], retail.customers(spark, sf)),
+                 "fact_seller_performance": gold.fact_seller_performance(
+                     retail.sellers(spark, sf), t["order_items"], t["orders"], t["order_reviews"]),
+                 "fact_product_performance": gold.fact_product_performance(
+                     t["order_items"], retail.products(spark, sf), t["order_reviews"]),
+                 "fact_payment_summary": gold.fact_payment_summary(
+                     t["order_payments"], t["orders"], retail.customers(spark, sf))}
+        live = {name: storage.write_snapshot(rows, f"{lake.root}/gold/{name}") for name, rows in facts.items()}
+    parts = [f"SELECT '{t}' AS gold_table, count(*) AS n_rows, count(DISTINCT {_GOLD_DIGEST[t][0]}) AS n_keys, "
+             f"CAST(sum({_GOLD_DIGEST[t][1]}) AS BIGINT) AS total FROM parquet.`{path}`" for t, path in live.items()]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
 # Gold table -> its key, and a number summed over it.
 _GOLD_DIGEST = {
     "dim_customers": ("customer_id", "CAST(customer_zip_code_prefix AS BIGINT)"),
@@ -532,6 +552,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_failed_batch": q_silver_failed_batch,
     "full_refresh": q_full_refresh,
     "full_refresh_tables": q_full_refresh_tables,
+    "facts_clustered": q_facts_clustered,
     "dim_dates_order": _placed(q_dim_dates, "date_id"),
     "fact_seller_order": _placed(q_fact_seller_performance, "seller_id", "count_overdue_delivery"),
     "fact_payment_order": _placed(q_fact_payment_summary, "order_id", "total_payment_value"),
@@ -959,6 +980,19 @@ UNION ALL SELECT 'fact_payment_summary', count(*), count(*), CAST(sum(v) AS BIGI
 UNION ALL SELECT 'dim_dates', n, n, 2016
 FROM (SELECT date_diff('day', DATE '2016-01-01', CAST(current_date + INTERVAL 90 DAY AS DATE)) + 1 AS n)"""
 
+_ORACLE["facts_clustered"] = _with(_V_ORDERS, _V_ORDER_ITEMS, _V_ORDER_PAYMENTS, _V_SELLERS, _V_PRODUCTS) + """
+SELECT 'fact_sales' AS gold_table, count(*) AS n_rows, count(DISTINCT order_id) AS n_keys,
+       CAST(sum(CAST(round((SELECT sum(price + freight_value) FROM order_items_v i WHERE i.order_id = o.order_id) * 10000)
+                     AS BIGINT)) AS BIGINT) AS total
+FROM orders_v o
+UNION ALL SELECT 'fact_seller_performance', count(*), count(DISTINCT seller_id),
+       CAST(sum(CAST(round((SELECT sum(price) FROM order_items_v i WHERE i.seller_id = s.seller_id) * 100) AS BIGINT)) AS BIGINT)
+FROM sellers_v s
+UNION ALL SELECT 'fact_product_performance', count(*), count(DISTINCT i.order_id), CAST(sum(p.product_weight_g) AS BIGINT)
+FROM order_items_v i LEFT JOIN products_v p ON p.product_id = i.product_id
+UNION ALL SELECT 'fact_payment_summary', count(*), count(*), CAST(sum(most) AS BIGINT)
+FROM (SELECT order_id, max(payment_installments) AS most FROM order_payments_v GROUP BY order_id) t"""
+
 _MONEY_SUM = "CAST(sum(CAST({c} AS DECIMAL(38,4))) AS DOUBLE)"
 
 _ORACLE["c01_avg_order_value_by_state"] = _with(*_SALES) + """

@@ -39,6 +39,7 @@ def arguments() -> argparse.ArgumentParser:
     trigger.add_argument("--max-files-per-trigger", type=int)
     calendar.add_argument("--calendar-start", help="first calendar day")
     calendar.add_argument("--calendar-end", help="last calendar day (default: today and 90 days)")
+    calendar.add_argument("--clustered", action="store_true", help="read what facts join by order id from bucketed copies")
     many.add_argument("--parallel", type=int, default=1, help="independent datasets or tables at once")
     for name, parents in (("bronze", [trigger, many]), ("silver", [trigger, many]), ("rebuild", [many]),
                           ("compact", [many]), ("gold", [calendar, many]), ("refresh", [trigger, calendar, many])):
@@ -52,10 +53,11 @@ def arguments() -> argparse.ArgumentParser:
 
 def steps_of(a: argparse.Namespace, spark: SparkSession, lake: Lake, run_id: str) -> list[Callable[[], object]]:
     if a.step == "gold":
-        return [partial(refresh.build_gold, spark, lake, a.calendar_start, a.calendar_end, a.parallel, a.table, a.conf)]
+        return [partial(refresh.build_gold, spark, lake, a.calendar_start, a.calendar_end, a.parallel, a.table, a.conf,
+                        a.clustered)]
     if a.step == "refresh":
         return [partial(refresh.full_refresh, spark, lake, run_id, None, a.calendar_start, a.calendar_end,
-                        a.parallel, a.max_files_per_trigger, a.conf)]
+                        a.parallel, a.max_files_per_trigger, a.conf, a.clustered)]
     names = a.dataset or datasets("bronze" if a.step == "bronze" else "silver", a.conf)
     return [{
         "bronze": lambda n=n: bronze.ingest(spark, n, lake, max_files_per_trigger=a.max_files_per_trigger, conf=a.conf),

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 from functools import partial
 from pathlib import Path
@@ -20,7 +21,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.operators.upsert import KeyedTable
-from stratum.plans import gold
+from stratum.plans import clustering, gold
 from stratum.session import Lake
 from stratum.sources import storage
 from stratum.sources.files import write_landing
@@ -76,40 +77,48 @@ def gold_target(name: str, conf: Path | str | None = None) -> TableName:
 
 
 def gold_frame(spark: SparkSession, name: str, lake: Lake, conf: Path | str | None = None,
-               calendar_start=None, calendar_end=None) -> DataFrame:
-    """The rows of one Gold table from the Silver tables that it reads, and no others."""
+               calendar_start=None, calendar_end=None, given: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The rows of one Gold table from the Silver tables that it reads, and no
+    others; ``given`` are the rows of some of them."""
     if name == CALENDAR:
         return gold.dim_dates(spark, calendar_start or CALENDAR_START, calendar_end)
     if name in FACTS:
         fact = FACTS[name]
-        rows = fact.build(*[silver.read_silver(spark, n, lake, conf) for n in fact.inputs])
+        given = given or {}
+        rows = fact.build(*[given[n] if n in given else silver.read_silver(spark, n, lake, conf) for n in fact.inputs])
         return rows.orderBy(*fact.layout) if fact.layout else rows
     spec = load_spec(name, "gold", conf)
     return gold.dimension(KeyedTable(spark, lake.path(spec.source)).read(), spec.columns)
 
 
 def build_gold(spark: SparkSession, lake: Lake, calendar_start=None, calendar_end=None, parallel: int = 1,
-               names: Iterable[str] | None = None, conf: Path | str | None = None) -> dict[str, str]:
+               names: Iterable[str] | None = None, conf: Path | str | None = None,
+               clustered: bool = False) -> dict[str, str]:
     """Rebuild the named Gold tables (default: all); returns how to read each. The
     calendar runs from ``CALENDAR_START`` to 90 days from today unless told
-    otherwise. A table stays as it was until its new content is complete."""
+    otherwise. A table stays as it was until its new content is complete. With
+    ``clustered`` the facts read the tables that they join by order id from copies
+    bucketed by it, written once for all of them (see ``clustering``)."""
     names = list(names or gold_tables(conf))
     unknown = set(names) - set(gold_tables(conf))
     if unknown:
         raise ValueError(f"no Gold table {', '.join(sorted(unknown))}; there are {', '.join(gold_tables(conf))}")
 
-    def build(name: str) -> str:
+    def build(name: str, given: Mapping[str, DataFrame]) -> str:
         target = gold_target(name, conf)
-        rows = gold_frame(spark, name, lake, conf, calendar_start, calendar_end)
+        rows = gold_frame(spark, name, lake, conf, calendar_start, calendar_end, given)
         return lake.publish_snapshot(spark, target, storage.write_snapshot(rows, lake.path(target)))
 
-    return dict(zip(names, run_all([partial(build, n) for n in names], parallel)))
+    wanted = {n for name in names if clustered and name in FACTS for n in FACTS[name].inputs if n in clustering.BY_ORDER}
+    frames = {n: silver.read_silver(spark, n, lake, conf) for n in sorted(wanted)}
+    with clustering.clustered(spark, frames, lake.root) if frames else nullcontext({}) as given:
+        return dict(zip(names, run_all([partial(build, n, given) for n in names], parallel)))
 
 
 def full_refresh(spark: SparkSession, lake: Lake, run_id: str | None = None,
                  ingest_ts: dt.datetime | None = None, calendar_start=None, calendar_end=None,
                  parallel: int = 1, max_files_per_trigger: int | None = None,
-                 conf: Path | str | None = None) -> dict[str, str]:
+                 conf: Path | str | None = None, clustered: bool = False) -> dict[str, str]:
     """Ingest new landing files, refine them, rebuild Gold; returns how to read Gold."""
     run_id = run_id or str(uuid.uuid4())
     ingest_ts = ingest_ts or dt.datetime.now(dt.timezone.utc)
@@ -119,7 +128,7 @@ def full_refresh(spark: SparkSession, lake: Lake, run_id: str | None = None,
         silver.refine_stream(spark, name, lake, run_id, max_files_per_trigger, conf)
 
     run_all([partial(chain, n) for n in datasets("silver", conf)], parallel)
-    return build_gold(spark, lake, calendar_start, calendar_end, parallel, conf=conf)
+    return build_gold(spark, lake, calendar_start, calendar_end, parallel, conf=conf, clustered=clustered)
 
 
 def read_gold(spark: SparkSession, lake: Lake, name: str, conf: Path | str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Stored layout and names of the tables: sorted facts, catalog tables."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +78,45 @@ def test_gold_table_by_name_follows_its_snapshot_and_columns(spark, named):
         got = spark.table(name)
         assert got.columns == rows.columns and got.count() == spark.read.parquet(live).count()
         assert spark.catalog.getTable(name).tableType == "EXTERNAL"
+
+
+def test_facts_over_clustered_tables_have_no_exchange_by_order(spark, lake):
+    """Between the scans of the bucketed tables and their joins and aggregates by order id."""
+    from stratum.plans import clustering, gold
+    frames = {"orders": retail.orders(spark, SF_SMALL), "order_items": retail.order_items(spark, SF_SMALL),
+              "order_payments": retail.order_payments(spark, SF_SMALL), "order_reviews": retail.order_reviews(spark, SF_SMALL)}
+    before = sorted(map(tuple, gold.payment_totals(frames["order_payments"]).collect()))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert "Exchange" in plan(gold.payment_totals(frames["order_payments"]))
+        with clustering.clustered(spark, frames, lake.root, buckets=4) as t:
+            assert {n: df.count() for n, df in t.items()} == {n: df.count() for n, df in frames.items()}
+            assert all(len(df.inputFiles()) == 4 for df in t.values())
+            assert "Exchange" not in plan(gold.payment_totals(t["order_payments"]))
+            assert "Exchange" not in plan(gold.order_late_and_score(t["orders"], t["order_reviews"]))
+            for fact in (gold.fact_sales(t["orders"], t["order_items"], retail.customers(spark, SF_SMALL)),
+                         gold.fact_seller_performance(retail.sellers(spark, SF_SMALL), t["order_items"], t["orders"],
+                                                      t["order_reviews"], ordered=False),
+                         gold.fact_payment_summary(t["order_payments"], t["orders"], retail.customers(spark, SF_SMALL),
+                                                   ordered=False)):
+                assert "hashpartitioning(order_id" not in plan(fact)
+            after = sorted(map(tuple, gold.payment_totals(t["order_payments"]).collect()))
+    assert [r[0] for r in after] == [r[0] for r in before] and [r[2:] for r in after] == [r[2:] for r in before]
+    assert not [n for n in os.listdir(lake.root) if "clustered" in n]
+
+
+def test_gold_from_clustered_tables(spark, lake):
+    refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), lake, parallel=3)
+    refresh.full_refresh(spark, lake, parallel=3, clustered=True)
+    names = ("fact_sales", "fact_seller_performance", "fact_product_performance", "fact_payment_summary")
+
+    def rows():
+        return {n: sorted(refresh.read_gold(spark, lake, n).select([F.round(c, 4) if t == "double" else F.col(c) for c, t in
+                          refresh.read_gold(spark, lake, n).dtypes]).collect(), key=str) for n in names}
+
+    clustered = rows()
+    refresh.build_gold(spark, lake, names=names)
+    assert rows() == clustered and not [n for n in os.listdir(lake.root) if "clustered" in n]
