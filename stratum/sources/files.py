@@ -42,7 +42,7 @@ TEXT_BYTES = 16
 
 
 #: Fields beyond the header's that are kept one by one; a longer line is also kept whole.
-SURPLUS = 64
+SURPLUS = 8
 _LINE = "_line"
 
 
@@ -129,8 +129,9 @@ def _with_header(spark: SparkSession, header: str, paths: Sequence[str], options
     beyond = [(f"_c{i}", F.col(f"_wide.w{i}")) for i in range(len(names), wide)]
     long = reduce(lambda a, b: a | b, [v.isNotNull() for _, v in beyond])
     whole = F.when(F.col(_LINE).isNotNull() & (~long | beyond[-1][1].isNotNull()), F.col(_LINE))
-    kept = F.concat(_entries(other, taken), F.when(F.col(_LINE).isNull(), _entries([], taken))
-                    .otherwise(_entries([*beyond, (_LINE, whole)], taken)))
+    # Rows that fit, nearly all, are done with a null check.
+    of_line = F.when(F.col(_LINE).isNotNull(), _entries([*beyond, (_LINE, whole)], taken))
+    kept = F.concat(_entries(other, taken), F.coalesce(of_line, _entries([], taken))) if other else of_line
     misfit = F.when(F.size("_kept") > 0, F.to_json(F.map_from_entries("_kept")))
     return (rows.withColumn(provenance, source).withColumn("_wide", F.when(F.col(_LINE).isNotNull(), parsed))
             .withColumn("_kept", kept).select(*declared, misfit.alias(rescued), provenance))
