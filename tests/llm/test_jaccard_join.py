@@ -92,7 +92,7 @@ def clustered(seed, texts=4, size=50, words=60, short=False):
     return rows
 
 
-@pytest.mark.parametrize("seed, short", [(1, False), (2, True), (3, False)])
+@pytest.mark.parametrize("seed, short", [(1, False), (2, True)])
 def test_large_groups_are_exact(spark, monkeypatch, seed, short):
     """Every group goes through its core, and blocks of what the core leaves open."""
     rows = clustered(seed, short=short)
@@ -102,7 +102,7 @@ def test_large_groups_are_exact(spark, monkeypatch, seed, short):
     assert sorted(run(spark.createDataFrame(rows, "doc_id bigint, text string"))) == want
 
 
-@pytest.mark.parametrize("threshold", [0.5, 0.75, 0.9])
+@pytest.mark.parametrize("threshold", [0.5, 0.75])
 def test_other_thresholds(spark, monkeypatch, threshold):
     rng = random.Random(5)
     members, sets = [], []

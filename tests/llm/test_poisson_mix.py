@@ -59,8 +59,8 @@ def test_hits_the_target(spark):
     assert all(abs(n - 5_000) < 5 * math.sqrt(5_000) * 1.6 for n in got.values())
 
 
-@pytest.mark.parametrize("text", ["'same'", "concat('t', id)", "cast(NULL AS string)"])
-@pytest.mark.parametrize("few", [M.BROADCAST_SOURCES, 0])
+@pytest.mark.parametrize("text, few", [("'same'", M.BROADCAST_SOURCES), ("concat('t', id)", M.BROADCAST_SOURCES),
+                                       ("cast(NULL AS string)", 0)])
 def test_rows_without_a_key_are_drawn_one_by_one(spark, monkeypatch, text, few):
     """A third of the rows has a null key, a sixth one key; with equal texts they are
     equal in every column. The sources still get their shares."""
