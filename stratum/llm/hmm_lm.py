@@ -6,16 +6,17 @@ plus one for each and one for all unseen words. So every word of the corpus has
 its own probability, while the states' tables have a fixed size.
 
 Baum-Welch: tasks run the scaled forward-backward recursion over whole training
-sequences and return expected counts; these are summed across tasks and give the
-next parameters. All learning is done by such rounds. States that start alike stay
-alike for many rounds, so the starts are models whose states differ: in
-``SEEDED`` of them each state shows the class shares of a document and tends to stay,
-one has random emissions and moves. They are improved side by side for
-``START_ROUNDS`` rounds over a share of the sequences picked by hash (one in
-``SAMPLE``, so it grows with the table, or what gives ``LEAST_SEQUENCES`` of a small
-one); the likeliest goes on until a round over the share gains less than
-``TOLERANCE`` of the log likelihood, and then over all sequences until a round gains
-less than that. A
+sequences and return expected counts; these are summed across tasks. All learning is
+done by such rounds, and over all training sequences: a hash deals them to ``SHARES``
+shares, a round goes over one share, and the next parameters come from the counts
+found last in every share, so that an epoch of ``SHARES`` rounds meets every sequence
+once and improves the model as often (incremental EM, whose fixed points are those of
+rounds over everything). States that start alike stay alike for many rounds, so the
+starts are models whose states differ: in ``GROUPED`` of them every training document
+is put into the group of a state by its most telling class, and each state shows the
+class shares of its group and tends to stay; one has random emissions and moves. They
+are improved side by side for ``START_EPOCHS`` epochs; the likeliest goes on until an
+epoch gains less than ``TOLERANCE`` of the log likelihood. A
 document's score is the exact likelihood of its whole word sequence, by the scaled
 forward recursion.
 
@@ -37,7 +38,7 @@ are ignored. Every text is read whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,12 +51,10 @@ from pyspark.sql import functions as F
 from stratum.llm.common import arrow_schema, field, on_workers, record_batch, settle, slices
 
 STATES, CLASSES = 8, 2_048
-#: Training ends with the round that raises the log likelihood by less than this share.
+#: Training ends with the epoch that raises the log likelihood by less than this share.
 TOLERANCE = 1e-4
-#: Starts from documents, rounds that each start gets, and the share of the sequences for these (one in SAMPLE).
-SEEDED, START_ROUNDS, SAMPLE, LEAST_SEQUENCES = 2, 24, 64, 4_096
-#: Documents of fewer tokens are seeds only where there are no others.
-SEED_TOKENS = 64
+#: Shares of the sequences, starts from groups of documents, and epochs that each start gets.
+SHARES, GROUPED, START_EPOCHS = 8, 2, 2
 #: Class of the end, and its word (no token is empty).
 END_CLASS, END = CLASSES, b""
 CHUNK_BYTES = 24 << 20
@@ -227,13 +226,15 @@ def sharp_model(corpus: Corpus, seed: int, states: int = STATES) -> Hmm:
     return Hmm(np.full(states, 1.0 / states), move, emit / emit.sum(axis=0))
 
 
-def seeded_model(corpus: Corpus, seeds: list[np.ndarray], seed: int) -> Hmm:
-    """States that tend to stay; each emits half the class shares of a document,
-    half those of the corpus, with a little noise, as seeds may be alike."""
+def grouped_model(corpus: Corpus, groups: np.ndarray, seed: int) -> Hmm:
+    """States that tend to stay; each emits half the class shares of a group of
+    documents (a row of class counts), half those of the corpus, with a little
+    noise, as groups may be alike or empty."""
     rng = np.random.default_rng(seed)
-    shown = np.stack([counts / counts.sum() for counts in seeds], 1)
+    counts = groups.T + class_share(corpus)[:, None]
+    shown = counts / counts.sum(axis=0)
     emit = (class_share(corpus)[:, None] + shown) * rng.uniform(0.9, 1.1, shown.shape)
-    k = len(seeds)
+    k = len(groups)
     return Hmm(np.full(k, 1.0 / k), 0.9 * np.eye(k) + 0.1 / k, emit / emit.sum(axis=0))
 
 
@@ -272,91 +273,109 @@ def _counts(cells: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarray, np.
 
 def expectations(sequences: DataFrame, models: list[Hmm]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
     """For each model (of equal size) the expected counts over all rows of
-    ``classes``. Every task returns one row for each cell; the sums (a fixed number
-    of cells) reach the driver."""
+    ``classes``."""
     cells = _cells(models[0]) + 1
     shared = sequences.sparkSession.sparkContext.broadcast(models)
-    schema = arrow_schema("cell int, value double")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, size, rows = np.zeros(cells * len(shared.value)), [], 0, 0
+    def add(held: list[np.ndarray], total: np.ndarray) -> None:
+        for k, model in enumerate(shared.value):
+            total[k * cells:(k + 1) * cells] += summed(held, model)
 
-        def add() -> None:
-            for k, model in enumerate(shared.value):
-                total[k * cells:(k + 1) * cells] += summed(held, model)
-            held.clear()
+    out = _summed_by_cell(sequences, cells * len(models), add)
+    shared.destroy()
+    return [_counts(out[k * cells:(k + 1) * cells], len(models[0].start)) for k in range(len(models))]
 
+
+def _summed_by_cell(sequences: DataFrame, cells: int, add: Callable[[list[np.ndarray], np.ndarray], None]) -> np.ndarray:
+    """``add`` adds what some sequences bring to a task's cells. Every task returns
+    one row for each cell; the sums (a fixed number of cells) reach the driver."""
+    schema = arrow_schema("cell int, value double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held, size, rows = np.zeros(cells), [], 0, 0
         for batch in batches:
             for row in batch.column(0).to_pylist():
                 held.append(np.frombuffer(row, "<u2"))
                 size, rows = size + len(held[-1]), rows + 1
                 if size >= HOLD_TOKENS:
-                    add()
-                    size = 0
+                    add(held, total)
+                    held, size = [], 0
+        if held:
+            add(held, total)
         if rows:
-            add()
-            yield record_batch({"cell": np.arange(len(total), dtype=np.int32), "value": total}, schema)
+            yield record_batch({"cell": np.arange(cells, dtype=np.int32), "value": total}, schema)
 
-    out = np.zeros(cells * len(models))
-    for cell, value in sequences.mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value")).collect():
-        out[cell] = value
-    shared.destroy()
-    return [_counts(out[k * cells:(k + 1) * cells], len(models[0].start)) for k in range(len(models))]
+    sums = sequences.mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+    out = np.zeros(cells)
+    out[sums.column("cell").to_numpy()] = sums.column("value").to_numpy()
+    return out
 
 
-def improved(sequences: DataFrame, models: list[Hmm], corpus: Corpus, rounds: int) -> tuple[list[Hmm], list[float]]:
-    """So many rounds; the log likelihoods are those before the last round."""
-    logs = [0.0] * len(models)
+def improved(sequences: DataFrame, models: list[Hmm], corpus: Corpus, rounds: int) -> list[Hmm]:
+    """So many rounds over all sequences."""
     for _ in range(rounds):
-        found = expectations(sequences, models)
-        models, logs = [next_model(*counts[:3], corpus) for counts in found], [counts[3] for counts in found]
-    return models, logs
+        models = [next_model(*counts[:3], corpus) for counts in expectations(sequences, models)]
+    return models
 
 
-def converged(sequences: DataFrame, model: Hmm, corpus: Corpus, tolerance: float = TOLERANCE) -> Hmm:
-    """Rounds until one raises the log likelihood by less than that share of it."""
-    fit = -np.inf
-    while True:
-        [model], [now] = improved(sequences, [model], corpus, 1)
-        if not now - fit > tolerance * abs(fit):
-            return model
-        fit = now
+def epoch(sequences: DataFrame, models: list[Hmm], corpus: Corpus, found: list) -> tuple[list[Hmm], list[float]]:
+    """A round over each share of the sequences. ``found`` has the counts found last,
+    by share and model; a share's are replaced by its round. In the first epoch, when
+    it is empty, the older half of the counts, which poorer models gave, does not
+    count until all shares have been met. Returns the models, and the log likelihoods
+    of all sequences, each by the model that its share met."""
+    share, first = F.pmod(F.xxhash64("classes"), F.lit(SHARES)), not found
+    for k in range(SHARES):
+        found[k:k + 1] = [expectations(sequences.where(share == k), models)]
+        used = found[len(found) // 2:] if first and k < SHARES - 1 else found
+        models = [next_model(*[sum(part) for part in zip(*[counts[m][:3] for counts in used])], corpus)
+                  for m in range(len(models))]
+    return models, [sum(counts[m][3] for counts in found) for m in range(len(models))]
 
 
 def train(sequences: DataFrame, corpus: Corpus, rounds: int | None = None) -> Hmm:
-    """From the column ``classes``. A given number of ``rounds`` instead starts
-    from ``first_model`` and shows what each brings."""
+    """From the column ``classes``, all of it. A given number of ``rounds`` instead
+    starts from ``first_model`` and shows what each brings."""
     if not corpus.tokens or rounds == 0:
         return first_model(corpus)
     if rounds is not None:
-        return improved(sequences, [first_model(corpus)], corpus, rounds)[0][0]
-    share = max(1 / SAMPLE, LEAST_SEQUENCES / max(1, sequences.count()))
-    some = sequences
-    if share < 1:
-        some = settle(sequences.where(F.pmod(F.xxhash64("classes"), F.lit(1 << 30)) < int(share * (1 << 30))), "sample")
-    models, logs = improved(some, starts(some, corpus), corpus, START_ROUNDS)
-    best = models[int(np.argmax(logs))]
-    return converged(sequences, converged(some, best, corpus), corpus)
+        return improved(sequences, [first_model(corpus)], corpus, rounds)[0]
+    models, found = starts(sequences, corpus), []
+    for _ in range(START_EPOCHS):
+        models, logs = epoch(sequences, models, corpus, found)
+    best = int(np.argmax(logs))
+    models, found, fit = [models[best]], [[counts[best]] for counts in found], logs[best]
+    while True:
+        models, [now] = epoch(sequences, models, corpus, found)
+        if not now - fit > TOLERANCE * abs(fit):
+            return models[0]
+        fit = now
 
 
 def starts(sequences: DataFrame, corpus: Corpus) -> list[Hmm]:
-    """Models from the class counts of SEEDED * STATES different documents, the
-    first by a hash (fewer documents are used again), and a random one."""
-    hashed = F.xxhash64(F.lit("seed"), "classes")
-    short = F.octet_length("classes") < 2 * SEED_TOKENS
-    picked = (sequences.groupBy(hashed.alias("hash")).agg(F.min("classes").alias("classes"))
-              .orderBy(short, "hash").limit(SEEDED * STATES))
-    schema = arrow_schema("hash bigint, counts binary")
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = [np.bincount(np.frombuffer(c, "<u2"), minlength=CLASSES + 1) for c in batch.column("classes").to_pylist()]
-            yield record_batch({"hash": batch.column("hash"), "counts": [c.astype("<i8").tobytes() for c in counts]}, schema)
-
-    found = [np.frombuffer(r.counts, "<i8") for r in sorted(picked.mapInArrow(counted, "hash bigint, counts binary").collect())]
-    seeds = [found[k % len(found)] for k in range(SEEDED * STATES)]
-    return [*[seeded_model(corpus, seeds[k * STATES:(k + 1) * STATES], 11 + k) for k in range(SEEDED)],
-            sharp_model(corpus, 11 + SEEDED)]
+    """GROUPED models from the class counts of groups of all documents, and a random one."""
+    return [*[grouped_model(corpus, groups, 11 + k) for k, groups in enumerate(grouped(sequences, corpus))],
+            sharp_model(corpus, 11)]
+
+
+def grouped(sequences: DataFrame, corpus: Corpus, states: int = STATES) -> np.ndarray:
+    """Class counts by start, state and class. A document's most telling class is the
+    one whose share in it is farthest above the corpus's, in standard deviations; a
+    hash of that class, another for each start, names the state."""
+    usual = np.sqrt(class_share(corpus))[:END_CLASS]
+    state = np.array([[xxhash.xxh32_intdigest(int(c).to_bytes(2, "little"), k) % states for c in range(CLASSES)]
+                      for k in range(GROUPED)])
+    shape = (GROUPED, states, CLASSES + 1)
+
+    def add(held: list[np.ndarray], total: np.ndarray) -> None:
+        cells = total.reshape(shape)
+        for seen in held:
+            counts = np.bincount(seen, minlength=CLASSES + 1)
+            telling = int(np.argmax(counts[:END_CLASS] / (len(seen) * usual) - usual))
+            for k in range(GROUPED):
+                cells[k, state[k, telling]] += counts
+
+    return _summed_by_cell(sequences, int(np.prod(shape)), add).reshape(shape)
 
 
 def chunked(rows: DataFrame, chunk_bytes: int | None = None) -> DataFrame:

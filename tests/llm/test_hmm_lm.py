@@ -138,6 +138,24 @@ def test_training_goes_on_until_it_has_converged(spark):
         assert sum(gain) > 8 * len(gain)                    # log10 2 for each of 40 words, less what the ends cost
 
 
+def test_every_epoch_learns_from_all_training_documents(spark, monkeypatch):
+    """More documents than any sample had: the counts of an epoch are those of all
+    tokens, and the starts' groups hold all of them."""
+    words = "concat_ws(' ', transform(sequence(1, 6), k -> concat('w', pmod(xxhash64(id, k), 50))))"
+    docs = spark.range(6_000, numPartitions=4).selectExpr("id AS doc_id", f"{words} AS text")
+    rounds, groups, expectations, grouped = [], [], H.expectations, H.grouped
+    monkeypatch.setattr(H, "TOLERANCE", 1.0)
+    monkeypatch.setattr(H, "expectations", lambda *a: rounds.append(expectations(*a)) or rounds[-1])
+    monkeypatch.setattr(H, "grouped", lambda *a: groups.append(grouped(*a)) or groups[-1])
+    n = run(docs)[0].train_tokens
+    epochs = [rounds[k:k + H.SHARES] for k in range(0, len(rounds), H.SHARES)]
+    assert len(epochs) > H.START_EPOCHS and len(epochs[-1]) == H.SHARES
+    for epoch in epochs:
+        for model in range(len(epoch[0])):
+            assert sum(found[model][2].sum() for found in epoch) == pytest.approx(n)
+    assert [found.sum() for found in groups[0]] == [n] * H.GROUPED
+
+
 def test_held_out_documents_gain(documents):
     """States that stay alike score like the counts of the words alone."""
     held = [r for r in run(documents) if r.held_out]
