@@ -15,7 +15,8 @@ An upsert writes its own change directory and nothing else, so its cost is that
 of the batch. Readers take, for each key, the row of the latest change, and the
 base's for keys without one. When the changes have grown to a share of the base,
 ``compact`` writes a new base beside the old one, cut by a hash of the key into
-buckets of about ``bucket_bytes``. Whatever concerns some keys only (replaced rows
+buckets of about ``bucket_bytes`` (larger ones where these would be more than
+``MOST_BUCKETS`` small ones). Whatever concerns some keys only (replaced rows
 of a read, stored values of a batch) is joined with the buckets of these keys alone.
 
 A directory without Spark's ``_SUCCESS`` marker does not exist for readers, so a
@@ -50,6 +51,9 @@ SEQ, ORIGIN, BUCKET = "_seq", "_origin", "_bucket"
 COMPACT_SHARE, MOST_CHANGES = 0.5, 32
 #: Bytes of one bucket of a base, about.
 BUCKET_BYTES = 128 << 20
+#: A base has more buckets than this only if they hold ``BUCKET_BYTES``: each costs a
+#: task and a directory, which must not grow with the table where buckets are small.
+MOST_BUCKETS = 1_024
 
 
 def _quoted(name: str) -> str:
@@ -60,6 +64,11 @@ def _bucket(keys: Sequence[str], buckets: int) -> str:
     return f"CAST(pmod(xxhash64({', '.join(map(_quoted, keys))}), {buckets}) AS INT)"
 
 
+def _cuts(size: int, part: int) -> int:
+    """The power of two that cuts so many bytes into parts of ``part`` at most, about."""
+    return 1 << max(0, math.ceil(math.log2(max(1, size) / part)))
+
+
 def _among(what: str, buckets: Iterable[int] | None) -> str:
     if buckets is None:
         return "true"
@@ -316,7 +325,7 @@ class KeyedTable:
         """A new base: what it folds is noted before its marker makes it live."""
         state, target = self.state(), f"{self.path}/base={seq}"
         size = sum(storage.size(self.spark, p) for p in [*([state.base] if state.base else []), *[p for _, p in state.changes]])
-        buckets = 1 << max(0, math.ceil(math.log2(max(1, size) / self.bucket_bytes)))
+        buckets = min(_cuts(size, self.bucket_bytes), max(MOST_BUCKETS, _cuts(size, BUCKET_BYTES)))
         folded = state.folded | {o for n, (o, _) in self._committed_changes().items() if n <= seq}
         storage.write_text(self.spark, f"{self.path}/_bases/{seq}.json",
                            json.dumps({"buckets": buckets, "origins": sorted(folded)}))

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from stratum.operators import upsert as upsert_module
 from stratum.operators.upsert import KeyedTable, upsert
 from stratum.sources import storage
 
@@ -329,6 +330,22 @@ def test_reads_touch_the_changed_buckets_alone(spark, cut):
     assert len(got) == 40_001 and got["7"] == -7 and got["8"] == 8 and got["x"] == 1
 
 
+def test_small_buckets_do_not_grow_in_number_with_the_table(spark, lake, monkeypatch):
+    """Buckets of 64 bytes, had there been no bound, would be thousands."""
+    monkeypatch.setattr(upsert_module, "MOST_BUCKETS", 8, raising=False)
+    t = KeyedTable(spark, f"{lake.root}/silver/small", bucket_bytes=64)
+    t.upsert(spark.range(2_000).selectExpr("if(id = 0, null, cast(id as string)) k", "cast(id as int) v", "5 ver"),
+             ["k"], version_column="ver")
+    t.compact()
+    assert t.state().buckets == 8
+    t.upsert(frame(spark, [("7", -7, 6), ("8", -8, 4), (None, -1, 6)]), ["k"], version_column="ver")
+    got = {k: v for k, v, _ in t.read().collect()}
+    assert len(got) == 2_000 and (got["7"], got["8"], got["9"], got[None]) == (-7, 8, 9, -1)
+    monkeypatch.setattr(upsert_module, "BUCKET_BYTES", 1 << 10, raising=False)
+    t.compact()                                              # full-sized buckets are as many as it takes
+    assert t.state().buckets > 8
+
+
 def base_bytes_read(spark, cut, batch):
     """Bytes of the base's files in which the stored values of a batch are looked up."""
     return scanned(spark, cut._beside_stored(batch, cut.layout(), ["ver"]), "filesSize", "/base=")
