@@ -49,11 +49,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/llm-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage with
-    files every executor can read, so a lost executor costs no recomputation."""
+def settle(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """Write ``df`` to the shared folder (in a folder for each value of ``by``) and
+    read it back: cuts the lineage with files every executor can read, so a lost
+    executor costs no recomputation."""
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -27,7 +27,10 @@ chunks and joined back to them, and the documents of a chunk are scored where it
 words' totals arrive, a chunk or two a partition.
 
 Sequences of more than ``PIECE`` tokens go through the same recursions in pieces,
-exactly: forward values are carried on, and backward values back, at the borders.
+exactly, and the pieces side by side with other sequences: products of the pieces'
+transfer matrices give the forward and backward values at the borders. So the steps
+that a task goes through one by one do not follow its longest document. The shares
+are written apart, and a round reads its own with two tasks a core at most.
 
 Tokens are runs of bytes other than ASCII white space, A-Z lower-cased, then one
 end per document. Defined results: null text is the empty text (the end alone);
@@ -58,12 +61,14 @@ SHARES, GROUPED, START_EPOCHS = 8, 2, 2
 #: Class of the end, and its word (no token is empty).
 END_CLASS, END = CLASSES, b""
 CHUNK_BYTES = 24 << 20
-#: Tokens of one piece of a long sequence.
-PIECE = 1 << 16
+#: Tokens of one piece of a long sequence, steps between scalings, and cells summed by class at a time.
+PIECE, RESCALE, BLOCK = 1 << 11, 8, 1 << 13
 #: Tokens of sequences that a task works at a time, and gathers before it does.
 WORK_TOKENS, HOLD_TOKENS = 200_000, 1_500_000
 #: Rows of one batch of words.
 OUT_ROWS = 1 << 16
+#: Sums in a row that a task returns, and tasks of a round for each core.
+ACROSS, TASKS_A_CORE = 8, 2
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -93,107 +98,187 @@ class Corpus:
 
 class Lattice:
     """Sequences side by side, longest first. Its cells are the positions of all
-    sequences, step by step; ``at`` has the first cell of each step."""
+    sequences, step by step; ``at`` has the first cell of each step, ``ends`` the last
+    cell of each sequence. Emissions are worked as shares of a class's greatest one, so
+    a step can't shrink the values far, and they are scaled every ``RESCALE`` steps."""
 
     def __init__(self, sequences: list[np.ndarray]):
         lengths = np.array([len(s) for s in sequences])
         self.order = np.argsort(-lengths, kind="stable")
+        starts = (np.cumsum(lengths) - lengths)[self.order]
         lengths = lengths[self.order]
-        flat = np.concatenate([sequences[i] for i in self.order])
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         width = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
-        self.at = np.concatenate([[0], np.cumsum(width)]).tolist()
+        at = np.concatenate([[0], np.cumsum(width)])
+        self.at, self.ends = at.tolist(), at[lengths - 1] + np.arange(len(lengths))
         #: Which sequence each cell belongs to, and what it shows.
-        self.who = np.arange(len(flat)) - np.repeat(self.at[:-1], width)
-        self.seen = flat[starts[self.who] + np.repeat(np.arange(len(width)), width)]
+        self.who = np.arange(at[-1], dtype=np.int32)
+        self.who -= np.repeat(at[:-1].astype(np.int32), width)
+        places = starts.astype(np.int32)[self.who]
+        places += np.repeat(np.arange(len(width), dtype=np.int32), width)
+        self.seen = np.concatenate(sequences)[places].astype(np.intp)
 
     def _steps(self) -> list[tuple[int, int]]:
         return list(zip(self.at, self.at[1:]))
 
-    def _forward(self, model: Hmm, first: np.ndarray, emit: np.ndarray, alphas: np.ndarray) -> np.ndarray:
-        """Fills ``alphas`` (which may be ``emit`` itself) with the scaled forward
-        values of the cells; returns the scales."""
-        scales, ones, move = np.empty(len(emit)), np.ones(len(model.start)), model.move
-        alpha = first[self.order]
+    def _forward(self, model: Hmm, first: np.ndarray, alphas: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Fills ``alphas``, if given, with the scaled forward values of the cells.
+        From the longest sequence on: log likelihoods, but for the classes' greatest
+        emissions, and the values at the ends; and what the scaled steps were divided by."""
+        shares = shares_of_peak(model)[0]
+        logs, ones, move, scales = np.zeros(len(self.order)), np.ones(len(model.start)), model.move, []
+        alpha = before = first[self.order]
+        shown, ends, seen = np.empty_like(before), np.empty_like(before), self.seen
         for t, (a, b) in enumerate(self._steps()):
-            before = alpha[:b - a] @ move if t else alpha
-            alpha = np.multiply(before, emit[a:b], out=alphas[a:b])
-            scale = np.dot(alpha, ones, out=scales[a:b])
-            alpha /= scale[:, None]
-        return scales
+            n = b - a
+            if t:
+                if n < len(alpha):
+                    ends[n:len(alpha)] = alpha[n:]
+                np.dot(alpha[:n], move, out=before[:n])
+            emit = np.take(shares, seen[a:b], axis=0, out=shown[:n], mode="clip")
+            alpha = np.multiply(before[:n], emit, out=emit if alphas is None else alphas[a:b])
+            if t % RESCALE == RESCALE - 1:
+                scale = np.dot(alpha, ones)
+                logs[:n] += np.log(scale)
+                scales.append(scale[:, None])
+                alpha /= scales[-1]
+        ends[:len(alpha)] = alpha
+        return logs + np.log(ends.sum(axis=1)), ends, scales
 
     def forward(self, model: Hmm, first: np.ndarray) -> np.ndarray:
         """Log likelihood (natural) by sequence, in the given order; ``first`` has
         the starting distribution of each."""
-        emit = model.emit[self.seen]
-        scales = self._forward(model, first, emit, emit)
-        out = np.empty(len(self.order))
-        out[self.order] = np.bincount(self.who, np.log(scales), len(self.order))
+        peaks, out = np.log(shares_of_peak(model)[1]), np.empty(len(self.order))
+        out[self.order] = self._forward(model, first, None)[0] + np.bincount(self.who, peaks[self.seen], len(out))
         return out
 
-    def expected(self, model: Hmm, first: np.ndarray, last: np.ndarray | None = None
+    def expected(self, model: Hmm, first: np.ndarray, last: np.ndarray | None = None, room: np.ndarray | None = None
                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, np.ndarray]:
         """Expected first states by sequence, moves, and emissions; log likelihood;
-        what the first cells send back to a step before them. ``last``: the backward
-        values after a lone sequence (a piece that others follow)."""
-        emit = model.emit[self.seen]
-        alphas, betas = np.empty_like(emit), np.ones_like(emit)
-        if last is not None:
-            betas[-1] = last
-        scales = self._forward(model, first, emit, alphas)
-        ahead, back, steps = emit, np.ascontiguousarray(model.move.T), self._steps()
-        ahead /= scales[:, None]
-        for (a, b), (c, d) in zip(reversed(steps[:-1]), reversed(steps[1:])):
-            # ``ahead`` becomes what the cells of a step send back to the step before.
-            sent = np.multiply(ahead[c:d], betas[c:d], out=ahead[c:d])
-            np.dot(sent, back, out=betas[a:a + d - c])
-        sent_back = ahead[:steps[0][1]] * betas[:steps[0][1]]
-        later = np.arange(steps[0][1], len(emit))
-        step = np.repeat(np.arange(1, len(steps)), np.diff(self.at[1:]))
-        before = np.asarray(self.at)[step - 1] + self.who[later]
-        moves = (alphas[before].T @ ahead[later]) * model.move
-        gammas = np.multiply(alphas, betas, out=alphas)
-        begun = np.empty((len(self.order), len(model.start)))
-        begun[self.order] = gammas[:steps[0][1]]
-        emitted = np.stack([np.bincount(self.seen, g, CLASSES + 1) for g in np.ascontiguousarray(gammas.T)], axis=1)
-        return begun, moves, emitted, float(np.log(scales).sum()), sent_back
-
-    def carried(self, model: Hmm, first: np.ndarray) -> tuple[float, np.ndarray]:
-        """Of a lone sequence: log likelihood and the scaled forward values at its end."""
-        emit = model.emit[self.seen]
-        scales = self._forward(model, first, emit, emit)
-        return float(np.log(scales).sum()), emit[-1].copy()
-
-
-def pieces_of(sequence: np.ndarray, size: int) -> list[Lattice]:
-    return [Lattice([sequence[at:at + size]]) for at in range(0, len(sequence), size)]
-
-
-def long_log(model: Hmm, sequence: np.ndarray, size: int = PIECE) -> float:
+        the scaled forward values at the ends of the sequences. ``last``: by sequence
+        the backward values at its end, at any scale (a piece that others follow).
+        ``room``: rows for the cells, to be used again."""
+        k, seen, (shares, peak) = len(model.start), self.seen, shares_of_peak(model)
+        alphas = np.empty((len(seen), k)) if room is None else room[:len(seen)]
+        logs, ends, scales = self._forward(model, first, alphas)
+        after = np.ones_like(ends) if last is None else last[self.order]
+        after = after / (ends * after).sum(axis=1)[:, None]
+        back, moves, product = np.ascontiguousarray(model.move.T), np.zeros((k, k)), np.empty((k, k))
+        betas, shown, emitted = np.empty_like(after), np.empty_like(after), np.zeros((k, CLASSES + 1))
+        sent, ready = shown[:0], len(seen)                  # what a step sends back; cells before ``ready`` aren't summed
+        for t, (a, b) in zip(range(len(self.at) - 2, -1, -1), reversed(self._steps())):
+            alpha, beta, m, n = alphas[a:b], betas[:b - a], len(sent), b - a
+            if m:
+                moves += np.dot(alpha[:m].T, sent, out=product)
+                np.dot(sent, back, out=beta[:m])
+            if m < n:
+                beta[m:] = after[m:n]
+            emit = np.take(shares, seen[a:b], axis=0, out=shown[:n], mode="clip")
+            sent = np.multiply(emit, beta, out=emit)
+            if t % RESCALE == RESCALE - 1:
+                sent /= scales[t // RESCALE]
+            np.multiply(alpha, beta, out=alpha)             # the chances of the states
+            if ready - a >= BLOCK or not t:                 # while they are in the cache
+                for total, column in zip(emitted, np.ascontiguousarray(alphas[a:ready].T)):
+                    total += np.bincount(seen[a:ready], column, CLASSES + 1)
+                ready = a
+        begun, end = np.empty_like(after), np.empty_like(after)
+        begun[self.order], end[self.order] = alphas[:n], ends
+        log = logs.sum() + np.bincount(seen, minlength=CLASSES + 1) @ np.log(peak)
+        return begun, moves * model.move, emitted.T, float(log), end
+
+    def transfers(self, model: Hmm) -> np.ndarray:
+        """By sequence, at any scale: the chances of its tokens and of the state after
+        it, for each state that it may begin in."""
+        k, shares = len(model.start), shares_of_peak(model)[0]
+        # By first state, sequence, state: a step is one product for all first states.
+        now = np.repeat(np.eye(k)[:, None, :], len(self.order), axis=1)
+        out, spare = np.empty((len(self.order), k, k)), np.empty_like(now)
+        for t, (a, b) in enumerate(self._steps()):
+            if b - a < now.shape[1]:
+                out[self.order[b - a:now.shape[1]]] = now[:, b - a:].transpose(1, 0, 2)
+                now = np.ascontiguousarray(now[:, :b - a])
+                spare = np.empty_like(now)
+            now *= shares.take(self.seen[a:b], axis=0)
+            np.dot(now.reshape(-1, k), model.move, out=spare.reshape(-1, k))
+            now, spare = spare, now
+            if t % RESCALE == RESCALE - 1:
+                now /= now.sum(axis=(0, 2))[:, None]
+        out[self.order[:now.shape[1]]] = now.transpose(1, 0, 2)
+        return out
+
+
+def shares_of_peak(model: Hmm) -> tuple[np.ndarray, np.ndarray]:
+    peak = model.emit.max(axis=1)
+    return model.emit / peak[:, None], peak
+
+
+class Pieces:
+    """Sequences cut into pieces of at most ``size`` tokens, which are worked side by
+    side: products of the pieces' transfers give the values at the borders."""
+
+    def __init__(self, sequences: list[np.ndarray], size: int):
+        counts = np.array([-(-len(s) // size) for s in sequences])
+        self.parts = [s[at:at + size] for s in sequences for at in range(0, len(s), size)]
+        self.of = np.repeat(np.arange(len(sequences)), counts)
+        begins = np.cumsum(counts) - counts
+        #: Pieces of cut sequences, and which pieces begin a sequence or have one after them.
+        self.runs = [(int(a), int(a + n)) for a, n in zip(begins, counts) if n > 1]
+        self.begins, self.goes_on = np.zeros(len(self.parts), bool), np.zeros(len(self.parts), bool)
+        self.begins[begins] = True
+        self.goes_on[:-1] = ~self.begins[1:]
+
+    def lattices(self) -> Iterator[tuple[np.ndarray, Lattice]]:
+        for group in worked(self.parts):
+            yield np.array(group), Lattice([self.parts[i] for i in group])
+
+    def transfers(self, models: list[Hmm]) -> list[dict[int, np.ndarray]]:
+        """For each model, those of the pieces of cut sequences."""
+        cut = [i for a, b in self.runs for i in range(a, b)]
+        out: list[dict[int, np.ndarray]] = [{} for _ in models]
+        for group in worked([self.parts[i] for i in cut]):
+            lattice = Lattice([self.parts[cut[g]] for g in group])
+            for found, model in zip(out, models):
+                found.update(zip([cut[g] for g in group], lattice.transfers(model)))
+        return out
+
+    def firsts(self, model: Hmm, transfers: dict[int, np.ndarray]) -> np.ndarray:
+        """By piece, the chances of the state at its first token, given what is before it."""
+        out = np.tile(model.start, (len(self.parts), 1))
+        for a, b in self.runs:
+            for i in range(a + 1, b):
+                x = out[i - 1] @ transfers[i - 1]
+                out[i] = x / x.sum()
+        return out
+
+    def nexts(self, model: Hmm, transfers: dict[int, np.ndarray]) -> np.ndarray:
+        """By piece, at any scale, the chances of what is after it, by the state at the
+        first token there (1 where nothing is)."""
+        out = np.ones((len(self.parts), len(model.start)))
+        for a, b in self.runs:
+            for i in range(b - 1, a, -1):
+                x = transfers[i] @ out[i]
+                out[i - 1] = x / x.sum()
+        return out
+
+
+def log_likelihoods(model: Hmm, sequences: list[np.ndarray], size: int | None = None) -> np.ndarray:
+    """Log likelihood (natural) of each sequence."""
+    pieces, out = Pieces(sequences, size or PIECE), np.zeros(len(sequences))
+    firsts = pieces.firsts(model, pieces.transfers([model])[0])
+    for group, lattice in pieces.lattices():
+        out += np.bincount(pieces.of[group], lattice.forward(model, firsts[group]), len(out))
+    return out
+
+
+def long_log(model: Hmm, sequence: np.ndarray, size: int | None = None) -> float:
     """Log likelihood of a sequence, piece by piece."""
-    first, log = model.start, 0.0
-    for piece in pieces_of(sequence, size):
-        part, end = piece.carried(model, first[None, :])
-        first, log = end @ model.move, log + part
-    return log
-
-
-def long_expected(model: Hmm, sequence: np.ndarray, size: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """``Lattice.expected`` of one sequence, piece by piece: forward for the values
-    at the borders, then from the last piece back."""
-    pieces, firsts, ends = pieces_of(sequence, size), [model.start], []
-    for piece in pieces:
-        ends.append(piece.carried(model, firsts[-1][None, :])[1])
-        firsts.append(ends[-1] @ model.move)
-    last = np.ones(len(model.start))
-    moves, emitted, log = np.zeros_like(model.move), 0.0, 0.0
-    for k in reversed(range(len(pieces))):
-        begun, inside, shown, part, back = pieces[k].expected(model, firsts[k][None, :], last)
-        moves, emitted, log = moves + inside, emitted + shown, log + part
-        if k:
-            moves += np.outer(ends[k - 1], back[0]) * model.move
-            last = model.move @ back[0]
-    return begun, moves, emitted, log
+    return float(log_likelihoods(model, [sequence], size)[0])
+
+
+def long_expected(model: Hmm, sequence: np.ndarray, size: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """``Lattice.expected`` of one sequence, piece by piece."""
+    begun, *others = _counts(summed([sequence], model, size), len(model.start))
+    return begun[None, :], *others
 
 
 def worked(sequences: list[np.ndarray]):
@@ -249,16 +334,29 @@ def next_model(begun: np.ndarray, moves: np.ndarray, emitted: np.ndarray, corpus
     return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def summed(sequences: list[np.ndarray], model: Hmm, piece: int = PIECE) -> np.ndarray:
+def summed(sequences: list[np.ndarray], model: Hmm, size: int | None = None) -> np.ndarray:
     """Expected counts of the sequences, one cell after the other, and their log likelihood."""
-    out = np.zeros(_cells(model) + 1)
-    short = [s for s in sequences if len(s) <= piece]
-    found = [long_expected(model, s, piece) for s in sequences if len(s) > piece]
-    for group in worked(short):
-        lattice = Lattice([short[i] for i in group])
-        found.append(lattice.expected(model, np.tile(model.start, (len(group), 1)))[:4])
-    for begun, moves, emitted, log in found:
-        out += np.concatenate([begun.sum(axis=0), moves.ravel(), emitted.ravel(), [log]])
+    return summed_each(sequences, [model], size)[0]
+
+
+def summed_each(sequences: list[np.ndarray], models: list[Hmm], size: int | None = None) -> np.ndarray:
+    """``summed`` for each of the models (of equal size)."""
+    pieces, room = Pieces(sequences, size or PIECE), None
+    borders = [(pieces.firsts(model, found), pieces.nexts(model, found))
+               for model, found in zip(models, pieces.transfers(models))]
+    out = np.zeros((len(models), _cells(models[0]) + 1))
+    for group, lattice in pieces.lattices():
+        if room is None or len(room) < len(lattice.seen):   # fresh memory for every group costs as much as the work
+            room = np.empty((max(WORK_TOKENS, len(lattice.seen)), len(models[0].start)))
+        begins, goes_on = pieces.begins[group], pieces.goes_on[group]
+        for total, model, (firsts, nexts) in zip(out, models, borders):
+            ahead = nexts[group]
+            begun, moves, emitted, log, ends = lattice.expected(model, firsts[group], ahead @ model.move.T, room)
+            # The moves over the borders.
+            ends, ahead = ends[goes_on], ahead[goes_on]
+            ends = ends / ((ends @ model.move) * ahead).sum(axis=1)[:, None]
+            moves = moves + (ends.T @ ahead) * model.move
+            total += np.concatenate([begun[begins].sum(axis=0), moves.ravel(), emitted.ravel(), [log]])
     return out
 
 
@@ -278,8 +376,7 @@ def expectations(sequences: DataFrame, models: list[Hmm]) -> list[tuple[np.ndarr
     shared = sequences.sparkSession.sparkContext.broadcast(models)
 
     def add(held: list[np.ndarray], total: np.ndarray) -> None:
-        for k, model in enumerate(shared.value):
-            total[k * cells:(k + 1) * cells] += summed(held, model)
+        total += summed_each(held, shared.value).ravel()
 
     out = _summed_by_cell(sequences, cells * len(models), add)
     shared.destroy()
@@ -288,27 +385,33 @@ def expectations(sequences: DataFrame, models: list[Hmm]) -> list[tuple[np.ndarr
 
 def _summed_by_cell(sequences: DataFrame, cells: int, add: Callable[[list[np.ndarray], np.ndarray], None]) -> np.ndarray:
     """``add`` adds what some sequences bring to a task's cells. Every task returns
-    one row for each cell; the sums (a fixed number of cells) reach the driver."""
-    schema = arrow_schema("cell int, value double")
+    the cells, ``ACROSS`` in a row; the sums (a fixed number) reach the driver. There
+    are two tasks a core at most, so what they return doesn't grow with the table."""
+    names = [f"v{k}" for k in range(ACROSS)]
+    ddl = ", ".join(["row int", *(f"{name} double" for name in names)])
+    schema, rows_out = arrow_schema(ddl), -(-cells // ACROSS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, size, rows = np.zeros(cells), [], 0, 0
+        total, held, size, rows = np.zeros(rows_out * ACROSS), [], 0, 0
         for batch in batches:
             for row in batch.column(0).to_pylist():
                 held.append(np.frombuffer(row, "<u2"))
                 size, rows = size + len(held[-1]), rows + 1
                 if size >= HOLD_TOKENS:
-                    add(held, total)
+                    add(held, total[:cells])
                     held, size = [], 0
         if held:
-            add(held, total)
+            add(held, total[:cells])
         if rows:
-            yield record_batch({"cell": np.arange(cells, dtype=np.int32), "value": total}, schema)
+            table = total.reshape(-1, ACROSS)
+            yield record_batch({"row": np.arange(rows_out, dtype=np.int32), **{n: table[:, k] for k, n in enumerate(names)}}, schema)
 
-    sums = sequences.mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
-    out = np.zeros(cells)
-    out[sums.column("cell").to_numpy()] = sums.column("value").to_numpy()
-    return out
+    tasks = TASKS_A_CORE * sequences.sparkSession.sparkContext.defaultParallelism
+    sums = (sequences.coalesce(tasks).mapInArrow(run, ddl).groupBy("row")
+            .agg(*[F.sum(name).alias(name) for name in names]).toArrow())
+    out = np.zeros((rows_out, ACROSS))
+    out[sums.column("row").to_numpy()] = np.stack([sums.column(name).to_numpy() for name in names], axis=1)
+    return out.ravel()[:cells]
 
 
 def improved(sequences: DataFrame, models: list[Hmm], corpus: Corpus, rounds: int) -> list[Hmm]:
@@ -318,15 +421,21 @@ def improved(sequences: DataFrame, models: list[Hmm], corpus: Corpus, rounds: in
     return models
 
 
+def shared_out(sequences: DataFrame) -> DataFrame:
+    """(classes, share), written share by share, so that a round reads its own alone."""
+    share = F.pmod(F.xxhash64("classes"), F.lit(SHARES)).cast("int")
+    return settle(sequences.select("classes", share.alias("share")), "sequences", "share")
+
+
 def epoch(sequences: DataFrame, models: list[Hmm], corpus: Corpus, found: list) -> tuple[list[Hmm], list[float]]:
-    """A round over each share of the sequences. ``found`` has the counts found last,
+    """A round over each share of the sequences (of ``shared_out``). ``found`` has the counts found last,
     by share and model; a share's are replaced by its round. In the first epoch, when
     it is empty, the older half of the counts, which poorer models gave, does not
     count until all shares have been met. Returns the models, and the log likelihoods
     of all sequences, each by the model that its share met."""
-    share, first = F.pmod(F.xxhash64("classes"), F.lit(SHARES)), not found
+    first = not found
     for k in range(SHARES):
-        found[k:k + 1] = [expectations(sequences.where(share == k), models)]
+        found[k:k + 1] = [expectations(sequences.where(F.col("share") == k).select("classes"), models)]
         used = found[len(found) // 2:] if first and k < SHARES - 1 else found
         models = [next_model(*[sum(part) for part in zip(*[counts[m][:3] for counts in used])], corpus)
                   for m in range(len(models))]
@@ -340,7 +449,8 @@ def train(sequences: DataFrame, corpus: Corpus, rounds: int | None = None) -> Hm
         return first_model(corpus)
     if rounds is not None:
         return improved(sequences, [first_model(corpus)], corpus, rounds)[0]
-    models, found = starts(sequences, corpus), []
+    sequences = shared_out(sequences)
+    models, found = starts(sequences.select("classes"), corpus), []
     for _ in range(START_EPOCHS):
         models, logs = epoch(sequences, models, corpus, found)
     best = int(np.argmax(logs))
@@ -394,14 +504,16 @@ def chunked(rows: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
         numbers, ids, trained, found, size = _Numbers(), [], [], [], 0
 
         def emit(kind: int, n: int, **columns) -> pa.RecordBatch:
-            whole = {"part": [part] * n, "chunk": [chunk] * n, "kind": [kind] * n, **columns}
+            whole = {k: np.full(n, v, np.int32) for k, v in (("part", part), ("chunk", chunk), ("kind", kind))} | columns
             return pa.RecordBatch.from_arrays(
                 [whole[f.name] if isinstance(whole.get(f.name), pa.Array) else
                  pa.array(whole[f.name], f.type) if f.name in whole else pa.nulls(n, f.type) for f in schema], schema=schema)
 
         def written() -> Iterator[pa.RecordBatch]:
             words = list(numbers)
-            classes = np.fromiter(map(class_of, words), np.int32, len(words))
+            # As class_of, for many words at a time; the end is word 0.
+            classes = (np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint32, len(words)) % CLASSES).astype(np.int32)
+            classes[0] = END_CLASS
             learned = [f for f, t in zip(found, trained) if t]
             own = np.bincount(np.concatenate(learned), minlength=len(words)) if learned else np.zeros(len(words), np.int64)
             for a in range(0, len(words), OUT_ROWS):
@@ -494,12 +606,13 @@ def _scored(chunks: DataFrame, totals: DataFrame, corpus: Corpus, model: Hmm) ->
     # Word 0 is the end, so a chunk has it once. Numbers part by part, then chunk by chunk, meet nowhere.
     n, part, chunk = chunks.where("kind = 0 AND number = 0").agg(F.count("*"), F.max("part"), F.max("chunk")).first()
     parts = max(1, min(((part or 0) + 1) * ((chunk or 0) + 1), 2 * n))
-    place = F.pmod(F.col("chunk").cast("bigint") * ((part or 0) + 1) + F.col("part"), F.lit(parts)).cast("int")
-    known = chunks.where("kind = 0").select("part", "chunk", "kind", "number", "word").join(
-        totals, "word").select("part", "chunk", "kind", "number", "class", "total")
-    rows = known.unionByName(chunks.where("kind = 1").select("part", "chunk", "kind", "number", "id", "train", "ids"),
-                             allowMissingColumns=True)
-    dealt = rows.repartitionById(parts, place).sortWithinPartitions("part", "chunk", "kind", "number")
+    # One number sorts a chunk's rows, words first. A chunk's is far below 2 ** 30; where it isn't, the product raises.
+    chunk_no = F.col("chunk").cast("bigint") * ((part or 0) + 1) + F.col("part")
+    key_of = (chunk_no * (1 << 33) + F.col("kind").cast("bigint") * (1 << 32) + F.col("number")).alias("key")
+    known = chunks.where("kind = 0").select(key_of, "word").join(totals, "word").select("key", "class", "total")
+    rows = known.unionByName(chunks.where("kind = 1").select(key_of, "id", "train", "ids"), allowMissingColumns=True)
+    place = F.pmod(F.shiftright("key", 33), F.lit(parts)).cast("int")
+    dealt = rows.repartitionById(parts, place).sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus, model = shared.value
@@ -513,14 +626,7 @@ def _scored(chunks: DataFrame, totals: DataFrame, corpus: Corpus, model: Hmm) ->
                          float(base[seen].sum()), float(inside[seen].sum()), of_class[seen].astype("<u2")))
 
         def scored() -> pa.RecordBatch:
-            log = np.empty(len(held))
-            short = [k for k, h in enumerate(held) if h[2] <= PIECE]
-            for k, h in enumerate(held):
-                if h[2] > PIECE:
-                    log[k] = long_log(model, h[6])
-            for group in worked([held[k][6] for k in short]):
-                own = [short[g] for g in group]
-                log[own] = Lattice([held[k][6] for k in own]).forward(model, np.tile(model.start, (len(own), 1)))
+            log = log_likelihoods(model, [h[6] for h in held])
             out = {"id": [h[0] for h in held], "held_out": [h[1] for h in held], "n_tokens": [h[2] for h in held],
                    "n_known": [h[3] for h in held], "train_tokens": [corpus.tokens] * len(held),
                    "base_score": [h[4] for h in held],
@@ -530,7 +636,7 @@ def _scored(chunks: DataFrame, totals: DataFrame, corpus: Corpus, model: Hmm) ->
 
         for batch in batches:
             for piece in slices(batch):
-                kinds = piece.column("kind").to_numpy()
+                kinds = piece.column("key").to_numpy() >> 32 & 1
                 edges = [0, *(np.flatnonzero(np.diff(kinds)) + 1).tolist(), len(kinds)] if len(kinds) else [0]
                 for a, b in zip(edges, edges[1:]):
                     run_ = piece.slice(a, b - a)

@@ -100,6 +100,46 @@ def test_long_sequences_in_pieces_are_exact(size):
     assert H.summed(parts, model, size) == pytest.approx(H.summed(parts, model))
 
 
+def test_steps_do_not_follow_the_longest_document(monkeypatch):
+    """A document of many tokens is worked in pieces beside the others, not alone step by step."""
+    model, rng = small_model(), np.random.default_rng(3)
+    sequences = [rng.integers(0, H.CLASSES + 1, n) for n in (20_000, 30, 300)]
+    steps, made = [], H.Lattice
+    monkeypatch.setattr(H, "Lattice", lambda s: steps.append(max(map(len, s))) or made(s))
+    H.summed(sequences, model)
+    assert max(steps) <= 4_096
+
+
+def test_values_far_apart_stay_exact():
+    """Emissions and moves of very different sizes, against the recursion in logs."""
+    rng = np.random.default_rng(4)
+    emit, move = 10.0 ** rng.uniform(-30, 0, (H.CLASSES + 1, 3)), 10.0 ** rng.uniform(-10, 0, (3, 3))
+    model = H.Hmm(np.array([1e-12, 1e-3, 1 - 1e-3 - 1e-12]), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    seen = rng.integers(0, H.CLASSES + 1, 200)
+    log = np.log(model.start * model.emit[seen[0]])
+    for o in seen[1:]:
+        log = np.logaddexp.reduce(log[:, None] + np.log(model.move), axis=0) + np.log(model.emit[o])
+    want = np.logaddexp.reduce(log)
+    for size in (7, 64, 1_000):
+        begun, moves, emitted, got = H.long_expected(model, seen, size)
+        assert [got, H.long_log(model, seen, size)] == pytest.approx([want, want], rel=1e-12)
+        assert [begun.sum(), moves.sum(), emitted.sum()] == pytest.approx([1, 199, 200])
+
+
+def test_a_round_reads_its_own_share(spark, monkeypatch):
+    docs = spark.range(400, numPartitions=3).selectExpr("id AS doc_id", "concat('w', pmod(xxhash64(id), 50), ' x') AS text")
+    files, expectations = [], H.expectations
+    monkeypatch.setattr(H, "TOLERANCE", 1.0)
+
+    def noted(sequences, models):
+        files.append({r[0] for r in sequences.select(F.input_file_name()).distinct().collect()})
+        return expectations(sequences, models)
+
+    monkeypatch.setattr(H, "expectations", noted)
+    run(docs)
+    assert len(set.union(*files)) == sum(map(len, files[:H.SHARES])) > 0
+
+
 def test_scores_do_not_depend_on_chunks_or_pieces(documents, monkeypatch):
     some = documents.where("doc_id < 150")
     want = {r.id: r.score for r in run(some, rounds=1)}
