@@ -173,6 +173,6 @@ def write_landing(df: DataFrame, path: str, options: Mapping[str, str] | None =
     text = as_text(df)
     row_bytes = TEXT_BYTES * max(1, len(text.columns))
     opts = {k: v for k, v in (options or CSV_DIALECT).items()
-            if k in ("header", "sep", "quote", "escape", "encoding")}
+            if k in ("header", "sep", "quote", "escape", "encoding", "compression")}
     (text.write.mode("append").options(**opts)
      .option("maxRecordsPerFile", str(max(1, file_bytes // row_bytes))).csv(path))

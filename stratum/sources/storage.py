@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -131,3 +134,15 @@ def write_snapshot(df: DataFrame, path: str, file_format: str = "parquet") -> st
     for old in done[:-1]:
         remove(spark, f"{path}/{SNAPSHOT}={old}")
     return new
+
+
+@contextmanager
+def set_aside(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """The rows as written to a folder of their own beside ``path``, which is removed
+    at the end: one statement's result for the next one to read."""
+    spark, aside = df.sparkSession, f"{path}_{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.parquet(aside)
+        yield spark.read.parquet(aside)
+    finally:
+        remove(spark, aside)

@@ -2,15 +2,19 @@
 
 import datetime as dt
 import os
+import threading
+import time
+from functools import partial
 
 import pytest
 
 from stratum.__main__ import main as cli
 from stratum.plans import refresh
-from stratum.sources import retail
+from stratum.sources import retail, storage
 from stratum.sources.tables import read_snapshot
 from stratum.streaming import silver
 
+from scans import settings
 from sf_dirs import SF_SMALL
 
 
@@ -142,3 +146,97 @@ def test_scratch_folder_only_on_a_local_master():
         sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(cluster)
+
+
+# ------------------------------------------------------------ disk of a refresh
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(k).getName() for k in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def _written(lake, *parts):
+    return [f for _, _, files in os.walk(os.path.join(lake.root.removeprefix("file://"), *parts))
+            for f in files if f.startswith("part-")]
+
+
+def test_a_refresh_leaves_no_shuffle_files_and_compresses_its_tables(spark, lake):
+    spark._jvm.System.gc()                                 # files of other tests are not removed meanwhile
+    time.sleep(1)
+    before = _shuffle_files(spark)
+    refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), lake, parallel=2)
+    refresh.full_refresh(spark, lake, parallel=2)
+    until = time.monotonic() + 20                          # they are removed in the background
+    while (left := _shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
+    assert all(f.endswith(".csv.gz") for f in _written(lake, "landing") + _written(lake, "_archive"))
+    for layer in ("bronze", "silver", "gold"):
+        files = [f for f in _written(lake, layer) if f.endswith(".parquet")]
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert not [n for n in os.listdir(lake.root) if "unsorted" in n]
+    for k in refresh.THRIFTY_CONF:
+        assert spark.conf.get(k, None) is None             # the session is as it was
+
+
+def test_settings_of_the_session_are_kept(spark):
+    key = "spark.sql.parquet.compression.codec"
+    with settings(spark, **{key: "gzip"}), refresh.thrifty(spark):
+        assert spark.conf.get(key) == "gzip"
+    with pytest.raises(RuntimeError), refresh.thrifty(spark):
+        assert spark.conf.get(key) == "zstd"
+        raise RuntimeError("lost")
+    assert spark.conf.get(key, None) is None
+
+
+def test_facts_are_joined_and_sorted_in_two_statements(spark, lake, monkeypatch):
+    """What the joins have shuffled is gone when the sort shuffles."""
+    refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), lake, parallel=3)
+    refresh.full_refresh(spark, lake, parallel=3)
+    plans, write = {}, storage.write_snapshot
+
+    def kept(df, path, *more):
+        plans[path.rpartition("/")[2]] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, path, *more)
+
+    monkeypatch.setattr(storage, "write_snapshot", kept)
+    sorted_alone = ["fact_sales", "fact_product_performance", "fact_payment_summary"]
+    refresh.build_gold(spark, lake, names=sorted_alone)
+    assert sorted(plans) == sorted(sorted_alone)
+    assert all("Sort [" in p and "Join" not in p for p in plans.values())
+
+    def dies(df, path, *more):
+        raise RuntimeError("lost before the sort")
+
+    before = sorted(map(tuple, refresh.read_gold(spark, lake, "fact_sales").collect()))
+    monkeypatch.setattr(storage, "write_snapshot", dies)
+    with pytest.raises(RuntimeError, match="before the sort"):
+        refresh.build_gold(spark, lake, names=["fact_sales"])
+    assert not [n for n in os.listdir(lake.root) if "unsorted" in n]
+    assert sorted(map(tuple, refresh.read_gold(spark, lake, "fact_sales").collect())) == before
+
+
+def test_a_step_that_fills_the_cluster_runs_alone():
+    lock, at_work, seen = threading.Lock(), set(), {}
+
+    def step(name):
+        with lock:
+            at_work.add(name)
+        time.sleep(0.3)
+        with lock:
+            seen[name] = set(at_work)
+            at_work.remove(name)
+        return name
+
+    names = ["small", "large", "tiny", "huge"]
+    assert refresh.run_all([partial(step, n) for n in names], 4, [40, 101, 60, 500], 100) == names
+    assert seen["large"] == {"large"} and seen["huge"] == {"huge"}
+    assert seen["small"] | seen["tiny"] == {"small", "tiny"}
+    seen.clear()
+    refresh.run_all([partial(step, n) for n in names], 4)
+    assert any(len(s) == 4 for s in seen.values())         # without sizes, all at once
+    with pytest.raises(ZeroDivisionError):                 # a failed step makes room
+        refresh.run_all([lambda: 1 / 0, partial(step, "next")], 2, [500, 500], 100)
+    assert "next" in seen
