@@ -240,3 +240,29 @@ def test_a_step_that_fills_the_cluster_runs_alone():
     with pytest.raises(ZeroDivisionError):                 # a failed step makes room
         refresh.run_all([lambda: 1 / 0, partial(step, "next")], 2, [500, 500], 100)
     assert "next" in seen
+
+
+def test_no_gold_table_is_written_beside_the_shuffle_files_of_another(spark, lake, monkeypatch):
+    """Every Gold table of a refresh, read back through the views."""
+    refresh.stage_landing(retail.landing_frames(spark, SF_SMALL), lake, parallel=3)
+    spark._jvm.System.gc()
+    time.sleep(1)
+    before, write, found = _shuffle_files(spark), storage.write_snapshot, {}
+
+    def kept(df, path, *more):
+        until = time.monotonic() + 20                      # removed in the background
+        while (left := _shuffle_files(spark) - before) and time.monotonic() < until:
+            time.sleep(0.2)
+        if "/gold/" in path:
+            found[path.rpartition("/")[2]] = len(left)
+        return write(df, path, *more)
+
+    monkeypatch.setattr(storage, "write_snapshot", kept)
+    refresh.full_refresh(spark, lake)
+    assert found == {n: 0 for n in refresh.gold_tables()}
+    assert {f"gold_{n}" for n in refresh.gold_tables()} <= set(refresh.register_views(spark, lake))
+    rows = {n: spark.table(f"gold_{n}").count() for n in refresh.gold_tables()}
+    orders, items = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("orders", "lineitem"))
+    assert rows["fact_sales"] == orders.count()
+    assert rows["fact_payment_summary"] == items.select("l_orderkey").distinct().count()
+    assert rows["fact_product_performance"] == items.select("l_orderkey", "l_linenumber").distinct().count()
